@@ -24,6 +24,7 @@ from docstrata.operators.reconcile import last_per_key
 LANDING = "landing"
 TRANSFORMED = "transformed"
 _LOG_SCHEMAS = {LANDING: schemas.LANDING_LOG, TRANSFORMED: schemas.TRANSFORMED_LOG}
+_COMMITS = T.StructType([T.StructField("at", T.StringType()), T.StructField("version", T.LongType())])
 APPLIED = ("insert", "update")
 
 
@@ -62,9 +63,8 @@ class Lake:
     # -- commits ---------------------------------------------------------------
 
     def _marked(self, *parts: str) -> list[int]:
-        schema = T.StructType([T.StructField("at", T.StringType()), T.StructField("version", T.LongType())])
         # One row per run, whatever the size of the data.
-        return sorted(r.version for r in self._read(schema, *parts).select("version").distinct().collect())
+        return sorted(r.version for r in self._read(_COMMITS, *parts).select("version").distinct().collect())
 
     def _mark(self, at: str, version: int, *parts: str) -> None:
         row = self.spark.range(1).select(F.lit(at).alias("at"))
@@ -76,6 +76,10 @@ class Lake:
     def commit(self, zone: str, version: int, at: str) -> None:
         self._mark(at, version, zone, "commits")
 
+    def commit_stream(self, zone: str) -> DataFrame:
+        """Versions as they are committed."""
+        return self.spark.readStream.schema(_COMMITS).parquet(self.path(zone, "commits"))
+
     def next_version(self, zone: str) -> int:
         return max(self.committed(zone), default=0) + 1
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from docstrata.operators.logs import parse_lines
 from docstrata.plans.landing import LandingRun, land
 from docstrata.plans.transform import TransformRun, transform
-from docstrata.sources.store import LANDING, TRANSFORMED, Lake
+from docstrata.sources.store import APPLIED, LANDING, TRANSFORMED, Lake
 
 
 def stream_landing(
@@ -36,14 +36,19 @@ def stream_landing(
 
 
 def stream_transform(lake: Lake, run: TransformRun, checkpoint: str) -> StreamingQuery:
-    """Transform what the landing log reports as changed since the last batch."""
-    log = lake.log_stream(LANDING).filter(F.col("action").isin("insert", "update"))
+    """Transform what newly committed landing versions changed.
+
+    The stream follows the commit markers, which are written last: a version is seen only
+    when all of its rows are readable.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        transform(lake, replace(run, version=run.version + batch_id), only=batch)
+        versions = [r.version for r in batch.select("version").distinct().collect()]
+        changed = lake.log(LANDING).filter(F.col("version").isin(versions) & F.col("action").isin(*APPLIED))
+        transform(lake, replace(run, version=run.version + batch_id), only=changed)
 
     return (
-        log.select("identifier")
+        lake.commit_stream(LANDING)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
