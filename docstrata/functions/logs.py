@@ -32,24 +32,19 @@ _TEXT_LINE = rf"\]{WHITESPACE_CLASS}+(INFO|ERROR|WARNING):{WHITESPACE_CLASS}+([^
 _JSON_OPTIONS = {"allowSingleQuotes": "false"}
 
 
-def _json_object(text: Column) -> Column:
-    """A JSON object as map<string,string>; null for anything else, scalars included."""
-    looks_like = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}"))
-    return F.from_json(F.when(looks_like, text), "map<string,string>", _JSON_OPTIONS)
-
-
 def _field(obj: Column, key: str, default: str) -> Column:
     """Value of ``key``; the default applies to an absent key, not to a null value."""
     return F.when(F.map_contains_key(obj, key), F.element_at(obj, key)).otherwise(default)
 
 
-def parse_log_line(line: Column) -> Column:
-    """``struct<level, message>``: JSON object lines first, then ``] LEVEL: message`` text.
+def json_object(text: Column) -> Column:
+    """A JSON object as map<string,string>; null for anything else, scalars included."""
+    looks_like = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}"))
+    return F.from_json(F.when(looks_like, text), "map<string,string>", _JSON_OPTIONS)
 
-    Both fields are null when the line is neither.
-    """
-    text = strip(line)
-    obj = _json_object(text)
+
+def level_and_message(text: Column, obj: Column) -> Column:
+    """``struct<level, message>`` of a stripped line and its ``json_object``."""
     from_json = F.struct(
         _field(obj, "level", "INFO").alias("level"), _field(obj, "message", "").alias("message")
     )
@@ -60,6 +55,16 @@ def parse_log_line(line: Column) -> Column:
     return F.when(obj.isNotNull(), from_json).otherwise(from_text)
 
 
+def parse_log_line(line: Column) -> Column:
+    """``struct<level, message>``: JSON object lines first, then ``] LEVEL: message`` text.
+
+    Both fields are null when the line is neither.  ``operators.logs.parse_lines`` does
+    the same for a table and evaluates each step once.
+    """
+    text = strip(line)
+    return level_and_message(text, json_object(text))
+
+
 def should_show(message: Column, keywords: Sequence[str]) -> Column:
     """Whether the message contains any of the keywords."""
     pattern = "|".join(re.sub(r"([^A-Za-z0-9 ])", r"\\\1", k) for k in keywords)
@@ -74,7 +79,7 @@ def route_level(level: Column) -> Column:
 def format_summary(message: Column) -> Column:
     """Partition and crawl summaries as a readable line; other messages unchanged."""
     start = F.instr(message, "{")
-    obj = _json_object(F.when(start > 0, F.substring(strip(message), start, F.length(message))))
+    obj = json_object(F.when(start > 0, F.substring(strip(message), start, F.length(message))))
 
     def show(key: str, default: str) -> Column:
         return F.coalesce(_field(obj, key, default), F.lit("None"))

@@ -12,7 +12,8 @@ WHITESPACE_CODES = [
     *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 ]
 WHITESPACE = "".join(chr(c) for c in WHITESPACE_CODES)
-WHITESPACE_CLASS = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
+WHITESPACE_CLASS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_OTHER_WHITESPACE = WHITESPACE.replace(" ", "")
 
 
 def strip(col: Column) -> Column:
@@ -21,8 +22,13 @@ def strip(col: Column) -> Column:
 
 
 def collapse(col: Column) -> Column:
-    """Every whitespace run becomes one space; none at the ends."""
-    return F.btrim(F.regexp_replace(col, WHITESPACE_CLASS + "+", " "))
+    """Every whitespace run becomes one space; none at the ends.
+
+    Translating first leaves a pattern that matches nothing in ordinary text; it is about
+    twice as fast as one pattern over the whole class.
+    """
+    spaced = F.translate(col, _OTHER_WHITESPACE, " " * len(_OTHER_WHITESPACE))
+    return F.btrim(F.regexp_replace(spaced, " {2,}", " "))
 
 
 def words(col: Column) -> Column:

@@ -8,13 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docstrata import schemas
-from docstrata.functions.logs import RUN_COUNTERS, format_summary, parse_log_line, route_level, should_show
+from docstrata.functions.logs import (
+    RUN_COUNTERS, format_summary, json_object, level_and_message, route_level, should_show,
+)
+from docstrata.functions.text import strip
 
 
 def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Adds ``level`` and ``message`` to log lines; both null when unparsable."""
-    return lines.withColumn("_parsed", parse_log_line(F.col(value_col))).select(
-        *lines.columns, "_parsed.level", "_parsed.message"
+    """Adds ``level`` and ``message`` to log lines; both null when unparsable.
+
+    The one-element ``inline`` keeps the parse a step of its own: as plain columns it
+    would be repeated in every later filter and projection.
+    """
+    text, obj = F.col("_text"), F.col("_obj")
+    return (
+        lines.withColumn("_text", strip(F.col(value_col)))
+        .withColumn("_obj", json_object(text))
+        .select(*lines.columns, F.inline(F.array(level_and_message(text, obj))))
     )
 
 

@@ -46,6 +46,7 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_SELECTS = re.compile(r"class|id|type", re.IGNORECASE)
 _CUT_OFF = re.compile(r"<(?:!--|[A-Za-z/!?])")
 _RAW_END = {tag: re.compile(rf"</{tag}[\s/>]", re.IGNORECASE) for tag in RAW_TEXT}
 _META_CHARSET = re.compile(rb"<\s*meta[^>]+charset\s*=\s*[\"']?([^>\"'\s/;]+)", re.IGNORECASE)
@@ -149,12 +150,16 @@ def _match_end(stack: list[str], tag: str) -> int | None:
 
 def _implied_ends(stack: list[str], tag: str) -> int:
     """How many open elements a start tag closes first."""
-    depth = len(stack)
-    if tag in CLOSES_P:
-        while depth and stack[depth - 1] in INLINE:
-            depth -= 1
-    closes = depth and tag in CLOSED_BY.get(stack[depth - 1], ())
-    return len(stack) - depth + 1 if closes else 0
+    keep = len(stack)
+    while keep:
+        # Formatting that was left open inside a paragraph ends with the paragraph.
+        inner = keep
+        while inner and tag in CLOSES_P and stack[inner - 1] in INLINE:
+            inner -= 1
+        if not inner or tag not in CLOSED_BY.get(stack[inner - 1], ()):
+            break
+        keep = inner - 1
+    return len(stack) - keep
 
 
 class Removal(NamedTuple):
@@ -206,7 +211,7 @@ def prune(source: str, removal: Removal, keep_html: bool, main_id: str = "main")
     for kind, value, raw in walk(source):
         top = stack[-1]
         if kind == "open":
-            attrs = attributes(raw) if raw else {}
+            attrs = attributes(raw) if raw and (keep_html or _SELECTS.search(raw)) else {}
             doomed = removal.matches(value, attrs)
             stack.append(_Open(value, attrs, len(texts), len(out), doomed))
             muted += value in NO_TEXT

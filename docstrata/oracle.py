@@ -270,13 +270,17 @@ SELECT identifier, description, published_date_iso, source AS ref_no, doc_url, l
 FROM first_rows"""
 
 _INCREMENT = """landed_before AS (SELECT DISTINCT identifier FROM outcome_rows WHERE month <= DATE '2024-06-30'),
+all_rows AS (
+  SELECT *, 'H-' || sha256(text) AS identifier,
+    CASE source WHEN 'src9' THEN 'pending' WHEN 'src3' THEN 'failed' ELSE 'landed' END AS outcome
+  FROM listed),
 fresh AS (
-  SELECT o.*, min(CASE WHEN outcome = 'landed' THEN (page, month, lang, pos) END) OVER (PARTITION BY o.identifier) AS landed_at
-  FROM outcome_rows o WHERE identifier NOT IN (SELECT identifier FROM landed_before)),
+  SELECT *, min(CASE WHEN outcome = 'landed' THEN (page, month, lang, pos) END) OVER (PARTITION BY identifier) AS landed_at
+  FROM all_rows WHERE identifier NOT IN (SELECT identifier FROM landed_before)),
 marked AS (
   SELECT lang, CASE WHEN (page, month, lang, pos) > landed_at THEN 'skipped' ELSE outcome END AS outcome FROM fresh
   UNION ALL
-  SELECT l.lang, 'skipped' FROM listed l WHERE 'H-' || sha256(text) IN (SELECT identifier FROM landed_before))"""
+  SELECT lang, 'skipped' FROM all_rows WHERE identifier IN (SELECT identifier FROM landed_before))"""
 
 _FLAGSHIP = _with(_PAGES, _BEFORE) + f"""
 SELECT body, partition_date, count(*) AS n_pages, count(DISTINCT h) AS n_contents, min(h) AS min_hash
@@ -458,7 +462,7 @@ GROUP BY lang, page""",
         "landing_state": _LANDING_STATE,
         "landing_stream": _LANDING_STATE,
         "landing_increment": _with(_LISTED, _FIRST, _INCREMENT) + """
-SELECT lang AS body, outcome, count(*) AS n_rows FROM marked GROUP BY ALL""",
+SELECT lang AS body, outcome, count(*) AS n_rows FROM marked WHERE outcome <> 'pending' GROUP BY ALL""",
         "transformed_state": _with(_LISTED, _FIRST) + f"""
 SELECT identifier, description, source AS ref_no, doc_url, lang AS body, CAST(month AS VARCHAR) AS partition_date,
   ftype AS file_type,

@@ -76,6 +76,8 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame, run: Landing
     pages = lake.stage(scan_search_pages(in_range), "pages", run.version)
     stored = lake.current(LANDING, before=run.version)
     arrivals = lake.stage(_arrivals(pages, stored, responses, run), "arrivals", run.version)
+    if run.policy != "hash_update":
+        arrivals = lake.stage(_skip_repeats(arrivals), "distinct_arrivals", run.version)
 
     blobs = _store_documents(lake, arrivals, responses, run)
     decided = lake.stage(_decide(arrivals, blobs, stored, run), "decided", run.version)
@@ -117,8 +119,7 @@ def _arrivals(pages: DataFrame, stored: DataFrame, responses: DataFrame, run: La
         .when(F.col("error").isNotNull(), "failed")
         .otherwise("landed")
     )
-    rows = joined.withColumn("outcome", outcome).drop("_wanted", "_url", "is_known")
-    return rows if run.policy == "hash_update" else _skip_repeats(rows)
+    return joined.withColumn("outcome", outcome).drop("_wanted", "_url", "is_known")
 
 
 def _skip_repeats(rows: DataFrame) -> DataFrame:

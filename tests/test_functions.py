@@ -1,0 +1,189 @@
+"""Column builders: text, dates, files, URLs, log lines."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+from urllib.parse import urljoin
+
+import pytest
+from pyspark.sql import functions as F
+
+from docstrata import functions as fn
+from docstrata.functions.logs import (
+    LANDING_KEYWORDS, TRANSFORM_KEYWORDS, format_summary, parse_log_line, route_level, should_show,
+)
+from docstrata.functions.text import WHITESPACE
+
+
+def evaluate(spark, values, build, schema="v string"):
+    rows = spark.createDataFrame([(v,) for v in values], schema).select(build(F.col("v")).alias("r")).collect()
+    return [r.r for r in rows]
+
+
+def test_whitespace_is_what_python_strips():
+    assert set(WHITESPACE) == {chr(c) for c in range(0x110000) if chr(c).isspace()} and len(WHITESPACE) == 29
+
+
+def test_strip_collapse_and_words_match_python(spark):
+    rng = random.Random(1)
+    alphabet = WHITESPACE + "ab​﻿é" + " " * 10
+    values = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(12))) for _ in range(500)]
+    assert evaluate(spark, values, fn.strip) == [v.strip() for v in values]
+    assert evaluate(spark, values, fn.collapse) == [" ".join(v.split()) for v in values]
+    assert evaluate(spark, values, fn.words) == [v.split() for v in values]
+
+
+def test_join_stripped(spark):
+    got = evaluate(spark, [[" A ", " ", " B "], []], fn.join_stripped, "v array<string>")
+    assert got == ["A B", ""]
+
+
+def test_parse_int(spark):
+    got = evaluate(spark, ["16544", " +5 ", "-3", "1_000", "1__0", "16,544", "1.5", "", "99999999999999999999"], fn.parse_int)
+    assert got == [16544, 5, -3, 1000, None, None, None, None, None]
+
+
+def test_total_results(spark):
+    values = ["\n Shows 1 to\n 10\n\n of  16544  results\n", "of 16,544 results", "none", "of ", "a of b of 5", None]
+    assert evaluate(spark, values, fn.total_results) == [16544, None, None, None, None, None]
+
+
+def test_iso_dates(spark):
+    values = ["1/2/2024", "31/03/2023", "2024-01-01", "a/b/c", "", "1/2", "1/2/3/4", None]
+    assert evaluate(spark, values, fn.iso_from_slashes) == ["2024-2-1", "2023-03-31", None, "c-b-a", None, None, None, None]
+    assert evaluate(spark, ["31/03/2023", "31/02/2023", "x"], fn.published_day) == [dt.date(2023, 3, 31), None, None]
+
+
+def loop_partitions(start, end, size):
+    """Independent formulation: walk from partition to partition."""
+    out, current = [], start
+    while current <= end:
+        if size == "weekly":
+            last = current + dt.timedelta(days=6)
+        else:
+            month = current.year * 12 + current.month - 1 + (1 if size == "monthly" else 3)
+            last = dt.date(month // 12, month % 12 + 1, 1) - dt.timedelta(days=1)
+        last = min(last, end)
+        out.append((current, last))
+        current = last + dt.timedelta(days=1)
+    return out
+
+
+@pytest.mark.parametrize("size", ["monthly", "weekly", "quarterly"])
+def test_date_partitions_match_a_walk(spark, size):
+    rng = random.Random(7)
+    ranges = []
+    for _ in range(200):
+        start = dt.date(2020, 1, 1) + dt.timedelta(days=rng.randrange(1500))
+        ranges.append((start, start + dt.timedelta(days=rng.randrange(-40, 700))))
+    rows = spark.createDataFrame(ranges, "a date, b date").select(
+        "a", "b", fn.date_partitions(F.col("a"), F.col("b"), size).alias("p")
+    ).collect()
+    for row in rows:
+        spans = [(p.partition_start, p.partition_end) for p in row.p]
+        assert spans == loop_partitions(row.a, row.b, size)
+    days = spark.createDataFrame(
+        [(a, a + dt.timedelta(days=rng.randrange((b - a).days + 1))) for a, b in ranges if a <= b], "a date, d date"
+    )
+    for row in days.select("a", "d", fn.partition_start_of(F.col("d"), F.col("a"), size).alias("s")).collect():
+        assert row.s == next(s for s, e in loop_partitions(row.a, row.d, size) if s <= row.d <= e)
+
+
+def test_partition_examples(spark):
+    def spans(a, b, size):
+        frame = spark.range(1).select(F.inline(fn.date_partitions(F.lit(a).cast("date"), F.lit(b).cast("date"), size)))
+        return [(r[0].isoformat()[5:], r[1].isoformat()[5:]) for r in frame.collect()]
+
+    assert spans("2024-01-15", "2024-03-01", "monthly") == [("01-15", "01-31"), ("02-01", "02-29"), ("03-01", "03-01")]
+    assert spans("2024-02-15", "2024-08-01", "quarterly") == [("02-15", "04-30"), ("05-01", "07-31"), ("08-01", "08-01")]
+    assert spans("2024-01-03", "2024-01-12", "weekly") == [("01-03", "01-09"), ("01-10", "01-12")]
+    assert spans("2024-01-03", "2024-01-02", "weekly") == []
+    for build in (fn.date_partitions, fn.partition_start_of):
+        with pytest.raises(ValueError, match="Unknown partition size: daily"):
+            build(F.col("a"), F.col("b"), "daily")
+
+
+def test_file_types_and_mime(spark):
+    values = ["APPLICATION/PDF", "application/vnd.openxmlformats-officedocument.wordprocessingml.document",
+              "application/msword", "text/html; charset=utf-8", "image/png", None]
+    assert evaluate(spark, values, fn.file_type) == ["pdf", "doc", "doc", "html", "html", "html"]
+    assert evaluate(spark, ["html", "pdf", "doc", "unknown", None], fn.mime_type) == [
+        "text/html", "application/pdf", "application/msword", "application/octet-stream", "application/octet-stream"]
+
+
+def test_object_names(spark):
+    row = spark.createDataFrame([("Labour Court", "2024-01-01", "A/B 1", "html"), (None, None, None, "pdf")],
+                                "b string, p string, i string, t string").select(
+        fn.landing_key(F.col("b"), F.col("p"), F.col("i"), F.col("t")).alias("k"),
+        fn.transformed_name(F.col("i"), F.col("t")).alias("n")).collect()
+    assert [tuple(r) for r in row] == [("Labour_Court/2024-01-01/A-B 1.html", "A-B_1.html"),
+                                       ("unknown/unknown/unknown.pdf", "unknown.pdf")]
+
+
+def test_search_url(spark):
+    url = spark.range(1).select(fn.search_url(
+        "https://x.example/en/search/", F.lit("3"), F.lit("2024-02-01").cast("date"), F.lit("2024-02-29").cast("date"), F.lit(1)
+    )).first()[0]
+    assert url == "https://x.example/en/search/?decisions=1&body=3&from=01%2F02%2F2024&to=29%2F02%2F2024&pageNumber=1"
+
+
+def test_document_url_is_plain_concatenation(spark):
+    assert evaluate(spark, ["/a b", "", None], lambda c: fn.document_url("https://x", c)) == ["https://x/a b", "", ""]
+
+
+def test_resolve_url_matches_urljoin(spark):
+    base = "https://x.example/en/search/page?body=1&n=1#top"
+    hrefs = ["https://y.example/a", "//z.example/b", "/c/d?e=1", "?pageNumber=2", "next?p=2", "../up", "./same", "#frag",
+             "/a/./b/../c", "../../../top", "sub/", "..", "mailto:x@y.example", "/a/b/.."]
+    for b in (base, "https://x.example", "https://x.example/"):
+        got = evaluate(spark, hrefs, lambda c: fn.resolve_url(F.lit(b), c))
+        assert got == [urljoin(b, h) for h in hrefs]
+
+
+LINES = {
+    '{"timestamp": "t", "level": "ERROR", "message": "Request failed: u"}': ("ERROR", "Request failed: u"),
+    '{"a": 1}': ("INFO", ""),
+    "5": (None, None),
+    "[1]": (None, None),
+    "{broken": (None, None),
+    "{broken} ] INFO: x": (None, "x") and ("INFO", "x"),
+    "2026-03-25 11:21:42 [spider] INFO: Found 3 results": ("INFO", "Found 3 results"),
+    "  [s] WARNING:   careful  ": ("WARNING", "careful"),
+    "[spider] DEBUG: noise": (None, None),
+    "   ": (None, None),
+    '{"message": "m", "nested": {"a": [1, 2]}}': ("INFO", "m"),
+    "{'level': 'single'}": (None, None),
+}
+
+
+def test_parse_log_line(spark):
+    assert evaluate(spark, list(LINES), parse_log_line) == list(LINES.values())
+
+
+def test_should_show(spark):
+    values = ["x Queueing: y", "queueing: y", "Crawled 3", "nothing"]
+    assert evaluate(spark, values, lambda c: should_show(c, LANDING_KEYWORDS)) == [True, False, True, False]
+    assert evaluate(spark, ["Done.", "Preloaded 3", "x"], lambda c: should_show(c, TRANSFORM_KEYWORDS)) == [True, True, False]
+    assert evaluate(spark, ["a.b", "axb"], lambda c: should_show(c, ["a.b"])) == [True, False]
+
+
+def test_route_level(spark):
+    assert evaluate(spark, ["ERROR", "WARNING", "INFO", "X", None], route_level) == ["error", "warning", "info", "info", "info"]
+
+
+def test_format_summary(spark):
+    failed = '[{"url":"u1","error":"e1"},{"url":"u2"},{"url":"u3","error":"e3"},{"url":"u4","error":"e4"}]'
+    cases = {
+        'Partition summary: {"body": "B", "partition_start": "2024-01-01", "partition_end": "2024-01-31", "total_results": 45, '
+        '"records_scraped": 10, "records_skipped": 35, "records_failed": 0, "failed_urls": []}':
+            "B | 2024-01-01 to 2024-01-31 | found: 45, new: 10, skipped: 35, failed: 0",
+        '{"body": "B", "failed_urls": ' + failed + "}":
+            "B | ? to ? | found: 0, new: 0, skipped: 0, failed: 0\n    FAILED: u1 — e1\n    FAILED: u2 — ?\n    FAILED: u3 — e3",
+        'Crawl summary: {"event": "crawl_complete", "total_expected": 9, "partitions_processed": 4}':
+            "Crawl complete | partitions: 4, found: 9, new: 0, skipped: 0, failed: 0",
+        'x {"other": 1}': 'x {"other": 1}',
+        "no json": "no json",
+        "bad {json": "bad {json",
+    }
+    assert evaluate(spark, list(cases), format_summary) == list(cases.values())
