@@ -3,7 +3,10 @@
 Keys are assumed to be skewed: one identifier may hold a third of all rows.  So
 per-key "first" and "last" are aggregates with map-side combining, never a window over
 the whole key, and the one operator that needs neighbours in order (``previous_value``)
-spreads a key over range partitions first.
+spreads a key over range partitions first.  Lookups are plain equi-joins: AQE splits a
+hot key on the probe side when the other side is a table scan (an aggregate directly
+below the join would prevent that, so the jobs write such sides first), and
+``spread_nulls`` keeps rows without a key from meeting in one task.
 """
 
 from __future__ import annotations
@@ -26,9 +29,21 @@ def skipped_known(rows: DataFrame, known: DataFrame, key: str = "identifier") ->
     return rows.join(known.select(key), key, "left_semi")
 
 
-def flag_known(rows: DataFrame, known: DataFrame, key: str = "identifier") -> DataFrame:
-    """All rows plus ``is_known``, in one pass; feeds the statistics."""
-    keys = known.select(F.col(key)).distinct().withColumn("is_known", F.lit(True))
+def spread_nulls(key: Column, *others: str) -> Column:
+    """Join key that gives rows without one distinct values which match nothing.
+
+    Null keys would all hash to the same task.
+    """
+    return F.coalesce(key, F.concat(F.lit("\0"), F.xxhash64(*others).cast("string")))
+
+
+def flag_known(rows: DataFrame, known: DataFrame, key: str = "identifier", unique: bool = False) -> DataFrame:
+    """All rows plus ``is_known``, in one pass; feeds the statistics.
+
+    ``unique`` says that ``known`` holds each key once.
+    """
+    keys = known.select(key) if unique else known.select(key).distinct()
+    keys = keys.withColumn("is_known", F.lit(True))
     return rows.join(keys, key, "left").withColumn("is_known", F.coalesce("is_known", F.lit(False)))
 
 
@@ -231,9 +246,10 @@ def reconcile_zones(landing: DataFrame, transformed: DataFrame, blob_keys: DataF
     """
     keys = blob_keys.select("file_path").distinct().withColumn("_blob", F.lit(True))
     left = (
-        landing.select("identifier", "file_path")
+        landing.select("identifier", F.col("file_path").alias("landing_path"))
+        .withColumn("file_path", spread_nulls(F.col("landing_path"), "identifier"))
         .join(keys, "file_path", "left")
-        .select("identifier", F.col("file_path").alias("landing_path"), "_blob", F.lit(True).alias("_landed"))
+        .select("identifier", "landing_path", "_blob", F.lit(True).alias("_landed"))
     )
     right = transformed.select(
         "identifier", F.col("file_path").alias("transformed_path"), F.lit(True).alias("_transformed")

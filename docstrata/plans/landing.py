@@ -15,8 +15,7 @@ from docstrata.operators.frontier import frontier, range_row, validate_range
 from docstrata.operators.html import content_hash
 from docstrata.operators.listing import listing_rows, scan_search_pages, with_identifier
 from docstrata.operators.reconcile import (
-    ARRIVAL_ORDER, change_action, classify_changes, first_per_key, flag_known, fold_changes, last_applied,
-    repair_action,
+    ARRIVAL_ORDER, classify_changes, first_per_key, flag_known, fold_changes, last_applied, spread_nulls,
 )
 from docstrata.sources.captures import BODIES
 from docstrata.sources.store import LANDING, Lake
@@ -75,9 +74,13 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame, run: Landing
     # Each page is parsed once; everything later reads the parsed table.
     pages = lake.stage(scan_search_pages(in_range), "pages", run.version)
     stored = lake.current(LANDING, before=run.version)
-    arrivals = lake.stage(_arrivals(pages, stored, responses, run), "arrivals", run.version)
+    # The lookup sides are written first: see ``operators.reconcile`` on hot keys.
+    known = lake.stage(_known(stored, run), "known", run.version)
+    heads = lake.stage(_best_responses(responses), "responses", run.version)
+    arrivals = lake.stage(_arrivals(pages, known, heads, run), "arrivals", run.version)
     if run.policy != "hash_update":
-        arrivals = lake.stage(_skip_repeats(arrivals), "distinct_arrivals", run.version)
+        repeated = lake.stage(_repeated(arrivals), "repeated", run.version)
+        arrivals = lake.stage(_skip_repeats(arrivals, repeated), "distinct_arrivals", run.version)
 
     blobs = _store_documents(lake, arrivals, responses, run)
     decided = lake.stage(_decide(arrivals, blobs, stored, run), "decided", run.version)
@@ -91,27 +94,32 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame, run: Landing
     return LandingResult(run.version, outcomes, decided, stats.partition_stats(requests, pages, outcomes))
 
 
-def _arrivals(pages: DataFrame, stored: DataFrame, responses: DataFrame, run: LandingRun) -> DataFrame:
-    """Listing items with their outcome; document bytes are not read here."""
-    items = with_identifier(listing_rows(pages, run.site, run.run_ts)).drop("published_dt")
-    if run.policy == "default":
-        known = stored.filter(F.col("partition_date").between(run.start_date, run.end_date))
-    elif run.policy == "write_once":
-        known = stored
-    else:
-        known = stored.limit(0)
-    flagged = flag_known(items, known)
-
-    # One response per URL: a good one if there is any, then the earliest.
+def _known(stored: DataFrame, run: LandingRun) -> DataFrame:
+    """Identifiers the run skips."""
+    if run.policy == "hash_update":
+        stored = stored.limit(0)
+    elif run.policy == "default":
+        stored = stored.filter(F.col("partition_date").between(run.start_date, run.end_date))
+    return stored.select("identifier")
+
+
+def _best_responses(responses: DataFrame) -> DataFrame:
+    """One response per URL: a good one if there is any, then the earliest.  No bytes."""
     heads = responses.select(
         "url", "captured_at", "error", "content_type", F.col("error").isNotNull().alias("_bad")
     )
-    best = first_per_key(heads, "url", ["_bad", "captured_at", "error", "content_type"]).select(
+    return first_per_key(heads, "url", ["_bad", "captured_at", "error", "content_type"]).select(
         F.col("url").alias("_url"), F.col("captured_at").alias("response_at"), "error", "content_type"
     )
-    # Rows that are not downloaded get a null key, so they match nothing.
-    wanted = F.when(~F.col("is_known") & (F.col("doc_url") != ""), F.col("doc_url"))
-    joined = flagged.withColumn("_wanted", wanted).join(best, F.col("_wanted") == F.col("_url"), "left")
+
+
+def _arrivals(pages: DataFrame, known: DataFrame, heads: DataFrame, run: LandingRun) -> DataFrame:
+    """Listing items with their outcome; document bytes are not read here."""
+    items = with_identifier(listing_rows(pages, run.site, run.run_ts)).drop("published_dt")
+    flagged = flag_known(items, known, unique=True)
+    download = ~F.col("is_known") & (F.col("doc_url") != "")
+    wanted = spread_nulls(F.when(download, F.col("doc_url")), "identifier", "captured_at", "body", "page_number", "pos")
+    joined = flagged.withColumn("_wanted", wanted).join(heads, F.col("_wanted") == F.col("_url"), "left")
     outcome = (
         F.when(F.col("is_known"), "skipped")
         .when(F.col("doc_url") == "", "no_url")
@@ -122,19 +130,22 @@ def _arrivals(pages: DataFrame, stored: DataFrame, responses: DataFrame, run: La
     return joined.withColumn("outcome", outcome).drop("_wanted", "_url", "is_known")
 
 
-def _skip_repeats(rows: DataFrame) -> DataFrame:
-    """In-run duplicates: once an identifier has landed, its later arrivals are skipped."""
-    order = F.struct(*ARRIVAL_ORDER)
-    landed = F.col("outcome") == "landed"
-    repeated = (
-        rows.groupBy("identifier")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(F.when(landed, order)).alias("_landed_at"))
+def _repeated(arrivals: DataFrame) -> DataFrame:
+    """Identifiers that arrive several times, and where the first landed arrival is."""
+    landed_at = F.min(F.when(F.col("outcome") == "landed", F.struct(*ARRIVAL_ORDER)))
+    return (
+        arrivals.groupBy("identifier")
+        .agg(F.count(F.lit(1)).alias("_n"), landed_at.alias("_landed_at"))
         .filter("_n > 1 and _landed_at is not null")
         .select("identifier", "_landed_at")
     )
-    late = F.coalesce(order > F.col("_landed_at"), F.lit(False))
+
+
+def _skip_repeats(arrivals: DataFrame, repeated: DataFrame) -> DataFrame:
+    """In-run duplicates: once an identifier has landed, its later arrivals are skipped."""
+    late = F.coalesce(F.struct(*ARRIVAL_ORDER) > F.col("_landed_at"), F.lit(False))
     return (
-        rows.join(repeated, "identifier", "left")
+        arrivals.join(repeated, "identifier", "left")
         .withColumn("outcome", F.when(late, "skipped").otherwise(F.col("outcome")))
         .drop("_landed_at")
     )
@@ -169,8 +180,10 @@ def _decide(arrivals: DataFrame, blobs: DataFrame, stored: DataFrame, run: Landi
     files = blobs.select(F.col("blob_id").alias("_blob"), "file_type", "file_hash", "length")
     processed = arrivals.filter(F.col("outcome").isin("landed", "failed", "no_url"))
     landed = F.col("outcome") == "landed"
+    link = spread_nulls(F.when(landed, F.col("doc_url")), "identifier", *ARRIVAL_ORDER)
     records = (
-        processed.join(files, landed & (F.col("doc_url") == F.col("_blob")), "left")
+        processed.withColumn("_link", link)
+        .join(files, F.col("_link") == F.col("_blob"), "left")
         .withColumn("file_type", F.when(F.col("outcome") == "failed", "unknown").otherwise(F.col("file_type")))
         .withColumns(
             {
@@ -182,7 +195,7 @@ def _decide(arrivals: DataFrame, blobs: DataFrame, stored: DataFrame, run: Landi
                 "blob_id": F.when(F.col("length") > 0, F.col("_blob")),
             }
         )
-        .drop("_blob", "length")
+        .drop("_blob", "_link", "length")
     )
     if run.policy == "hash_update":
         if run.repair_failed:
@@ -249,3 +262,14 @@ def _outcomes(arrivals: DataFrame, pages: DataFrame) -> DataFrame:
 def pending_documents(arrivals: DataFrame) -> DataFrame:
     """Document URLs that no captured response answers yet."""
     return arrivals.filter(F.col("outcome") == "pending").select(F.col("doc_url").alias("url")).distinct()
+
+
+def write_reports(lake: Lake, result: LandingResult) -> None:
+    """Run summaries and failure events of a run as JSON files."""
+    reports = {
+        "partition_summaries": result.summaries().drop("message"),
+        "crawl_summary": result.summary().drop("message"),
+        "failures": stats.failure_events(result.outcomes),
+    }
+    for name, rows in reports.items():
+        rows.write.mode("overwrite").json(lake.path("reports", name, f"version={result.version}"))

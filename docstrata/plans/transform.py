@@ -11,7 +11,7 @@ from docstrata.functions.files import mime_type, sha256_hex, transformed_name
 from docstrata.operators import stats
 from docstrata.operators.frontier import validate_range
 from docstrata.operators.html import transformed_content
-from docstrata.operators.reconcile import upsert_action
+from docstrata.operators.reconcile import spread_nulls, upsert_action
 from docstrata.sources.store import LANDING, TRANSFORMED, Lake
 
 MODES = ("code", "source_hash")
@@ -77,7 +77,8 @@ def _plan(lake: Lake, landed: DataFrame, run: TransformRun) -> DataFrame:
         status = status.when(F.col("source_hash") == F.col("prior_source"), "skipped")
     return (
         landed.drop("blob_id", "version")
-        .join(index, F.col("file_path") == F.col("_path"), "left")
+        .withColumn("_key", spread_nulls(F.col("file_path"), "identifier"))
+        .join(index, F.col("_key") == F.col("_path"), "left")
         .join(prior, "identifier", "left")
         .select(
             "identifier", "description", "published_date", "ref_no", "doc_url", "body", "partition_date",
@@ -131,7 +132,8 @@ def _decide(work: DataFrame, cleaned: DataFrame, run: TransformRun) -> DataFrame
     """Final status and transformed metadata record of every row of the run."""
     done = cleaned.select("blob_id", "file_hash")
     todo = F.col("status").isNull()
-    joined = work.withColumn("_blob", F.when(todo, _blob_id())).join(done, F.col("_blob") == F.col("blob_id"), "left")
+    key = spread_nulls(F.when(todo, _blob_id()), "identifier")
+    joined = work.withColumn("_blob", key).join(done, F.col("_blob") == F.col("blob_id"), "left")
     status = F.coalesce(
         "status",
         F.when(F.col("blob_id").isNull(), "missing_blob"),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from docstrata import schemas
@@ -67,3 +68,21 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
 def log_stream(spark: SparkSession, path: str) -> DataFrame:
     """Log lines as a stream of newly arriving files."""
     return spark.readStream.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+
+
+def export_objects(objects: DataFrame, target: str) -> None:
+    """Write (file_path, content) rows as single files below a folder or bucket URI.
+
+    For consumers that need one object per document; each task writes its own rows, and a
+    repeated task overwrites the same names.
+    """
+
+    def write(rows: Iterator[Row]) -> None:
+        store, base = fs.FileSystem.from_uri(target)
+        for row in rows:
+            path = f"{base}/{row.file_path}"
+            store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with store.open_output_stream(path) as out:
+                out.write(bytes(row.content))
+
+    objects.select("file_path", "content").filter(F.col("content").isNotNull()).foreachPartition(write)

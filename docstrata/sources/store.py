@@ -137,6 +137,13 @@ class Lake:
         snapshot = self._read(schemas.BLOB_INDEX, zone, "snapshot", "index", f"version={base}").drop("version")
         return snapshot.join(recent.select("file_path"), "file_path", "left_anti").unionByName(recent)
 
+    def objects(self, zone: str) -> DataFrame:
+        """Current objects by path: (file_path, content, content_type, length)."""
+        stored = self.blobs(zone).withColumnRenamed("version", "blob_version")
+        return self.blob_index(zone).join(stored, ["blob_version", "blob_id"]).select(
+            "file_path", "content", "content_type", "length"
+        )
+
     def in_range(self, zone: str, start: str, end: str, before: int | None = None,
                  date_col: str = "partition_date") -> DataFrame:
         """Current rows whose ``date_col`` lies in [start, end], compared as text.

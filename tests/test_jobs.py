@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from docstrata.plans.both import land_and_transform
-from docstrata.plans.landing import LandingRun, land
+from docstrata.plans.landing import LandingRun, land, pending_documents, write_reports
 from docstrata.plans.transform import TransformRun, transform
+from docstrata.sources.captures import export_objects, object_tree
 from docstrata.sources.store import LANDING, TRANSFORMED, Lake
 from docstrata.streaming.jobs import stream_landing, stream_transform
 from tests.conftest import SITE, TS, doc_row, page_row
@@ -192,15 +193,15 @@ def test_pending_documents_are_not_landed(lake, captures):
     pages, docs = first_captures()
     land(lake, *captures(pages, docs[:1]), RUN)
     assert set(state(lake)) == {"A/B 1", "NOLINK"}
+    arrivals = lake.spark.read.parquet(lake.path("staging", "version=1", "distinct_arrivals"))
+    assert {r.url for r in pending_documents(arrivals).collect()} == {SITE + "/p", SITE + "/f", SITE + "/d"}
 
 
 TRANSFORM = TransformRun("2024-01-01", "2024-02-29", 1, "2024-03-02T00:00:00")
 
 
 def content_of(lake, zone):
-    index = lake.blob_index(zone)
-    blobs = lake.blobs(zone).select("blob_id", F.col("version").alias("blob_version"), "content")
-    return {r.file_path: bytes(r.content) for r in index.join(blobs, ["blob_id", "blob_version"]).collect()}
+    return {r.file_path: bytes(r.content) for r in lake.objects(zone).collect()}
 
 
 def test_transform(lake, captures):
@@ -298,6 +299,19 @@ def test_streams(lake, spark, captures, tmp_path):
     assert lake.log(TRANSFORMED).filter("version > 1").count() == 0
 
 
+def test_reports_and_exported_objects(lake, spark, captures, tmp_path):
+    result = land(lake, *captures(*first_captures()), RUN)
+    write_reports(lake, result)
+    summary = spark.read.json(lake.path("reports", "crawl_summary")).first()
+    assert (summary.event, summary.total_scraped) == ("crawl_complete", 5)
+    assert spark.read.json(lake.path("reports", "failures")).count() == 2
+    assert spark.read.json(lake.path("reports", "partition_summaries")).count() == 4
+    export_objects(lake.objects(LANDING), str(tmp_path / "out"))
+    assert (tmp_path / "out" / "Labour_Court" / "2024-01-01" / "A-B 1.html").read_bytes() == html("alpha")
+    back = object_tree(spark, str(tmp_path / "out"), str(tmp_path / "out"))
+    assert {r.file_path for r in back.select("file_path").collect()} == set(content_of(lake, LANDING))
+
+
 def test_unknown_parameters(lake, captures):
     with pytest.raises(ValueError, match="policy"):
         land(lake, *captures(*first_captures()), replace(RUN, policy="x"))
