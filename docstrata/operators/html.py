@@ -44,29 +44,40 @@ def _as_text(value: bytes | str) -> str:
     return value if isinstance(value, str) else decode(value)
 
 
-def _per_document(doc: Column, convert: Callable[[str], str]) -> Column:
-    """Arrow UDF applying ``convert`` to each non-null document of a batch."""
+def document_udf(convert: Callable[[str], str]):
+    """Arrow UDF applying ``convert`` to each non-null document (string or bytes) of a batch."""
 
     @F.arrow_udf(T.StringType())
     def stage(docs: pa.Array) -> pa.Array:
         values = (d.as_py() for d in docs)
         return pa.array((None if v is None else convert(_as_text(v)) for v in values), type=pa.string())
 
-    return stage(doc)
+    return stage
 
 
-def _digest(text: str) -> str:
-    return hashlib.sha256(prune(text, HASHING, keep_html=False)[0].encode("utf-8")).hexdigest()
+def text_of(source: str) -> str:
+    """Normalised text of one document."""
+    return prune(source, HASHING, keep_html=False)[0]
+
+
+def digest_of(source: str) -> str:
+    """Hash of the normalised text of one document."""
+    return hashlib.sha256(text_of(source).encode("utf-8")).hexdigest()
+
+
+def main_of(source: str, main_id: str = "main") -> str:
+    """Cleaned main content of one document."""
+    return prune(source, CLEANING, keep_html=True, main_id=main_id)[1]
 
 
 def normalized_text(doc: Column) -> Column:
     """Visible text of an HTML document (string or bytes), volatile parts left out."""
-    return _per_document(doc, lambda text: prune(text, HASHING, keep_html=False)[0])
+    return document_udf(text_of)(doc)
 
 
 def cleaned_html(doc: Column, main_id: str = "main") -> Column:
     """Main content of an HTML document, boilerplate removed, as HTML text."""
-    return _per_document(doc, lambda text: prune(text, CLEANING, keep_html=True, main_id=main_id)[1])
+    return document_udf(lambda source: main_of(source, main_id))(doc)
 
 
 def content_hash(content: Column, file_type: Column) -> Column:
@@ -76,7 +87,7 @@ def content_hash(content: Column, file_type: Column) -> Column:
     text; it is taken next to the parser, so the text itself never travels back.
     """
     binary = file_type.isin(*BINARY_TYPES)
-    parsed = _per_document(F.when(~F.coalesce(binary, F.lit(False)), content), _digest)
+    parsed = document_udf(digest_of)(F.when(~F.coalesce(binary, F.lit(False)), content))
     return F.when(binary, sha256_hex(content)).otherwise(parsed)
 
 

@@ -73,9 +73,9 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame, run: Landing
 
     # Each page is parsed once; everything later reads the parsed table.
     pages = lake.stage(scan_search_pages(in_range), "pages", run.version)
-    stored = lake.current(LANDING, before=run.version)
+    stored = lake.current(LANDING, run.version, schemas.FILE_FIELDS)
     # The lookup sides are written first: see ``operators.reconcile`` on hot keys.
-    known = lake.stage(_known(stored, run), "known", run.version)
+    known = lake.stage(_known(lake, run), "known", run.version)
     heads = lake.stage(_best_responses(responses), "responses", run.version)
     arrivals = lake.stage(_arrivals(pages, known, heads, run), "arrivals", run.version)
     if run.policy != "hash_update":
@@ -94,8 +94,9 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame, run: Landing
     return LandingResult(run.version, outcomes, decided, stats.partition_stats(requests, pages, outcomes))
 
 
-def _known(stored: DataFrame, run: LandingRun) -> DataFrame:
+def _known(lake: Lake, run: LandingRun) -> DataFrame:
     """Identifiers the run skips."""
+    stored = lake.current(LANDING, run.version, ["partition_date"])
     if run.policy == "hash_update":
         stored = stored.limit(0)
     elif run.policy == "default":

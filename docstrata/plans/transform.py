@@ -66,7 +66,7 @@ def _plan(lake: Lake, landed: DataFrame, run: TransformRun) -> DataFrame:
     Only narrow columns: this is where skipping happens, before any document is read.
     """
     index = lake.blob_index(LANDING).withColumnRenamed("file_path", "_path")
-    prior = lake.current(TRANSFORMED, before=run.version).select(
+    prior = lake.current(TRANSFORMED, run.version, ["file_hash", "original_file_hash"]).select(
         "identifier", F.col("file_hash").alias("prior_hash"), F.col("original_file_hash").alias("prior_source"),
         F.lit(True).alias("has_prior"),
     )
@@ -105,7 +105,9 @@ def _store_cleaned(lake: Lake, work: DataFrame, run: TransformRun) -> DataFrame:
             F.bool_and(F.col("prior_hash").isNotNull()).alias("_all"),
         )
     )
-    sources = lake.blobs(LANDING).select(
+    # The versions involved, at most one per landing run.
+    versions = [r[0] for r in needed.select("source_version").distinct().collect()]
+    sources = lake.blobs(LANDING, versions).select(
         F.col("version").alias("source_version"), F.col("blob_id").alias("source_id"), "content"
     )
     output = sources.join(needed, ["source_version", "source_id"]).withColumn(

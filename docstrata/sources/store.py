@@ -14,6 +14,7 @@ snapshot; readers then aggregate only the log rows after the snapshot.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +48,19 @@ class Lake:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return self._empty(schema)
+
+    def _empty(self, schema: T.StructType) -> DataFrame:
+        """No rows, in a form the optimizer recognises as such."""
+        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        return self.spark.range(1).filter(F.lit(False)).select(*columns)
+
+    def _read_versions(self, schema: T.StructType, versions: Iterable[int], *parts: str) -> DataFrame:
+        """Only the given ``version=N`` folders; the others are not even listed."""
+        paths = [self.path(*parts, f"version={v}") for v in versions]
+        if not paths:
+            return self._empty(schema)
+        return self.spark.read.schema(schema).option("basePath", self.path(*parts)).parquet(*paths)
 
     # -- intermediate tables -------------------------------------------------
 
@@ -93,7 +106,7 @@ class Lake:
         columns = [c for c in schemas.BLOBS.fieldNames() if c != "version"]
         target = self.path(zone, "blobs", f"version={version}")
         blobs.select(*columns).write.mode("overwrite").parquet(target)
-        return self.blobs(zone).filter(F.col("version") == version)
+        return self.blobs(zone, [version])
 
     def write_log(self, rows: DataFrame, zone: str, version: int) -> None:
         """Append the metadata changes of a run."""
@@ -102,24 +115,32 @@ class Lake:
 
     # -- reading -----------------------------------------------------------------
 
-    def blobs(self, zone: str) -> DataFrame:
-        return self._read(schemas.BLOBS, zone, "blobs")
+    def blobs(self, zone: str, versions: Iterable[int] | None = None) -> DataFrame:
+        """Stored objects of the given versions (default: all committed ones)."""
+        wanted = self.committed(zone) if versions is None else versions
+        return self._read_versions(schemas.BLOBS, wanted, zone, "blobs")
 
     def log(self, zone: str, before: int | None = None, after: int = 0) -> DataFrame:
         """Committed log rows with ``after < version < before``."""
         wanted = [v for v in self.committed(zone) if v > after and (before is None or v < before)]
-        return self._read(_LOG_SCHEMAS[zone], zone, "log").filter(F.col("version").isin(wanted))
+        return self._read_versions(_LOG_SCHEMAS[zone], wanted, zone, "log")
+
+    def current(self, zone: str, before: int | None = None, columns: Iterable[str] | None = None) -> DataFrame:
+        """Current metadata, one row per identifier; as it was before a version if given.
 
-    def current(self, zone: str, before: int | None = None) -> DataFrame:
-        """Current metadata, one row per identifier; as it was before a version if given."""
+        ``columns`` are those wanted besides the identifier (default: all).  Naming them
+        keeps the others out of the scan and the shuffle: the optimizer cannot see
+        through the newest-row aggregate.
+        """
         base = self._snapshot_version(zone, before)
-        applied = self.log(zone, before, base).filter(F.col("action").isin(*APPLIED))
+        all_columns = _LOG_SCHEMAS[zone].fieldNames()
+        kept = {"identifier", "version", "arrived", *(all_columns if columns is None else columns)}
+        kept = [c for c in all_columns if c in kept]
+        applied = self.log(zone, before, base).filter(F.col("action").isin(*APPLIED)).select(*kept)
         recent = last_per_key(applied, "identifier", ["version", "arrived"])
         if not base:
             return recent
-        snapshot = self._read(_LOG_SCHEMAS[zone], zone, "snapshot", "state", f"version={base}").withColumn(
-            "version", F.lit(base).cast("bigint")
-        )
+        snapshot = self._read_versions(_LOG_SCHEMAS[zone], [base], zone, "snapshot", "state").select(*kept)
         return snapshot.join(recent.select("identifier"), "identifier", "left_anti").unionByName(recent)
 
     def blob_index(self, zone: str, before: int | None = None) -> DataFrame:
@@ -134,7 +155,7 @@ class Lake:
         )
         if not base:
             return recent
-        snapshot = self._read(schemas.BLOB_INDEX, zone, "snapshot", "index", f"version={base}").drop("version")
+        snapshot = self._read_versions(schemas.BLOB_INDEX, [base], zone, "snapshot", "index").drop("version")
         return snapshot.join(recent.select("file_path"), "file_path", "left_anti").unionByName(recent)
 
     def objects(self, zone: str) -> DataFrame:

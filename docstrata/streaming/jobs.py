@@ -20,9 +20,12 @@ from docstrata.sources.store import APPLIED, LANDING, TRANSFORMED, Lake
 
 
 def stream_landing(
-    lake: Lake, pages: DataFrame, responses: DataFrame, run: LandingRun, checkpoint: str
+    lake: Lake, pages: DataFrame, responses: DataFrame, run: LandingRun, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Land arriving result pages; ``run.version`` is the version of the first batch."""
+    """Land arriving result pages; ``run.version`` is the version of the first batch.
+
+    Stops after what is there, or keeps going with a batch ``every`` interval.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         land(lake, batch, responses, replace(run, version=run.version + batch_id))
@@ -30,12 +33,16 @@ def stream_landing(
     return (
         pages.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**_trigger(every))
         .start()
     )
 
 
-def stream_transform(lake: Lake, run: TransformRun, checkpoint: str) -> StreamingQuery:
+def _trigger(every: str | None) -> dict[str, str | bool]:
+    return {"processingTime": every} if every else {"availableNow": True}
+
+
+def stream_transform(lake: Lake, run: TransformRun, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Transform what newly committed landing versions changed.
 
     The stream follows the commit markers, which are written last: a version is seen only
@@ -51,7 +58,7 @@ def stream_transform(lake: Lake, run: TransformRun, checkpoint: str) -> Streamin
         lake.commit_stream(LANDING)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**_trigger(every))
         .start()
     )
 
@@ -60,7 +67,3 @@ def stream_log_lines(lines: DataFrame) -> DataFrame:
     """Parsed lines of a log stream; the same expressions as in batch."""
     return parse_lines(lines)
 
-
-def first_version(lake: Lake, zone: str = TRANSFORMED) -> int:
-    """Version to start a new stream (with a new checkpoint) at."""
-    return lake.next_version(zone)

@@ -250,3 +250,20 @@ def test_entities_in_titles(spark):
     row = listing.extract_listing(captured(spark, listing_html([{"id": "A&B <1>", "href": "/x?a=1&b=2"}], 1)), SITE, "t").first()
     assert (row.identifier, row.doc_url) == ("A&B <1>", SITE + "/x?a=1&b=2")
     assert stdlib_html.escape("A&B <1>") == "A&amp;B &lt;1&gt;"
+
+
+def test_sql_functions(spark):
+    from docstrata.sql import register_functions
+
+    register_functions(spark)
+    spark.createDataFrame([("html", bytearray(DOCUMENT.encode())), ("pdf", bytearray(b"raw"))], "t string, c binary").createOrReplaceTempView("d")
+    rows = spark.sql("SELECT compute_content_hash(c, t), normalize_html_content(c), clean_html(c) FROM d ORDER BY t").collect()
+    assert tuple(rows[0]) == (sha(text(DOCUMENT).encode()), text(DOCUMENT), clean(DOCUMENT))
+    assert rows[1][0] == sha(b"raw")
+    assert spark.sql("SELECT format_search_date(DATE'2024-02-01')").first()[0] == "01/02/2024"
+    spans = spark.sql("SELECT * FROM monthly_partitions(DATE'2024-01-15', DATE'2024-03-01')").collect()
+    assert [(str(a), str(b)) for a, b in spans] == [
+        ("2024-01-15", "2024-01-31"), ("2024-02-01", "2024-02-29"), ("2024-03-01", "2024-03-01")]
+    assert spark.sql("SELECT * FROM weekly_partitions(DATE'2024-01-03', DATE'2024-01-12')").count() == 2
+    assert spark.sql("SELECT * FROM quarterly_partitions(DATE'2024-02-15', DATE'2024-08-01')").count() == 3
+    assert spark.sql("SELECT * FROM weekly_partitions(DATE'2024-01-03', DATE'2024-01-02')").count() == 0

@@ -248,6 +248,30 @@ def test_shared_document_is_stored_once(lake, captures):
     assert lake.blobs(TRANSFORMED).count() == 1 and len(content_of(lake, TRANSFORMED)) == 20
 
 
+def test_hot_identifier_and_hot_link(lake, captures):
+    """A third of all rows share one identifier, another third one link."""
+    items, number = [], 120
+    for n in range(number):
+        items.append({"id": "HOT", "href": f"/hot{n}", "description": f"d{n}"})
+        items.append({"id": f"L{n}", "href": "/link"})
+        items.append({"id": f"P{n}"})
+    pages = [page_row("Labour Court", "2024-01-01", "2024-01-31", items[i:i + 30], total=3 * number, number=i // 30 + 1)
+             for i in range(0, len(items), 30)]
+    docs = [doc_row("/link", html("link"))] + [
+        doc_row(f"/hot{n}", html(str(n)), error="503" if n < 50 else None) for n in range(number)]
+    result = land(lake, *captures(pages, docs), RUN)
+    january = result.stats.filter("body = 'Labour Court' and partition_start = '2024-01-01'").first()
+    # 50 failures, then one that lands, then 69 repeats.
+    assert (january.records_scraped, january.records_skipped, january.records_failed) == (51 + 2 * number, 69, 50)
+    rows = state(lake)
+    assert len(rows) == 1 + 2 * number and rows["HOT"].file_hash is None and rows["HOT"].description == "d0"
+    assert lake.blobs(LANDING).count() == 2
+    repeat = replace(RUN, version=2, start_date="2024-01-01", policy="hash_update")
+    folded = land(lake, *captures(pages, docs), repeat).counts().first()
+    assert folded.asDict() == {"inserted": 51 + number, "updated": 69, "skipped": number}
+    assert state(lake)["HOT"].description == f"d{number - 1}"
+
+
 def test_colliding_names_last_upload_wins(lake, captures):
     pages = [page_row("Labour Court", "2024-01-01", "2024-01-31", [{"id": "A/B", "href": "/1"}, {"id": "A-B", "href": "/2"}], total=2)]
     land(lake, *captures(pages, [doc_row("/1", html("one")), doc_row("/2", html("two"))]), RUN)
