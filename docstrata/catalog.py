@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ from docstrata.plans.transform import TransformRun, transform
 from docstrata.session import scratch_dir, ship_package
 from docstrata.sources.captures import BODIES
 from docstrata.sources.store import LANDING, TRANSFORMED, Lake
-from docstrata.streaming.jobs import stream_landing
+from docstrata.sql import register_functions
+from docstrata.streaming.jobs import stream_landing, stream_transform
 
 Query = Callable[[SparkSession, str], DataFrame]
 SITE = "https://site.example"
@@ -152,6 +154,18 @@ def partition_counts_events(spark, sf_dir):
     )
 
 
+@_query
+def sql_partitions(spark, sf_dir):
+    """Monthly partitions and search dates through the registered SQL functions."""
+    register_functions(spark)
+    _supplier_ranges(spark, sf_dir).createOrReplaceTempView("supplier_ranges")
+    return spark.sql(
+        """SELECT range_id, CAST(p.partition_start AS STRING) AS partition_start,
+             format_search_date(p.partition_end) AS search_to
+           FROM supplier_ranges, LATERAL monthly_partitions(range_start, range_end) AS p"""
+    )
+
+
 # -- scalar projections ----------------------------------------------------------
 
 
@@ -278,6 +292,13 @@ def duplicate_content(spark, sf_dir):
     return reconcile.duplicate_content(rows, key="doc_id")
 
 
+@_query
+def duplicate_identifiers(spark, sf_dir):
+    """Identifiers that break uniqueness when texts serve as identifiers."""
+    rows = _table(spark, sf_dir, "documents").select(fn.sha256_hex(F.col("text")).alias("identifier"))
+    return reconcile.duplicate_keys(rows)
+
+
 @_query
 def name_collisions(spark, sf_dir):
     """Object names that several documents map to."""
@@ -314,7 +335,8 @@ def skipped_known(spark, sf_dir):
 @_query
 def known_counts(spark, sf_dir):
     """Known and new documents per source, flagged in one pass."""
-    flagged = reconcile.flag_known(_document_rows(spark, sf_dir).select("identifier", "source"), _stored(spark, sf_dir))
+    rows = _document_rows(spark, sf_dir).select("identifier", "source")
+    flagged = reconcile.flag_known(rows, _stored(spark, sf_dir), unique=True)
     return flagged.groupBy("source").agg(
         F.count_if("is_known").alias("records_skipped"), F.count_if(~F.col("is_known")).alias("records_scraped")
     )
@@ -461,6 +483,13 @@ def dangling_paths(spark, sf_dir):
     return reconcile.blobs_missing(landing, blobs).select("identifier", "file_path")
 
 
+@_query
+def present_paths(spark, sf_dir):
+    """Landing rows whose object exists."""
+    landing, _, blobs = _zones(spark, sf_dir)
+    return reconcile.blobs_present(landing, blobs).select("identifier", "file_path")
+
+
 # -- statistics ------------------------------------------------------------------------
 
 EVENT_BODIES = {t: t for t in ("click", "error", "purchase", "refund", "signup", "view")}
@@ -565,6 +594,20 @@ def partition_history(spark, sf_dir):
     )
 
 
+@_query
+def run_history(spark, sf_dir):
+    """Typed rows recovered from crawl summary messages, one run per body."""
+    per_partition, _ = _event_stats(spark, sf_dir)
+    per_body = per_partition.groupBy("body").agg(
+        F.sum("total_results").alias("total_expected"), F.sum("records_scraped").alias("total_scraped"),
+        F.sum("records_skipped").alias("total_skipped"), F.sum("records_failed").alias("total_failed"),
+        F.count(F.lit(1)).alias("partitions_processed"),
+    )
+    fields = [F.lit("crawl_complete").alias("event"), F.col("body").alias("reason"), *per_body.columns[1:]]
+    messages = per_body.select(F.concat(F.lit("Crawl summary: "), F.to_json(F.struct(*fields))).alias("message"))
+    return logs.run_history(messages).drop("message")
+
+
 # -- logs --------------------------------------------------------------------------------
 
 
@@ -667,6 +710,15 @@ def extract_listing(spark, sf_dir):
     )
 
 
+@_query
+def rejected_items(spark, sf_dir):
+    """Results without an identifier."""
+    identifier = F.when(F.col("source") == "src7", "").otherwise(F.col("source"))
+    pages = _search_pages(_listing_items(spark, sf_dir, identifier))
+    rows = listing.listing_rows(listing.scan_search_pages(pages), SITE, RUN_TS)
+    return listing.without_identifier(rows).select("doc_url", "body", "partition_date", "pos")
+
+
 @_query
 def page_totals(spark, sf_dir):
     """Announced totals and resolved next links of the result pages."""
@@ -734,6 +786,47 @@ def landing_increment(spark, sf_dir):
     return result.outcomes.groupBy("body", "outcome").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@_query
+def landing_range(spark, sf_dir):
+    """Landed rows of the second quarter's partitions."""
+    lake = _new_lake(spark)
+    land(lake, *_captures(spark, sf_dir), _run("2024-01-01", "2024-12-31"))
+    lake.compact(LANDING, RUN_TS)
+    return lake.in_range(LANDING, "2024-04-01", "2024-06-30").select("identifier", "partition_date", "file_hash")
+
+
+@_query
+def hash_update_counts(spark, sf_dir):
+    """Sink counters when every arrival of a second run is compared in order."""
+    lake = _new_lake(spark)
+    captures = _captures(spark, sf_dir)
+    land(lake, *captures, _run("2024-01-01", "2024-06-30"))
+    again = replace(_run("2024-01-01", "2024-12-31", version=2), policy="hash_update")
+    return land(lake, *captures, again).counts()
+
+
+@_query
+def transform_rerun(spark, sf_dir):
+    """Statuses of a source-hash transform of the year after one of its first half."""
+    lake = _new_lake(spark)
+    land(lake, *_captures(spark, sf_dir), _run("2024-01-01", "2024-12-31"))
+    transform(lake, TransformRun("2024-01-01", "2024-06-30", 1, RUN_TS))
+    again = transform(lake, TransformRun("2024-01-01", "2024-12-31", 2, RUN_TS, mode="source_hash"))
+    return again.statuses.groupBy("status").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@_query
+def transform_stream(spark, sf_dir):
+    """Transformed zone kept up to date from the landing commits, version by version."""
+    lake = _new_lake(spark)
+    captures = _captures(spark, sf_dir)
+    for version, (start, end) in enumerate((("2024-01-01", "2024-06-30"), ("2024-07-01", "2024-12-31")), 1):
+        land(lake, *captures, _run(start, end, version))
+        follow = TransformRun("2024-01-01", "2024-12-31", 1, RUN_TS)
+        stream_transform(lake, follow, lake.path("checkpoint")).awaitTermination()
+    return lake.current(TRANSFORMED).groupBy("partition_date", "file_type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @_query
 def transformed_state(spark, sf_dir):
     """Transformed zone after landing and transforming the whole year."""

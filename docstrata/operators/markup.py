@@ -100,14 +100,14 @@ def walk(source: str) -> Iterator[tuple[str, str, str]]:
         if m.start() > pos:
             text.append(source[pos:m.start()])
         pos = m.end()
-        if m["comment"] is not None:
-            yield from flush()
-            yield "comment", m["comment"], ""
-            continue
-        if m["tag"] is None:
+        comment, end, tag, attrs = m.groups()
+        if tag is None:
+            if comment is not None:
+                yield from flush()
+                yield "comment", comment, ""
             continue
-        tag = m["tag"].lower()
-        if m["end"]:
+        tag = tag.lower()
+        if end:
             depth = _match_end(stack, tag)
             if depth is not None:
                 yield from flush()
@@ -117,7 +117,7 @@ def walk(source: str) -> Iterator[tuple[str, str, str]]:
         yield from flush()
         for _ in range(_implied_ends(stack, tag)):
             yield "close", stack.pop(), ""
-        yield "open", tag, m["attrs"]
+        yield "open", tag, attrs
         if tag in VOID:
             yield "close", tag, ""
             continue

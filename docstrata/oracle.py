@@ -282,6 +282,18 @@ marked AS (
   UNION ALL
   SELECT lang, 'skipped' FROM all_rows WHERE identifier IN (SELECT identifier FROM landed_before))"""
 
+# Two runs, one per half-year.  The second does not skip what the first landed; it then
+# compares: equal hashes leave the row alone, a failure nulls it, a null stays.
+_HALVES = f"""halves AS (
+  SELECT *, CASE WHEN outcome = 'landed' THEN {_FIRST_HASH} END AS h FROM (
+    SELECT *, row_number() OVER (PARTITION BY identifier, month > DATE '2024-06-30' ORDER BY page, month, lang, pos) AS nth
+    FROM outcome_rows) WHERE nth = 1),
+final AS (
+  SELECT * FROM halves a WHERE month <= DATE '2024-06-30' AND outcome = 'landed'
+  UNION ALL
+  SELECT * FROM halves b WHERE month > DATE '2024-06-30' AND NOT EXISTS (
+    SELECT 1 FROM halves a WHERE a.month <= DATE '2024-06-30' AND a.identifier = b.identifier))"""
+
 _FLAGSHIP = _with(_PAGES, _BEFORE) + f"""
 SELECT body, partition_date, count(*) AS n_pages, count(DISTINCT h) AS n_contents, min(h) AS min_hash
 FROM (SELECT body, partition_date,
@@ -296,6 +308,8 @@ def oracle_sql() -> dict[str, str]:
         "frontier_monthly": _frontier(_SUPPLIER_RANGES, "monthly"),
         "frontier_quarterly": _frontier(_SUPPLIER_RANGES, "quarterly"),
         "frontier_weekly": _frontier(_USER_RANGES, "weekly"),
+        "sql_partitions": _with(_SUPPLIER_RANGES, _partitions("monthly")) + """
+SELECT range_id, CAST(s AS VARCHAR) AS partition_start, strftime(e, '%d/%m/%Y') AS search_to FROM parts""",
         "frontier_size": _with(_SUPPLIER_RANGES) + """
 SELECT range_id, CAST(4 * (date_diff('month', a, b) + 1) AS BIGINT) AS combinations FROM ranges""",
         "check_ranges": """
@@ -354,6 +368,8 @@ FROM (SELECT identifier, file_type, CASE WHEN file_type = 'html' THEN {_page_cle
         "duplicate_content": f"""
 SELECT file_hash, count(*) AS n_rows, min(doc_id) AS first_key
 FROM (SELECT doc_id, sha256({_collapse('text')}) AS file_hash FROM documents) GROUP BY file_hash HAVING count(*) > 1""",
+        "duplicate_identifiers": """
+SELECT sha256(text) AS identifier, count(*) AS n_rows FROM documents GROUP BY text HAVING count(*) > 1""",
         "name_collisions": """
 SELECT source || '-' || lang || '.html' AS file_path, count(*) AS n_rows FROM documents GROUP BY 1 HAVING count(*) > 1""",
         "skip_known": _with(_DOCS, _STORED) + """
@@ -401,6 +417,8 @@ FROM landing l FULL JOIN transformed t ON l.identifier = t.identifier LEFT JOIN
         "dangling_paths": _with(_DOCS, _ZONES) + """
 SELECT identifier, file_path FROM landing l WHERE file_path IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM blobs b WHERE b.file_path = l.file_path)""",
+        "present_paths": _with(_DOCS, _ZONES) + """
+SELECT identifier, file_path FROM landing l WHERE EXISTS (SELECT 1 FROM blobs b WHERE b.file_path = l.file_path)""",
         "partition_stats": _with(_STATS) + f"""
 SELECT body, {_DATES}, total_results, records_scraped, records_skipped, records_failed, pages_captured,
   total_results - (records_scraped + records_skipped) AS missing_results FROM stat""",
@@ -435,6 +453,8 @@ FROM (SELECT {_RUN_SUMS} FROM stat)""",
 SELECT body, CAST(partition_start AS VARCHAR) AS partition_start, total_results, records_scraped, records_skipped, records_failed,
   CAST(coalesce(n_shown, 0) AS INTEGER) AS n_failed_shown
 FROM stat LEFT JOIN top3 USING (body, partition_start, partition_end)""",
+        "run_history": _with(_STATS) + f"""
+SELECT 'crawl_complete' AS event, body AS reason, {_RUN_SUMS} FROM stat GROUP BY body""",
         "parse_logs": _with(_LINES) + "SELECT seq, level, message FROM parsed",
         "shown_logs": _with(_LINES) + """
 SELECT seq, level, message, CASE level WHEN 'ERROR' THEN 'error' WHEN 'WARNING' THEN 'warning' ELSE 'info' END AS channel
@@ -450,6 +470,8 @@ FROM lines GROUP BY file""",
 SELECT 'D-' || CAST(doc_id AS VARCHAR) AS identifier, description, published_date, published_date_iso, source AS ref_no,
   doc_url, lang AS body, CAST(month AS VARCHAR) AS partition_date, page + 1 AS page_number, pos, '{RUN_TS}' AS scraped_at
 FROM listed WHERE source <> 'src7'""",
+        "rejected_items": _with(_LISTED) + """
+SELECT doc_url, lang AS body, CAST(month AS VARCHAR) AS partition_date, pos FROM listed WHERE source = 'src7'""",
         "page_totals": _with(_LISTED) + f"""
 SELECT '{SITE}/en/search/?body=' || lang || '&pageNumber=' || (page + 1) AS url, page + 1 AS page_number,
   count(*) AS page_total, '{SITE}/en/search/?body=' || lang || '&pageNumber=' || (page + 2) AS next_url
@@ -461,6 +483,31 @@ FROM listed l WHERE NOT EXISTS (SELECT 1 FROM listed n WHERE n.lang = l.lang AND
 GROUP BY lang, page""",
         "landing_state": _LANDING_STATE,
         "landing_stream": _LANDING_STATE,
+        "landing_range": _with(_LISTED, _FIRST) + f"""
+SELECT identifier, CAST(month AS VARCHAR) AS partition_date,
+  CASE WHEN outcome = 'landed' THEN {_FIRST_HASH} END AS file_hash
+FROM first_rows WHERE month BETWEEN DATE '2024-04-01' AND DATE '2024-06-30'""",
+        "hash_update_counts": _with(_LISTED, _FIRST) + f""",
+stored AS (
+  SELECT identifier, CASE WHEN outcome = 'landed' THEN {_FIRST_HASH} END AS h FROM (
+    SELECT *, row_number() OVER (PARTITION BY identifier ORDER BY page, month, lang, pos) AS nth
+    FROM outcome_rows WHERE month <= DATE '2024-06-30') WHERE nth = 1),
+chain AS (
+  SELECT identifier, 1 AS seq, page, month, lang, pos, CASE WHEN outcome = 'landed' THEN {_FIRST_HASH} END AS h FROM outcome_rows
+  UNION ALL SELECT identifier, 0, NULL, NULL, NULL, NULL, h FROM stored),
+steps AS (
+  SELECT *, lag(h) OVER w AS prev, row_number() OVER w AS nth FROM chain
+  WINDOW w AS (PARTITION BY identifier ORDER BY seq, page, month, lang, pos))
+SELECT count(*) FILTER (nth = 1 OR prev IS NULL) AS inserted,
+  count(*) FILTER (nth > 1 AND prev IS NOT NULL AND prev IS DISTINCT FROM h) AS updated,
+  count(*) FILTER (nth > 1 AND prev IS NOT NULL AND prev IS NOT DISTINCT FROM h) AS skipped
+FROM steps WHERE seq = 1""",
+        "transform_rerun": _with(_LISTED, _FIRST) + """
+SELECT CASE WHEN outcome <> 'landed' THEN 'no_path' WHEN month <= DATE '2024-06-30' THEN 'skipped' ELSE 'inserted' END AS status,
+  count(*) AS n_rows FROM first_rows GROUP BY 1""",
+        "transform_stream": _with(_LISTED, _FIRST, _HALVES) + """
+SELECT CAST(month AS VARCHAR) AS partition_date, ftype AS file_type, count(*) AS n_rows
+FROM final WHERE outcome = 'landed' GROUP BY ALL""",
         "landing_increment": _with(_LISTED, _FIRST, _INCREMENT) + """
 SELECT lang AS body, outcome, count(*) AS n_rows FROM marked WHERE outcome <> 'pending' GROUP BY ALL""",
         "transformed_state": _with(_LISTED, _FIRST) + f"""

@@ -83,7 +83,14 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame, run: Landing
         arrivals = lake.stage(_skip_repeats(arrivals, repeated), "distinct_arrivals", run.version)
 
     blobs = _store_documents(lake, arrivals, responses, run)
-    decided = lake.stage(_decide(arrivals, blobs, stored, run), "decided", run.version)
+    records = _records(arrivals, blobs)
+    if run.policy == "hash_update":
+        # Both steps sort or use their input twice, so it is written once.
+        records = lake.stage(records, "records", run.version)
+        folded = lake.stage(_fold(records, stored, run), "folded", run.version)
+        decided = lake.stage(_mark_final(folded), "decided", run.version)
+    else:
+        decided = lake.stage(_decide(records, stored, run), "decided", run.version)
     lake.write_log(_log_rows(decided, stored, run), LANDING, run.version)
     lake.commit(LANDING, run.version, run.run_ts)
 
@@ -176,13 +183,13 @@ def _store_documents(lake: Lake, arrivals: DataFrame, responses: DataFrame, run:
     return lake.write_blobs(hashed, LANDING, run.version)
 
 
-def _decide(arrivals: DataFrame, blobs: DataFrame, stored: DataFrame, run: LandingRun) -> DataFrame:
-    """Metadata records of the run with the action taken for each."""
+def _records(arrivals: DataFrame, blobs: DataFrame) -> DataFrame:
+    """Metadata records of the processed arrivals with their file fields."""
     files = blobs.select(F.col("blob_id").alias("_blob"), "file_type", "file_hash", "length")
     processed = arrivals.filter(F.col("outcome").isin("landed", "failed", "no_url"))
     landed = F.col("outcome") == "landed"
     link = spread_nulls(F.when(landed, F.col("doc_url")), "identifier", *ARRIVAL_ORDER)
-    records = (
+    return (
         processed.withColumn("_link", link)
         .join(files, F.col("_link") == F.col("_blob"), "left")
         .withColumn("file_type", F.when(F.col("outcome") == "failed", "unknown").otherwise(F.col("file_type")))
@@ -198,15 +205,20 @@ def _decide(arrivals: DataFrame, blobs: DataFrame, stored: DataFrame, run: Landi
         )
         .drop("_blob", "_link", "length")
     )
-    if run.policy == "hash_update":
-        if run.repair_failed:
-            records = records.filter(landed)
-        return _mark_final(fold_changes(records, stored))
 
+def _fold(records: DataFrame, stored: DataFrame, run: LandingRun) -> DataFrame:
+    """Every arrival compared with the one before it."""
+    if run.repair_failed:
+        records = records.filter(F.col("outcome") == "landed")
+    return fold_changes(records, stored)
+
+
+def _decide(records: DataFrame, stored: DataFrame, run: LandingRun) -> DataFrame:
+    """The record of each identifier that counts, with the action taken."""
     # After _skip_repeats an identifier has some failures and then at most one landed row.
     # Only its first row can change the metadata: what follows a failure is an insert
     # without effect.  The landed row still stores its document.
-    order = F.struct(*ARRIVAL_ORDER)
+    order, landed = F.struct(*ARRIVAL_ORDER), F.col("outcome") == "landed"
     row = F.struct(*[c for c in records.columns if c != "identifier"])
     picked = records.groupBy("identifier").agg(
         F.min_by(row, order).alias("first"),
