@@ -15,7 +15,7 @@ from docstrata.operators.frontier import frontier, range_row, validate_range
 from docstrata.operators.html import content_hash
 from docstrata.operators.listing import listing_rows, scan_search_pages, with_identifier
 from docstrata.operators.reconcile import (
-    ARRIVAL_ORDER, classify_changes, first_per_key, flag_known, fold_changes, last_applied, spread_nulls,
+    ARRIVAL_ORDER, classify_changes, flag_known, fold_changes, last_applied, spread_nulls,
 )
 from docstrata.sources.captures import BODIES
 from docstrata.sources.store import LANDING, Lake
@@ -73,6 +73,8 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame, run: Landing
 
     # Each page is parsed once; everything later reads the parsed table.
     pages = lake.stage(scan_search_pages(in_range), "pages", run.version)
+    if not _repeated_captures(pages).isEmpty():
+        pages = lake.stage(pages.dropDuplicates(_CAPTURE), "distinct_pages", run.version)
     stored = lake.current(LANDING, run.version, schemas.FILE_FIELDS)
     # The lookup sides are written first: see ``operators.reconcile`` on hot keys.
     known = lake.stage(_known(lake, run), "known", run.version)
@@ -101,6 +103,14 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame, run: Landing
     return LandingResult(run.version, outcomes, decided, stats.partition_stats(requests, pages, outcomes))
 
 
+_CAPTURE = ["url", "body", "partition_start", "page_number", "captured_at"]
+
+
+def _repeated_captures(pages: DataFrame) -> DataFrame:
+    """Captures that occur more than once, as after a repeated ingestion."""
+    return pages.groupBy(*_CAPTURE).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
 def _known(lake: Lake, run: LandingRun) -> DataFrame:
     """Identifiers the run skips."""
     stored = lake.current(LANDING, run.version, ["partition_date"])
@@ -113,11 +123,14 @@ def _known(lake: Lake, run: LandingRun) -> DataFrame:
 
 def _best_responses(responses: DataFrame) -> DataFrame:
     """One response per URL: a good one if there is any, then the earliest.  No bytes."""
-    heads = responses.select(
-        "url", "captured_at", "error", "content_type", F.col("error").isNotNull().alias("_bad")
+    best = F.min_by(
+        F.struct("captured_at", "error", "content_type"),
+        F.struct(F.col("error").isNotNull(), "captured_at", "error", "content_type"),
     )
-    return first_per_key(heads, "url", ["_bad", "captured_at", "error", "content_type"]).select(
-        F.col("url").alias("_url"), F.col("captured_at").alias("response_at"), "error", "content_type"
+    picked = responses.groupBy("url").agg(best.alias("best"), (F.count(F.lit(1)) > 1).alias("several"))
+    return picked.select(
+        F.col("url").alias("_url"), F.col("best.captured_at").alias("response_at"), "best.error", "best.content_type",
+        "several",
     )
 
 
@@ -166,9 +179,21 @@ def _store_documents(lake: Lake, arrivals: DataFrame, responses: DataFrame, run:
     broadcast and no document bytes are shuffled.
     """
     landed = arrivals.filter(F.col("outcome") == "landed")
-    needed = landed.select(F.col("doc_url").alias("url"), F.col("response_at").alias("captured_at")).distinct()
+    needed = landed.select(
+        F.col("doc_url").alias("url"), F.col("response_at").alias("captured_at"), "several"
+    ).distinct()
     documents = responses.filter(F.col("error").isNull()).select("url", "captured_at", "content_type", "content")
-    typed = documents.join(needed, ["url", "captured_at"], "left_semi").select(
+
+    def fetch(wanted: DataFrame) -> DataFrame:
+        return documents.join(wanted, ["url", "captured_at"], "left_semi").select("url", "content_type", "content")
+
+    fetched = fetch(needed.filter(~F.col("several")))
+    if not needed.filter("several").isEmpty():
+        # Only URLs with several captures can have copies of one; only those are grouped.
+        one = F.min_by(F.struct("content_type", "content"), F.struct("content_type", F.sha2("content", 256)))
+        copies = fetch(needed.filter("several")).groupBy("url").agg(one.alias("one")).select("url", "one.*")
+        fetched = fetched.unionByName(copies)
+    typed = fetched.select(
         F.col("url").alias("blob_id"),
         file_type(F.col("content_type")).alias("file_type"),
         F.coalesce("content", F.lit(b"")).alias("content"),

@@ -248,6 +248,20 @@ def test_shared_document_is_stored_once(lake, captures):
     assert lake.blobs(TRANSFORMED).count() == 1 and len(content_of(lake, TRANSFORMED)) == 20
 
 
+def test_repeated_captures_change_nothing(lake, spark, captures, tmp_path):
+    pages, docs = first_captures()
+    later = dt.timedelta(hours=1)
+    retried = [doc_row("/f", error="504", at=TS + later), doc_row("/a", html("newer"), at=TS + later),
+               doc_row("/p", error="reset", at=TS - later)]
+    once = Lake(spark, str(tmp_path / "once"))
+    first = land(once, *captures(pages, docs), RUN)
+    twice = land(lake, *captures(pages * 2, docs * 3 + retried), RUN)
+    assert state(lake) == state(once)
+    assert content_of(lake, LANDING) == content_of(once, LANDING)
+    assert sorted(map(tuple, twice.stats.collect())) == sorted(map(tuple, first.stats.collect()))
+    assert transform(lake, TRANSFORM).counts().first() == transform(once, TRANSFORM).counts().first()
+
+
 def test_hot_identifier_and_hot_link(lake, captures):
     """A third of all rows share one identifier, another third one link."""
     items, number = [], 120
