@@ -38,7 +38,7 @@ def date_partitions(start: Column, end: Column, size: str = "monthly") -> Column
     ``start``; the last partition is clipped.  Empty when ``start > end``.
     """
     if size not in SIZES:
-        raise ValueError(f"Unknown partition size: {size}")
+        raise ValueError(f"partition size {size!r} is none of {', '.join(SIZES)}")
     # sequence() would raise, or emit a wrong row, on a reversed range.
     last = F.greatest(start, end)
     if size == "weekly":
@@ -64,7 +64,7 @@ def partition_start_of(day: Column, start: Column, size: str = "monthly") -> Col
     Plain arithmetic, so rows are assigned without a range join.
     """
     if size not in SIZES:
-        raise ValueError(f"Unknown partition size: {size}")
+        raise ValueError(f"partition size {size!r} is none of {', '.join(SIZES)}")
     if size == "weekly":
         blocks = F.floor(F.datediff(day, start) / 7).cast("int")
         return F.date_add(start, blocks * 7)

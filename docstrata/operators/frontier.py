@@ -14,17 +14,18 @@ from docstrata.functions.urls import search_url
 
 def validate_range(start_date: str | None, end_date: str | None) -> tuple[date, date]:
     """Check the two range parameters of a job: present, real ISO dates, in order."""
-    if not start_date or not end_date:
-        raise ValueError("Both start_date and end_date are required.")
-    parsed = []
-    for name, value in (("start_date", start_date), ("end_date", end_date)):
+    days = {"start_date": start_date, "end_date": end_date}
+    for name, value in days.items():
+        if not value:
+            raise ValueError(f"{name} is missing")
         try:
-            parsed.append(date.fromisoformat(value))
+            days[name] = date.fromisoformat(value)
         except ValueError:
-            raise ValueError(f"Invalid {name}: '{value}'. Must be YYYY-MM-DD with a valid date.") from None
-    if parsed[1] < parsed[0]:
-        raise ValueError(f"end_date ({end_date}) must not be before start_date ({start_date}).")
-    return parsed[0], parsed[1]
+            raise ValueError(f"{name} is not a calendar day in the form YYYY-MM-DD: {value!r}") from None
+    first, last = days.values()
+    if last < first:
+        raise ValueError(f"the range ends ({last}) before it starts ({first})")
+    return first, last
 
 
 def check_ranges(ranges: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ class LandingResult:
 def land(lake: Lake, search_pages: DataFrame, responses: DataFrame, run: LandingRun) -> LandingResult:
     """Land the captured pages of a date range.  Running a version again rewrites it."""
     if run.policy not in POLICIES:
-        raise ValueError(f"Unknown policy: {run.policy}")
+        raise ValueError(f"policy {run.policy!r} is none of {', '.join(POLICIES)}")
     start, end = validate_range(run.start_date, run.end_date)
     in_range = search_pages.filter(F.col("partition_start").between(F.lit(start), F.lit(end)))
 

@@ -45,7 +45,7 @@ class TransformResult:
 def transform(lake: Lake, run: TransformRun, only: DataFrame | None = None) -> TransformResult:
     """Clean the landed documents of a date range; ``only`` restricts it to some identifiers."""
     if run.mode not in MODES:
-        raise ValueError(f"Unknown mode: {run.mode}")
+        raise ValueError(f"mode {run.mode!r} is none of {', '.join(MODES)}")
     validate_range(run.start_date, run.end_date)
     landed = lake.in_range(LANDING, run.start_date, run.end_date, date_col=run.date_col)
     if only is not None:

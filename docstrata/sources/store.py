@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docstrata import schemas
-from docstrata.operators.reconcile import last_per_key
+from docstrata.operators.reconcile import last_per_key, require_unique
 
 LANDING = "landing"
 TRANSFORMED = "transformed"
@@ -174,6 +174,12 @@ class Lake:
         """
         return self.current(zone, before).filter(F.col(date_col).between(start, end))
 
+    def create_views(self) -> None:
+        """Temp views over the current state, for SQL: ``<zone>_metadata``, ``<zone>_objects``."""
+        for zone in (LANDING, TRANSFORMED):
+            self.current(zone).createOrReplaceTempView(f"{zone}_metadata")
+            self.objects(zone).createOrReplaceTempView(f"{zone}_objects")
+
     # -- snapshots -----------------------------------------------------------------
 
     def _snapshot_version(self, zone: str, before: int | None) -> int:
@@ -187,6 +193,8 @@ class Lake:
             return version
         state = self.current(zone).drop("version")
         _by_partition(state).parquet(self.path(zone, "snapshot", "state", f"version={version}"))
+        written = self._read_versions(_LOG_SCHEMAS[zone], [version], zone, "snapshot", "state")
+        require_unique(written.select("identifier"))
         index = self.blob_index(zone)
         index.write.mode("overwrite").parquet(self.path(zone, "snapshot", "index", f"version={version}"))
         self._mark(at, version, zone, "snapshot", "commits")

@@ -337,6 +337,17 @@ def test_streams(lake, spark, captures, tmp_path):
     assert lake.log(TRANSFORMED).filter("version > 1").count() == 0
 
 
+def test_views(lake, spark, captures):
+    land(lake, *captures(*first_captures()), RUN)
+    transform(lake, TRANSFORM)
+    lake.create_views()
+    joined = spark.sql(
+        "SELECT t.identifier, o.length FROM transformed_metadata t JOIN transformed_objects o USING (file_path) ORDER BY 1"
+    )
+    assert [tuple(r) for r in joined.collect()] == [("A/B 1", 26), ("D1", 7), ("P1", 8)]
+    assert spark.sql("SELECT count(*) FROM landing_metadata").first()[0] == 5
+
+
 def test_reports_and_exported_objects(lake, spark, captures, tmp_path):
     result = land(lake, *captures(*first_captures()), RUN)
     write_reports(lake, result)
@@ -355,5 +366,5 @@ def test_unknown_parameters(lake, captures):
         land(lake, *captures(*first_captures()), replace(RUN, policy="x"))
     with pytest.raises(ValueError, match="mode"):
         transform(lake, replace(TRANSFORM, mode="x"))
-    with pytest.raises(ValueError, match="must not be before"):
+    with pytest.raises(ValueError, match="before it starts"):
         land(lake, *captures(*first_captures()), replace(RUN, end_date="2023-01-01"))
