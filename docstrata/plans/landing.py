@@ -182,13 +182,21 @@ def _store_documents(lake: Lake, arrivals: DataFrame, responses: DataFrame, run:
     needed = landed.select(
         F.col("doc_url").alias("url"), F.col("response_at").alias("captured_at"), "several"
     ).distinct()
-    documents = responses.filter(F.col("error").isNull()).select("url", "captured_at", "content_type", "content")
+    # Microseconds, not datetimes: those pass through the driver's local time zone.
+    at = F.unix_micros("captured_at")
+    span = needed.agg(F.min(at).alias("first"), F.max(at).alias("last"), F.max("several").alias("several")).first()
+    first, last = (F.timestamp_micros(F.lit(v).cast("bigint")) for v in (span.first, span.last))
+    # Captures accumulate in time order, so these literals prune files and row groups of
+    # older and later captures before their content is read.
+    documents = responses.filter(
+        F.col("error").isNull() & F.col("captured_at").between(first, last)
+    )
 
     def fetch(wanted: DataFrame) -> DataFrame:
         return documents.join(wanted, ["url", "captured_at"], "left_semi").select("url", "content_type", "content")
 
     fetched = fetch(needed.filter(~F.col("several")))
-    if not needed.filter("several").isEmpty():
+    if span.several:
         # Only URLs with several captures can have copies of one; only those are grouped.
         one = F.min_by(F.struct("content_type", "content"), F.struct("content_type", F.sha2("content", 256)))
         copies = fetch(needed.filter("several")).groupBy("url").agg(one.alias("one")).select("url", "one.*")

@@ -112,3 +112,29 @@ def test_adaptive_execution_splits_a_hot_key(spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_document_scan_is_limited_to_the_captures_needed(spark, tmp_path, monkeypatch):
+    """The content scan gets time bounds it can prune by, and never sorts or groups content."""
+    pages, responses = catalog._captures(spark, SF_DIR)
+    responses.write.parquet(str(tmp_path / "responses"))
+    plans = {}
+    write = Lake.write_blobs
+
+    def watched(lake, blobs, zone, version):
+        spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+        plans[zone] = plan_of(blobs)
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+        return write(lake, blobs, zone, version)
+
+    monkeypatch.setattr(Lake, "write_blobs", watched)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    run = catalog._run("2024-01-01", "2024-12-31")
+    catalog.land(lake, pages, spark.read.parquet(str(tmp_path / "responses")), run)
+    catalog.transform(lake, catalog.TransformRun("2024-01-01", "2024-12-31", 1, catalog.RUN_TS))
+    landing = plans["landing"]
+    assert "GreaterThanOrEqual(captured_at" in landing and "LessThanOrEqual(captured_at" in landing
+    for plan in plans.values():
+        assert plan.count("ArrowEvalPython") == 1 and "Broadcast" in plan and "NestedLoop" not in plan
+        content_side = plan.split("BroadcastExchange")[0]
+        assert "Exchange" not in content_side and "Sort" not in content_side
