@@ -138,3 +138,29 @@ def test_document_scan_is_limited_to_the_captures_needed(spark, tmp_path, monkey
         assert plan.count("ArrowEvalPython") == 1 and "Broadcast" in plan and "NestedLoop" not in plan
         content_side = plan.split("BroadcastExchange")[0]
         assert "Exchange" not in content_side and "Sort" not in content_side
+
+
+def test_jobs_with_every_join_shuffled(spark, db, monkeypatch):
+    """Nothing depends on broadcasting; content is then shuffled exactly once per job."""
+    plans, write = {}, Lake.write_blobs
+
+    def watched(lake, blobs, zone, version):
+        plans[zone] = plan_of(blobs)
+        return write(lake, blobs, zone, version)
+
+    monkeypatch.setattr(Lake, "write_blobs", watched)
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    try:
+        result = entry.queries()["transformed_state"](spark, SF_DIR)
+        cursor = db.execute(entry.oracle_sql()["transformed_state"])
+        expected = check.rows_of([d[0] for d in cursor.description], cursor.fetchall())
+        assert check.rows_of(result.columns, result.collect()) == expected
+        for physical in plans.values():
+            assert "SortMergeJoin" in physical and physical.count("ArrowEvalPython") == 1
+            content_lines = physical.split("SortMergeJoin", 1)[1].split("FileScan", 1)[0]
+            assert content_lines.count("Exchange") == 1
+    finally:
+        for name in names:
+            spark.conf.unset(name)
