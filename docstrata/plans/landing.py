@@ -103,6 +103,7 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame, run: Landing
     return LandingResult(run.version, outcomes, decided, stats.partition_stats(requests, pages, outcomes))
 
 
+_FILES = "struct<" + ",".join(f"{c}:string" for c in schemas.FILE_FIELDS) + ">"
 _CAPTURE = ["url", "body", "partition_start", "page_number", "captured_at"]
 
 
@@ -239,6 +240,7 @@ def _records(arrivals: DataFrame, blobs: DataFrame) -> DataFrame:
         .drop("_blob", "_link", "length")
     )
 
+
 def _fold(records: DataFrame, stored: DataFrame, run: LandingRun) -> DataFrame:
     """Every arrival compared with the one before it."""
     if run.repair_failed:
@@ -269,25 +271,44 @@ def _decide(records: DataFrame, stored: DataFrame, run: LandingRun) -> DataFrame
 
 
 def _mark_final(folded: DataFrame) -> DataFrame:
-    """Of several applied rows per key only the last one stays an applied row in the log."""
+    """Of several applied rows per key only the last one stays an applied row in the log.
+
+    A last row without a link keeps the file fields of the applied row before it
+    (``carried``), if there is one in this run.
+    """
+    applied = folded.filter(F.col("action").isin("insert", "update"))
     final = last_applied(folded, ARRIVAL_ORDER).select("identifier", *ARRIVAL_ORDER, F.lit(True).alias("_final"))
-    return folded.join(final, ["identifier", *ARRIVAL_ORDER], "left").withColumns(
-        {"superseded": F.col("action").isin("insert", "update") & F.col("_final").isNull()}
-    ).drop("_final")
+    files = F.when(F.col("outcome") != "no_url", F.struct(*schemas.FILE_FIELDS))
+    carried = applied.groupBy(F.col("identifier").alias("_id")).agg(
+        F.max_by(files, F.when(files.isNotNull(), F.struct(*ARRIVAL_ORDER))).alias("carried")
+    )
+    marked = folded.join(final, ["identifier", *ARRIVAL_ORDER], "left").withColumn(
+        "action",
+        F.when(F.col("action").isin("insert", "update") & F.col("_final").isNull(), F.concat(F.lit("superseded "), "action"))
+        .otherwise(F.col("action")),
+    )
+    no_link = F.when((F.col("outcome") == "no_url") & F.col("_final"), F.col("identifier"))
+    key = spread_nulls(no_link, "identifier", *ARRIVAL_ORDER)
+    return (
+        marked.withColumn("_key", key).join(carried, F.col("_key") == F.col("_id"), "left").drop("_key", "_id", "_final")
+    )
 
 
 def _log_rows(decided: DataFrame, stored: DataFrame, run: LandingRun) -> DataFrame:
     """Log rows: applied changes, and uploads that changed no metadata."""
-    superseded = F.col("superseded") if "superseded" in decided.columns else F.lit(False)
-    rows = decided.withColumn("action", F.when(superseded, "superseded").otherwise(F.col("action"))).filter(
-        F.col("action").isin("insert", "update") | F.col("blob_id").isNotNull()
-    )
-    # A record without a link carries no file fields: an update leaves the stored ones.
-    old = stored.select("identifier", *[F.col(c).alias(f"_old_{c}") for c in schemas.FILE_FIELDS])
+    rows = decided.filter(F.col("action").isin("insert", "update") | F.col("blob_id").isNotNull())
+    if "carried" not in rows.columns:
+        rows = rows.withColumn("carried", F.lit(None).cast(_FILES))
+    # A record without a link carries no file fields: an update leaves the ones before it.
     no_link = F.col("outcome") == "no_url"
-    kept = {c: F.when(no_link, F.col(f"_old_{c}")).otherwise(F.col(c)) for c in schemas.FILE_FIELDS}
-    return rows.join(old, "identifier", "left").withColumns(
-        {**kept, "updated_at": F.lit(run.run_ts), "arrived": F.col("captured_at")}
+    key = spread_nulls(F.when(no_link, F.col("identifier")), "identifier", *ARRIVAL_ORDER)
+    old = stored.select(F.col("identifier").alias("_id"), F.struct(*schemas.FILE_FIELDS).alias("_old"))
+    before = F.coalesce("carried", "_old")
+    kept = {c: F.when(no_link, before[c]).otherwise(F.col(c)) for c in schemas.FILE_FIELDS}
+    return (
+        rows.withColumn("_key", key)
+        .join(old, F.col("_key") == F.col("_id"), "left")
+        .withColumns({**kept, "updated_at": F.lit(run.run_ts), "arrived": F.col("captured_at")})
     )
 
 

@@ -181,6 +181,29 @@ def test_hash_update_folds_all_arrivals(lake, captures):
     assert state(lake)["F1"].description == "applied"
 
 
+def test_link_less_rows_keep_file_fields_of_the_same_run(lake, captures):
+    pages = [page_row("Labour Court", "2024-01-01", "2024-01-31", [
+        {"id": "N", "href": "/n", "description": "with file"}, {"id": "N", "description": "renamed"},
+        {"id": "M", "description": "no file"}, {"id": "M", "href": "/n", "description": "stuck"},
+        {"id": "F", "href": "/bad"}, {"id": "F", "description": "x"},
+    ], total=6)]
+    docs = [doc_row("/n", html("n")), doc_row("/bad", error="503")]
+    result = land(lake, *captures(pages, docs), replace(RUN, policy="hash_update"))
+    assert result.counts().first().asDict() == {"inserted": 5, "updated": 1, "skipped": 0}
+    rows = state(lake)
+    assert rows["N"].description == "renamed" and rows["N"].file_path == "Labour_Court/2024-01-01/N.html"
+    assert (rows["M"].description, rows["M"].file_path, rows["M"].file_type) == ("no file", None, None)
+    assert (rows["F"].file_type, rows["F"].file_hash) == ("unknown", None)
+
+
+def test_transform_by_published_date(lake, captures):
+    pages = [page_row("Labour Court", "2024-01-01", "2024-01-31", [
+        {"id": "EARLY", "href": "/n", "date": "05/01/2024"}, {"id": "LATE", "href": "/n", "date": "25/01/2024"}], total=2)]
+    land(lake, *captures(pages, [doc_row("/n", html("n"))]), RUN)
+    run = replace(TRANSFORM, start_date="2024-01-20", date_col="published_date_iso")
+    assert [r.identifier for r in transform(lake, run).statuses.collect()] == ["LATE"]
+
+
 def test_write_once_policy(lake, captures):
     land(lake, *captures(*first_captures()), RUN)
     before = state(lake)
