@@ -5,19 +5,44 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from docstrata.llm import sharding
+from docstrata.llm.fingerprints import fingerprints
+from docstrata.llm.mixing import mix
 from docstrata.llm.neardup import near_duplicates
+from docstrata.llm.quality import judge
+
+SHARDS = 16
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(_table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
+def op4_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op5_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op5_tensored_minhash]
+def op6_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
+def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "documents"), [F.col("doc_id")])
+
+
+_QUERIES = [op1_stratified_interleaving, op4_scaled_sketch, op5_tensored_minhash, op6_entropy_balancing, op9_weak_supervision]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
