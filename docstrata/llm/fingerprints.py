@@ -21,13 +21,13 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docstrata.llm.storage import workspace
+from docstrata.llm.ranks import key_ranges
 from docstrata.llm.words import mix
+from docstrata.session import ship_package
 
 SHINGLE, SCALE, BITS = 8, 8, 40
 _CHUNK_BYTES = 24 << 20
@@ -139,34 +139,21 @@ def fingerprints(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     Rows are dealt to ranges of ids and sorted there; the first row of each range is also
     sent, as a ghost, to the end of the range before it.  So texts move once.
     """
-    spark = docs.sparkSession
-    workspace(spark, "fingerprints")
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text").cast("bigint")).alias("bytes"), F.min("doc_id").alias("least")).first()
-    chunks = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), (total["bytes"] or 0) // chunk_bytes + 1), 20_000)
-    steps = [k / chunks for k in range(1, chunks)]
-    bounds = rows.agg(F.percentile_approx("doc_id", steps, 20 * chunks).alias("b")).first()["b"] if steps else None
-    heads = [total["least"], *(b for b in sorted(set(bounds or [])) if b > total["least"])] if total["least"] is not None else []
-    whole = len(heads) <= 1
-
-    @F.pandas_udf("int")
-    def chunk_of(ids: pd.Series) -> pd.Series:
-        known = ids.notna()
-        out = np.full(len(ids), max(len(heads) - 1, 0))
-        out[known] = np.searchsorted(np.array(heads), ids[known].astype(np.array(heads).dtype).to_numpy(), "right") - 1
-        return pd.Series(out)
-
+    ranges = key_ranges(rows, "doc_id", "text", chunk_bytes)
+    heads, whole = ranges.heads, ranges.count == 1
     if whole:
         dealt = rows.withColumn("chunk", F.lit(0)).withColumn("ghost", F.lit(False))
     else:
         own = F.struct(F.col("chunk").alias("chunk"), F.lit(False).alias("ghost"))
         ghost = F.struct(F.pmod(F.col("chunk") + len(heads) - 1, F.lit(len(heads))).alias("chunk"), F.lit(True).alias("ghost"))
         places = F.when(F.col("doc_id").isin(heads), F.array(own, ghost)).otherwise(F.array(own))
-        dealt = rows.withColumn("chunk", chunk_of("doc_id")).select("doc_id", "text", F.explode(places).alias("place"))
+        dealt = rows.withColumn("chunk", ranges.of("doc_id")).select("doc_id", "text", F.explode(places).alias("place"))
         dealt = dealt.select("doc_id", "text", "place.chunk", "place.ghost")
     id_type = docs.schema[doc_id].dataType.simpleString()
     return (
-        dealt.repartitionById(max(len(heads), 1), "chunk")
+        dealt.repartitionById(ranges.count, "chunk")
         .sortWithinPartitions("chunk", "ghost", F.col("doc_id").asc_nulls_last(), "text")
         .mapInArrow(
             partial(_sketch_rows, scale=scale, whole=whole),

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docstrata.llm import sharding
+from docstrata.llm import packing, pieces, sharding, warc
 from docstrata.llm.fingerprints import fingerprints
 from docstrata.llm.mixing import mix
 from docstrata.llm.neardup import near_duplicates
 from docstrata.llm.quality import judge
+from docstrata.llm.storage import workspace
 
 SHARDS = 16
 
@@ -25,6 +27,11 @@ def op1_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def op2_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode(_table(spark, sf_dir, "documents"), model, keep=["doc_id", "n_chars"])
+
+
 def op4_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -38,11 +45,26 @@ def op6_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def op8_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = workspace(spark, "ids")
+    packing.write_ids(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.read_ids(spark, folder)
+
+
 def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_table(spark, sf_dir, "documents"), [F.col("doc_id")])
 
 
-_QUERIES = [op1_stratified_interleaving, op4_scaled_sketch, op5_tensored_minhash, op6_entropy_balancing, op9_weak_supervision]
+def op10_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = workspace(spark, "archives")
+    warc.write_warc(_table(spark, sf_dir, "pages"), folder)
+    return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_QUERIES = [
+    op1_stratified_interleaving, op2_merge_dropout, op4_scaled_sketch, op5_tensored_minhash, op6_entropy_balancing, op8_bit_packing,
+    op9_weak_supervision, op10_sharded_warc,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -82,5 +104,19 @@ FROM sizes JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) ON a =
 """
 
 
+_OP10 = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+),
+owners AS (SELECT hex, min(page_id) AS owner FROM payloads GROUP BY hex)
+SELECT page_id, strlen(html) AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((('0x' || substr(hex, 1 + 5 * (k // 4), 5))::BIGINT >> (15 - 5 * (k % 4))::BIGINT) & 31)::BIGINT), 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> owner THEN owner END AS refers_to
+FROM payloads JOIN owners USING (hex)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_tensored_minhash": _OP5}
+    return {"op5_tensored_minhash": _OP5, "op10_sharded_warc": _OP10}

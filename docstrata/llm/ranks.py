@@ -6,6 +6,10 @@ task and shifted by the counts of the buckets before it.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,3 +55,43 @@ def ranked(frame: DataFrame, groups: list[str], bucket: Column, order: list[str
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_r{key}"))
     return own.join(right, same).withColumn(rank, F.col("_shift") + F.col("_place") - 1).drop("_bucket", "_shift", "_place", *[f"_r{k}" for k in keys])
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """Ranges of an ordered key: range k holds the keys from ``heads[k]`` to below the next head."""
+
+    heads: list
+
+    @property
+    def count(self) -> int:
+        return max(len(self.heads), 1)
+
+    def of(self, key: str) -> Column:
+        """The range of a key; null keys come last."""
+        if self.count == 1:
+            return F.lit(0)
+        heads = np.array(self.heads)
+
+        @F.pandas_udf("int")
+        def find(keys: pd.Series) -> pd.Series:
+            known, out = keys.notna(), np.full(len(keys), len(heads) - 1)
+            out[known] = np.searchsorted(heads, keys[known].to_numpy().astype(heads.dtype), "right") - 1
+            return pd.Series(out)
+
+        return find(key)
+
+
+def key_ranges(frame: DataFrame, key: str, bytes_of: str, range_bytes: int, most: int = 20_000) -> Ranges:
+    """Ranges of a numeric key with about ``range_bytes`` of ``bytes_of`` each, and enough for all cores.
+
+    Their bounds are values of the key, so each range has a row.  One pass reads the key and
+    the text's length; range partitioning would instead run all that stands below it twice.
+    """
+    total = frame.agg(F.sum(F.octet_length(bytes_of).cast("bigint")).alias("bytes"), F.min(key).alias("least")).first()
+    if total["least"] is None:
+        return Ranges([])
+    n = min(max(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), (total["bytes"] or 0) // range_bytes + 1), most)
+    steps = [k / n for k in range(1, n)]
+    bounds = frame.agg(F.percentile_approx(key, steps, 20 * n).alias("b")).first()["b"] if steps else []
+    return Ranges([total["least"], *(b for b in sorted(set(bounds)) if b > total["least"])])

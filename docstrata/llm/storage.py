@@ -47,7 +47,7 @@ class Publisher:
 
     def write(self, name: str, chunks) -> int:
         temporary, size = f"{self.root}/.{name}.{self.attempt}.tmp", 0
-        with self.store.open_output_stream(temporary) as out:
+        with self.store.open_output_stream(temporary, compression=None) as out:
             for chunk in chunks:
                 out.write(chunk)
                 size += len(chunk)
@@ -64,7 +64,7 @@ class _Pending:
     def __init__(self, owner: Publisher, name: str):
         self.owner, self.name, self.size = owner, name, 0
         self.temporary = f"{owner.root}/.{name}.{owner.attempt}.tmp"
-        self.stream = owner.store.open_output_stream(self.temporary)
+        self.stream = owner.store.open_output_stream(self.temporary, compression=None)
 
     def write(self, data: bytes) -> None:
         self.stream.write(data)
