@@ -24,8 +24,6 @@ interchangeable.  An empty table gives no rows.  Extra columns are ignored by ``
 
 from __future__ import annotations
 
-from functools import partial
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -155,7 +153,7 @@ def mix(
     rated = rated.select("source", "size", "n", F.coalesce(_rate(most), F.lit(1.0)).alias("rate"))
     kind = docs.schema[source].dataType.simpleString()
     steps = staged(
-        rated.groupBy("source").applyInPandas(partial(_copies_by_size, most=most), f"source {kind}, size bigint, rate double, n bigint, total bigint"), f"{folder}/steps"
+        rated.groupBy("source").applyInPandas(lambda group: _copies_by_size(group, most), f"source {kind}, size bigint, rate double, n bigint, total bigint"), f"{folder}/steps"
     )
     n = rows.count()
     order = hash_order(seed, "doc_id", "text_key")
@@ -168,3 +166,17 @@ def mix(
     return out.alias("o").join(goal.alias("g"), F.col("o.source").eqNullSafe(F.col("g.source"))).select(
         "doc_id", "text_key", "o.source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+def mixed_documents(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes it."""
+    folder = workspace(docs.sparkSession, "mixed")
+    taken = mix(docs, text=text, doc_id=doc_id, **options).groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
+    taken = staged(taken.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_copies"), f"{folder}/copies")
+    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_key"))
+    found = docs.join(taken, same)
+    # Rows equal in id and text share out their copies.
+    nth = F.row_number().over(Window.partitionBy("_id", "_key").orderBy(F.xxhash64(*docs.columns)))
+    alone = found.where("size(_copies) = 1").withColumn("_n", F.element_at("_copies", 1))
+    several = found.where("size(_copies) > 1").withColumn("_nth", nth).withColumn("_n", F.element_at("_copies", F.col("_nth"))).drop("_nth")
+    return alone.unionByName(several).where("_n > 0").withColumn("_n", F.explode(F.expr("sequence(1, cast(_n as int))"))).select(*docs.columns)

@@ -33,7 +33,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docstrata.llm.storage import staged, workspace
@@ -269,3 +269,17 @@ def near_duplicates(
     result = signed.select("doc_id", "class", F.col("n").alias("n_shingles")).join(named, "class", "left")
     component_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return result.select("doc_id", "n_shingles", component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
+
+
+def distinct_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row, with all columns, for each near-duplicate group of ``docs``.
+
+    It is a row of the group's smallest id; of several, the one with the least text.
+    """
+    folder = workspace(docs.sparkSession, "distinct")
+    kept = near_duplicates(docs, doc_id=doc_id, text=text, **options).where("kept").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("n_shingles").alias("n"))
+    names = staged(kept.select(F.col("doc_id").alias("_kept_id"), ((F.col("rows") > 1) & (F.col("n") > 0)).alias("_repeated")), f"{folder}/kept")
+    found = docs.join(names, F.col(doc_id).eqNullSafe(F.col("_kept_id"))).drop("_kept_id")
+    first = Window.partitionBy(doc_id).orderBy(text, F.xxhash64(*docs.columns))
+    again = found.where("_repeated").withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+    return found.where("not _repeated").select(*docs.columns).unionByName(again.select(*docs.columns))

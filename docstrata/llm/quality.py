@@ -96,7 +96,7 @@ def measured(docs: DataFrame, keys: list[Column], text: str = "text") -> DataFra
     """``keys`` and the measures of every document."""
     rows = docs.select(*keys, *measures(text))
     return rows.select(
-        *[c for c in rows.columns if c not in ("by_words", "by_lines", *MEASURES)],
+        *[c for c in rows.columns if c not in ("by_words", "by_lines", *MEASURES)],  # the keys
         F.col("by_words.n").alias("n_words"), "word_chars", "n_symbols", F.col("by_lines.dup").alias("n_dup_lines"), F.col("by_words.repeat").alias("n_repeat_words"),
         F.col("by_lines.n").alias("n_lines"), "n_capitals", "n_calls",
     )
@@ -208,3 +208,8 @@ def judge(docs: DataFrame, keys: list[Column], *, text: str = "text", rules: lis
     return voted.withColumn("base_failed", base_failed).withColumn("quality", found.posterior()).withColumn(
         "kept", ~F.col("base_failed") & (F.col("quality") >= threshold)
     )
+
+
+def good_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, that are kept; the texts are measured once and not joined."""
+    return judge(docs, [F.struct(*docs.columns).alias("document")], **options).where("kept").select("document.*")

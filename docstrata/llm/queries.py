@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docstrata.llm import packing, pieces, sharding, warc
+from docstrata.llm.classlm import score_corpus
 from docstrata.llm.fingerprints import fingerprints
+from docstrata.llm.licenses import license_matches
 from docstrata.llm.mixing import mix
 from docstrata.llm.neardup import near_duplicates
 from docstrata.llm.quality import judge
@@ -32,6 +34,10 @@ def op2_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_table(spark, sf_dir, "documents"), model, keep=["doc_id", "n_chars"])
 
 
+def op3_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(_table(spark, sf_dir, "documents"))
+
+
 def op4_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -45,6 +51,14 @@ def op6_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def _held_out(doc_id: str) -> Column:
+    return F.crc32(F.encode(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "UTF-8")) % 7 == 2
+
+
+def op7_class_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_corpus(_table(spark, sf_dir, "documents"), _held_out)
+
+
 def op8_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = workspace(spark, "ids")
     packing.write_ids(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
@@ -62,7 +76,7 @@ def op10_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = [
-    op1_stratified_interleaving, op2_merge_dropout, op4_scaled_sketch, op5_tensored_minhash, op6_entropy_balancing, op8_bit_packing,
+    op1_stratified_interleaving, op2_merge_dropout, op3_patience_licenses, op4_scaled_sketch, op5_tensored_minhash, op6_entropy_balancing, op7_class_bigrams, op8_bit_packing,
     op9_weak_supervision, op10_sharded_warc,
 ]
 
