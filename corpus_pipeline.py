@@ -1,25 +1,45 @@
 """A corpus pipeline of the training-data operators over ``documents``.
 
-Each stage works on all rows that the stage before it kept.
+Quality rules drop documents, one document of each near-duplicate group stays, sources are
+mixed to target weights by repeating and dropping documents, and the texts are encoded to
+SentencePiece ids with seeded merge dropout.  Each stage works on all rows that the stage
+before it kept, and all but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from docstrata.llm.neardup import near_duplicates
+from docstrata.llm import pieces
+from docstrata.llm.mixing import mixed_documents
+from docstrata.llm.neardup import distinct_documents
+from docstrata.llm.quality import good_documents
 from docstrata.llm.storage import staged, workspace
 
 
-def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate group, the one with the smallest id."""
-    decided = staged(near_duplicates(docs).where("kept").select("doc_id").distinct(), f"{workspace(spark, 'pipeline-near')}/kept")
-    kept = docs.alias("d").join(decided.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
-    return kept
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose posterior quality is good and that pass the base rule."""
+    return good_documents(docs)
 
 
-STAGES = [("near_dedup", deduplicate)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, that of the smallest id."""
+    return distinct_documents(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix to target weights takes them."""
+    return mixed_documents(docs)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their piece ids, and whether decoding gives the text back."""
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("mix_sources", mix_sources), ("encode_pieces", encode_pieces)]
+# The estimate, the mix and the segmentation are iterative: tested against brute force instead.
 ORACLE_SQL = None
 
 
