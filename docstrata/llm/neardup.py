@@ -36,11 +36,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docstrata.llm.storage import staged, workspace
+from docstrata.llm.storage import settings, staged, workspace
 from docstrata.llm.words import mix, shingle_sets
 
 WIDTH, HALVES, ROWS, BLOCK = 5, 18, 3, 512
 _PASS_SHINGLES = 1 << 18
+_BLOOM = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+
+
+def _digest(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
 def _seeds(n: int) -> np.ndarray:
@@ -73,7 +78,7 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int, halves: int, rows: in
         if full:
             offsets[1:][full] = 2 * halves
             offsets, flat = np.cumsum(offsets, dtype=np.int32), half_keys([sets[i] for i in full], halves, rows).ravel()
-        digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+        digests = [_digest(s) if len(s) else None for s in sets]
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0).slice(begin, len(sets)), batch.column(1).slice(begin, len(sets)),
@@ -97,7 +102,8 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int, halves: int, rows: in
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(c, s) for c, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), width))]
+        found = zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), width))
+        rows = [(c, s) for c, s in found if _digest(s) == c]  # the join key is a hash
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([c for c, _ in rows], pa.binary()),
@@ -210,15 +216,14 @@ def near_duplicates(
     bucketed = staged(table_rows.join(stars, "key").select("class", "u", "key", "members", "least"), f"{folder}/buckets")
 
     # Shingle sets of the classes that have candidates, from the text of one document each.
+    # A Bloom filter on the join key keeps the texts of all others out of the shuffle.
     wanted = staged(
-        bucketed.select("class").distinct().join(classes.drop("halves"), "class").select("class", "first_id", "text_key", "n"), f"{folder}/wanted"
-    )
-    found = (
-        plain.alias("p").join(wanted.alias("w"), (F.col("p.text_key") == F.col("w.text_key")) & F.col("p.doc_id").eqNullSafe(F.col("w.first_id")))
-        .select("class", "text")
+        bucketed.select("class").distinct().join(classes.drop("halves"), "class").select("class", "n", F.xxhash64("text_key", "first_id").alias("pick")), f"{folder}/wanted"
     )
-    # Rows that repeat both id and text would give a set twice.
-    sets = staged(found.mapInArrow(partial(_sets, width=width), "class binary, shingles array<bigint>").dropDuplicates(["class"]), f"{folder}/sets")
+    found = plain.select("text", F.xxhash64("text_key", "doc_id").alias("pick")).join(wanted.where("n > 0"), "pick").select("class", "text")
+    with settings(spark, _BLOOM):
+        # Rows that repeat both id and text would give a set twice.
+        sets = staged(found.mapInArrow(partial(_sets, width=width), "class binary, shingles array<bigint>").dropDuplicates(["class"]), f"{folder}/sets")
 
     sizes = wanted.select("class", "n")
     pairs = staged(

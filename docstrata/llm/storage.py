@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 from pyarrow import fs
@@ -24,6 +26,19 @@ def staged(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """SQL settings for the actions inside; the session's own come back after."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """The Arrow file system and path of a URI; a path without a scheme is local."""
     scheme = urlparse(uri).scheme
