@@ -72,7 +72,7 @@ class WordEncoder:
     """
 
     _TAIL = re.compile(r"^(.*?)([!-/:-@\[-`{-~]+)$", re.DOTALL)
-    _MEMORY, _JOINED = 1_000_000, 64
+    _MEMORY, _JOINED = 600_000, 64
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,18 +66,17 @@ class Ranges:
         return max(len(self.heads), 1)
 
     def of(self, key: str) -> Column:
-        """The range of a key; null keys come last."""
+        """The range of a key, by binary search; null keys come last."""
         if self.count == 1:
             return F.lit(0)
-        heads = np.array(self.heads)
+        n, heads, value = self.count, F.lit(self.heads), F.col(key)
+        steps = F.lit([1 << k for k in reversed(range(n.bit_length()))])
 
-        @F.pandas_udf("int")
-        def find(keys: pd.Series) -> pd.Series:
-            known, out = keys.notna(), np.full(len(keys), len(heads) - 1)
-            out[known] = np.searchsorted(heads, keys[known].to_numpy().astype(heads.dtype), "right") - 1
-            return pd.Series(out)
+        def step(low: Column, width: Column) -> Column:
+            further = (low + width < n) & (F.get(heads, low + width) <= value)
+            return F.when(further, low + width).otherwise(low)
 
-        return find(key)
+        return F.when(value.isNull(), n - 1).otherwise(F.aggregate(steps, F.lit(0), step)).cast("int")
 
 
 def key_ranges(frame: DataFrame, key: str, bytes_of: str, range_bytes: int, most: int = 20_000) -> Ranges:
