@@ -6,10 +6,9 @@ are aligned in the same way.  The share of the template's words so matched is th
 
 A whole document would hide anchors that stray words repeat, so stretches come first: runs
 of template words with at most ``reach`` other words between two, which hold enough of the
-template's words.  A stretch in which the template does not align and that is longer than
-two templates is tried again in overlapping pieces of two template lengths, so that
-repeated licenses are found; no part of a text is left out.  Of overlapping matches the one
-with more words wins.
+template's words.  A stretch longer than two templates is also tried in overlapping pieces
+of two template lengths, and wherever the template may begin, so that repeated licenses are
+found; no part of a text is left out.  Of overlapping matches the one with more words wins.
 
 Words are runs of ASCII letters and digits in lower case.  Defined cases: null, empty and
 wordless texts have no match; a template found several times gives a row for each; rows
@@ -173,8 +172,13 @@ class Scanner:
                 if high - low < self.coverage * size or len(template.distinct.intersection(words[low:high])) < self.coverage * len(template.distinct):
                     continue
                 windows = [(low, high)]
-                if high - low > 2 * size:
+                if high - low >= 2 * size:
                     windows += [(k, min(k + 2 * size, high)) for k in range(low, high, max(1, size // 2))]
+                    # Copies close together share all words: try where the template may begin.
+                    windows += [
+                        (p - k, min(p - k + size + size // 10, high))
+                        for k, word in enumerate(template.words[:3]) for p in where[word] if low <= p - k and p < high
+                    ]
                 found.extend(match for a, b in windows if (match := self._try(words, a, b, number)))
         out: list[Match] = []
         taken: list[tuple[int, int]] = []
