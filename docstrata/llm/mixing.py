@@ -93,14 +93,16 @@ def multipliers(counts: DataFrame, goal: DataFrame, folder: str, most: int = MOS
         ),
         f"{folder}/0",
     )
+    # Decimal sums do not depend on the order of rows, so reruns agree to the last bit.
+    exact = lambda term: F.sum(term.cast("decimal(34,6)")).cast("double")
     for step in range(1, _STEPS + 1):
         rate = _rate(most)
         sums = (
             counts.alias("c").join(state.where("not done").alias("s"), F.col("c.source").eqNullSafe(F.col("s.source")))
             .select("s.source", "size", "n", "l", "mean")
             .groupBy("source").agg(
-                F.sum(F.col("n") * F.col("size") * rate).alias("got"),
-                F.sum(F.when(rate < most, F.col("n") * F.col("size") * F.col("size") / F.col("mean") * rate).otherwise(0.0)).alias("slope"),
+                exact(F.col("n") * F.col("size") * rate).alias("got"),
+                exact(F.when(rate < most, F.col("n") * F.col("size") * F.col("size") / F.col("mean") * rate).otherwise(0.0)).alias("slope"),
             )
         )
         gap = F.col("got") - F.col("target")

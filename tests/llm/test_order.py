@@ -117,7 +117,7 @@ def test_fingerprint_edge_cases(spark):
 
 
 def test_sketches_merge_and_contain():
-    small, large = "the quick brown fox jumps over the lazy dog " * 3, "".join(chr(97 + i * i % 26) for i in range(5000))
+    small, large = "the quick brown fox jumps over the lazy dog " * 3, "".join(map(chr, np.random.default_rng(0).integers(97, 123, 5000)))
     a, b, both = fp.sketch(small), fp.sketch(large), fp.sketch(small + large)
     merged = fp.merge(a, b)
     assert len(np.setdiff1d(merged, both)) == 0 and len(both) - len(merged) < 8
@@ -172,5 +172,5 @@ def test_mixed_documents_repeat_rows(docs, spark):
     assert out.columns == docs.columns
     assert Counter(r["doc_id"] for r in out.collect()) == Counter({k: n for k, n in copies.items() if n})
     same = spark.createDataFrame([(1, "a b c", "s", 1, "x", 2)] * 7, SCHEMA)
-    assert mixing.mixed_documents(same).count() == round(1.5 * 7) or mixing.mixed_documents(same).count() in (10, 11)
+    assert mixing.mixed_documents(same).count() in (10, 11)
     assert mixing.mixed_documents(same.limit(0)).collect() == []
