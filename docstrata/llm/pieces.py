@@ -6,9 +6,9 @@ seed, the text around it and its place falls below ``dropout``; so a rerun gives
 ids, another seed or document other ones, and with ``dropout`` 0 the ids are the library's.
 
 No piece holds white space after another character (checked at load), so merges stay inside
-chunks: a run of blanks with the word after it.  A chunk draws one of ``variants`` keys by
-the document and its place; (chunk, key) pairs are worked out together in numpy, one merge
-of every chunk a round, and remembered.
+chunks: a run of blanks with the word after it.  Each stretch of 64 chunks draws one of
+``variants`` keys by the document and its place; the chunks that are new under a key are
+worked out together in numpy, one merge of every chunk a round, and remembered.
 
 Decoding joins the pieces' bytes.  It is lossless for every text: characters outside the
 vocabulary are spelled in byte pieces, and so is a literal U+2581, which the library itself
@@ -40,7 +40,7 @@ DROPOUT, SEED, VARIANTS = 0.1, 11, 4
 _BLANK, _LITERAL = "▁", "\udc81"  # the model's blank; a stand-in for a literal one, which no text can hold
 _CHUNKS = re.compile(f"{_BLANK}*[^{_BLANK}]+|{_BLANK}+")
 _MEMORY, _ROUND_SYMBOLS, _GROUP_BYTES = 600_000, 1 << 18, 8 << 20
-_NEVER = np.float64(-np.inf)
+_SLOT_BITS, _STRETCH = 21, 64
 
 
 class Pieces:
@@ -60,7 +60,8 @@ class Pieces:
         self.byte_ids = [next(i for i in range(n) if byte[i] and self.bytes_of[i][0] == value) for value in range(256)]
         ids = {name: i for i, name in enumerate(names) if not byte[i] and not special[i]}
         self.characters = {name: i for name, i in ids.items() if len(name) == 1}
-        self.symbols = np.full(0x110000, -1, dtype=np.int64)  # by code point
+        self.setting: tuple = ()
+        self.symbols = np.full(0x110000, -1, dtype=np.int32)  # by code point
         self.symbols[[ord(c) for c in self.characters]] = list(self.characters.values())
         keys, merged = [], []
         for name, i in ids.items():
@@ -73,73 +74,102 @@ class Pieces:
                     merged.append(i)
         order = np.argsort(np.array(keys, dtype=np.int64))
         self.pairs, self.merged = np.array(keys, dtype=np.int64)[order], np.array(merged, dtype=np.int64)[order]
-        self.scores = np.array([model.get_score(i) for i in range(n)], dtype=np.float64)
-        self.memory: dict[tuple[str, int], bytes] = {}
+        scores = np.array([model.get_score(i) for i in range(n)])
+        # Equal scores have equal ranks; the best score has the highest.
+        self.ranks = np.unique(scores, return_inverse=True)[1].astype(np.int32)
+        self._hash_pairs()
+        self.memory: list[dict[str, bytes]] = []
+
+    def _hash_pairs(self) -> None:
+        """A table that finds most pairs by one look; a slot's further pairs stay in a sorted list."""
+        slot = self._slot(self.pairs)
+        self.slot_pair, self.slot_piece = np.full(1 << _SLOT_BITS, -1, dtype=np.int64), np.full(1 << _SLOT_BITS, -1, dtype=np.int32)
+        first = np.unique(slot, return_index=True)[1]
+        self.slot_pair[slot[first]], self.slot_piece[slot[first]] = self.pairs[first], self.merged[first]
+        later = np.ones(len(slot), dtype=bool)
+        later[first] = False
+        self.crowded = np.zeros(1 << _SLOT_BITS, dtype=bool)
+        self.crowded[slot[later]] = True
+        self.pairs, self.merged = self.pairs[later], self.merged[later]
+
+    @staticmethod
+    def _slot(pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
 
     def _candidates(self, left, right, start, middle, end, key, threshold: int):
-        """Merged piece and score of neighbouring symbols; no piece or a skipped one scores ``_NEVER``."""
-        pair = np.where((left >= 0) & (right >= 0), left * self.size + right, -1)
-        spot = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-        piece = np.where(self.pairs[spot] == pair, self.merged[spot], -1)
-        score = np.where(piece >= 0, self.scores[piece], _NEVER)
+        """Merged piece and rank of neighbouring symbols; no piece or a skipped one has rank -1."""
+        pair = left.astype(np.int64) * self.size + right
+        pair[(left < 0) | (right < 0)] = -2
+        slot = self._slot(pair)
+        piece = np.where(self.slot_pair[slot] == pair, self.slot_piece[slot], np.int32(-1))
+        rest = np.flatnonzero(self.crowded[slot] & (piece < 0))
+        if len(rest) and len(self.pairs):
+            spot = np.minimum(np.searchsorted(self.pairs, pair[rest]), len(self.pairs) - 1)
+            piece[rest] = np.where(self.pairs[spot] == pair[rest], self.merged[spot], -1)
+        rank = np.where(piece >= 0, self.ranks[piece], np.int32(-1))
         if threshold:
-            place = ((start.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-            score[(mix(key ^ mix(place)) >> np.uint64(11)) < np.uint64(threshold)] = _NEVER
-        return piece, score
+            there = np.flatnonzero(piece >= 0)
+            start, middle, end = (x[there].astype(np.uint64) for x in (start, middle, end))
+            place = ((start << np.uint64(42)) ^ (middle << np.uint64(21)) ^ end) * np.uint64(0x9E3779B97F4A7C15)
+            rank[there[(mix(key[there] ^ mix(place)) >> np.uint64(11)) < np.uint64(threshold)]] = -1
+        return piece, rank
 
     def segment(self, chunks: list[str], keys: np.ndarray, threshold: int) -> list[bytes]:
         """Ids of chunks as little-endian uint32 bytes, one merge of every chunk a round."""
-        lengths = np.array([len(c) for c in chunks])
+        lengths = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
         symbol = self.symbols[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype="<u4")]
-        chunk = np.repeat(np.arange(len(chunks)), lengths)
-        first = np.cumsum(lengths) - lengths
-        place = np.arange(len(symbol)) - first[chunk]
-        begin, end = place, place + 1
-        key = keys[chunk]
+        chunk = np.repeat(np.arange(len(chunks), dtype=np.int32), lengths)
+        begin = (np.arange(len(symbol)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
         results: list = [None] * len(chunks)
 
         def link(i: np.ndarray):
-            """Candidates of the symbols i with their right neighbours."""
-            piece, score = np.full(len(i), -1), np.full(len(i), _NEVER)
-            inner = (i + 1 < len(symbol)) & (chunk[np.minimum(i + 1, len(symbol) - 1)] == chunk[i])
-            j = i[inner]
-            if len(j):
-                piece[inner], score[inner] = self._candidates(symbol[j], symbol[j + 1], begin[j], begin[j + 1], end[j + 1], key[j], threshold)
-            return piece, score
-
-        piece, score = link(np.arange(len(symbol)))
+            """Candidates of the symbols i with their right neighbours; a symbol ends where the next begins."""
+            piece, rank = np.full(len(i), -1, dtype=np.int32), np.full(len(i), -1, dtype=np.int32)
+            last = len(symbol) - 1
+            inner = np.flatnonzero((i < last) & (chunk[np.minimum(i + 1, last)] == chunk[i]))
+            if len(inner):
+                j = i[inner]
+                own, after = chunk[j], np.minimum(j + 2, last)
+                end = np.where((j + 2 <= last) & (chunk[after] == own), begin[after], lengths[own])
+                piece[inner], rank[inner] = self._candidates(symbol[j], symbol[j + 1], begin[j], begin[j + 1], end, keys[own], threshold)
+            return piece, rank
+
+        piece, rank = link(np.arange(len(symbol)))
         while len(symbol):
             heads = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
-            best = np.maximum.reduceat(score, heads)
+            best = np.maximum.reduceat(rank, heads)
             spans = np.diff(np.r_[heads, len(symbol)])
-            ended = best == _NEVER
+            ended = best < 0
             if ended.any():
-                live = np.repeat(~ended, spans)
-                ids, done = symbol[~live], chunk[heads[ended]].tolist()
+                over = np.repeat(ended, spans)
+                ids, done = symbol[over], chunk[heads[ended]].tolist()
                 stops = np.cumsum(spans[ended])
                 data, offsets = ids.astype("<u4").tobytes(), (4 * np.r_[0, stops]).tolist()
                 for number, low, high in zip(done, offsets, offsets[1:]):
                     results[number] = data[low:high]
-                foreign = np.unique(np.searchsorted(stops, np.flatnonzero(ids < 0), "right"))
-                for k in foreign.tolist():
-                    low, high = offsets[k] // 4, offsets[k + 1] // 4
-                    results[done[k]] = self._spell(chunks[done[k]], ids[low:high], begin[~live][low:high]).astype("<u4").tobytes()
-                symbol, chunk, begin, end, key, piece, score = (a[live] for a in (symbol, chunk, begin, end, key, piece, score))
+                foreign = np.flatnonzero(ids < 0)
+                if len(foreign):
+                    places = begin[over]
+                    for k in np.unique(np.searchsorted(stops, foreign, "right")).tolist():
+                        low, high = offsets[k] // 4, offsets[k + 1] // 4
+                        results[done[k]] = self._spell(chunks[done[k]], ids[low:high], places[low:high]).astype("<u4").tobytes()
+                live = np.flatnonzero(~over)
+                symbol, chunk, begin, piece, rank = (a[live] for a in (symbol, chunk, begin, piece, rank))
                 if not len(symbol):
                     break
-                heads = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
                 best, spans = best[~ended], spans[~ended]
-            hits = np.flatnonzero(score == np.repeat(best, spans))
+            hits = np.flatnonzero(rank == np.repeat(best, spans))
             hits = hits[np.r_[True, chunk[hits[1:]] != chunk[hits[:-1]]]]
-            symbol[hits], end[hits] = piece[hits], end[hits + 1]
+            symbol[hits] = piece[hits]
             keep = np.ones(len(symbol), dtype=bool)
             keep[hits + 1] = False
-            symbol, chunk, begin, end, key, piece, score = (a[keep] for a in (symbol, chunk, begin, end, key, piece, score))
+            keep = np.flatnonzero(keep)
+            symbol, chunk, begin, piece, rank = (a[keep] for a in (symbol, chunk, begin, piece, rank))
             hits = hits - np.arange(len(hits))  # one symbol went in each chunk before
-            piece[hits], score[hits] = link(hits)
-            before = hits[(hits > 0)]
+            before = hits[hits > 0]
             before = before[chunk[before - 1] == chunk[before]] - 1
-            piece[before], score[before] = link(before)
+            touched = np.concatenate([hits, before])
+            piece[touched], rank[touched] = link(touched)
         return results
 
     def _spell(self, chunk: str, ids: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -154,29 +184,33 @@ class Pieces:
 
     def encode(self, texts: list[str], doc_keys: np.ndarray, seed: int, dropout: float, variants: int) -> list[bytes]:
         """Ids of each text as little-endian uint32 bytes."""
-        if len(self.memory) > _MEMORY:
-            self.memory.clear()
         threshold = round(dropout * (1 << 53))
         variants = variants if threshold else 1
+        setting = (seed, threshold, variants)
+        if setting != self.setting or sum(map(len, self.memory)) > _MEMORY:
+            self.memory, self.setting = [{} for _ in range(variants)], setting
         texts = [f"{_BLANK}{t.replace(_BLANK, _LITERAL) if _BLANK in t else t}".replace(" ", _BLANK) if t else "" for t in texts]
         split = [_CHUNKS.findall(t) for t in texts]
-        counts = np.array([len(c) for c in split])
+        counts = np.array([-(-len(c) // _STRETCH) for c in split], dtype=np.int64)
         places = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        drawn = mix(np.repeat(doc_keys, counts) ^ mix(places.astype(np.uint64) + np.uint64(seed))) % np.uint64(variants)
-        drawn, at, wanted = drawn.tolist(), 0, []
-        for chunks in split:
-            wanted.append(list(zip(chunks, drawn[at : at + len(chunks)])))
-            at += len(chunks)
-        new = list(set().union(*wanted) - self.memory.keys()) if wanted else []
-        lengths = np.cumsum([len(c) for c, _ in new]) // _ROUND_SYMBOLS if new else np.zeros(0)
-        cuts = [0, *(np.flatnonzero(np.diff(lengths)) + 1).tolist(), len(new)] if new else []
+        drawn = (mix(np.repeat(doc_keys, counts) ^ mix(places.astype(np.uint64) + np.uint64(seed))) % np.uint64(variants)).tolist()
+        stretches = [c[k : k + _STRETCH] for c in split for k in range(0, len(c), _STRETCH)]
+        for variant, memory in enumerate(self.memory):
+            new = set().union(*(part for part, v in zip(stretches, drawn) if v == variant)) - memory.keys()
+            if new:
+                self._learn(list(new), variant, seed, threshold, memory)
+        found = [b"".join(map(self.memory[v].__getitem__, part)) for part, v in zip(stretches, drawn)]
+        stops = np.cumsum(counts).tolist()
+        return [b"".join(found[low:high]) for low, high in zip([0, *stops], stops)]
+
+    def _learn(self, new: list[str], variant: int, seed: int, threshold: int, memory: dict[str, bytes]) -> None:
+        group = np.cumsum(np.fromiter(map(len, new), dtype=np.int64, count=len(new))) // _ROUND_SYMBOLS
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(new)]
         for low, high in zip(cuts[:-1], cuts[1:]):
             part = new[low:high]
-            keys = np.array([zlib.crc32(c.encode("utf-8", "surrogatepass")) for c, _ in part], dtype=np.uint64) << np.uint64(16)
-            keys = mix((keys + np.array([v for _, v in part], dtype=np.uint64)) ^ mix(np.full(1, seed, dtype=np.uint64)))
-            self.memory.update(zip(part, self.segment([c for c, _ in part], keys, threshold)))
-        find = self.memory.__getitem__
-        return [b"".join(map(find, chunks)) for chunks in wanted]
+            keys = np.array([zlib.crc32(c.encode("utf-8", "surrogatepass")) for c in part], dtype=np.uint64)
+            keys = mix((keys << np.uint64(16)) + np.uint64(variant) ^ mix(np.full(1, seed, dtype=np.uint64)))
+            memory.update(zip(part, self.segment(part, keys, threshold)))
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 bytes of the text of the ids; the blank put before every text goes."""

@@ -64,8 +64,9 @@ def brute_segment(model, chunk, key, threshold):
     """The agenda of candidates, best score then leftmost, with the keyed skip."""
     spans = [[i, i + 1, int(model.symbols[ord(c)])] for i, c in enumerate(chunk)]
     left, right, alive = list(range(-1, len(chunk) - 1)), [*range(1, len(chunk)), -1], [True] * len(chunk)
-    merges = {int(k): int(m) for k, m in zip(model.pairs, model.merged)} if not hasattr(model, "_m") else model._m
-    model._m = merges
+    full = model.slot_pair >= 0
+    merges = getattr(model, "merges", None) or dict(zip([*model.slot_pair[full].tolist(), *model.pairs.tolist()], [*model.slot_piece[full].tolist(), *model.merged.tolist()]))
+    model.merges = merges
     agenda: list = []
 
     def propose(i):
@@ -77,7 +78,7 @@ def brute_segment(model, chunk, key, threshold):
             return
         place = np.array([((spans[i][0] << 42) ^ (spans[i][1] << 21) ^ spans[j][1]) * 0x9E3779B97F4A7C15 % (1 << 64)], dtype=np.uint64)
         skipped = int(mix(np.array([key], dtype=np.uint64) ^ mix(place))[0]) >> 11 < threshold
-        heapq.heappush(agenda, (-model.scores[piece], spans[i][0], i, j, spans[i][1], spans[j][1], piece, skipped))
+        heapq.heappush(agenda, (-int(model.ranks[piece]), spans[i][0], i, j, spans[i][1], spans[j][1], piece, skipped))
 
     for i in range(len(chunk) - 1):
         propose(i)
