@@ -303,7 +303,9 @@ def duplicate_identifiers(spark, sf_dir):
 def name_collisions(spark, sf_dir):
     """Object names that several documents map to."""
     rows = _table(spark, sf_dir, "documents").select(
-        fn.transformed_name(F.concat_ws("/", "source", "lang"), F.lit("html")).alias("file_path")
+        # Every tenth identifier occurs twice: a repeated identifier is no collision.
+        F.floor(F.col("doc_id") / 10).cast("string").alias("identifier"),
+        fn.transformed_name(F.concat_ws("/", "source", "lang"), F.lit("html")).alias("file_path"),
     )
     return reconcile.name_collisions(rows)
 
@@ -497,7 +499,7 @@ EVENT_BODIES = {t: t for t in ("click", "error", "purchase", "refund", "signup",
 
 def _event_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as outcome rows; the type is the body, the week the partition."""
-    first, last = F.lit("2024-01-01").cast("date"), F.lit("2024-01-31").cast("date")
+    first = F.lit("2024-01-01").cast("date")
     start = fn.partition_start_of(F.col("ts").cast("date"), first, "weekly")
     value = F.col("value")
     outcome = (
@@ -507,7 +509,7 @@ def _event_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(
         F.col("event_type").alias("body"),
         start.alias("partition_start"),
-        F.least(F.date_add(start, 6), last).alias("partition_end"),
+        F.date_add(start, 6).alias("partition_end"),
         F.concat(F.lit("E-"), F.col("event_id").cast("string")).alias("identifier"),
         outcome.alias("outcome"),
         F.concat(F.lit(SITE + "/"), F.col("event_id").cast("string")).alias("url"),
@@ -522,10 +524,10 @@ def _event_stats(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     pages = outcomes.groupBy(*stats.PARTITION, (F.col("user_id") + 1).alias("page_number")).agg(
         (F.count(F.lit(1)) * 100).alias("page_total"), F.when(F.min("value") < 0.1, "timeout").alias("error")
     )
-    days = _table(spark, sf_dir, "events").agg(
-        F.lit("2024-01-01").cast("date").alias("range_start"),
-        F.greatest(F.max(F.col("ts").cast("date")), F.lit("2024-01-31").cast("date")).alias("range_end"),
-    )
+    # The range ends with the last event's week, as the partitions of the outcomes do.
+    first = F.lit("2024-01-01").cast("date")
+    last = F.date_add(fn.partition_start_of(F.max(F.col("ts").cast("date")), first, "weekly"), 6)
+    days = _table(spark, sf_dir, "events").agg(first.alias("range_start"), last.alias("range_end"))
     requests = frontier.frontier(days, EVENT_BODIES, SITE + "/en/search/", "weekly")
     return stats.partition_stats(requests, pages, outcomes), outcomes
 
@@ -579,19 +581,35 @@ def failure_events(spark, sf_dir):
 def summary_format(spark, sf_dir):
     """Readable form of the partition and run summaries."""
     per_partition, outcomes = _event_stats(spark, sf_dir)
-    messages = stats.partition_summaries(per_partition, outcomes).select("message")
+    messages = stats.partition_messages(per_partition, outcomes).select("message")
     both = messages.unionByName(stats.crawl_summary(per_partition).select("message"))
     return both.select(format_summary(F.col("message")).alias("summary"))
 
 
 @_query
 def partition_history(spark, sf_dir):
-    """Typed rows recovered from partition summary messages."""
-    messages = stats.partition_summaries(*_event_stats(spark, sf_dir)).select("message")
-    return logs.partition_history(messages).select(
-        "body", "partition_start", "total_results", "records_scraped", "records_skipped", "records_failed",
-        F.size("failed_urls").alias("n_failed_shown"),
+    """Every failure recovered from partition summary messages, with the partition's counters."""
+    messages = stats.partition_summaries(*_event_stats(spark, sf_dir), chunk_rows=7).select("message")
+    return logs.partition_failures(logs.partition_history(messages))
+
+
+@_query
+def late_charset(spark, sf_dir):
+    """Text of pages in ISO 8859-1 whose charset is declared behind a long comment."""
+    page = F.concat(
+        F.lit("<html><head><!--"), F.repeat(F.lit("x"), 3000), F.lit('--><meta charset="iso-8859-1"></head><body><p>'), "url",
+        F.lit(" \u00e9\u00fc\u0091</p></body></html>"),
     )
+    return _table(spark, sf_dir, "pages").select("page_id", html.normalized_text(F.encode(page, "ISO-8859-1")).alias("text"))
+
+
+@_query
+def strange_charsets(spark, sf_dir):
+    """Text of pages that declare charsets which are none, or not for web pages."""
+    names = F.array(*[F.lit(n) for n in ("undefined", "utf-7", "unicode_escape", "rot13", "a\x00b", "utf-8")])
+    name = F.get(names, (F.col("page_id") % 6).cast("int"))
+    page = F.concat(F.lit('<html><head><meta charset="'), name, F.lit('"></head><body><p>'), "url", F.lit(" é +AGE- \\ud800</p></body></html>"))
+    return _table(spark, sf_dir, "pages").select("page_id", html.normalized_text(F.encode(page, "UTF-8")).alias("text"))
 
 
 @_query
@@ -665,7 +683,7 @@ def _listing_items(spark: SparkSession, sf_dir: str, identifier: Column) -> Data
     item = F.concat(
         F.lit('<li class="each-item even"><h2 class="title"><a href="/cases/'), F.col("doc_id").cast("string"), F.lit('.html"> '),
         identifier, F.lit(' </a></h2><span class="date">'),
-        F.when(F.col("n_chars") > 3000, F.lit("n/a")).otherwise(published),
+        F.when(F.col("source") == "src5", F.lit("n/a")).otherwise(published),
         F.lit('</span>\n<p class="description"> '), escaped, F.lit(' <b>more</b></p><span class="refNO">'),
         F.col("source"), F.lit("</span></li>"),
     )

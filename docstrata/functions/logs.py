@@ -79,7 +79,7 @@ def route_level(level: Column) -> Column:
 def format_summary(message: Column) -> Column:
     """Partition and crawl summaries as a readable line; other messages unchanged."""
     start = F.instr(message, "{")
-    obj = json_object(F.when(start > 0, F.substring(strip(message), start, F.length(message))))
+    obj = json_object(F.when(start > 0, strip(F.substring(message, start, F.length(message)))))
 
     def show(key: str, default: str) -> Column:
         return F.coalesce(_field(obj, key, default), F.lit("None"))
@@ -94,6 +94,7 @@ def format_summary(message: Column) -> Column:
             F.coalesce(_field(f, "error", "?"), F.lit("None")),
         ),
     )
+    # The wording of the readable lines, here and below.
     counts = "found: %s, new: %s, skipped: %s, failed: %s"
     by_partition = F.concat(
         F.format_string(

@@ -13,7 +13,10 @@ from docstrata.functions.urls import search_url
 
 
 def validate_range(start_date: str | None, end_date: str | None) -> tuple[date, date]:
-    """Check the two range parameters of a job: present, real ISO dates, in order."""
+    """Check the two range parameters of a job: present, real ISO dates, in order.
+
+    Compare with ``isoformat()`` of the result, not with the text given: ISO has other forms.
+    """
     days = {"start_date": start_date, "end_date": end_date}
     for name, value in days.items():
         if not value:

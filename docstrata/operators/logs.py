@@ -73,6 +73,18 @@ def partition_history(messages: DataFrame, message_col: str = "message") -> Data
     return parsed.filter(F.col("_summary.body").isNotNull()).select(*messages.columns, "_summary.*")
 
 
+def partition_failures(history: DataFrame) -> DataFrame:
+    """One row per failure of ``partition_history`` rows, of all chunks of a partition.
+
+    A partition without failures keeps one row with null ``url`` and ``error``.
+    """
+    first_chunk = F.coalesce("chunk", F.lit(0)) == 0
+    return history.filter(first_chunk | (F.size("failed_urls") > 0)).select(
+        "body", "partition_start", "partition_end", "total_results", "records_scraped", "records_skipped", "records_failed",
+        F.inline_outer("failed_urls"),
+    )
+
+
 def run_history(messages: DataFrame, message_col: str = "message") -> DataFrame:
     """Crawl summaries found in messages, back as typed rows."""
     parsed = messages.filter(F.contains(F.col(message_col), F.lit("Crawl summary"))).withColumn(

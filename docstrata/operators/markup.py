@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import codecs
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import escape, unescape
 from typing import NamedTuple
@@ -51,24 +52,45 @@ _CUT_OFF = re.compile(r"<(?:!--|[A-Za-z/!?])")
 _RAW_END = {tag: re.compile(rf"</{tag}[\s/>]", re.IGNORECASE) for tag in RAW_TEXT}
 _META_CHARSET = re.compile(rb"<\s*meta[^>]+charset\s*=\s*[\"']?([^>\"'\s/;]+)", re.IGNORECASE)
 _XML_CHARSET = re.compile(rb"^\s*<\?xml[^>]*encoding\s*=\s*[\"']([^\"']+)", re.IGNORECASE)
+_BODY = re.compile(rb"<\s*body[\s>]", re.IGNORECASE)
+# Python's names of the charsets that web pages use.
+CHARSETS = frozenset(
+    "ascii utf-8 utf-16 utf-16-le utf-16-be iso8859-1 iso8859-2 iso8859-3 iso8859-4 iso8859-5 iso8859-6 iso8859-7 "
+    "iso8859-8 iso8859-9 iso8859-10 iso8859-11 iso8859-13 iso8859-14 iso8859-15 iso8859-16 cp866 cp874 cp1250 cp1251 "
+    "cp1252 cp1253 cp1254 cp1255 cp1256 cp1257 cp1258 koi8-r koi8-u mac-roman mac-cyrillic gb2312 gbk gb18030 big5 "
+    "euc_jp shift_jis cp932 iso2022_jp euc_kr tis-620".split()
+)
 _BOMS = ((codecs.BOM_UTF8, "utf-8"), (codecs.BOM_UTF16_LE, "utf-16-le"), (codecs.BOM_UTF16_BE, "utf-16-be"))
 
 
 def decode(data: bytes) -> str:
-    """Bytes to text: byte order mark, declared charset, UTF-8, then windows-1252."""
+    """Bytes to text: byte order mark, declared charset, UTF-8, then windows-1252.
+
+    The declaration is looked for in all of the document before its body.  Names that are no
+    charset of the web (Python has codecs for other things too) count as undeclared.
+    """
     for mark, name in _BOMS:
         if data.startswith(mark):
             return data[len(mark):].decode(name, "replace")
-    declared = _XML_CHARSET.search(data, 0, 1024) or _META_CHARSET.search(data, 0, max(2048, len(data) // 20))
-    names = [declared.group(1).decode("ascii", "ignore")] if declared else []
-    for name in [*names, "utf-8", "windows-1252"]:
+    body = _BODY.search(data)
+    declared = _XML_CHARSET.search(data) or _META_CHARSET.search(data, 0, body.start() if body else len(data))
+    name = _charset(declared.group(1)) if declared else None
+    for charset in [name, "utf-8", "windows-1252"] if name else ["utf-8", "windows-1252"]:
         try:
-            return data.decode(name)
-        except (LookupError, UnicodeDecodeError):
+            return data.decode(charset)
+        except UnicodeDecodeError:
             continue
     return data.decode("utf-8", "replace")
 
 
+def _charset(label: bytes) -> str | None:
+    try:
+        name = codecs.lookup(label.decode("ascii")).name
+    except (LookupError, ValueError):  # unknown, not ASCII, or holding a NUL
+        return None
+    return name if name in CHARSETS else None
+
+
 def attributes(raw: str) -> dict[str, str]:
     """Attribute map of a start tag; the first of equal names counts."""
     found: dict[str, str] = {}
@@ -84,6 +106,7 @@ def walk(source: str) -> Iterator[tuple[str, str, str]]:
     out as one event, as one text node.
     """
     stack: list[str] = []
+    open_tags: Counter[str] = Counter()
     text: list[str] = []
     pos, last = 0, source.rfind(">")
 
@@ -108,20 +131,24 @@ def walk(source: str) -> Iterator[tuple[str, str, str]]:
             continue
         tag = tag.lower()
         if end:
-            depth = _match_end(stack, tag)
+            # An end tag without an open element is ignored at once, however deep the stack.
+            depth = _match_end(stack, tag) if open_tags[tag] else None
             if depth is not None:
                 yield from flush()
                 while len(stack) > depth:
+                    open_tags[stack[-1]] -= 1
                     yield "close", stack.pop(), ""
             continue
         yield from flush()
         for _ in range(_implied_ends(stack, tag)):
+            open_tags[stack[-1]] -= 1
             yield "close", stack.pop(), ""
         yield "open", tag, attrs
         if tag in VOID:
             yield "close", tag, ""
             continue
         stack.append(tag)
+        open_tags[tag] += 1
         if tag in RAW_TEXT:
             end = _RAW_END[tag].search(source, pos)
             stop = end.start() if end else len(source)

@@ -224,8 +224,9 @@ def duplicate_content(rows: DataFrame, key: str = "identifier", hash_col: str =
 
 
 def name_collisions(rows: DataFrame, path_col: str = "file_path") -> DataFrame:
-    """Object names that different identifiers map to."""
-    return duplicate_keys(rows.filter(F.col(path_col).isNotNull()), path_col)
+    """Object names that different identifiers map to, with the number of identifiers."""
+    named = rows.filter(F.col(path_col).isNotNull()).groupBy(path_col)
+    return named.agg(F.count_distinct("identifier").alias("n_identifiers")).filter("n_identifiers > 1")
 
 
 def blobs_missing(metadata: DataFrame, blob_keys: DataFrame) -> DataFrame:

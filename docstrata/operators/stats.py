@@ -72,19 +72,42 @@ def first_failed_urls(outcomes: DataFrame, limit: int = 3) -> DataFrame:
     )
 
 
-def partition_summaries(stats: DataFrame, outcomes: DataFrame, limit: int = 3) -> DataFrame:
-    """Partition statistics with their first failures and the JSON summary message."""
-    failures = first_failed_urls(outcomes, limit)
-    no_failures = F.array().cast("array<struct<url:string,error:string>>")
-    full = stats.join(failures, list(PARTITION), "left").withColumn(
-        "failed_urls", F.coalesce("failed_urls", no_failures)
+def partition_summaries(stats: DataFrame, outcomes: DataFrame, chunk_rows: int = 1000) -> DataFrame:
+    """Partition statistics with all of their failures and the JSON summary message.
+
+    A partition with more than ``chunk_rows`` failures has several rows, numbered by
+    ``chunk``, so that no row grows without bound: each repeats the counters and holds the
+    failures that hash to it.  A partition without failures has one.
+    """
+    counted = stats.withColumn("chunks", F.greatest(F.ceil(F.col("records_failed") / chunk_rows), F.lit(1)))
+    chunks = counted.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"))
+    number = F.pmod(F.xxhash64("url", "error"), F.col("chunks"))
+    failures = (
+        failed_urls(outcomes).join(counted.select(*PARTITION, "chunks"), list(PARTITION))
+        .groupBy(*PARTITION, number.alias("chunk"))
+        .agg(F.sort_array(F.collect_list(F.struct("url", "error"))).alias("failed_urls"))
     )
+    return _with_message(chunks.join(failures, [*PARTITION, "chunk"], "left"), ["chunk", "chunks"])
+
+
+def partition_messages(stats: DataFrame, outcomes: DataFrame, shown: int = 3) -> DataFrame:
+    """Partition statistics with the first failures only, for display; store ``partition_summaries``."""
+    return _with_message(stats.join(first_failed_urls(outcomes, shown), list(PARTITION), "left"), [])
+
+
+def _with_message(rows: DataFrame, more: list[str]) -> DataFrame:
+    no_failures = F.array().cast("array<struct<url:string,error:string>>")
+    full = rows.withColumn("failed_urls", F.coalesce("failed_urls", no_failures))
     fields = [
         "body", _iso("partition_start"), _iso("partition_end"), "total_results", "records_scraped",
-        "records_skipped", "records_failed", "failed_urls",
+        "records_skipped", "records_failed", "failed_urls", *more,
     ]
-    message = F.concat(F.lit("Partition summary: "), F.to_json(F.struct(*fields)))
-    return full.withColumn("message", message)
+    return full.withColumn("message", F.concat(F.lit("Partition summary: "), _json(*fields)))
+
+
+def _json(*fields) -> Column:
+    """Fields as JSON text; null fields are written as null."""
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
 def _iso(name: str) -> Column:
@@ -106,7 +129,7 @@ def crawl_summary(stats: DataFrame, reason: str = "finished") -> DataFrame:
         F.count(F.lit(1)).alias("partitions_processed"),
     )
     row = totals.select(F.lit("crawl_complete").alias("event"), F.lit(reason).alias("reason"), "*")
-    return row.withColumn("message", F.concat(F.lit("Crawl summary: "), F.to_json(F.struct(*row.columns))))
+    return row.withColumn("message", F.concat(F.lit("Crawl summary: "), _json(*row.columns)))
 
 
 def rollup_stats(stats: DataFrame) -> DataFrame:
@@ -150,12 +173,10 @@ def failure_events(outcomes: DataFrame) -> DataFrame:
     common = [
         F.col("url"), F.col("error"), F.col("body"), F.col("partition_start").cast("string").alias("partition"),
     ]
-    with_id = F.struct(
-        event.alias("event"), F.coalesce("identifier", F.lit("unknown")).alias("identifier"), *common
-    )
-    without_id = F.struct(event.alias("event"), *common)
-    text = F.when(document, F.concat(F.lit("Document download failed: "), F.to_json(with_id))).otherwise(
-        F.concat(F.lit("Request failed: "), F.to_json(without_id))
+    with_id = _json(event.alias("event"), F.coalesce("identifier", F.lit("unknown")).alias("identifier"), *common)
+    without_id = _json(event.alias("event"), *common)
+    text = F.when(document, F.concat(F.lit("Document download failed: "), with_id)).otherwise(
+        F.concat(F.lit("Request failed: "), without_id)
     )
     return (
         outcomes.filter(F.col("outcome").isin("failed", "request_failed"))

@@ -162,7 +162,7 @@ blobs AS (SELECT file_path FROM landing WHERE source <> 'src3' AND file_path IS
 _WEEK = "CAST(DATE '2024-01-01' + 7 * CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 7.0) AS INTEGER) AS DATE)"
 _OUTCOMES = f"""outcomes AS (
   SELECT event_type AS body, {_WEEK} AS partition_start,
-    least(CAST({_WEEK} + 6 AS DATE), DATE '2024-01-31') AS partition_end,
+    CAST({_WEEK} + 6 AS DATE) AS partition_end,
     'E-' || CAST(event_id AS VARCHAR) AS identifier,
     CASE WHEN value < 1 THEN 'request_failed' WHEN value < 3 THEN 'failed' WHEN value < 5 THEN 'no_url'
          WHEN value < 20 THEN 'skipped' ELSE 'landed' END AS outcome,
@@ -184,7 +184,7 @@ counted AS (
     count(*) FILTER (outcome IN ('failed', 'request_failed')) AS records_failed
   FROM outcomes GROUP BY ALL),
 types(body) AS (VALUES ('click'), ('error'), ('purchase'), ('refund'), ('signup'), ('view')),
-last_day AS (SELECT greatest(CAST(max(ts) AS DATE), DATE '2024-01-31') AS d FROM events),
+last_day AS (SELECT max(partition_end) AS d FROM outcomes),
 base AS (
   SELECT body, CAST(g AS DATE) AS partition_start, least(CAST(CAST(g AS DATE) + 6 AS DATE), d) AS partition_end
   FROM types, last_day, generate_series(TIMESTAMP '2024-01-01', CAST(d AS TIMESTAMP), INTERVAL 7 DAY) AS t(g)),
@@ -243,8 +243,8 @@ def _counter(name: str, alias: str) -> str:
 _LISTED = f"""listed AS (
   SELECT doc_id, lang, source, text, n_chars, CAST(doc_id // 10 AS INTEGER) AS page,
     CAST(DATE '2024-01-01' + to_months(CAST((doc_id // 10) % 12 AS INTEGER)) AS DATE) AS month,
-    CASE WHEN n_chars > 3000 THEN 'n/a' ELSE strftime(CAST(DATE '2024-01-01' + CAST(n_chars % 366 AS INTEGER) AS DATE), '%d/%m/%Y') END AS published_date,
-    CASE WHEN n_chars > 3000 THEN NULL ELSE strftime(CAST(DATE '2024-01-01' + CAST(n_chars % 366 AS INTEGER) AS DATE), '%Y-%m-%d') END AS published_date_iso,
+    CASE WHEN source = 'src5' THEN 'n/a' ELSE strftime(CAST(DATE '2024-01-01' + CAST(n_chars % 366 AS INTEGER) AS DATE), '%d/%m/%Y') END AS published_date,
+    CASE WHEN source = 'src5' THEN NULL ELSE strftime(CAST(DATE '2024-01-01' + CAST(n_chars % 366 AS INTEGER) AS DATE), '%Y-%m-%d') END AS published_date_iso,
     {_strip('text')} AS description,
     '{SITE}/cases/' || CAST(doc_id AS VARCHAR) || '.html' AS doc_url,
     CAST(row_number() OVER (PARTITION BY lang, doc_id // 10 ORDER BY doc_id) - 1 AS INTEGER) AS pos
@@ -371,7 +371,10 @@ FROM (SELECT doc_id, sha256({_collapse('text')}) AS file_hash FROM documents) GR
         "duplicate_identifiers": """
 SELECT sha256(text) AS identifier, count(*) AS n_rows FROM documents GROUP BY text HAVING count(*) > 1""",
         "name_collisions": """
-SELECT source || '-' || lang || '.html' AS file_path, count(*) AS n_rows FROM documents GROUP BY 1 HAVING count(*) > 1""",
+SELECT source || '-' || lang || '.html' AS file_path, count(DISTINCT doc_id // 10) AS n_identifiers
+FROM documents GROUP BY 1 HAVING count(DISTINCT doc_id // 10) > 1""",
+        "late_charset": "SELECT page_id, url || ' éü' || chr(145) AS text FROM pages",
+        "strange_charsets": "SELECT page_id, url || ' é +AGE- \\ud800' AS text FROM pages",
         "skip_known": _with(_DOCS, _STORED) + """
 SELECT identifier, source FROM doc_rows d WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.identifier = d.identifier)""",
         "skipped_known": _with(_DOCS, _STORED) + """
@@ -449,10 +452,10 @@ UNION ALL
 SELECT 'Crawl complete | partitions: ' || partitions_processed || ', found: ' || total_expected || ', new: ' || total_scraped
   || ', skipped: ' || total_skipped || ', failed: ' || total_failed
 FROM (SELECT {_RUN_SUMS} FROM stat)""",
-        "partition_history": _with(_STATS, _TOP3) + """
-SELECT body, CAST(partition_start AS VARCHAR) AS partition_start, total_results, records_scraped, records_skipped, records_failed,
-  CAST(coalesce(n_shown, 0) AS INTEGER) AS n_failed_shown
-FROM stat LEFT JOIN top3 USING (body, partition_start, partition_end)""",
+        "partition_history": _with(_STATS) + f"""
+SELECT body, {_DATES}, total_results, records_scraped, records_skipped, records_failed, url, error
+FROM stat LEFT JOIN (SELECT body, partition_start, partition_end, url, error FROM outcomes WHERE {_FAILED})
+USING (body, partition_start, partition_end)""",
         "run_history": _with(_STATS) + f"""
 SELECT 'crawl_complete' AS event, body AS reason, {_RUN_SUMS} FROM stat GROUP BY body""",
         "parse_logs": _with(_LINES) + "SELECT seq, level, message FROM parsed",

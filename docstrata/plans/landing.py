@@ -78,7 +78,8 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame, run: Landing
     stored = lake.current(LANDING, run.version, schemas.FILE_FIELDS)
     # The lookup sides are written first: see ``operators.reconcile`` on hot keys.
     known = lake.stage(_known(lake, run), "known", run.version)
-    heads = lake.stage(_best_responses(responses), "responses", run.version)
+    wanted = lake.stage(_wanted_urls(pages, known, run), "wanted", run.version)
+    heads = lake.stage(_best_responses(responses.join(wanted, "url", "left_semi")), "responses", run.version)
     arrivals = lake.stage(_arrivals(pages, known, heads, run), "arrivals", run.version)
     if run.policy != "hash_update":
         repeated = lake.stage(_repeated(arrivals), "repeated", run.version)
@@ -118,23 +119,33 @@ def _known(lake: Lake, run: LandingRun) -> DataFrame:
     if run.policy == "hash_update":
         stored = stored.limit(0)
     elif run.policy == "default":
-        stored = stored.filter(F.col("partition_date").between(run.start_date, run.end_date))
+        start, end = (day.isoformat() for day in validate_range(run.start_date, run.end_date))
+        stored = stored.filter(F.col("partition_date").between(start, end))
     return stored.select("identifier")
 
 
 def _best_responses(responses: DataFrame) -> DataFrame:
     """One response per URL: a good one if there is any, then the earliest.  No bytes."""
-    best = F.min_by(
-        F.struct("captured_at", "error", "content_type"),
-        F.struct(F.col("error").isNotNull(), "captured_at", "error", "content_type"),
+    # Rows of one capture first: only copies of the capture chosen need grouping by content.
+    captures = responses.groupBy("url", "captured_at", "error", "content_type").agg(F.count(F.lit(1)).alias("copies"))
+    by_time = captures.groupBy("url", "captured_at").agg(
+        F.min(F.struct(F.col("error").isNotNull(), "error", "content_type")).alias("least"),
+        F.sum(F.when(F.col("error").isNull(), F.col("copies"))).alias("copies"),
     )
-    picked = responses.groupBy("url").agg(best.alias("best"), (F.count(F.lit(1)) > 1).alias("several"))
+    best = F.min(F.struct("least.col1", "captured_at", "least.error", "least.content_type", "copies"))
+    picked = by_time.groupBy("url").agg(best.alias("best"))
     return picked.select(
         F.col("url").alias("_url"), F.col("best.captured_at").alias("response_at"), "best.error", "best.content_type",
-        "several",
+        (F.coalesce("best.copies", F.lit(0)) > 1).alias("several"),
     )
 
 
+def _wanted_urls(pages: DataFrame, known: DataFrame, run: LandingRun) -> DataFrame:
+    """Document URLs of the items that are not known yet."""
+    items = with_identifier(listing_rows(pages, run.site, run.run_ts)).filter(F.col("doc_url") != "")
+    return items.join(known, "identifier", "left_anti").select(F.col("doc_url").alias("url")).distinct()
+
+
 def _arrivals(pages: DataFrame, known: DataFrame, heads: DataFrame, run: LandingRun) -> DataFrame:
     """Listing items with their outcome; document bytes are not read here."""
     items = with_identifier(listing_rows(pages, run.site, run.run_ts)).drop("published_dt")
@@ -339,4 +350,4 @@ def write_reports(lake: Lake, result: LandingResult) -> None:
         "failures": stats.failure_events(result.outcomes),
     }
     for name, rows in reports.items():
-        rows.write.mode("overwrite").json(lake.path("reports", name, f"version={result.version}"))
+        rows.write.mode("overwrite").option("ignoreNullFields", "false").json(lake.path("reports", name, f"version={result.version}"))

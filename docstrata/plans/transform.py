@@ -46,8 +46,8 @@ def transform(lake: Lake, run: TransformRun, only: DataFrame | None = None) -> T
     """Clean the landed documents of a date range; ``only`` restricts it to some identifiers."""
     if run.mode not in MODES:
         raise ValueError(f"mode {run.mode!r} is none of {', '.join(MODES)}")
-    validate_range(run.start_date, run.end_date)
-    landed = lake.in_range(LANDING, run.start_date, run.end_date, date_col=run.date_col)
+    start, end = (day.isoformat() for day in validate_range(run.start_date, run.end_date))
+    landed = lake.in_range(LANDING, start, end, date_col=run.date_col)
     if only is not None:
         landed = landed.join(only.select("identifier").distinct(), "identifier", "left_semi")
 

@@ -92,6 +92,8 @@ PARTITION_SUMMARY = T.StructType(
         T.StructField("records_skipped", T.LongType()),
         T.StructField("records_failed", T.LongType()),
         T.StructField("failed_urls", T.ArrayType(FAILED_URL)),
+        T.StructField("chunk", T.LongType()),
+        T.StructField("chunks", T.LongType()),
     ]
 )
 CRAWL_SUMMARY = T.StructType(

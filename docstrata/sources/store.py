@@ -4,8 +4,11 @@ Each run writes its own ``version=N`` folder of a zone:
 
 * ``blobs``  the stored bytes, one row per object,
 * ``log``    metadata rows with the action taken, partitioned by ``partition_date``,
-* ``commits`` one row, written last.  Readers only look at committed versions, so a run
-  that died half-way is invisible, and running it again overwrites what it left.
+* ``commits`` one row, written last, which names the attempt that counts.
+
+Every attempt at a version writes to folders of its own (``version=N/attempt=A``) and is
+published by its marker alone, so a run that died half-way is invisible, and a version that
+is run again keeps its old rows and objects until the new ones are all there.
 
 Current state is the newest applied log row per identifier.  ``compact`` stores it as a
 snapshot; readers then aggregate only the log rows after the snapshot.
@@ -14,7 +17,9 @@ snapshot; readers then aggregate only the log rows after the snapshot.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+import time
+import uuid
+from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +32,9 @@ from docstrata.operators.reconcile import last_per_key, require_unique
 LANDING = "landing"
 TRANSFORMED = "transformed"
 _LOG_SCHEMAS = {LANDING: schemas.LANDING_LOG, TRANSFORMED: schemas.TRANSFORMED_LOG}
-_COMMITS = T.StructType([T.StructField("at", T.StringType()), T.StructField("version", T.LongType())])
+_COMMITS = T.StructType(
+    [T.StructField("at", T.StringType()), T.StructField("version", T.LongType()), T.StructField("attempt", T.StringType())]
+)
 APPLIED = ("insert", "update")
 
 
@@ -37,6 +44,12 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # By zone and version: the attempt that this object is writing.
+        self._attempts: dict[tuple[str, int], str] = {}
+
+    def _attempt(self, zone: str, version: int) -> str:
+        """Later attempts sort after earlier ones."""
+        return self._attempts.setdefault((zone, version), f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -55,12 +68,13 @@ class Lake:
         columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
         return self.spark.range(1).filter(F.lit(False)).select(*columns)
 
-    def _read_versions(self, schema: T.StructType, versions: Iterable[int], *parts: str) -> DataFrame:
-        """Only the given ``version=N`` folders; the others are not even listed."""
-        paths = [self.path(*parts, f"version={v}") for v in versions]
+    def _read_versions(self, schema: T.StructType, attempts: Mapping[int, str], *parts: str) -> DataFrame:
+        """Only the folders of the given versions' attempts; the others are not even listed."""
+        paths = [self.path(*parts, f"version={v}", f"attempt={a}") for v, a in attempts.items()]
         if not paths:
             return self._empty(schema)
-        return self.spark.read.schema(schema).option("basePath", self.path(*parts)).parquet(*paths)
+        rows = self.spark.read.schema(schema).option("basePath", self.path(*parts)).parquet(*paths)
+        return rows.select(*schema.fieldNames())
 
     # -- intermediate tables -------------------------------------------------
 
@@ -71,26 +85,33 @@ class Lake:
         gives the planner true sizes, so joins below the broadcast threshold are
         broadcast and larger ones are not.
         """
-        target = self.path("staging", f"version={version}", name)
+        attempt = self._attempt("staging", version)
+        target = self.path("staging", f"version={version}", f"attempt={attempt}", name)
         rows.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(rows.schema).parquet(target)
 
     # -- commits ---------------------------------------------------------------
 
-    def _marked(self, *parts: str) -> list[int]:
+    def _marked(self, *parts: str) -> dict[int, str]:
+        """Published versions in order, each with its latest attempt."""
         # One small file per run, whatever the size of the data; listing needs no job.
         files = self._read(_COMMITS, *parts).inputFiles()
-        return sorted({int(re.search(r"/version=(\d+)/", f).group(1)) for f in files})
+        found = sorted(re.search(r"/version=(\d+)/attempt=([^/]+)/", f).groups() for f in files)
+        return dict(sorted((int(version), attempt) for version, attempt in found))
 
-    def _mark(self, at: str, version: int, *parts: str) -> None:
+    def _mark(self, at: str, version: int, attempt: str, *parts: str) -> None:
+        """Add a marker; those of earlier attempts stay and no longer count."""
         row = self.spark.range(1).select(F.lit(at).alias("at"))
-        row.coalesce(1).write.mode("overwrite").parquet(self.path(*parts, f"version={version}"))
+        row.coalesce(1).write.mode("overwrite").parquet(self.path(*parts, f"version={version}", f"attempt={attempt}"))
 
     def committed(self, zone: str) -> list[int]:
-        return self._marked(zone, "commits")
+        return list(self._marked(zone, "commits"))
 
     def commit(self, zone: str, version: int, at: str) -> None:
-        self._mark(at, version, zone, "commits")
+        """Publish what this object has written of a version."""
+        self._mark(at, version, self._attempt(zone, version), zone, "commits")
+        del self._attempts[(zone, version)]
+        self._attempts.pop(("staging", version), None)
 
     def commit_stream(self, zone: str) -> DataFrame:
         """Versions as they are committed."""
@@ -104,25 +125,29 @@ class Lake:
     def write_blobs(self, blobs: DataFrame, zone: str, version: int) -> DataFrame:
         """Store objects of a run; returns the written table."""
         columns = [c for c in schemas.BLOBS.fieldNames() if c != "version"]
-        target = self.path(zone, "blobs", f"version={version}")
+        attempt = self._attempt(zone, version)
+        target = self.path(zone, "blobs", f"version={version}", f"attempt={attempt}")
         blobs.select(*columns).write.mode("overwrite").parquet(target)
-        return self.blobs(zone, [version])
+        return self._read_versions(schemas.BLOBS, {version: attempt}, zone, "blobs")
 
     def write_log(self, rows: DataFrame, zone: str, version: int) -> None:
         """Append the metadata changes of a run."""
         columns = [c for c in _LOG_SCHEMAS[zone].fieldNames() if c != "version"]
-        _by_partition(rows.select(*columns)).parquet(self.path(zone, "log", f"version={version}"))
+        attempt = self._attempt(zone, version)
+        _by_partition(rows.select(*columns)).parquet(self.path(zone, "log", f"version={version}", f"attempt={attempt}"))
 
     # -- reading -----------------------------------------------------------------
 
     def blobs(self, zone: str, versions: Iterable[int] | None = None) -> DataFrame:
         """Stored objects of the given versions (default: all committed ones)."""
-        wanted = self.committed(zone) if versions is None else versions
+        published = self._marked(zone, "commits")
+        wanted = published if versions is None else {v: published[v] for v in versions if v in published}
         return self._read_versions(schemas.BLOBS, wanted, zone, "blobs")
 
     def log(self, zone: str, before: int | None = None, after: int = 0) -> DataFrame:
         """Committed log rows with ``after < version < before``."""
-        wanted = [v for v in self.committed(zone) if v > after and (before is None or v < before)]
+        published = self._marked(zone, "commits")
+        wanted = {v: a for v, a in published.items() if v > after and (before is None or v < before)}
         return self._read_versions(_LOG_SCHEMAS[zone], wanted, zone, "log")
 
     def current(self, zone: str, before: int | None = None, columns: Iterable[str] | None = None) -> DataFrame:
@@ -140,7 +165,7 @@ class Lake:
         recent = last_per_key(applied, "identifier", ["version", "arrived"])
         if not base:
             return recent
-        snapshot = self._read_versions(_LOG_SCHEMAS[zone], [base], zone, "snapshot", "state").select(*kept)
+        snapshot = self._read_snapshot(_LOG_SCHEMAS[zone], base, zone, "state").select(*kept)
         return snapshot.join(recent.select("identifier"), "identifier", "left_anti").unionByName(recent)
 
     def blob_index(self, zone: str, before: int | None = None) -> DataFrame:
@@ -155,7 +180,7 @@ class Lake:
         )
         if not base:
             return recent
-        snapshot = self._read_versions(schemas.BLOB_INDEX, [base], zone, "snapshot", "index").drop("version")
+        snapshot = self._read_snapshot(schemas.BLOB_INDEX, base, zone, "index").drop("version")
         return snapshot.join(recent.select("file_path"), "file_path", "left_anti").unionByName(recent)
 
     def objects(self, zone: str) -> DataFrame:
@@ -186,18 +211,24 @@ class Lake:
         found = [v for v in self._marked(zone, "snapshot", "commits") if before is None or v < before]
         return max(found, default=0)
 
+    def _read_snapshot(self, schema: T.StructType, version: int, zone: str, name: str) -> DataFrame:
+        attempt = self._marked(zone, "snapshot", "commits")[version]
+        return self._read_versions(schema, {version: attempt}, zone, "snapshot", name)
+
     def compact(self, zone: str, at: str) -> int:
         """Store the current state and path index as a snapshot; returns its version."""
         version = max(self.committed(zone), default=0)
         if version == 0 or version == self._snapshot_version(zone, None):
             return version
+        attempt = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        folder = [f"version={version}", f"attempt={attempt}"]
         state = self.current(zone).drop("version")
-        _by_partition(state).parquet(self.path(zone, "snapshot", "state", f"version={version}"))
-        written = self._read_versions(_LOG_SCHEMAS[zone], [version], zone, "snapshot", "state")
+        _by_partition(state).parquet(self.path(zone, "snapshot", "state", *folder))
+        written = self._read_versions(_LOG_SCHEMAS[zone], {version: attempt}, zone, "snapshot", "state")
         require_unique(written.select("identifier"))
         index = self.blob_index(zone)
-        index.write.mode("overwrite").parquet(self.path(zone, "snapshot", "index", f"version={version}"))
-        self._mark(at, version, zone, "snapshot", "commits")
+        index.write.mode("overwrite").parquet(self.path(zone, "snapshot", "index", *folder))
+        self._mark(at, version, attempt, zone, "snapshot", "commits")
         return version
 
 

@@ -7,6 +7,7 @@ import hashlib
 import html as stdlib_html
 import html.parser
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,6 +161,22 @@ def test_decode():
     assert decode(b"\xef\xbb\xbfa") == "a" and decode("a".encode("utf-16")) == "a"
     assert decode(b"\x93q\x94") == "“q”"
     assert decode(b'<meta charset="nonsense">\xc3\xa9').endswith("é")
+    late = b"<html><head><!--" + b"x" * 5000 + b'--><meta charset="iso-8859-1"></head><body>\x80\xe9'
+    assert decode(late).endswith("\x80é")
+    # A declaration inside the body is text.
+    assert decode(b'<head></head><body><meta charset="iso-8859-1">\xc3\xa9').endswith("é")
+
+
+@pytest.mark.parametrize("name", [b"undefined", b"utf-7", b"unicode_escape", b"rot13", b"a\x00b", b"idna", b"hex", b"x" * 300])
+def test_strange_charsets_count_as_undeclared(name):
+    assert decode(b'<meta charset="' + name + b'">caf\xc3\xa9 +AGE- \\ud800').endswith("café +AGE- \\ud800")
+
+
+def test_stray_end_tags_take_linear_time():
+    source = "<b>" * 60_000 + "x" + "</i>" * 200_000
+    begin = time.perf_counter()
+    assert text(source) == "x"
+    assert time.perf_counter() - begin < 20
 
 
 def sha(value):

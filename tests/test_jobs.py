@@ -93,6 +93,49 @@ def test_replaying_a_version_changes_nothing(lake, captures):
     assert state(lake) == before
 
 
+@pytest.mark.parametrize("step", ["write_blobs", "write_log", "commit"])
+def test_failed_replay_keeps_what_was_committed(lake, captures, monkeypatch, step):
+    frames = captures(*first_captures())
+    land(lake, *frames, RUN)
+    transform(lake, TransformRun("2024-01-01", "2024-12-31", 1, RUN.run_ts))
+    lake.compact(LANDING, "t")
+
+    def content():
+        return sorted((zone, r.file_path, bytes(r.content or b"")) for zone in (LANDING, TRANSFORMED) for r in lake.objects(zone).collect())
+
+    before, objects = state(lake), content()
+    assert objects
+
+    def fail(*args, **kwargs):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(type(lake), step, fail)
+        with pytest.raises(OSError):
+            land(lake, *frames, RUN)
+        with pytest.raises(OSError):
+            transform(lake, TransformRun("2024-01-01", "2024-12-31", 1, RUN.run_ts))
+    assert state(lake) == before and content() == objects
+    with monkeypatch.context() as broken:
+        broken.setattr(type(lake), "_mark", fail)
+        lake.write_log(lake.log(LANDING), LANDING, 2)
+        with pytest.raises(OSError):
+            lake.commit(LANDING, 2, "t")
+    assert state(lake) == before
+    land(lake, *frames, RUN)
+    assert state(lake) == before and content() == objects
+
+
+def test_dates_in_other_iso_forms(lake, captures):
+    frames = captures(*first_captures())
+    land(lake, *frames, RUN)
+    basic = replace(RUN, start_date=RUN.start_date.replace("-", ""), end_date=RUN.end_date.replace("-", ""), version=2)
+    again = land(lake, *frames, basic)
+    assert again.counts().first().inserted == 0
+    moved = transform(lake, TransformRun(basic.start_date, basic.end_date, 1, RUN.run_ts))
+    assert moved.statuses.count() > 0
+
+
 def test_uncommitted_version_is_invisible(lake, captures):
     land(lake, *captures(*first_captures()), RUN)
     lake.write_log(lake.log(LANDING).withColumn("identifier", F.lit("GHOST")), LANDING, 2)

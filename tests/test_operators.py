@@ -217,13 +217,20 @@ def test_partition_stats(spark):
     assert json.loads(summary.message.removeprefix("Crawl summary: ")) == {
         "event": "crawl_complete", "reason": "shutdown", "total_expected": 9, "total_scraped": 3, "total_skipped": 2,
         "total_failed": 3, "partitions_processed": 2}
-    messages = stats.partition_summaries(result, frame_out, limit=2)
+    messages = stats.partition_messages(result, frame_out, shown=2)
     data = json.loads(messages.filter("partition_start = '2024-01-01'").first().message.removeprefix("Partition summary: "))
     assert data == {"body": "B", "partition_start": "2024-01-01", "partition_end": "2024-01-31", "total_results": 9,
                     "records_scraped": 3, "records_skipped": 2, "records_failed": 3,
                     "failed_urls": [{"url": "u1", "error": "503"}, {"url": "u2", "error": "x"}]}
-    history = logs.partition_history(messages.select("message")).filter("partition_start = '2024-01-01'").first()
-    assert (history.total_results, len(history.failed_urls)) == (9, 2)
+    for chunk_rows, chunks in ((1000, 1), (2, 2), (1, 3)):
+        stored = stats.partition_summaries(result, frame_out, chunk_rows)
+        history = logs.partition_history(stored.select("message")).filter("partition_start = '2024-01-01'")
+        rows = logs.partition_failures(history).collect()
+        assert history.count() == chunks and sorted((r.url, r.error) for r in rows if r.url) == [("u1", "503"), ("u2", "x"), ("u3", "timeout")]
+        empty = logs.partition_failures(logs.partition_history(stored.select("message")).filter("partition_start = '2024-02-01'")).collect()
+        assert [(r.records_failed, r.url) for r in empty] == [(0, None)]
+    nulls = stats.partition_messages(result.withColumn("total_results", F.lit(None).cast("bigint")), frame_out).first().message
+    assert '"total_results":null' in nulls
     assert logs.run_history(stats.crawl_summary(result).select("message")).first().total_failed == 3
     totals = {(r.body, r.partition_start): r.records_scraped for r in stats.rollup_stats(result).collect()}
     assert totals == {("B", JAN): 3, ("B", dt.date(2024, 2, 1)): 0, ("B", None): 3, (None, None): 3}
