@@ -593,6 +593,23 @@ def partition_history(spark, sf_dir):
     return logs.partition_failures(logs.partition_history(messages))
 
 
+@_query
+def cleaning_rules(spark, sf_dir):
+    """Banner classes, ids, hidden inputs and return links around the main content of each page."""
+    number = F.col("page_id").cast("string")
+    classes = (
+        "cookie-banner", "navbar", "footer-one", "footer-two", "footer-nav", "social-banner", "no-print", "return-to-search", "ptools-pager",
+    )
+    ids = ("binderFixed", "advancedSearchControls", "searchPnl")
+    pick = lambda names: F.get(F.array(*[F.lit(n) for n in names]), (F.col("page_id") % len(names)).cast("int"))
+    page = F.concat(
+        F.lit('<html><body><header>h</header><noscript>n</noscript><div class="wide '), pick(classes), F.lit('">gone <b>too</b></div><p id="'), pick(ids),
+        F.lit('">gone</p><div id="main"><a href="/s">Return to Search</a><a href="/s"><i>x</i> Return to Search</a><input type="hidden" value="'), number,
+        F.lit('"><p>Page '), number, F.lit("</p></div><iframe>f</iframe></body></html>"),
+    )
+    return _table(spark, sf_dir, "pages").select("page_id", html.normalized_text(page).alias("text"), html.cleaned_html(page).alias("main"))
+
+
 @_query
 def late_charset(spark, sf_dir):
     """Text of pages in ISO 8859-1 whose charset is declared behind a long comment."""

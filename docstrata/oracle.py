@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 
-from docstrata.operators.html import CLEAN_TAGS
-from docstrata.sources.captures import BODIES
+# Fixed values, written here again so that a wrong one in the package shows.
+CLEAN_TAGS = ["script", "style", "nav", "footer", "header", "noscript", "iframe"]
+BODIES = {"Employment Appeals Tribunal": "1", "Equality Tribunal": "2", "Labour Court": "3", "Workplace Relations Commission": "4"}
 
 SITE = "https://site.example"
 RUN_TS = "2024-07-01T00:00:00"
@@ -373,6 +374,10 @@ SELECT sha256(text) AS identifier, count(*) AS n_rows FROM documents GROUP BY te
         "name_collisions": """
 SELECT source || '-' || lang || '.html' AS file_path, count(DISTINCT doc_id // 10) AS n_identifiers
 FROM documents GROUP BY 1 HAVING count(DISTINCT doc_id // 10) > 1""",
+        "cleaning_rules": """
+SELECT page_id, 'x Return to Search Page ' || page_id AS text,
+  '<div id="main"><a href="/s"><i>x</i> Return to Search</a><input type="hidden" value="' || page_id || '"/><p>Page ' || page_id || '</p></div>' AS main
+FROM pages""",
         "late_charset": "SELECT page_id, url || ' éü' || chr(145) AS text FROM pages",
         "strange_charsets": "SELECT page_id, url || ' é +AGE- \\ud800' AS text FROM pages",
         "skip_known": _with(_DOCS, _STORED) + """
