@@ -66,7 +66,9 @@ def op8_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(_table(spark, sf_dir, "documents"), [F.col("doc_id")])
+    judged = judge(_table(spark, sf_dir, "documents"), [F.col("doc_id")])
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"]
+    return judged.select(*first, *[c for c in judged.columns if c not in first])
 
 
 def op10_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,17 +96,21 @@ words AS (
 
 _OP5 = f"""
 WITH RECURSIVE {_WORDS},
-sets AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
-  FROM words
+placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM words WHERE len(w) >= 5),
+windows AS (
+  SELECT doc_id, word || ' ' || lead(word, 1) OVER q || ' ' || lead(word, 2) OVER q || ' ' || lead(word, 3) OVER q || ' ' || lead(word, 4) OVER q AS shingle
+  FROM placed WINDOW q AS (PARTITION BY doc_id ORDER BY p)
 ),
-sizes AS (SELECT doc_id, len(s) AS n FROM sets),
-shingles AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+shingles AS (
+  SELECT DISTINCT doc_id, shingle FROM windows WHERE shingle IS NOT NULL
+  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM words WHERE len(w) BETWEEN 1 AND 4
+),
+sizes AS (SELECT doc_id, count(shingle) AS n FROM words LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+shared AS (SELECT doc_id, hash(shingle) AS shingle FROM shingles QUALIFY count(*) OVER (PARTITION BY shingle) > 1),
 links AS (
   SELECT c.a, c.b FROM (
     SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
-    FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+    FROM shared x JOIN shared y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
   ) c JOIN sizes p ON p.doc_id = c.a JOIN sizes q ON q.doc_id = c.b
   WHERE 100 * k >= 75 * (p.n + q.n - k)
 ),
