@@ -610,6 +610,19 @@ def cleaning_rules(spark, sf_dir):
     return _table(spark, sf_dir, "pages").select("page_id", html.normalized_text(page).alias("text"), html.cleaned_html(page).alias("main"))
 
 
+@_query
+def sql_html_functions(spark, sf_dir):
+    """The registered hash, text and cleaning functions, called from SQL."""
+    register_functions(spark)
+    _table(spark, sf_dir, "pages").createOrReplaceTempView("sql_html_pages")
+    return spark.sql(
+        """SELECT page_id, compute_content_hash(doc, 'html') AS html_hash, compute_content_hash(doc, 'pdf') AS pdf_hash,
+             compute_content_hash(doc, CAST(NULL AS STRING)) AS other_hash, normalize_html_content(doc) AS text, clean_html(doc) AS main
+           FROM (SELECT page_id, encode('<html><body><script>s</script><p>Page <b>' || page_id || '</b></p></body></html>', 'UTF-8') AS doc
+                 FROM sql_html_pages)"""
+    )
+
+
 @_query
 def late_charset(spark, sf_dir):
     """Text of pages in ISO 8859-1 whose charset is declared behind a long comment."""

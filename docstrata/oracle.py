@@ -377,6 +377,11 @@ FROM documents GROUP BY 1 HAVING count(DISTINCT doc_id // 10) > 1""",
         "cleaning_rules": """
 SELECT page_id, 'x Return to Search Page ' || page_id AS text,
   '<div id="main"><a href="/s"><i>x</i> Return to Search</a><input type="hidden" value="' || page_id || '"/><p>Page ' || page_id || '</p></div>' AS main
+FROM pages""",
+        "sql_html_functions": """
+SELECT page_id, sha256('Page ' || page_id) AS html_hash,
+  sha256('<html><body><script>s</script><p>Page <b>' || page_id || '</b></p></body></html>') AS pdf_hash,
+  sha256('Page ' || page_id) AS other_hash, 'Page ' || page_id AS text, '<body><p>Page <b>' || page_id || '</b></p></body>' AS main
 FROM pages""",
         "late_charset": "SELECT page_id, url || ' éü' || chr(145) AS text FROM pages",
         "strange_charsets": "SELECT page_id, url || ' é +AGE- \\ud800' AS text FROM pages",
