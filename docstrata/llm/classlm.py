@@ -39,7 +39,7 @@ from docstrata.llm.storage import filesystem, staged, workspace
 from docstrata.llm.words import Words, blocks, hash_words, mix
 
 CLASSES, MIN_SHARE, GROUPS, SWEEPS, PARTS, LOCAL_WORDS = 64, 1e-4, 2048, 6, 8, 8_000_000
-_BUFFER_TOKENS = 4_000_000
+_BUFFER_TOKENS = 2_000_000
 _ALPHA = 10.0
 
 
