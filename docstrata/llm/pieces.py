@@ -39,7 +39,7 @@ from docstrata.session import ship_package
 DROPOUT, SEED, VARIANTS = 0.1, 11, 4
 _BLANK, _LITERAL = "▁", "\udc81"  # the model's blank; a stand-in for a literal one, which no text can hold
 _CHUNKS = re.compile(f"{_BLANK}*[^{_BLANK}]+|{_BLANK}+")
-_MEMORY, _ROUND_SYMBOLS, _GROUP_BYTES = 600_000, 1 << 18, 8 << 20
+_MEMORY, _ROUND_SYMBOLS, _GROUP_BYTES = 450_000, 1 << 18, 4 << 20
 _SLOT_BITS, _STRETCH = 21, 64
 
 
