@@ -106,6 +106,33 @@ def test_dropout_matches_the_agenda(model):
     assert len({tuple(g) for g, c in zip(got, many) if c == "▁international"}) > 5
 
 
+def test_every_occurrence_draws_its_own_dropout(model):
+    # 500 documents of 64 equal words: more segmentations than a few keys give, inside a text as well.
+    texts = ["international " * 64] * 500 + ["antidisestablishmentarianism " * 3 + "x" * 300, "", "▁raw ▁▁ blank", "hello " * 2000]
+    keys = mix(np.arange(len(texts), dtype=np.uint64))
+    got = [np.frombuffer(g, "<u4").tolist() for g in model.encode(texts, keys, 5, 0.1)]
+    assert got == [np.frombuffer(g, "<u4").tolist() for g in model.encode(texts, keys, 5, 0.1)]  # from memory
+    assert got[3:4] == [np.frombuffer(g, "<u4").tolist() for g in pieces.Pieces(MODEL).encode(texts[3:4], keys[3:4], 5, 0.1)]
+    forms = set()
+    for ids in got[:500]:
+        word, text = [], b""
+        for i in ids:
+            text += model.bytes_of[i]
+            word.append(i)
+            if text == b" international":
+                forms.add(tuple(word))
+                word, text = [], b""
+    assert len(forms) > 20
+    assert len({tuple(g) for g in got[:500]}) > 490
+    # What is remembered gives what the definition gives, chunk by chunk.
+    threshold = round(0.1 * (1 << 53))
+    for text, key, ids in list(zip(texts, keys, got))[496:]:
+        chunks = pieces._CHUNKS.findall(f"▁{text.replace('▁', pieces._LITERAL)}".replace(" ", "▁")) if text else []
+        own = mix(key ^ mix(np.arange(len(chunks), dtype=np.uint64) + mix(np.full(1, 5, dtype=np.uint64))))
+        afresh = model.segment(chunks, own, threshold) if chunks else []
+        assert b"".join(afresh) == np.array(ids, dtype="<u4").tobytes()
+
+
 def test_pieces_round_trip_on_tables(spark):
     docs = spark.createDataFrame([(i, t, "taken") for i, t in enumerate(TEXT)] + [(4, TEXT[4], "taken"), (None, "null id here", "x")], "doc_id bigint, text string, n_pieces string")
     out = pieces.encode(docs, MODEL, dropout=0.3)
