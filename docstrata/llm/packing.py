@@ -66,8 +66,9 @@ def unpack(data: bytes, bits: int, n: int) -> np.ndarray:
 class WordEncoder:
     """A tokenizer that drops white space and never joins words, applied word by word with a memory.
 
-    Words are lower-cased in ASCII, as the tokenizer itself does, unless a special token may
-    stand in them.  New words of letters are encoded many at a time and told apart by the
+    Words of ASCII are lower-cased, as the tokenizer itself does, unless a special token may
+    stand in them.  Other words are left to it: it composes characters before it lowers them,
+    and a small letter may compose with a mark that its capital does not take.  New words of letters are encoded many at a time and told apart by the
     pieces that end a word; whatever does not come out even is encoded alone.
     """
 
@@ -123,7 +124,8 @@ class WordEncoder:
         if len(self.known) > self._MEMORY:
             self.known.clear()
         split = [
-            text.lower().split() if b"<|" not in text else [word if b"<|" in word else word.lower() for word in text.split()] for text in texts
+            text.lower().split() if text.isascii() and b"<|" not in text else [word.lower() if word.isascii() and b"<|" not in word else word for word in text.split()]
+            for text in texts
         ]
         new = set().union(*split) - self.known.keys() if split else set()
         if new:

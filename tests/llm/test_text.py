@@ -227,7 +227,8 @@ def test_packing_round_trip(bits):
 def test_word_encoder_matches_the_library():
     from tokenizers import Tokenizer
 
-    texts = [t or "" for t in TEXT]
+    marked = [f"see {c}{rest} now" for c in ("J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a") for rest in ("", "an", "AN!", "É")]
+    texts = [t or "" for t in TEXT] + marked
     want = [e.ids for e in Tokenizer.from_file(TOKENIZER).encode_batch(texts, add_special_tokens=False)]
     encoder = packing.WordEncoder(TOKENIZER)
     for _ in range(2):  # from scratch and from memory
