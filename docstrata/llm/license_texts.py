@@ -24,7 +24,11 @@ list of conditions and the following disclaimer. 2. Redistributions in binary fo
 notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with
 the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
 IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
-PARTICULAR PURPOSE ARE DISCLAIMED.""",
+PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,
+INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY
+OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
 that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this
 list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright
@@ -32,7 +36,11 @@ notice, this list of conditions and the following disclaimer in the documentatio
 the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse
 or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY
 THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,
-THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,
+INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY
+OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
 compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless
 required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS"
@@ -43,6 +51,31 @@ General Public License as published by the Free Software Foundation, either vers
 option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
 without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public
 License for more details.""",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your
+option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License
+for more details.""",
+    "LGPL-2.0-or-later": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU
+Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your
+option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Library General Public License
+for more details.""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU
+Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your
+option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License
+for more details.""",
+    "LGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your
+option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License
+for more details.""",
+    "AGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your
+option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License
+for more details.""",
     "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
 not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
 }
@@ -62,3 +95,30 @@ STATEMENTS = [
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0.", "cc by nc sa 4 0"),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0.", "cc0 1 0"),
 ]
+
+# Phrases that tell a full text from its relatives: each must be matched at a place of its own in the template.
+NAMING = {
+    "MIT": ["permission notice"],
+    "ISC": ["permission notice appear"],
+    "BSD-3-Clause": ["endorse or promote"],
+    "Apache-2.0": ["apache license version 2 0"],
+    "GPL-2.0-or-later": ["gnu general", "version 2", "later version"],
+    "GPL-3.0-or-later": ["gnu general", "version 3", "later version"],
+    "LGPL-2.0-or-later": ["library general", "version 2", "later version"],
+    "LGPL-2.1-or-later": ["lesser general", "version 2 1", "later version"],
+    "LGPL-3.0-or-later": ["lesser general", "version 3", "later version"],
+    "AGPL-3.0-or-later": ["affero general", "version 3", "later version"],
+    "MPL-2.0": ["mozilla public license v 2 0"],
+}
+
+# Phrases of relatives that no passage of the license, full text or statement, has in it.
+_NOT_GPL = ["lesser general", "library general", "affero general"]
+FOREIGN = {
+    "BSD-2-Clause": ["endorse or promote", "following acknowledgement"],
+    "BSD-3-Clause": ["following acknowledgement"],
+    "GPL-2.0": _NOT_GPL,
+    "GPL-3.0": _NOT_GPL,
+    "GPL-2.0-or-later": _NOT_GPL,
+    "GPL-3.0-or-later": _NOT_GPL,
+    "LGPL-2.0-or-later": ["version 2 1"],
+}

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docstrata.llm.license_texts import STATEMENTS, TEXTS
+from docstrata.llm.license_texts import FOREIGN, NAMING, STATEMENTS, TEXTS
 from docstrata.session import ship_package
 
 COVERAGE, REACH = 0.8, 12
@@ -42,20 +42,45 @@ def words_of(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Template:
-    """A wording of a license, and the words of it that a match must hold."""
+    """A wording of a license, the words of it that a match must hold, and what tells it from its relatives.
+
+    Each phrase of ``naming`` must stand in the text as a whole, its last word matched at an
+    end of the phrase in the template; no phrase of ``foreign`` may stand in the passage.
+    """
 
     license: str
     words: tuple[str, ...]
     needed: frozenset[str] = frozenset()
+    naming: tuple[tuple[str, ...], ...] = ()
+    foreign: tuple[tuple[str, ...], ...] = ()
 
     @cached_property
     def distinct(self) -> frozenset[str]:
         return frozenset(self.words)
 
+    @cached_property
+    def named_at(self) -> list[tuple[tuple[str, ...], list[int]]]:
+        return [(p, [k for k in range(len(p) - 1, len(self.words)) if self.words[k - len(p) + 1 : k + 1] == p]) for p in self.naming]
+
+    def accepts(self, words: list[str], pairs: list[tuple[int, int]]) -> bool:
+        """Whether matched (text place, template place) pairs are of this license."""
+        place = {j: i for i, j in pairs}
+        if not self.needed <= {self.words[j] for j in place}:
+            return False
+        for phrase, ends in self.named_at:
+            if not any(j in place and tuple(words[max(place[j] - len(phrase) + 1, 0) : place[j] + 1]) == phrase for j in ends):
+                return False
+        low, high = pairs[0][0], pairs[-1][0] + 1
+        return not any(tuple(words[k : k + len(p)]) == p for p in self.foreign for k in range(low, high - len(p) + 1))
+
+
+def _phrases(of: dict[str, list[str]], name: str) -> tuple[tuple[str, ...], ...]:
+    return tuple(tuple(p.split()) for p in of.get(name, ()))
+
 
 def templates() -> list[Template]:
-    full = [Template(name, tuple(words_of(text))) for name, text in TEXTS.items()]
-    return full + [Template(name, tuple(words_of(text)), frozenset(needed.split())) for name, text, needed in STATEMENTS]
+    full = [Template(name, tuple(words_of(text)), frozenset(), _phrases(NAMING, name), _phrases(FOREIGN, name)) for name, text in TEXTS.items()]
+    return full + [Template(name, tuple(words_of(text)), frozenset(needed.split()), (), _phrases(FOREIGN, name)) for name, text, needed in STATEMENTS]
 
 
 def increasing(values: list[int]) -> list[int]:
@@ -139,7 +164,7 @@ class Scanner:
     def _try(self, words: list[str], low: int, high: int, number: int) -> Match | None:
         template = self.templates[number]
         pairs = _dense(align(words[low:high], template.words), self.reach)
-        if len(pairs) < self.coverage * len(template.words) or not template.needed <= {template.words[j] for _, j in pairs}:
+        if len(pairs) < self.coverage * len(template.words) or not template.accepts(words[low:high], pairs):
             return None
         return Match(template.license, number, len(pairs), len(template.words), low + pairs[0][0], low + pairs[-1][0] + 1)
 

@@ -206,6 +206,24 @@ def test_licenses_in_texts(spark):
     assert licenses.license_matches(docs.limit(0)).collect() == []
 
 
+def test_each_notice_is_its_own_license_only():
+    scanner, filler = licenses.Scanner(), "Lorem ipsum the software of a copy and to the license without " * 5
+    found = lambda text: [m.license for m in scanner.scan(licenses.words_of(text))]
+    assert {"GPL-2.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "AGPL-3.0-or-later"} <= TEXTS.keys()
+    for license, text in TEXTS.items():
+        assert found(text) == found(f"{filler} {text} {filler}") == [license]
+        # Slightly edited it keeps its license and version, or is none; it never becomes a relative's.
+        words = text.split()
+        for k in range(len(words)):
+            assert set(found(" ".join(words[:k] + words[k + 1 :]))) <= {license, license.removesuffix("-or-later")}, (license, words[k])
+    gpl = TEXTS["GPL-3.0-or-later"]
+    assert found(gpl.replace("version 3", "version 2")) == ["GPL-2.0-or-later"]
+    assert found(gpl.replace("GNU\nGeneral", "GNU Affero General").replace("GNU General", "GNU Affero General")) == ["AGPL-3.0-or-later"]
+    assert found(gpl.replace("version 3", "version 4")) == []
+    assert found("This work is licensed under the GNU Lesser General Public License, version 3.") == []
+    assert found(TEXTS["BSD-3-Clause"].split("IN NO EVENT")[0]) == []  # not the whole text
+
+
 def test_increasing_is_longest():
     rng = np.random.default_rng(1)
     for _ in range(50):
