@@ -6,9 +6,10 @@ are aligned in the same way.  The share of the template's words so matched is th
 
 A whole document would hide anchors that stray words repeat, so stretches come first: runs
 of template words with at most ``reach`` other words between two, which hold enough of the
-template's words.  A stretch longer than two templates is also tried in overlapping pieces
-of two template lengths, and wherever the template may begin, so that repeated licenses are
-found; no part of a text is left out.  Of overlapping matches the one with more words wins.
+template's words.  A stretch longer than the template by a tenth is also tried in overlapping
+pieces of two template lengths, and wherever the template may begin, so that repeated licenses are
+found; no part of a text is left out.  Of overlapping matches the one with more words wins, then the
+shorter passage; one that joins two copies side by side gives way to them.
 
 Words are runs of ASCII letters and digits in lower case.  Defined cases: null, empty and
 wordless texts have no match; a template found several times gives a row for each; rows
@@ -149,6 +150,23 @@ class Match:
     end: int
 
 
+def _apart(own: set[Match]) -> list[Match]:
+    """Matches of one template without those that join two others, the start of one copy and the end of the next."""
+    by_end = sorted(own, key=lambda m: (m.end, m.start))
+    ends = [m.end for m in by_end]
+    out = []
+    for match in by_end:
+        at, inside = match.start, 0
+        for k in range(bisect_left(ends, match.start), len(ends)):
+            if ends[k] > match.end or inside == 2:
+                break
+            if by_end[k].start >= at:
+                at, inside = ends[k], inside + 1
+        if inside < 2:
+            out.append(match)
+    return out
+
+
 class Scanner:
     """Finds all templates in word lists."""
 
@@ -193,21 +211,23 @@ class Scanner:
         for number in sorted(likely):
             template = self.templates[number]
             size = len(template.words)
+            own: set[Match] = set()
             for low, high in self._stretches(sorted(p for word in template.distinct & present for p in where[word])):
                 if high - low < self.coverage * size or len(template.distinct.intersection(words[low:high])) < self.coverage * len(template.distinct):
                     continue
                 windows = [(low, high)]
-                if high - low >= 2 * size:
+                if high - low > 1.1 * size:
                     windows += [(k, min(k + 2 * size, high)) for k in range(low, high, max(1, size // 2))]
                     # Copies close together share all words: try where the template may begin.
                     windows += [
-                        (p - k, min(p - k + size + size // 10, high))
-                        for k, word in enumerate(template.words[:3]) for p in where[word] if low <= p - k and p < high
+                        (max(p - k, low), min(p - k + size + size // 10, high))
+                        for k, word in enumerate(template.words[:3]) for p in where[word] if low <= p < high
                     ]
-                found.extend(match for a, b in windows if (match := self._try(words, a, b, number)))
+                own.update(match for a, b in windows if (match := self._try(words, a, b, number)))
+            found += _apart(own)
         out: list[Match] = []
         taken: list[tuple[int, int]] = []
-        for match in sorted(set(found), key=lambda m: (-m.matched, -m.matched / m.template_words, m.start, m.template)):
+        for match in sorted(found, key=lambda m: (-m.matched, -m.matched / m.template_words, m.end - m.start, m.start, m.template)):
             if all(match.end <= a or match.start >= b for a, b in taken):
                 taken.append((match.start, match.end))
                 out.append(match)

@@ -224,6 +224,27 @@ def test_each_notice_is_its_own_license_only():
     assert found(TEXTS["BSD-3-Clause"].split("IN NO EVENT")[0]) == []  # not the whole text
 
 
+def test_edited_copies_side_by_side():
+    words = [f"w{k}" for k in range(100)]
+    plain = licenses.Scanner([licenses.Template("X", tuple(words))])
+    for left, right in ((50, 50), (10, 90), (90, 10), (50, 20), (1, 1)):
+        text = words[:left] + words[left + 1 :] + words[:right] + words[right + 1 :]
+        assert [(m.matched, m.start, m.end) for m in plain.scan(text)] == [(99, 0, 99), (99, 99, 198)]
+    fewer = [w for k, w in enumerate(words) if k % 6 or k < 6]
+    assert [m.matched for m in plain.scan(fewer + fewer)] == [len(fewer)] * 2
+    scanner, text = licenses.Scanner(), licenses.words_of(TEXTS["MIT"])
+    for k in range(10, len(text) - 10, 9):
+        copy = text[:k] + text[k + 1 :]
+        if copy.count("permission") == text.count("permission") and copy.count("notice") == text.count("notice"):
+            assert [m.license for m in scanner.scan(copy + copy)] == ["MIT", "MIT"], text[k]
+    for license, statement, needed in STATEMENTS:
+        short = licenses.words_of(statement)
+        for word in set(short) - set(needed.split()):
+            copy = [w for w in short if w != word]
+            if len(copy) >= licenses.COVERAGE * len(short):
+                assert [m.license for m in scanner.scan(copy + copy)] == [license] * 2, (statement, word)
+
+
 def test_increasing_is_longest():
     rng = np.random.default_rng(1)
     for _ in range(50):
