@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docstrata.llm import packing, pieces, sharding, warc
+from docstrata.llm import alignment, packing, pieces, sharding, warc
 from docstrata.llm.classlm import score_corpus
 from docstrata.llm.fingerprints import fingerprints
 from docstrata.llm.licenses import license_matches
@@ -20,6 +19,13 @@ from docstrata.llm.storage import workspace
 SHARDS = 16
 
 
+def _vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file; only the queries that encode need the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,7 +36,7 @@ def op1_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = public_tokenizers.path("piece_bpe_32k.model")
+    model = _vocabulary("piece_bpe_32k.model")
     return pieces.encode(_table(spark, sf_dir, "documents"), model, keep=["doc_id", "n_chars"])
 
 
@@ -61,7 +67,7 @@ def op7_class_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = workspace(spark, "ids")
-    packing.write_ids(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    packing.write_ids(_table(spark, sf_dir, "documents"), folder, _vocabulary("word_bpe_49k.json"))
     return packing.read_ids(spark, folder)
 
 
@@ -77,9 +83,13 @@ def op10_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
+
+
 _QUERIES = [
     op1_stratified_interleaving, op2_merge_dropout, op3_patience_licenses, op4_scaled_sketch, op5_tensored_minhash, op6_entropy_balancing, op7_class_bigrams, op8_bit_packing,
-    op9_weak_supervision, op10_sharded_warc,
+    op9_weak_supervision, op10_sharded_warc, op11_token_alignment,
 ]
 
 
