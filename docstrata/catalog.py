@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from docstrata.operators import frontier, html, listing, logs, reconcile, stats
 from docstrata.plans.landing import LandingRun, land
 from docstrata.plans.transform import TransformRun, transform
 from docstrata.session import scratch_dir, ship_package
-from docstrata.sources.captures import BODIES
+from docstrata.sources.captures import BODIES, ResponseLog
 from docstrata.sources.store import LANDING, TRANSFORMED, Lake
 from docstrata.sql import register_functions
 from docstrata.streaming.jobs import stream_landing, stream_transform
@@ -782,7 +783,7 @@ def next_page_frontier(spark, sf_dir):
     return todo.select("url", "body", _text("partition_start"), "page_number")
 
 
-def _captures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _captures(spark: SparkSession, sf_dir: str, captured: str = "source <> 'src9'") -> tuple[DataFrame, DataFrame]:
     """Listing pages and document responses; equal texts share an identifier.
 
     Source src3 fails, src9 has not been captured, French and Spanish texts are html.
@@ -791,7 +792,7 @@ def _captures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     pages = _search_pages(_listing_items(spark, sf_dir, identifier))
     failed = F.col("source") == "src3"
     content_type = F.when(F.col("lang") == "en", "application/pdf").when(F.col("lang") == "de", "application/msword")
-    responses = _table(spark, sf_dir, "documents").filter("source <> 'src9'").select(
+    responses = _table(spark, sf_dir, "documents").filter(captured).select(
         F.concat(F.lit(SITE + "/cases/"), F.col("doc_id").cast("string"), F.lit(".html")).alias("url"),
         content_type.alias("content_type"),
         F.when(~failed, F.encode("text", "UTF-8")).alias("content"),
@@ -898,6 +899,40 @@ def landing_stream(spark, sf_dir):
     return _landed(lake)
 
 
+@_query
+def landing_stream_late(spark, sf_dir):
+    """The landing stream when half of the documents are captured after their result pages."""
+    lake = _new_lake(spark)
+    pages, _ = _captures(spark, sf_dir)
+    pages.write.parquet(lake.path("captured"))
+    stream = spark.readStream.schema(pages.schema).parquet(lake.path("captured"))
+    captured = ResponseLog(spark, lake.path("documents"))
+    for half in (0, 1):  # all copies of a text come in the same half
+        _, responses = _captures(spark, sf_dir, f"source <> 'src9' AND crc32(text) % 2 = {half}")
+        responses.write.mode("append").parquet(captured.path)
+        stream_landing(lake, stream, captured, _run("2024-01-01", "2024-12-31"), lake.path("checkpoint")).awaitTermination()
+    return _landed(lake)
+
+
+@_query
+def bad_documents(spark, sf_dir):
+    """Documents that a landing and a transform put aside, and the counts of both runs."""
+    lake = _new_lake(spark)
+    landed = land(lake, *_captures(spark, sf_dir), replace(_run("2024-01-01", "2024-12-31"), max_bytes=4000))
+    done = transform(lake, TransformRun("2024-01-01", "2024-12-31", 1, RUN_TS, max_bytes=2000))
+    fields = ("identifier", "url", "body", "partition_date", "error")
+    none = [F.lit(None).cast("string").alias(c) for c in fields]
+    counts = [
+        rows.groupBy(kind).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(zone).alias("zone"), F.col(kind).alias("kind"), "n_rows", *none)
+        for zone, rows, kind in ((LANDING, landed.outcomes, "outcome"), (TRANSFORMED, done.statuses, "status"))
+    ]
+    aside = [
+        lake.quarantine(zone).select(F.lit(zone).alias("zone"), F.lit("quarantined").alias("kind"), F.lit(1).cast("bigint").alias("n_rows"), *fields)
+        for zone in (LANDING, TRANSFORMED)
+    ]
+    return reduce(DataFrame.unionByName, counts + aside)
+
+
 @_query
 def flagship(spark, sf_dir):
     """New pages of each body and month, with their distinct contents.

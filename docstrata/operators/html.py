@@ -44,13 +44,59 @@ def _as_text(value: bytes | str) -> str:
     return value if isinstance(value, str) else decode(value)
 
 
-def document_udf(convert: Callable[[str], str]):
-    """Arrow UDF applying ``convert`` to each non-null document (string or bytes) of a batch."""
+CHECKED = T.StructType([T.StructField("value", T.StringType()), T.StructField("error", T.StringType())])
+_ERROR_CHARS = 500
+
+
+def error_text(error: Exception) -> str:
+    """What is kept of a document's failure: its kind and message."""
+    return f"{type(error).__name__}: {error}"[:_ERROR_CHARS]
+
+
+def check_size(document: bytes | str, max_bytes: int | None) -> None:
+    """Raise for a document of more than ``max_bytes``; text counts in UTF-8."""
+    if max_bytes is not None and len(document) > max_bytes // 4:
+        size = len(document.encode("utf-8", "replace")) if isinstance(document, str) else len(document)
+        if size > max_bytes:
+            raise ValueError(f"{size} bytes, more than {max_bytes}")
+
+
+def _checked(convert: Callable[[str], str], max_bytes: int | None) -> Callable[[bytes | str], tuple[str | None, str | None]]:
+    def one(document: bytes | str) -> tuple[str | None, str | None]:
+        try:
+            check_size(document, max_bytes)
+            value = convert(_as_text(document))
+            value.encode("utf-8")  # a lone surrogate is no text
+            return value, None
+        except Exception as error:  # counted by the jobs, whatever it is
+            return None, error_text(error)
+
+    return one
+
+
+def document_udf(convert: Callable[[str], str], max_bytes: int | None = None):
+    """Arrow UDF: ``struct<value, error>`` of each non-null document (string or bytes) of a batch.
+
+    A document on which ``convert`` fails, or that is longer than ``max_bytes``, has an error
+    and no value; the others of its batch are not touched by it.
+    """
+    one = _checked(convert, max_bytes)
+
+    @F.arrow_udf(CHECKED)
+    def stage(docs: pa.Array) -> pa.Array:
+        found = [(None, None) if d is None else one(d) for d in docs.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([v for v, _ in found], pa.string()), pa.array([e for _, e in found], pa.string())], names=["value", "error"])
+
+    return stage
+
+
+def value_udf(convert: Callable[[str], str]):
+    """Arrow UDF with the value alone, null for a document that fails."""
+    one = _checked(convert, None)
 
     @F.arrow_udf(T.StringType())
     def stage(docs: pa.Array) -> pa.Array:
-        values = (d.as_py() for d in docs)
-        return pa.array((None if v is None else convert(_as_text(v)) for v in values), type=pa.string())
+        return pa.array([None if d is None else one(d)[0] for d in docs.to_pylist()], pa.string())
 
     return stage
 
@@ -71,30 +117,45 @@ def main_of(source: str, main_id: str = "main") -> str:
 
 
 def normalized_text(doc: Column) -> Column:
-    """Visible text of an HTML document (string or bytes), volatile parts left out."""
-    return document_udf(text_of)(doc)
+    """Visible text of an HTML document (string or bytes), volatile parts left out; null if it fails."""
+    return value_udf(text_of)(doc)
 
 
 def cleaned_html(doc: Column, main_id: str = "main") -> Column:
-    """Main content of an HTML document, boilerplate removed, as HTML text."""
-    return document_udf(lambda source: main_of(source, main_id))(doc)
+    """Main content of an HTML document, boilerplate removed, as HTML text; null if it fails."""
+    return value_udf(lambda source: main_of(source, main_id))(doc)
 
 
 def content_hash(content: Column, file_type: Column) -> Column:
-    """SHA-256 that is stable under volatile markup.
+    """``checked_hash`` without its errors: null for a document that fails."""
+    return checked_hash(content, file_type)["value"]
+
+
+def checked_hash(content: Column, file_type: Column, max_bytes: int | None = None) -> Column:
+    """``struct<value, error>``: a SHA-256 that is stable under volatile markup.
 
     pdf/doc: hash of the raw bytes, on the JVM.  Everything else: hash of the normalised
     text; it is taken next to the parser, so the text itself never travels back.
     """
     binary = file_type.isin(*BINARY_TYPES)
-    parsed = document_udf(digest_of)(F.when(~F.coalesce(binary, F.lit(False)), content))
-    return F.when(binary, sha256_hex(content)).otherwise(parsed)
+    parsed = document_udf(digest_of, max_bytes)(F.when(~F.coalesce(binary, F.lit(False)), content))
+    return F.when(binary, _no_error(sha256_hex(content))).otherwise(parsed)
+
+
+def _no_error(value: Column) -> Column:
+    return F.struct(value.alias("value"), F.lit(None).cast("string").alias("error"))
 
 
 def transformed_content(content: Column, file_type: Column) -> Column:
-    """Bytes of the transformed zone: html cleaned, any other type passed through."""
+    """Bytes of the transformed zone, null for a document that fails."""
+    return checked_transform(content, file_type)["value"]
+
+
+def checked_transform(content: Column, file_type: Column, max_bytes: int | None = None) -> Column:
+    """``struct<value, error>``: html cleaned, any other type passed through."""
     is_html = file_type == "html"
-    return F.when(is_html, F.encode(cleaned_html(F.when(is_html, content)), "UTF-8")).otherwise(content)
+    cleaned = document_udf(main_of, max_bytes)(F.when(is_html, content))
+    return F.when(is_html, F.struct(F.encode(cleaned["value"], "UTF-8").alias("value"), cleaned["error"].alias("error"))).otherwise(_no_error(content))
 
 
 def normalize_html(df: DataFrame, html_col: str, out_col: str = "normalized_text") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.pandas.types import from_arrow_type
 from docstrata.functions.dates import iso_from_slashes, published_day
 from docstrata.functions.text import join_stripped, strip, total_results
 from docstrata.functions.urls import document_url, resolve_url
+from docstrata.operators.html import check_size, error_text
 from docstrata.operators.markup import attributes, decode, walk
 
 _ITEM = pa.struct(
@@ -22,6 +23,7 @@ _ITEM = pa.struct(
     ]
 )
 _PAGE = pa.struct([("head", pa.string()), ("next_href", pa.string()), ("items", pa.list_(_ITEM))])
+_SCANNED = pa.struct([("page", _PAGE), ("error", pa.string())])
 def _has(element: tuple[str, frozenset[str]], tag: str, cls: str) -> bool:
     return element[0] == tag and cls in element[1]
 
@@ -31,6 +33,8 @@ def scan_page(source: str) -> dict:
     page: dict = {"head": None, "next_href": None, "items": []}
     stack: list[tuple[str, frozenset[str]]] = []
     open_items: list[tuple[int, dict]] = []  # (depth, item)
+    titles: list[int] = []  # places of open titles
+    pagers = 0
     for kind, value, raw in walk(source):
         if kind == "open":
             attrs = attributes(raw) if raw else {}
@@ -41,14 +45,19 @@ def scan_page(source: str) -> dict:
                 open_items.append((len(stack), item))
             elif value == "a" and "href" in attrs:
                 for depth, item in open_items:
-                    if item["href"] is None and any(_has(e, "h2", "title") for e in stack[depth + 1:]):
+                    if item["href"] is None and titles and titles[-1] > depth:
                         item["href"] = attrs["href"]
-                pager = any(_has(e, "ul", "pager") for e in stack)
-                if page["next_href"] is None and pager and "next" in element[1]:
+                if page["next_href"] is None and pagers and "next" in element[1]:
                     page["next_href"] = attrs["href"]
+            if _has(element, "h2", "title"):
+                titles.append(len(stack))
+            pagers += _has(element, "ul", "pager")
             stack.append(element)
         elif kind == "close":
-            stack.pop()
+            element = stack.pop()
+            if titles and titles[-1] == len(stack):
+                titles.pop()
+            pagers -= _has(element, "ul", "pager")
             if open_items and open_items[-1][0] == len(stack):
                 open_items.pop()
         elif kind == "text" and stack:
@@ -65,31 +74,37 @@ def scan_page(source: str) -> dict:
                 elif item["ref_no"] is None and _has(top, "span", "refNO"):
                     item["ref_no"] = value
                 elif item["title"] is None and top[0] == "a":
-                    if any(_has(e, "h2", "title") for e in stack[depth + 1:-1]):
+                    if titles and titles[-1] > depth:
                         item["title"] = value
     return page
 
 
-def _scan(html: Column) -> Column:
-    @F.arrow_udf(from_arrow_type(_PAGE))
+def _scan(html: Column, max_bytes: int | None) -> Column:
+    def one(source: str | bytes) -> dict:
+        try:
+            check_size(source, max_bytes)
+            return {"page": scan_page(source if isinstance(source, str) else decode(source)), "error": None}
+        except Exception as error:  # counted by the jobs, whatever it is
+            return {"page": None, "error": error_text(error)}
+
+    @F.arrow_udf(from_arrow_type(_SCANNED))
     def stage(docs: pa.Array) -> pa.Array:
-        pages = (d.as_py() for d in docs)
-        return pa.array(
-            (None if p is None else scan_page(p if isinstance(p, str) else decode(p)) for p in pages), type=_PAGE
-        )
+        return pa.array([{"page": None, "error": None} if d is None else one(d) for d in docs.to_pylist()], type=_SCANNED)
 
     # Later filters look at the parsed page; as a deterministic expression it would be
     # pushed below the projection and every page parsed twice.
     return stage.asNondeterministic()(html)
 
 
-def scan_search_pages(search_pages: DataFrame) -> DataFrame:
+def scan_search_pages(search_pages: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Parse each captured result page once; failed captures give a null ``page``.
 
-    Adds ``page struct<head, next_href, items>``, ``page_total`` (first page only counts)
-    and ``next_url``; the HTML column is dropped.
+    Adds ``page struct<head, next_href, items>``, ``page_total`` (first page only counts),
+    ``next_url``, and ``parse_error`` of a page that the parser fails on or that is longer than
+    ``max_bytes`` (its ``page`` is null); the HTML column is dropped.
     """
-    parsed = search_pages.withColumn("page", _scan(F.when(F.col("error").isNull(), F.col("html")))).drop("html")
+    scanned = search_pages.withColumn("page", _scan(F.when(F.col("error").isNull(), F.col("html")), max_bytes)).drop("html")
+    parsed = scanned.withColumns({"page": F.col("page.page"), "parse_error": F.col("page.error")})
     has_items = F.size(F.coalesce(F.col("page.items"), F.array())) > 0
     next_href = F.col("page.next_href")
     return parsed.withColumns(

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import codecs
 import re
-from collections import Counter
 from collections.abc import Iterator
 from html import escape, unescape
 from typing import NamedTuple
@@ -50,7 +49,8 @@ _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 _SELECTS = re.compile(r"class|id|type", re.IGNORECASE)
 _CUT_OFF = re.compile(r"<(?:!--|[A-Za-z/!?])")
 _RAW_END = {tag: re.compile(rf"</{tag}[\s/>]", re.IGNORECASE) for tag in RAW_TEXT}
-_META_CHARSET = re.compile(rb"<\s*meta[^>]+charset\s*=\s*[\"']?([^>\"'\s/;]+)", re.IGNORECASE)
+_META = re.compile(rb"<\s*meta", re.IGNORECASE)
+_CHARSET = re.compile(rb"charset\s*=\s*[\"']?([^>\"'\s/;]+)", re.IGNORECASE)
 _XML_CHARSET = re.compile(rb"^\s*<\?xml[^>]*encoding\s*=\s*[\"']([^\"']+)", re.IGNORECASE)
 _BODY = re.compile(rb"<\s*body[\s>]", re.IGNORECASE)
 # Python's names of the charsets that web pages use.
@@ -73,8 +73,9 @@ def decode(data: bytes) -> str:
         if data.startswith(mark):
             return data[len(mark):].decode(name, "replace")
     body = _BODY.search(data)
-    declared = _XML_CHARSET.search(data) or _META_CHARSET.search(data, 0, body.start() if body else len(data))
-    name = _charset(declared.group(1)) if declared else None
+    xml = _XML_CHARSET.search(data)
+    declared = xml.group(1) if xml else _meta_charset(data, body.start() if body else len(data))
+    name = _charset(declared) if declared else None
     for charset in [name, "utf-8", "windows-1252"] if name else ["utf-8", "windows-1252"]:
         try:
             return data.decode(charset)
@@ -83,6 +84,19 @@ def decode(data: bytes) -> str:
     return data.decode("utf-8", "replace")
 
 
+def _meta_charset(data: bytes, stop: int) -> bytes | None:
+    """The charset of the first meta element before ``stop`` that has one; each byte is met once."""
+    pos = 0
+    while found := _META.search(data, pos, stop):
+        end = data.find(b">", found.end(), stop)
+        end = stop if end < 0 else end
+        named = [m.group(1) for m in _CHARSET.finditer(data, found.end() + 1, end)]
+        if named:
+            return named[-1]
+        pos = end
+    return None
+
+
 def _charset(label: bytes) -> str | None:
     try:
         name = codecs.lookup(label.decode("ascii")).name
@@ -99,14 +113,68 @@ def attributes(raw: str) -> dict[str, str]:
     return found
 
 
+class _Elements:
+    """The open elements, with the places of each tag, of each higher rank and of what is no formatting.
+
+    Every question is answered from the ends of these lists, so a start or end tag costs the
+    same however many elements are open.
+    """
+
+    def __init__(self) -> None:
+        self.tags: list[str] = []
+        self.solid: list[int] = []
+        self.by_tag: dict[str, list[int]] = {}
+        self.by_rank: dict[int, list[int]] = {rank: [] for rank in set(RANK.values())}
+
+    def push(self, tag: str) -> None:
+        place = len(self.tags)
+        self.tags.append(tag)
+        self.by_tag.setdefault(tag, []).append(place)
+        if tag in RANK:
+            self.by_rank[RANK[tag]].append(place)
+        if tag not in INLINE:
+            self.solid.append(place)
+
+    def pop(self) -> str:
+        tag = self.tags.pop()
+        self.by_tag[tag].pop()
+        if tag in RANK:
+            self.by_rank[RANK[tag]].pop()
+        if tag not in INLINE:
+            self.solid.pop()
+        return tag
+
+    def ended_by(self, tag: str) -> int | None:
+        """The depth an end tag closes down to; None if it is to be ignored."""
+        places = self.by_tag.get(tag)
+        if not places:
+            return None
+        own = RANK.get(tag, 100)
+        reach = max((p[-1] for rank, p in self.by_rank.items() if rank > own and p), default=-1)
+        return places[-1] if places[-1] > reach else None
+
+    def kept_by(self, tag: str) -> int:
+        """How many open elements stay open when a start tag comes."""
+        keep, nth = len(self.tags), len(self.solid)
+        while keep:
+            inner = keep
+            if tag in CLOSES_P:
+                # Formatting that was left open inside a paragraph ends with the paragraph.
+                inner = self.solid[nth - 1] + 1 if nth else 0
+            if not inner or tag not in CLOSED_BY.get(self.tags[inner - 1], ()):
+                break
+            keep = inner - 1
+            nth -= nth > 0 and self.solid[nth - 1] == keep
+        return keep
+
+
 def walk(source: str) -> Iterator[tuple[str, str, str]]:
     """Events ``(kind, value, attrs)``: open/close carry the tag, text/comment the string.
 
     Every open is matched by a close.  Text that is split only by ignored end tags comes
     out as one event, as one text node.
     """
-    stack: list[str] = []
-    open_tags: Counter[str] = Counter()
+    elements = _Elements()
     text: list[str] = []
     pos, last = 0, source.rfind(">")
 
@@ -131,24 +199,21 @@ def walk(source: str) -> Iterator[tuple[str, str, str]]:
             continue
         tag = tag.lower()
         if end:
-            # An end tag without an open element is ignored at once, however deep the stack.
-            depth = _match_end(stack, tag) if open_tags[tag] else None
+            depth = elements.ended_by(tag)
             if depth is not None:
                 yield from flush()
-                while len(stack) > depth:
-                    open_tags[stack[-1]] -= 1
-                    yield "close", stack.pop(), ""
+                while len(elements.tags) > depth:
+                    yield "close", elements.pop(), ""
             continue
         yield from flush()
-        for _ in range(_implied_ends(stack, tag)):
-            open_tags[stack[-1]] -= 1
-            yield "close", stack.pop(), ""
+        keep = elements.kept_by(tag)
+        while len(elements.tags) > keep:
+            yield "close", elements.pop(), ""
         yield "open", tag, attrs
         if tag in VOID:
             yield "close", tag, ""
             continue
-        stack.append(tag)
-        open_tags[tag] += 1
+        elements.push(tag)
         if tag in RAW_TEXT:
             end = _RAW_END[tag].search(source, pos)
             stop = end.start() if end else len(source)
@@ -160,33 +225,8 @@ def walk(source: str) -> Iterator[tuple[str, str, str]]:
         cut = _CUT_OFF.search(source, pos)
         text.append(source[pos:cut.start() if cut else len(source)])
     yield from flush()
-    while stack:
-        yield "close", stack.pop(), ""
-
-
-def _match_end(stack: list[str], tag: str) -> int | None:
-    """Stack depth an end tag closes down to; None if it is to be ignored."""
-    rank = RANK.get(tag, 100)
-    for depth in range(len(stack) - 1, -1, -1):
-        if stack[depth] == tag:
-            return depth
-        if RANK.get(stack[depth], 100) > rank:
-            return None
-    return None
-
-
-def _implied_ends(stack: list[str], tag: str) -> int:
-    """How many open elements a start tag closes first."""
-    keep = len(stack)
-    while keep:
-        # Formatting that was left open inside a paragraph ends with the paragraph.
-        inner = keep
-        while inner and tag in CLOSES_P and stack[inner - 1] in INLINE:
-            inner -= 1
-        if not inner or tag not in CLOSED_BY.get(stack[inner - 1], ()):
-            break
-        keep = inner - 1
-    return len(stack) - keep
+    while elements.tags:
+        yield "close", elements.pop(), ""
 
 
 class Removal(NamedTuple):
@@ -215,11 +255,11 @@ class _Open:
     def __init__(self, tag: str, attrs: dict[str, str], text_mark: int, html_mark: int, doomed: bool):
         self.tag, self.attrs, self.doomed = tag, attrs, doomed
         self.text_mark, self.html_mark = text_mark, html_mark
-        self.children, self.only = 0, None  # surviving children; the text of a sole one
+        self.children, self.only = 0, False  # surviving children; whether a sole one holds the link text
 
-    def add(self, only: str | None) -> None:
+    def add(self, only: bool) -> None:
         self.children += 1
-        self.only = only if self.children == 1 else None
+        self.only = only and self.children == 1
 
 
 def prune(source: str, removal: Removal, keep_html: bool, main_id: str = "main") -> tuple[str, str | None]:
@@ -247,8 +287,7 @@ def prune(source: str, removal: Removal, keep_html: bool, main_id: str = "main")
         elif kind == "close":
             element = stack.pop()
             muted -= element.tag in NO_TEXT
-            link = element.tag == "a" and element.only and removal.link_text in element.only
-            if element.doomed or link:
+            if element.doomed or (element.tag == "a" and element.only):
                 del texts[element.text_mark:]
                 del out[element.html_mark:]
                 while mains and mains[-1][0] >= element.html_mark:
@@ -269,11 +308,11 @@ def prune(source: str, removal: Removal, keep_html: bool, main_id: str = "main")
                 elif element.tag == "head":
                     after_head = len(out)
         elif kind == "comment":
-            top.add(value)
+            top.add(removal.link_text in value)
             if keep_html:
                 out.append(f"<!--{value}-->")
         else:
-            top.add(value)
+            top.add(removal.link_text in value)
             if not muted:
                 texts.append(value)
             if keep_html:

@@ -295,6 +295,27 @@ final AS (
   SELECT * FROM halves b WHERE month > DATE '2024-06-30' AND NOT EXISTS (
     SELECT 1 FROM halves a WHERE a.month <= DATE '2024-06-30' AND a.identifier = b.identifier))"""
 
+# HTML documents of more than 4,000 bytes do not land, those of more than 2,000 are not cleaned.
+_BAD = """all_rows AS (
+  SELECT *, 'H-' || sha256(text) AS identifier, CASE lang WHEN 'en' THEN 'pdf' WHEN 'de' THEN 'doc' ELSE 'html' END AS ftype,
+    CASE source WHEN 'src9' THEN 'pending' WHEN 'src3' THEN 'failed' ELSE 'landed' END AS outcome
+  FROM listed),
+fresh AS (
+  SELECT *, min(CASE WHEN outcome = 'landed' THEN (page, month, lang, pos) END) OVER (PARTITION BY identifier) AS landed_at FROM all_rows),
+marked AS (
+  SELECT *, CASE WHEN (page, month, lang, pos) > landed_at THEN 'skipped'
+    WHEN outcome = 'landed' AND ftype = 'html' AND strlen(text) > 4000 THEN 'bad_item' ELSE outcome END AS kind FROM fresh),
+statuses AS (
+  SELECT *, CASE WHEN kind = 'failed' THEN 'no_path' WHEN ftype = 'html' AND strlen(text) > 2000 THEN 'clean_error' ELSE 'inserted' END AS status
+  FROM (SELECT *, row_number() OVER (PARTITION BY identifier ORDER BY page, month, lang, pos) AS nth FROM marked WHERE kind IN ('landed', 'failed'))
+  WHERE nth = 1)"""
+
+
+def _put_aside(zone: str, rows: str, limit: int) -> str:
+    return f"""SELECT '{zone}', 'quarantined', 1, identifier, doc_url, lang, CAST(month AS VARCHAR),
+  'ValueError: ' || strlen(text) || ' bytes, more than {limit}' FROM {rows}"""
+
+
 _FLAGSHIP = _with(_PAGES, _BEFORE) + f"""
 SELECT body, partition_date, count(*) AS n_pages, count(DISTINCT h) AS n_contents, min(h) AS min_hash
 FROM (SELECT body, partition_date,
@@ -496,6 +517,13 @@ FROM listed l WHERE NOT EXISTS (SELECT 1 FROM listed n WHERE n.lang = l.lang AND
 GROUP BY lang, page""",
         "landing_state": _LANDING_STATE,
         "landing_stream": _LANDING_STATE,
+        "landing_stream_late": _LANDING_STATE,
+        "bad_documents": _with(_LISTED, _BAD) + f"""
+SELECT 'landing' AS zone, kind, count(*) AS n_rows, NULL::VARCHAR AS identifier, NULL::VARCHAR AS url, NULL::VARCHAR AS body,
+  NULL::VARCHAR AS partition_date, NULL::VARCHAR AS error FROM marked WHERE kind <> 'pending' GROUP BY kind
+UNION ALL SELECT 'transformed', status, count(*), NULL, NULL, NULL, NULL, NULL FROM statuses GROUP BY status
+UNION ALL {_put_aside('landing', "marked WHERE kind = 'bad_item'", 4000)}
+UNION ALL {_put_aside('transformed', "statuses WHERE status = 'clean_error'", 2000)}""",
         "landing_range": _with(_LISTED, _FIRST) + f"""
 SELECT identifier, CAST(month AS VARCHAR) AS partition_date,
   CASE WHEN outcome = 'landed' THEN {_FIRST_HASH} END AS file_hash

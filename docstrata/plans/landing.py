@@ -12,12 +12,12 @@ from docstrata import schemas
 from docstrata.functions.files import file_type, landing_key, mime_type
 from docstrata.operators import stats
 from docstrata.operators.frontier import frontier, range_row, validate_range
-from docstrata.operators.html import content_hash
+from docstrata.operators.html import checked_hash
 from docstrata.operators.listing import listing_rows, scan_search_pages, with_identifier
 from docstrata.operators.reconcile import (
     ARRIVAL_ORDER, classify_changes, flag_known, fold_changes, last_applied, spread_nulls,
 )
-from docstrata.sources.captures import BODIES
+from docstrata.sources.captures import BODIES, ResponseLog
 from docstrata.sources.store import LANDING, Lake
 
 POLICIES = ("default", "write_once", "hash_update")
@@ -31,6 +31,10 @@ class LandingRun:
     hashes for the others; ``write_once`` skips every landed identifier; ``hash_update``
     skips none and folds all arrivals in order.  ``repair_failed`` lets a good download
     replace a failed one and never the other way round.
+
+    ``keep_pending``: results whose document has not been captured are kept, and those that
+    earlier runs kept are taken up again with this run's results.  HTML documents of more than
+    ``max_bytes`` and pages of more than ``max_page_bytes`` are put aside unread.
     """
 
     start_date: str
@@ -43,6 +47,9 @@ class LandingRun:
     bodies: Mapping[str, str] = field(default_factory=lambda: BODIES)
     policy: str = "default"
     repair_failed: bool = False
+    keep_pending: bool = False
+    max_bytes: int | None = None
+    max_page_bytes: int | None = None
 
 
 @dataclass(frozen=True)
@@ -53,6 +60,7 @@ class LandingResult:
     outcomes: DataFrame
     actions: DataFrame
     stats: DataFrame
+    arrivals: DataFrame
 
     def counts(self) -> DataFrame:
         return stats.sink_counts(self.actions)
@@ -63,29 +71,40 @@ class LandingResult:
     def summary(self) -> DataFrame:
         return stats.crawl_summary(self.stats)
 
+    def pending(self) -> DataFrame:
+        """Document URLs that no captured response answers yet."""
+        return pending_documents(self.arrivals)
+
+
+def land(lake: Lake, search_pages: DataFrame, responses: DataFrame | ResponseLog, run: LandingRun) -> LandingResult:
+    """Land the captured pages of a date range.  Running a version again rewrites it.
 
-def land(lake: Lake, search_pages: DataFrame, responses: DataFrame, run: LandingRun) -> LandingResult:
-    """Land the captured pages of a date range.  Running a version again rewrites it."""
+    A page or document that cannot be read ends as ``bad_item`` in the outcomes and in the
+    quarantine; all others land.
+    """
     if run.policy not in POLICIES:
         raise ValueError(f"policy {run.policy!r} is none of {', '.join(POLICIES)}")
     start, end = validate_range(run.start_date, run.end_date)
     in_range = search_pages.filter(F.col("partition_start").between(F.lit(start), F.lit(end)))
 
     # Each page is parsed once; everything later reads the parsed table.
-    pages = lake.stage(scan_search_pages(in_range), "pages", run.version)
+    pages = lake.stage(scan_search_pages(in_range, run.max_page_bytes), "pages", run.version)
     if not _repeated_captures(pages).isEmpty():
         pages = lake.stage(pages.dropDuplicates(_CAPTURE), "distinct_pages", run.version)
     stored = lake.current(LANDING, run.version, schemas.FILE_FIELDS)
+    items = _items(lake, pages, run)
     # The lookup sides are written first: see ``operators.reconcile`` on hot keys.
     known = lake.stage(_known(lake, run), "known", run.version)
-    wanted = lake.stage(_wanted_urls(pages, known, run), "wanted", run.version)
-    heads = lake.stage(_best_responses(responses.join(wanted, "url", "left_semi")), "responses", run.version)
-    arrivals = lake.stage(_arrivals(pages, known, heads, run), "arrivals", run.version)
+    wanted = lake.stage(_wanted_urls(items, known), "wanted", run.version)
+    seen = lake.heads(responses, run.version) if isinstance(responses, ResponseLog) else responses
+    heads = lake.stage(_best_responses(seen.join(wanted, "url", "left_semi")), "responses", run.version)
+    arrivals = lake.stage(_arrivals(items, known, heads), "arrivals", run.version)
     if run.policy != "hash_update":
         repeated = lake.stage(_repeated(arrivals), "repeated", run.version)
         arrivals = lake.stage(_skip_repeats(arrivals, repeated), "distinct_arrivals", run.version)
 
-    blobs = _store_documents(lake, arrivals, responses, run)
+    blobs = _store_documents(lake, arrivals, responses, seen, run)
+    bad = blobs.filter(F.col("error").isNotNull()).select(F.col("blob_id").alias("_bad"), F.col("error").alias("_why"))
     records = _records(arrivals, blobs)
     if run.policy == "hash_update":
         # Both steps sort or use their input twice, so it is written once.
@@ -95,13 +114,16 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame, run: Landing
     else:
         decided = lake.stage(_decide(records, stored, run), "decided", run.version)
     lake.write_log(_log_rows(decided, stored, run), LANDING, run.version)
+    outcomes = _outcomes(arrivals, pages, bad)
+    lake.write_quarantine(_quarantined(outcomes), LANDING, run.version)
+    if run.keep_pending:
+        lake.write_pending(arrivals.filter(F.col("outcome") == "pending"), run.version)
     lake.commit(LANDING, run.version, run.run_ts)
 
-    outcomes = _outcomes(arrivals, pages)
     requests = frontier(
         range_row(lake.spark, run.start_date, run.end_date), run.bodies, run.site + run.search_path, run.size
     )
-    return LandingResult(run.version, outcomes, decided, stats.partition_stats(requests, pages, outcomes))
+    return LandingResult(run.version, outcomes, decided, stats.partition_stats(requests, pages, outcomes), arrivals)
 
 
 _FILES = "struct<" + ",".join(f"{c}:string" for c in schemas.FILE_FIELDS) + ">"
@@ -140,15 +162,26 @@ def _best_responses(responses: DataFrame) -> DataFrame:
     )
 
 
-def _wanted_urls(pages: DataFrame, known: DataFrame, run: LandingRun) -> DataFrame:
+def _items(lake: Lake, pages: DataFrame, run: LandingRun) -> DataFrame:
+    """Results of the pages, and those of earlier pages that still wait for their document."""
+    items = with_identifier(listing_rows(pages, run.site, run.run_ts)).select(*schemas.PENDING.fieldNames())
+    if not run.keep_pending:
+        return items
+    start, end = (day.isoformat() for day in validate_range(run.start_date, run.end_date))
+    queued = lake.pending(run.version).filter(F.col("partition_date").between(start, end))
+    # A page that is delivered again has its results in the queue already.
+    place = ["identifier", *ARRIVAL_ORDER]
+    return items.join(queued.select(*place), place, "left_anti").unionByName(queued)
+
+
+def _wanted_urls(items: DataFrame, known: DataFrame) -> DataFrame:
     """Document URLs of the items that are not known yet."""
-    items = with_identifier(listing_rows(pages, run.site, run.run_ts)).filter(F.col("doc_url") != "")
-    return items.join(known, "identifier", "left_anti").select(F.col("doc_url").alias("url")).distinct()
+    fresh = items.filter(F.col("doc_url") != "").join(known, "identifier", "left_anti")
+    return fresh.select(F.col("doc_url").alias("url")).distinct()
 
 
-def _arrivals(pages: DataFrame, known: DataFrame, heads: DataFrame, run: LandingRun) -> DataFrame:
+def _arrivals(items: DataFrame, known: DataFrame, heads: DataFrame) -> DataFrame:
     """Listing items with their outcome; document bytes are not read here."""
-    items = with_identifier(listing_rows(pages, run.site, run.run_ts)).drop("published_dt")
     flagged = flag_known(items, known, unique=True)
     download = ~F.col("is_known") & (F.col("doc_url") != "")
     wanted = spread_nulls(F.when(download, F.col("doc_url")), "identifier", "captured_at", "body", "page_number", "pos")
@@ -184,11 +217,12 @@ def _skip_repeats(arrivals: DataFrame, repeated: DataFrame) -> DataFrame:
     )
 
 
-def _store_documents(lake: Lake, arrivals: DataFrame, responses: DataFrame, run: LandingRun) -> DataFrame:
+def _store_documents(lake: Lake, arrivals: DataFrame, responses: DataFrame | ResponseLog, heads: DataFrame, run: LandingRun) -> DataFrame:
     """Type, hash and store each downloaded document once; returns the stored table.
 
     ``arrivals`` has just been written, so the planner knows its size: a small one is
-    broadcast and no document bytes are shuffled.
+    broadcast and no document bytes are shuffled.  A document that cannot be hashed has an
+    error instead of its content.
     """
     landed = arrivals.filter(F.col("outcome") == "landed")
     needed = landed.select(
@@ -200,6 +234,10 @@ def _store_documents(lake: Lake, arrivals: DataFrame, responses: DataFrame, run:
     first, last = (F.timestamp_micros(F.lit(v).cast("bigint")) for v in (span.first, span.last))
     # Captures accumulate in time order, so these literals prune files and row groups of
     # older and later captures before their content is read.
+    if isinstance(responses, ResponseLog):
+        # The index knows the files: the others are not opened.
+        held = heads.join(needed, [heads.url == needed.url, heads.captured_at == needed.captured_at], "left_semi")
+        responses = responses.read(row["file"] for row in held.select("file").distinct().collect())
     documents = responses.filter(
         F.col("error").isNull() & F.col("captured_at").between(first, last)
     )
@@ -218,25 +256,29 @@ def _store_documents(lake: Lake, arrivals: DataFrame, responses: DataFrame, run:
         file_type(F.col("content_type")).alias("file_type"),
         F.coalesce("content", F.lit(b"")).alias("content"),
     )
-    hashed = typed.withColumns(
+    hashed = typed.withColumn("hashed", checked_hash(F.col("content"), F.col("file_type"), run.max_bytes))
+    stored = hashed.withColumns(
         {
-            "file_hash": content_hash(F.col("content"), F.col("file_type")),
+            "file_hash": F.col("hashed.value"),
+            "error": F.col("hashed.error"),
             "content_type": mime_type(F.col("file_type")),
             "length": F.octet_length("content").cast("bigint"),
+            "content": F.when(F.col("hashed.error").isNull(), F.col("content")),
         }
     )
-    return lake.write_blobs(hashed, LANDING, run.version)
+    return lake.write_blobs(stored, LANDING, run.version)
 
 
 def _records(arrivals: DataFrame, blobs: DataFrame) -> DataFrame:
     """Metadata records of the processed arrivals with their file fields."""
-    files = blobs.select(F.col("blob_id").alias("_blob"), "file_type", "file_hash", "length")
+    files = blobs.select(F.col("blob_id").alias("_blob"), "file_type", "file_hash", "length", F.col("error").alias("_why"))
     processed = arrivals.filter(F.col("outcome").isin("landed", "failed", "no_url"))
     landed = F.col("outcome") == "landed"
     link = spread_nulls(F.when(landed, F.col("doc_url")), "identifier", *ARRIVAL_ORDER)
     return (
         processed.withColumn("_link", link)
         .join(files, F.col("_link") == F.col("_blob"), "left")
+        .filter(F.col("_why").isNull())
         .withColumn("file_type", F.when(F.col("outcome") == "failed", "unknown").otherwise(F.col("file_type")))
         .withColumns(
             {
@@ -248,7 +290,7 @@ def _records(arrivals: DataFrame, blobs: DataFrame) -> DataFrame:
                 "blob_id": F.when(F.col("length") > 0, F.col("_blob")),
             }
         )
-        .drop("_blob", "_link", "length")
+        .drop("_blob", "_link", "length", "_why")
     )
 
 
@@ -323,20 +365,36 @@ def _log_rows(decided: DataFrame, stored: DataFrame, run: LandingRun) -> DataFra
     )
 
 
-def _outcomes(arrivals: DataFrame, pages: DataFrame) -> DataFrame:
-    """Outcome rows for the statistics: items, and result pages that failed."""
+def _outcomes(arrivals: DataFrame, pages: DataFrame, bad: DataFrame) -> DataFrame:
+    """Outcome rows for the statistics: items, and result pages that failed.
+
+    Items whose document cannot be read, and pages that cannot, are ``bad_item``.
+    """
     day = F.col("partition_date").cast("date")
-    items = arrivals.filter(F.col("outcome") != "pending").select(
-        "body", day.alias("partition_start"), F.col("partition_end").cast("date").alias("partition_end"),
-        "identifier", "outcome", F.col("doc_url").alias("url"), "error",
+    link = F.when(F.col("outcome") == "landed", F.col("doc_url"))
+    items = (
+        arrivals.filter(F.col("outcome") != "pending")
+        .withColumn("_link", spread_nulls(link, "identifier", *ARRIVAL_ORDER))
+        .join(bad, F.col("_link") == F.col("_bad"), "left")
+        .select(
+            "body", day.alias("partition_start"), F.col("partition_end").cast("date").alias("partition_end"), "identifier",
+            F.when(F.col("_why").isNotNull(), "bad_item").otherwise(F.col("outcome")).alias("outcome"),
+            F.col("doc_url").alias("url"), F.coalesce("_why", "error").alias("error"),
+        )
     )
-    failed_pages = pages.filter(F.col("error").isNotNull()).select(
+    failed_pages = pages.filter(F.col("error").isNotNull() | F.col("parse_error").isNotNull()).select(
         *stats.PARTITION, F.lit(None).cast("string").alias("identifier"),
-        F.lit("request_failed").alias("outcome"), "url", "error",
+        F.when(F.col("error").isNotNull(), "request_failed").otherwise("bad_item").alias("outcome"), "url",
+        F.coalesce("error", "parse_error").alias("error"),
     )
     return items.unionByName(failed_pages)
 
 
+def _quarantined(outcomes: DataFrame) -> DataFrame:
+    bad = outcomes.filter(F.col("outcome") == "bad_item")
+    return bad.select("identifier", "url", "body", F.col("partition_start").cast("string").alias("partition_date"), "error")
+
+
 def pending_documents(arrivals: DataFrame) -> DataFrame:
     """Document URLs that no captured response answers yet."""
     return arrivals.filter(F.col("outcome") == "pending").select(F.col("doc_url").alias("url")).distinct()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docstrata.functions.files import mime_type, sha256_hex, transformed_name
 from docstrata.operators import stats
 from docstrata.operators.frontier import validate_range
-from docstrata.operators.html import transformed_content
+from docstrata.operators.html import checked_transform
 from docstrata.operators.reconcile import spread_nulls, upsert_action
 from docstrata.sources.store import LANDING, TRANSFORMED, Lake
 
@@ -23,6 +23,8 @@ class TransformRun:
 
     ``mode``: ``code`` cleans every document in range and compares the result;
     ``source_hash`` first skips documents whose landing hash was transformed already.
+    A document that cannot be cleaned, or has more than ``max_bytes``, is a ``clean_error``,
+    counted as failed and kept in the quarantine.
     """
 
     start_date: str
@@ -31,6 +33,7 @@ class TransformRun:
     run_ts: str
     date_col: str = "partition_date"
     mode: str = "code"
+    max_bytes: int | None = None
 
 
 @dataclass(frozen=True)
@@ -56,10 +59,16 @@ def transform(lake: Lake, run: TransformRun, only: DataFrame | None = None) -> T
     decided = lake.stage(_decide(work, cleaned, run), "transformed", run.version)
     changed = decided.filter(F.col("status").isin("inserted", "updated"))
     lake.write_log(changed, TRANSFORMED, run.version)
+    lake.write_quarantine(_quarantined(decided), TRANSFORMED, run.version)
     lake.commit(TRANSFORMED, run.version, run.run_ts)
     return TransformResult(run.version, decided.select("identifier", "status"))
 
 
+def _quarantined(decided: DataFrame) -> DataFrame:
+    bad = decided.filter(F.col("status") == "clean_error")
+    return bad.select("identifier", F.col("doc_url").alias("url"), "body", "partition_date", "error")
+
+
 def _plan(lake: Lake, landed: DataFrame, run: TransformRun) -> DataFrame:
     """Metadata of the run with object location, earlier result and a preliminary status.
 
@@ -110,8 +119,9 @@ def _store_cleaned(lake: Lake, work: DataFrame, run: TransformRun) -> DataFrame:
     sources = lake.blobs(LANDING, versions).select(
         F.col("version").alias("source_version"), F.col("blob_id").alias("source_id"), "content"
     )
-    output = sources.join(needed, ["source_version", "source_id"]).withColumn(
-        "content", transformed_content(F.col("content"), F.col("file_type"))
+    cleaned = checked_transform(F.col("content"), F.col("file_type"), run.max_bytes)
+    output = sources.join(needed, ["source_version", "source_id"]).withColumn("cleaned", cleaned).withColumns(
+        {"content": F.col("cleaned.value"), "error": F.col("cleaned.error")}
     )
     new_hash = sha256_hex(F.col("content"))
     unchanged = F.col("_all") & (F.col("_low") == F.col("file_hash")) & (F.col("_high") == F.col("file_hash"))
@@ -121,7 +131,8 @@ def _store_cleaned(lake: Lake, work: DataFrame, run: TransformRun) -> DataFrame:
         "file_hash",
         mime_type(F.col("file_type")).alias("content_type"),
         F.octet_length("content").cast("bigint").alias("length"),
-        F.when(~unchanged, F.col("content")).alias("content"),
+        F.when(~F.coalesce(unchanged, F.lit(False)), F.col("content")).alias("content"),
+        "error",
     )
     return lake.write_blobs(blobs, TRANSFORMED, run.version)
 
@@ -132,13 +143,13 @@ def _blob_id():
 
 def _decide(work: DataFrame, cleaned: DataFrame, run: TransformRun) -> DataFrame:
     """Final status and transformed metadata record of every row of the run."""
-    done = cleaned.select("blob_id", "file_hash")
+    done = cleaned.select("blob_id", "file_hash", "error")
     todo = F.col("status").isNull()
     key = spread_nulls(F.when(todo, _blob_id()), "identifier")
     joined = work.withColumn("_blob", key).join(done, F.col("_blob") == F.col("blob_id"), "left")
     status = F.coalesce(
         "status",
-        F.when(F.col("blob_id").isNull(), "missing_blob"),
+        F.when(F.col("blob_id").isNull(), "missing_blob").when(F.col("error").isNotNull(), "clean_error"),
         upsert_action(F.col("has_prior"), F.col("prior_hash"), F.col("file_hash")),
     )
     changed = F.col("status").isin("inserted", "updated")
@@ -149,7 +160,7 @@ def _decide(work: DataFrame, cleaned: DataFrame, run: TransformRun) -> DataFrame
         F.col("file_path").alias("original_file_path"),
         F.lit(run.run_ts).alias("transformed_at"),
         F.col("source_hash").alias("original_file_hash"),
-        "status",
+        "status", "error",
         F.when(F.col("status") == "inserted", "insert").when(F.col("status") == "updated", "update").alias("action"),
         F.when(changed, F.col("blob_id")).alias("blob_id"),
         F.to_timestamp(F.lit(run.run_ts)).alias("arrived"),

@@ -70,9 +70,25 @@ BLOBS = T.StructType(
         T.StructField("content_type", T.StringType()),
         T.StructField("length", T.LongType()),
         T.StructField("content", T.BinaryType()),
+        T.StructField("error", T.StringType()),
         T.StructField("version", T.LongType()),
     ]
 )
+# Documents and result pages that could not be read, with the reason.
+QUARANTINE = T.StructType(
+    [*_strings("identifier", "url", "body", "partition_date", "error"), T.StructField("version", T.LongType())]
+)
+# Results whose document has not been captured yet, as they stood on their page.
+PENDING = T.StructType(
+    [
+        *_strings(*LISTING_FIELDS, "partition_end"),
+        T.StructField("page_number", T.IntegerType()),
+        T.StructField("pos", T.IntegerType()),
+        T.StructField("captured_at", T.TimestampType()),
+    ]
+)
+# Headers of captured responses, and the file that holds each.
+HEADS = T.StructType([f for f in DOC_RESPONSES.fields if f.name != "content"] + _strings("file"))
 # Path -> object, the newest per path.
 BLOB_INDEX = T.StructType(
     [

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyarrow import fs
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docstrata import schemas
@@ -35,6 +36,41 @@ def doc_responses(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.DOC_RESPONSES).parquet(path)
 
 
+@dataclass(frozen=True)
+class ResponseLog:
+    """A folder to which captured responses are added as Parquet files; files do not change.
+
+    Jobs given the folder instead of its rows index the headers of new files once, read the
+    content of the files they need alone, and see what was added since they were started.
+    """
+
+    spark: SparkSession
+    path: str
+
+    def files(self) -> list[str]:
+        """All files there are now."""
+        return sorted(doc_responses(self.spark, self.path).inputFiles())
+
+    def read(self, files: Iterable[str] | None = None) -> DataFrame:
+        """The responses of some files (default: of all)."""
+        names = [self.path] if files is None else [unquote(name) for name in files]  # Spark names files as URLs
+        if not names:
+            return self.spark.createDataFrame([], schemas.DOC_RESPONSES)
+        return self.spark.read.schema(schemas.DOC_RESPONSES).parquet(*names)
+
+    def heads(self, files: Iterable[str]) -> DataFrame:
+        """Headers, with the file that holds each."""
+        rows = self.read(files).withColumn("file", F.col("_metadata.file_path"))
+        return rows.select(*schemas.HEADS.fieldNames())
+
+    def arrivals(self, max_files: int | None = None) -> DataFrame:
+        """A stream with a row for each response that is added; no column of it is read."""
+        reader = self.spark.readStream.schema(schemas.DOC_RESPONSES)
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        return reader.parquet(self.path).select(F.lit(True).alias("arrived"))
+
+
 def search_pages_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Captured result pages as a file stream."""
     reader = spark.readStream.schema(schemas.SEARCH_PAGES)
@@ -68,21 +104,3 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
 def log_stream(spark: SparkSession, path: str) -> DataFrame:
     """Log lines as a stream of newly arriving files."""
     return spark.readStream.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-
-
-def export_objects(objects: DataFrame, target: str) -> None:
-    """Write (file_path, content) rows as single files below a folder or bucket URI.
-
-    For consumers that need one object per document; each task writes its own rows, and a
-    repeated task overwrites the same names.
-    """
-
-    def write(rows: Iterator[Row]) -> None:
-        store, base = fs.FileSystem.from_uri(target)
-        for row in rows:
-            path = f"{base}/{row.file_path}"
-            store.create_dir(path.rsplit("/", 1)[0], recursive=True)
-            with store.open_output_stream(path) as out:
-                out.write(bytes(row.content))
-
-    objects.select("file_path", "content").filter(F.col("content").isNotNull()).foreachPartition(write)

@@ -4,6 +4,9 @@ Each run writes its own ``version=N`` folder of a zone:
 
 * ``blobs``  the stored bytes, one row per object,
 * ``log``    metadata rows with the action taken, partitioned by ``partition_date``,
+* ``quarantine`` documents and pages that could not be read, with the reason,
+* ``pending`` results whose document has not been captured yet, if the run keeps them,
+* ``heads``  headers of captured responses, and ``headfiles``, the files they came from,
 * ``commits`` one row, written last, which names the attempt that counts.
 
 Every attempt at a version writes to folders of its own (``version=N/attempt=A``) and is
@@ -28,6 +31,7 @@ from pyspark.sql import types as T
 
 from docstrata import schemas
 from docstrata.operators.reconcile import last_per_key, require_unique
+from docstrata.sources.captures import ResponseLog
 
 LANDING = "landing"
 TRANSFORMED = "transformed"
@@ -136,6 +140,58 @@ class Lake:
         attempt = self._attempt(zone, version)
         _by_partition(rows.select(*columns)).parquet(self.path(zone, "log", f"version={version}", f"attempt={attempt}"))
 
+    def _write(self, rows: DataFrame, schema: T.StructType, zone: str, name: str, version: int) -> DataFrame:
+        """Write a further table of a run; returns what was written."""
+        attempt = self._attempt(zone, version)
+        columns = [c for c in schema.fieldNames() if c != "version"]
+        rows.select(*columns).write.mode("overwrite").parquet(self.path(zone, name, f"version={version}", f"attempt={attempt}"))
+        return self._read_versions(schema, {version: attempt}, zone, name)
+
+    def _read_committed(self, schema: T.StructType, zone: str, name: str, before: int | None = None, last: bool = False) -> DataFrame:
+        """A further table in the versions that have it (``last``: in the newest of these)."""
+        kept = self._marked(zone, name, "commits")
+        wanted = {v: a for v, a in self._marked(zone, "commits").items() if kept.get(v) == a and (before is None or v < before)}
+        if last:
+            wanted = dict([max(wanted.items())]) if wanted else {}
+        return self._read_versions(schema, wanted, zone, name)
+
+    def write_quarantine(self, rows: DataFrame, zone: str, version: int) -> None:
+        """Keep what a run could not read; nothing is written if there is none."""
+        if not rows.isEmpty():
+            self._write(rows, schemas.QUARANTINE, zone, "quarantine", version)
+            self._mark("", version, self._attempt(zone, version), zone, "quarantine", "commits")
+
+    def quarantine(self, zone: str) -> DataFrame:
+        """All documents and pages that runs could not read."""
+        return self._read_committed(schemas.QUARANTINE, zone, "quarantine")
+
+    def write_pending(self, rows: DataFrame, version: int) -> None:
+        """Keep the results that still wait for their document: the whole queue, as of this version."""
+        self._write(rows, schemas.PENDING, LANDING, "pending", version)
+        self._mark("", version, self._attempt(LANDING, version), LANDING, "pending", "commits")
+
+    def pending(self, before: int | None = None) -> DataFrame:
+        """The queue of results without a captured document, as it was before a version."""
+        return self._read_committed(schemas.PENDING, LANDING, "pending", before, last=True)
+
+    def heads(self, responses: ResponseLog, version: int) -> DataFrame:
+        """Headers of all responses in a folder; those of new files are added to the index.
+
+        Earlier versions' files are not opened again: their headers are in the index.
+        """
+        names = T.StructType([T.StructField("name", T.StringType())])
+        before = self._read_committed(schemas.HEADS, LANDING, "heads", version)
+        # As many names as the folder has files, which listing it brings to the driver anyway.
+        known = {row["name"] for row in self._read_committed(names, LANDING, "headfiles", version).collect()}
+        new = [name for name in responses.files() if name not in known]
+        if not new:
+            return before
+        added = self._write(responses.heads(new), schemas.HEADS, LANDING, "heads", version)
+        self._write(self.spark.createDataFrame([(name,) for name in new], names), names, LANDING, "headfiles", version)
+        for name in ("heads", "headfiles"):
+            self._mark("", version, self._attempt(LANDING, version), LANDING, name, "commits")
+        return before.unionByName(added)
+
     # -- reading -----------------------------------------------------------------
 
     def blobs(self, zone: str, versions: Iterable[int] | None = None) -> DataFrame:

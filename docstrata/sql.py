@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from docstrata.functions.dates import SIZES
-from docstrata.operators.html import digest_of, document_udf, main_of, text_of
+from docstrata.operators.html import digest_of, main_of, text_of, value_udf
 
 _SPANS = {
     "weekly": ("sequence(first, last, interval 7 days)", "date_add(s, 6)"),
@@ -21,9 +21,9 @@ def register_functions(spark: SparkSession) -> None:
     ``normalize_html_content(bytes)``, ``clean_html(bytes)``.  Tables:
     ``monthly_partitions(first, last)`` and its weekly and quarterly siblings.
     """
-    spark.udf.register("normalize_html_content", document_udf(text_of))
-    spark.udf.register("clean_html", document_udf(main_of))
-    spark.udf.register("html_text_digest", document_udf(digest_of))
+    spark.udf.register("normalize_html_content", value_udf(text_of))
+    spark.udf.register("clean_html", value_udf(main_of))
+    spark.udf.register("html_text_digest", value_udf(digest_of))
     spark.sql(
         """CREATE OR REPLACE TEMPORARY FUNCTION compute_content_hash(content BINARY, file_type STRING) RETURNS STRING
         RETURN CASE WHEN file_type IN ('pdf', 'doc') THEN sha2(content, 256)

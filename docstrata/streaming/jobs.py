@@ -13,25 +13,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docstrata.operators.logs import parse_lines
 from docstrata.plans.landing import LandingRun, land
 from docstrata.plans.transform import TransformRun, transform
+from docstrata.sources.captures import ResponseLog
 from docstrata.sources.store import APPLIED, LANDING, TRANSFORMED, Lake
 
 
 def stream_landing(
-    lake: Lake, pages: DataFrame, responses: DataFrame, run: LandingRun, checkpoint: str, every: str | None = None
+    lake: Lake, pages: DataFrame, responses: DataFrame | ResponseLog, run: LandingRun, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Land arriving result pages; ``run.version`` is the version of the first batch.
 
+    Results whose document is not there yet wait in the lake's queue and are taken up again
+    by every later batch.  A ``ResponseLog`` is read anew in each batch, and responses that
+    are added to it start a batch as pages do; a DataFrame shows the responses that it listed
+    when it was made, and no others.
+
     Stops after what is there, or keeps going with a batch ``every`` interval.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        land(lake, batch, responses, replace(run, version=run.version + batch_id))
+        captured = batch.filter(F.col("url").isNotNull())
+        land(lake, captured, responses, replace(run, version=run.version + batch_id, keep_pending=True))
 
+    arriving = pages
+    if isinstance(responses, ResponseLog):
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in pages.schema]
+        arriving = pages.unionByName(responses.arrivals().select(*nothing))
     return (
-        pages.writeStream.foreachBatch(write)
+        arriving.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(every))
         .start()
@@ -61,9 +71,3 @@ def stream_transform(lake: Lake, run: TransformRun, checkpoint: str, every: str
         .trigger(**_trigger(every))
         .start()
     )
-
-
-def stream_log_lines(lines: DataFrame) -> DataFrame:
-    """Parsed lines of a log stream; the same expressions as in batch."""
-    return parse_lines(lines)
-

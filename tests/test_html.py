@@ -284,3 +284,26 @@ def test_sql_functions(spark):
     assert spark.sql("SELECT * FROM weekly_partitions(DATE'2024-01-03', DATE'2024-01-12')").count() == 2
     assert spark.sql("SELECT * FROM quarterly_partitions(DATE'2024-02-15', DATE'2024-08-01')").count() == 3
     assert spark.sql("SELECT * FROM weekly_partitions(DATE'2024-01-03', DATE'2024-01-02')").count() == 0
+
+
+@pytest.mark.parametrize("source", [
+    "<b><table>" + "<i>" * 150_000 + "</b>" * 150_000, "<b>" * 150_000 + "<hr>" * 150_000, "<li>" * 250_000, "<p><b>" * 170_000,
+    "<a><table>" * 100_000 + "t" * 1000, "<div>" * 200_000 + "</p>" * 3, "<meta " * 170_000, "<meta charset" * 80_000 + ">" + "<x>",
+])
+def test_a_megabyte_of_open_elements_is_linear(source):
+    begin = time.process_time()
+    prune(decode(source.encode()), stages.CLEANING, keep_html=True)
+    assert time.process_time() - begin < 6
+
+
+def test_a_bad_document_does_not_touch_the_others(spark):
+    rows = spark.createDataFrame([("<p>a</p>",), (None,), ("<p>" + "b" * 50 + "</p>",), ("<p>é</p>",)], "h string").coalesce(1)
+
+    def fails(source):
+        if "é" in source:
+            raise RecursionError("too deep")
+        return source.upper()
+
+    got = [tuple(r.c) if r.c else None for r in rows.select(stages.document_udf(fails, max_bytes=20)(F.col("h")).alias("c")).collect()]
+    assert got == [("<P>A</P>", None), (None, None), (None, "ValueError: 57 bytes, more than 20"), (None, "RecursionError: too deep")]
+    assert [r.v for r in rows.select(stages.value_udf(fails)(F.col("h")).alias("v")).collect()] == ["<P>A</P>", None, "<P>" + "B" * 50 + "</P>", None]

@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from docstrata.plans.both import land_and_transform
-from docstrata.plans.landing import LandingRun, land, pending_documents, write_reports
+from docstrata.plans.landing import LandingRun, land, write_reports
 from docstrata.plans.transform import TransformRun, transform
-from docstrata.sources.captures import export_objects, object_tree
+from docstrata.sources.captures import ResponseLog
 from docstrata.sources.store import LANDING, TRANSFORMED, Lake
 from docstrata.streaming.jobs import stream_landing, stream_transform
 from tests.conftest import SITE, TS, doc_row, page_row
@@ -257,10 +257,9 @@ def test_write_once_policy(lake, captures):
 
 def test_pending_documents_are_not_landed(lake, captures):
     pages, docs = first_captures()
-    land(lake, *captures(pages, docs[:1]), RUN)
+    result = land(lake, *captures(pages, docs[:1]), RUN)
     assert set(state(lake)) == {"A/B 1", "NOLINK"}
-    arrivals = lake.spark.read.parquet(lake.path("staging", "version=1", "distinct_arrivals"))
-    assert {r.url for r in pending_documents(arrivals).collect()} == {SITE + "/p", SITE + "/f", SITE + "/d"}
+    assert {r.url for r in result.pending().collect()} == {SITE + "/p", SITE + "/f", SITE + "/d"}
 
 
 TRANSFORM = TransformRun("2024-01-01", "2024-02-29", 1, "2024-03-02T00:00:00")
@@ -414,17 +413,13 @@ def test_views(lake, spark, captures):
     assert spark.sql("SELECT count(*) FROM landing_metadata").first()[0] == 5
 
 
-def test_reports_and_exported_objects(lake, spark, captures, tmp_path):
+def test_reports(lake, spark, captures):
     result = land(lake, *captures(*first_captures()), RUN)
     write_reports(lake, result)
     summary = spark.read.json(lake.path("reports", "crawl_summary")).first()
     assert (summary.event, summary.total_scraped) == ("crawl_complete", 5)
     assert spark.read.json(lake.path("reports", "failures")).count() == 2
     assert spark.read.json(lake.path("reports", "partition_summaries")).count() == 4
-    export_objects(lake.objects(LANDING), str(tmp_path / "out"))
-    assert (tmp_path / "out" / "Labour_Court" / "2024-01-01" / "A-B 1.html").read_bytes() == html("alpha")
-    back = object_tree(spark, str(tmp_path / "out"), str(tmp_path / "out"))
-    assert {r.file_path for r in back.select("file_path").collect()} == set(content_of(lake, LANDING))
 
 
 def test_unknown_parameters(lake, captures):
@@ -434,3 +429,147 @@ def test_unknown_parameters(lake, captures):
         transform(lake, replace(TRANSFORM, mode="x"))
     with pytest.raises(ValueError, match="before it starts"):
         land(lake, *captures(*first_captures()), replace(RUN, end_date="2023-01-01"))
+
+
+# -- late documents ---------------------------------------------------------------------------
+
+
+def response_log(spark, captures, path, *parts):
+    """A folder with one file for each list of response rows."""
+    for rows in parts:
+        captures([], rows)[1].coalesce(1).write.mode("append").parquet(str(path))
+    return ResponseLog(spark, str(path))
+
+
+def test_late_documents_land_with_a_later_run(lake, spark, captures, tmp_path):
+    pages, docs = first_captures()
+    none = captures([], [])[0]
+    log = response_log(spark, captures, tmp_path / "docs", docs[:1])
+    run = replace(RUN, keep_pending=True)
+    land(lake, captures(pages, [])[0], log, run)
+    assert set(state(lake)) == {"A/B 1", "NOLINK"}
+    assert {r.identifier for r in lake.pending().collect()} == {"P1", "F1", "D1"}
+    response_log(spark, captures, tmp_path / "docs", docs[1:3])
+    second = land(lake, none, log, replace(run, version=2))
+    assert {r.identifier for r in lake.pending().collect()} == {"D1"}
+    assert {(r.identifier, r.outcome) for r in second.outcomes.collect()} == {("P1", "landed"), ("F1", "failed")}
+    response_log(spark, captures, tmp_path / "docs", docs[3:])
+    land(lake, none, log, replace(run, version=3))
+    before = state(lake)
+    assert lake.pending().isEmpty() and set(before) == {"A/B 1", "P1", "NOLINK", "F1", "D1"}
+    # Delivered again: the queue of the version before counts, not the one it left.
+    land(lake, none, log, replace(run, version=2))
+    assert state(lake).keys() == before.keys()
+    other = Lake(spark, str(tmp_path / "once"))
+    land(other, *captures(pages, docs), RUN)
+    strip = lambda rows: {k: {c: v for c, v in r.asDict().items() if c != "version"} for k, r in rows.items()}
+    assert strip(before) == strip(state(other))
+
+
+def test_queue_keeps_no_page_twice_and_obeys_the_range(lake, spark, captures, tmp_path):
+    pages, docs = first_captures()
+    log = response_log(spark, captures, tmp_path / "docs", [])
+    run = replace(RUN, keep_pending=True)
+    for version in (1, 2):
+        land(lake, captures(pages, [])[0], log, replace(run, version=version))
+        assert sorted(r.identifier for r in lake.pending().collect()) == ["A/B 1", "D1", "F1", "P1"]
+    response_log(spark, captures, tmp_path / "docs", docs)
+    land(lake, captures([], [])[0], log, replace(run, version=3, end_date="2024-01-31"))
+    assert set(state(lake)) == {"NOLINK", "A/B 1", "P1"}
+
+
+def test_failed_run_leaves_the_queue(lake, spark, captures, tmp_path, monkeypatch):
+    pages, docs = first_captures()
+    log = response_log(spark, captures, tmp_path / "docs", docs[:1])
+    run = replace(RUN, keep_pending=True)
+    land(lake, captures(pages, [])[0], log, run)
+    response_log(spark, captures, tmp_path / "docs", docs[1:])
+    queue = {r.identifier for r in lake.pending().collect()}
+    with monkeypatch.context() as broken:
+        broken.setattr(type(lake), "commit", lambda *args: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            land(lake, captures([], [])[0], log, replace(run, version=2))
+    assert {r.identifier for r in lake.pending().collect()} == queue
+    fresh = Lake(spark, lake.root)
+    land(fresh, captures([], [])[0], log, replace(run, version=2))
+    assert fresh.pending().isEmpty() and set(state(fresh)) == {"A/B 1", "P1", "NOLINK", "F1", "D1"}
+
+
+def test_index_reads_the_headers_of_new_files_only(lake, spark, captures, tmp_path, monkeypatch):
+    pages, docs = first_captures()
+    log = response_log(spark, captures, tmp_path / "my docs", docs[:2])
+    opened, contents = [], []
+    heads, read = ResponseLog.heads, ResponseLog.read
+    monkeypatch.setattr(ResponseLog, "heads", lambda self, files: opened.append(list(files)) or heads(self, files))
+    land(lake, captures(pages, [])[0], log, RUN)
+    first = set(opened[-1])
+    response_log(spark, captures, tmp_path / "my docs", docs[2:])
+    monkeypatch.setattr(ResponseLog, "read", lambda self, files=None: contents.append(list(files)) or read(self, contents[-1]))
+    land(lake, captures(pages, [])[0], log, replace(RUN, version=2))
+    assert len(opened) == 2 and len(opened[1]) == 1 and not first & set(opened[1])
+    # Of the content, too, only the file that holds what was missing is read.
+    assert all(set(x.split("/")[-1] for x in files) == {opened[1][0].split("/")[-1]} for files in contents if files)
+    assert set(state(lake)) == {"A/B 1", "P1", "NOLINK", "F1", "D1"}
+    land(lake, captures(pages, [])[0], log, replace(RUN, version=3))
+    assert len(opened) == 2
+    rows = lake.heads(log, 4).collect()
+    assert sorted(r.url for r in rows) == sorted(SITE + x for x in ("/a", "/p", "/f", "/d"))
+
+
+def test_stream_lands_documents_that_come_after_their_page(lake, spark, captures, tmp_path):
+    pages, docs = first_captures()
+    captures(pages, [])[0].write.parquet(str(tmp_path / "pages"))
+    log = response_log(spark, captures, tmp_path / "docs", docs[:1])
+    stream = spark.readStream.schema(captures([], [])[0].schema).parquet(str(tmp_path / "pages"))
+    run = lambda: stream_landing(lake, stream, log, RUN, str(tmp_path / "c")).awaitTermination()
+    run()
+    assert set(state(lake)) == {"A/B 1", "NOLINK"}
+    response_log(spark, captures, tmp_path / "docs", docs[1:])
+    run()
+    assert set(state(lake)) == {"A/B 1", "P1", "NOLINK", "F1", "D1"}
+    versions = lake.committed(LANDING)
+    run()
+    assert lake.committed(LANDING) == versions
+
+
+# -- documents that cannot be read ------------------------------------------------------------
+
+
+def test_bad_documents_and_pages_are_counted_and_passed_over(lake, captures, monkeypatch):
+    pages, docs = first_captures()
+    pages.append(page_row("Labour Court", "2024-02-01", "2024-02-29", [{"id": "LOST", "href": "/l", "description": "x" * 5000}], number=2))
+    docs += [doc_row("/a", html("alpha")), doc_row("/n", html("y" * 900))]
+    pages.append(page_row("Equality Tribunal", "2024-02-01", "2024-02-29", [{"id": "BIG", "href": "/n"}], total=1))
+    result = land(lake, *captures(pages, docs), replace(RUN, max_bytes=500, max_page_bytes=4000))
+    assert set(state(lake)) == {"A/B 1", "P1", "NOLINK", "F1", "D1"}
+    bad = {r.identifier: (r.url, r.body, r.partition_date, r.error) for r in lake.quarantine(LANDING).collect()}
+    assert set(bad) == {"BIG", None}
+    assert bad["BIG"][:3] == (SITE + "/n", "Equality Tribunal", "2024-02-01") and bad["BIG"][3].startswith("ValueError: 9")
+    assert bad[None][0].endswith("pageNumber=2") and bad[None][3].endswith("more than 4000")
+    outcomes = {(r.identifier, r.outcome) for r in result.outcomes.collect()}
+    assert ("BIG", "bad_item") in outcomes and (None, "bad_item") in outcomes and (None, "request_failed") in outcomes
+    failed = {(r.body, str(r.partition_start)): r.records_failed for r in result.stats.collect()}
+    assert failed["Equality Tribunal", "2024-02-01"] == 1 and failed["Labour Court", "2024-02-01"] == 2
+    assert {u.error for r in result.summaries().collect() for u in r.failed_urls} == {"503", "timeout", bad["BIG"][3], bad[None][3]}
+    # The next run, with room for it, lands the document.
+    land(lake, *captures(pages, docs), replace(RUN, version=2, max_page_bytes=4000))
+    assert set(state(lake)) == {"A/B 1", "P1", "NOLINK", "F1", "D1", "BIG"}
+
+    done = transform(lake, replace(TRANSFORM, max_bytes=500))
+    assert {r.identifier: r.status for r in done.statuses.collect()}["BIG"] == "clean_error"
+    assert done.counts().first().asDict() == {"inserted": 3, "updated": 0, "skipped": 0, "failed": 3}
+    assert [(r.identifier, r.version) for r in lake.quarantine(TRANSFORMED).collect()] == [("BIG", 1)]
+    assert "BIG" not in state(lake, TRANSFORMED)
+    again = transform(lake, replace(TRANSFORM, version=2))
+    assert again.counts().first().asDict() == {"inserted": 1, "updated": 0, "skipped": 3, "failed": 2}
+    assert [(r.identifier, r.version) for r in lake.quarantine(TRANSFORMED).collect()] == [("BIG", 1)]
+
+
+def test_a_failing_update_keeps_the_good_row(lake, captures):
+    land(lake, *captures(*first_captures()), RUN)
+    transform(lake, TRANSFORM)
+    rerun(lake, captures, [{"id": "A/B 1", "href": "/a2"}], [doc_row("/a2", html("z" * 900))])
+    before = state(lake, TRANSFORMED)
+    done = transform(lake, replace(TRANSFORM, version=2, max_bytes=500))
+    assert {r.identifier: r.status for r in done.statuses.collect()}["A/B 1"] == "clean_error"
+    assert state(lake, TRANSFORMED) == before and content_of(lake, TRANSFORMED)["A-B_1.html"] == b'<div id="main">alpha</div>'

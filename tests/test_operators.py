@@ -300,12 +300,10 @@ def test_shown_lines_format_and_default_level(spark):
 
 
 def test_log_stream(spark, tmp_path):
-    from docstrata.streaming.jobs import stream_log_lines
-
     source = tmp_path / "logs"
     source.mkdir()
     (source / "a.log").write_text(LOG)
-    query = (stream_log_lines(sources.log_stream(spark, str(source))).filter("message <> ''").writeStream
+    query = (logs.parse_lines(sources.log_stream(spark, str(source))).filter("message <> ''").writeStream
              .format("memory").queryName("log_lines").trigger(availableNow=True).start())
     query.awaitTermination()
     assert spark.table("log_lines").count() == 3
