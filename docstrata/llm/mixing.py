@@ -170,15 +170,21 @@ def mix(
     )
 
 
-def mixed_documents(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, each as often as the mix takes it."""
+def mixed_documents(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", most: int = MOST, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes it.
+
+    Rows equal in id and text share out their copies in the order of their other columns.
+    """
     folder = workspace(docs.sparkSession, "mixed")
-    taken = mix(docs, text=text, doc_id=doc_id, **options).groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
-    taken = staged(taken.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_copies"), f"{folder}/copies")
-    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_key"))
-    found = docs.join(taken, same)
-    # Rows equal in id and text share out their copies.
-    nth = F.row_number().over(Window.partitionBy("_id", "_key").orderBy(F.xxhash64(*docs.columns)))
-    alone = found.where("size(_copies) = 1").withColumn("_n", F.element_at("_copies", 1))
-    several = found.where("size(_copies) > 1").withColumn("_nth", nth).withColumn("_n", F.element_at("_copies", F.col("_nth"))).drop("_nth")
-    return alone.unionByName(several).where("_n > 0").withColumn("_n", F.explode(F.expr("sequence(1, cast(_n as int))"))).select(*docs.columns)
+    taken = mix(docs, text=text, doc_id=doc_id, most=most, **options)
+    # How many rows of an id and text are taken at most k times, for each k below ``most``.
+    below = [F.count_if(F.col("copies") <= k).alias(f"upto{k}") for k in range(most)]
+    shares = staged(taken.groupBy("doc_id", "text_key").agg(F.count("*").alias("rows"), *below), f"{folder}/copies").alias("t")
+    # The document goes through as one column, so its names meet no others.
+    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("key"), F.struct(*docs.columns).alias("row")).alias("d")
+    found = rows.join(shares, F.col("d.id").eqNullSafe(F.col("t.doc_id")) & (F.col("d.key") == F.col("t.text_key"))).drop("doc_id", "text_key")
+    nth = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.xxhash64("row")))
+    again = found.where("rows > 1").withColumn("nth", nth)
+    every = found.where("rows = 1").withColumn("nth", F.lit(1)).unionByName(again)
+    copies = sum((F.when(F.col("nth") > F.col(f"upto{k}"), 1).otherwise(0) for k in range(1, most)), F.when(F.col("nth") > F.col("upto0"), 1).otherwise(0))
+    return every.withColumn("copies", copies).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -33,7 +33,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docstrata.llm.storage import settings, staged, workspace
@@ -283,8 +283,16 @@ def distinct_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     """
     folder = workspace(docs.sparkSession, "distinct")
     kept = near_duplicates(docs, doc_id=doc_id, text=text, **options).where("kept").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("n_shingles").alias("n"))
-    names = staged(kept.select(F.col("doc_id").alias("_kept_id"), ((F.col("rows") > 1) & (F.col("n") > 0)).alias("_repeated")), f"{folder}/kept")
-    found = docs.join(names, F.col(doc_id).eqNullSafe(F.col("_kept_id"))).drop("_kept_id")
-    first = Window.partitionBy(doc_id).orderBy(text, F.xxhash64(*docs.columns))
-    again = found.where("_repeated").withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
-    return found.where("not _repeated").select(*docs.columns).unionByName(again.select(*docs.columns))
+    names = staged(kept.select("doc_id", ((F.col("rows") > 1) & (F.col("n") > 0)).alias("repeated")), f"{folder}/kept").alias("k")
+    # The document goes through as one column, so its names meet no others.
+    rows = docs.select(F.col(doc_id).alias("id"), F.struct(*docs.columns).alias("row")).alias("d")
+    found = rows.join(names, F.col("d.id").eqNullSafe(F.col("k.doc_id"))).select("id", "row", "repeated")
+    # Rows that repeat an id with texts: the least text, by a grouped minimum.
+    own = F.col(f"row.{_quoted(text)}")
+    least = F.min(F.struct(own.isNull().alias("none"), own.alias("text"), F.xxhash64("row").alias("hash"), "row")).alias("least")
+    again = found.where("repeated").groupBy("id").agg(least).select("least.row")
+    return found.where("not repeated").select("row").unionByName(again).select("row.*")
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -3,7 +3,8 @@
 Each rule votes good (1), bad (-1) or abstains (0) on a document.  Expectation
 maximisation, without labels, estimates how accurate every rule's votes are on good and on
 bad documents, and the share of good documents; an abstention says nothing.  A document's posterior
-probability of being good replaces the demand that every rule passes.  The documents enter
+probability of being good replaces the demand that every rule passes: a rule that fires alone on
+many documents is found to be inaccurate, and its bad votes reject nothing by themselves.  The documents enter
 as counts of vote patterns, of which there are at most 3 ** (number of rules), so the steps
 of the estimate run over that bounded table and the texts are read once.
 
@@ -92,6 +93,13 @@ def measures(text: str | Column) -> list[Column]:
     ]
 
 
+def _flat_measures(text: str) -> list[Column]:
+    by_words, by_lines, *others = measures(text)
+    return [
+        *others, by_words["n"].alias("n_words"), by_words["repeat"].alias("n_repeat_words"), by_lines["n"].alias("n_lines"), by_lines["dup"].alias("n_dup_lines"),
+    ]
+
+
 def measured(docs: DataFrame, keys: list[Column], text: str = "text") -> DataFrame:
     """``keys`` and the measures of every document."""
     rows = docs.select(*keys, *measures(text))
@@ -123,14 +131,21 @@ class Rule:
 
 
 _ANY = float("inf")
+# Every kind of junk is seen by two rules or more: what one rule alone sees can be told from
+# its own error only by what the others say.
 RULES = [
     Rule("length", "n_words", None, 60, _ANY, 20, _ANY),
+    Rule("characters", "word_chars", None, 250, _ANY, 90, _ANY),
     Rule("symbols", "n_symbols", "word_chars", 0, 0.03, 0, 0.10),
+    Rule("symbols_a_word", "n_symbols", "n_words", 0, 0.12, 0, 0.25),
     Rule("line_copies", "n_dup_lines", "n_lines", 0, 0.20, 0, 0.50),
+    Rule("line_copies_a_word", "n_dup_lines", "n_words", 0, 0.01, 0, 0.04),
     Rule("repeats", "n_repeat_words", "n_words", 0, 0.15, 0, 0.35),
     Rule("word_length", "word_chars", "n_words", 3, 10, 2, 14),
     Rule("capitals", "n_capitals", "word_chars", 0, 0.15, 0, 0.40),
+    Rule("capitals_a_word", "n_capitals", "n_words", 0, 0.90, 0, 1.80),
     Rule("calls", "n_calls", "n_words", 0, 0.10, 0, 0.40),
+    Rule("calls_a_character", "n_calls", "word_chars", 0, 0.02, 0, 0.08),
 ]
 
 
@@ -150,45 +165,41 @@ class Estimate:
 
 
 # What a rule is expected to do before any document is seen, as pseudo-counts of votes
-# (bad, good): a bad vote is rare on good documents.
+# (bad, good): a bad vote is rare on good documents.  Votes outweigh them, so a rule that
+# fires on many good documents comes to count for little.
 _PRIOR_BAD, _PRIOR_GOOD, _PRIOR_SHARE = (4.0, 6.0), (0.05, 19.95), (4.0, 1.0)
-FALSE_ALARMS = 0.003
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], names: list[str], false_alarms: float = FALSE_ALARMS, steps: int = 200, tolerance: float = 1e-7) -> Estimate:
-    """Expectation maximisation over counted vote patterns; with no patterns, the priors.
+def _weights(good: list[float], bad: list[float]) -> tuple[float, float]:
+    """Log odds of a bad and of a good vote: the one never speaks for a document, the other never against it."""
+    return min(0.0, math.log(good[0] / bad[0])), max(0.0, math.log(good[1] / bad[1]))
 
-    Each maximisation keeps a rule's bad votes on good documents at ``false_alarms`` or
-    fewer: rules are written to fire on bad documents.  Without that bound a kind of junk
-    that only one rule sees would be explained as that rule's error.
-    """
-    total = lambda p: [x / sum(p) for x in p]
-
-    def bounded(p: list[float]) -> list[float]:
-        low = min(p[0], false_alarms)
-        return [low, 1 - low]
 
+def estimate(patterns: list[tuple[tuple[int, ...], int]], names: list[str], steps: int = 200, tolerance: float = 1e-7) -> Estimate:
+    """Expectation maximisation over counted vote patterns; with no patterns, the priors."""
+    total = lambda p: [x / sum(p) for x in p]
     share = _PRIOR_SHARE[0] / sum(_PRIOR_SHARE)
     bad, good = [total(_PRIOR_BAD) for _ in names], [total(_PRIOR_GOOD) for _ in names]
+    everything = sum(n for _, n in patterns)
     for _ in range(steps):
         odds0 = math.log(share / (1 - share))
+        weights = [_weights(good[j], bad[j]) for j in range(len(names))]
         mass = 0.0
         new_bad, new_good = [list(_PRIOR_BAD) for _ in names], [list(_PRIOR_GOOD) for _ in names]
-        everything = 0
         for votes, n in patterns:
-            odds = odds0 + sum(math.log(good[j][v > 0] / bad[j][v > 0]) for j, v in enumerate(votes) if v)
+            odds = odds0 + sum(weights[j][v > 0] for j, v in enumerate(votes) if v)
             p = 1 / (1 + math.exp(-odds)) if odds > -700 else 0.0
-            mass, everything = mass + n * p, everything + n
+            mass += n * p
             for j, v in enumerate(votes):
                 if v:
                     new_good[j][v > 0] += n * p
                     new_bad[j][v > 0] += n * (1 - p)
         new_share = (mass + _PRIOR_SHARE[0]) / (everything + sum(_PRIOR_SHARE))
         moved = abs(new_share - share)
-        share, bad, good = new_share, [total(x) for x in new_bad], [bounded(total(x)) for x in new_good]
+        share, bad, good = new_share, [total(x) for x in new_bad], [total(x) for x in new_good]
         if moved < tolerance:
             break
-    weights = {name: tuple(math.log(good[j][v] / bad[j][v]) for v in range(2)) for j, name in enumerate(names)}
+    weights = {name: _weights(good[j], bad[j]) for j, name in enumerate(names)}
     return Estimate(math.log(share / (1 - share)), weights, {name: (tuple(bad[j]), tuple(good[j])) for j, name in enumerate(names)})
 
 
@@ -199,17 +210,32 @@ def fit(voted: DataFrame, rules: list[Rule] = RULES) -> Estimate:
     return estimate(sorted((tuple(row[name] for name in names), row["count"]) for row in counted), names)
 
 
-def judge(docs: DataFrame, keys: list[Column], *, text: str = "text", rules: list[Rule] = RULES, threshold: float = 0.5) -> DataFrame:
-    """``keys``, measures, votes, base_failed, quality (the posterior) and kept of every document."""
-    rows = staged(measured(docs, keys, text), f"{workspace(docs.sparkSession, 'quality')}/measures")
-    voted = rows.select("*", *[rule.vote() for rule in rules])
-    found = fit(voted, rules)
+def _judged(voted: DataFrame, found: Estimate, threshold: float) -> DataFrame:
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return voted.withColumn("base_failed", base_failed).withColumn("quality", found.posterior()).withColumn(
         "kept", ~F.col("base_failed") & (F.col("quality") >= threshold)
     )
 
 
-def good_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, all columns, that are kept; the texts are measured once and not joined."""
-    return judge(docs, [F.struct(*docs.columns).alias("document")], **options).where("kept").select("document.*")
+def judge(docs: DataFrame, keys: list[Column], *, text: str = "text", rules: list[Rule] = RULES, threshold: float = 0.5) -> DataFrame:
+    """``keys``, measures, votes, base_failed, quality (the posterior) and kept of every document."""
+    rows = staged(measured(docs, keys, text), f"{workspace(docs.sparkSession, 'quality')}/measures")
+    voted = rows.select("*", *[rule.vote() for rule in rules])
+    return _judged(voted, fit(voted, rules), threshold)
+
+
+def good_documents(docs: DataFrame, *, text: str = "text", rules: list[Rule] = RULES, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, that are kept.
+
+    Texts are measured once for the estimate and once for the verdict: nothing of them is
+    stored or shuffled.
+    """
+
+    def voted(keys: list[Column]) -> DataFrame:
+        # A generator's columns are computed once a row, however often the rules use them.
+        all_measures = F.struct(*[m for m in _flat_measures(text)])
+        rows = docs.select(*keys, F.explode(F.array(all_measures)).alias("measures"))
+        return rows.select(*[c for c in rows.columns if c != "measures"], "measures.*").select("*", *[rule.vote() for rule in rules])
+
+    found = fit(voted([]), rules)
+    return _judged(voted([F.struct(*docs.columns).alias("document")]), found, threshold).where("kept").select("document.*")

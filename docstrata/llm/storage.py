@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from urllib.parse import urlparse
 
 from pyarrow import fs
@@ -14,10 +15,29 @@ from pyspark.sql import DataFrame, SparkSession
 from docstrata.session import scratch_dir, ship_package
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A new folder that the driver and all executors can reach, for one run of an operator."""
     ship_package(spark)
-    return f"{scratch_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(folder)
+    return folder
+
+
+@contextmanager
+def passing_workspaces(spark: SparkSession) -> Iterator[None]:
+    """Workspaces made inside are deleted at the end: for steps whose results are written by then."""
+    token = _made.set([])
+    try:
+        yield
+        for folder in _made.get():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    finally:
+        _made.reset(token)
 
 
 def staged(frame: DataFrame, path: str) -> DataFrame:
