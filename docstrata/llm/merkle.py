@@ -98,15 +98,16 @@ class Tree:
         tops = [level.where("runs = 1").select("g", digest(*_slots("h")).alias("top")) for level in self.levels]
         return reduce(DataFrame.unionByName, tops, self.alone.select("g", F.col("h").alias("top")))
 
-    def lowest_runs(self, tops: DataFrame) -> DataFrame:
+    def lowest_runs(self, tops: DataFrame | None = None) -> DataFrame:
         """The lowest level with ``up``, the siblings on the way from its parents to the root.
 
         ``tops`` has g, ``up`` (the way above the group's own root) and further columns,
-        which are kept.
+        which are kept; without it, nothing is above the groups' roots.
         """
-        names, children, at = [c for c in tops.columns if c != "g"], None, None
+        names, children, at = [c for c in tops.columns if c != "g"] if tops else ["up"], None, None
         for level in reversed(self.levels):
-            at = level.where("runs = 1").join(tops, "g")
+            rooted = level.where("runs = 1")
+            at = rooted.join(tops, "g") if tops else rooted.withColumn("up", _nothing())
             if children is not None:
                 at = at.unionByName(level.where("runs > 1").join(children, ["g", "run"]))
             children = _children(at, names).select("g", (F.col("run") * FANOUT + F.col("slot")).alias("run"), _joined().alias("up"), *[c for c in names if c != "up"])
@@ -129,6 +130,10 @@ def _joined() -> Column:
     return F.concat(F.array(F.struct("pre", "post")), F.col("up"))
 
 
+def _nothing() -> Column:
+    return F.from_json(F.lit("[]"), _UP)
+
+
 def siblings_text(up: Column) -> Column:
     return F.array_join(F.transform(up, lambda s: F.concat(s["pre"], s["post"])), "")
 
@@ -160,10 +165,8 @@ def manifest(docs: DataFrame, *, fields: tuple[str, ...] = FIELDS, doc_id: str =
     listed = ranked(subroots.select(F.lit("").alias("g"), F.col("g").alias("source"), F.col("top").alias("h")), [F.col("source")], f"{folder}/listed")
     crown = Tree(listed, f"{folder}/crown", ("source",))
     root = crown.roots().first()  # one digest
-    none = F.from_json(F.lit("[]"), _UP)
-    ways = crown.lowest_runs(docs.sparkSession.range(1).select(F.lit("").alias("g"), none.alias("up")))
-    below = _children(ways, ["up"], ("source",)).select(F.col("source").alias("g"), F.col("h").alias("subroot"), _joined().alias("up"))
-    tops = staged(below.unionByName(crown.alone.select(F.col("source").alias("g"), F.col("h").alias("subroot"), none.alias("up"))), f"{folder}/tops")
+    below = _children(crown.lowest_runs(), ["up"], ("source",)).select(F.col("source").alias("g"), F.col("h").alias("subroot"), _joined().alias("up"))
+    tops = staged(below.unionByName(crown.alone.select(F.col("source").alias("g"), F.col("h").alias("subroot"), _nothing().alias("up"))), f"{folder}/tops")
 
     shared = ["up", "above", "subroot"]
     runs = tree.lowest_runs(tops).withColumn("above", siblings_text(F.col("up")))
