@@ -280,7 +280,10 @@ def near_vectors(
     joined = components(local.select(F.col("class").alias("a"), F.col("root").alias("b")), f"{folder}/components")
     linked = local.groupBy("class").agg(F.sum("links").alias("links"))
     named = found.select("class", "first_id", "copies").join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    # Written first, so that the join below can split a component with many of the rows.
+    named = staged(named, f"{folder}/named")
     heads = named.groupBy("component").agg(F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id")).alias("least")).select("component", F.col("least.first_id").alias("head"))
+    heads = staged(heads, f"{folder}/heads")
     known = staged(
         named.join(heads, "component").join(linked, "class", "left").select("class", "head", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), f"{folder}/known"
     )
