@@ -2,20 +2,23 @@
 
     p(word | word before) = p(class | class before) * p(word | class)
 
-Exchange units are the words with at least ``min_share`` of the training tokens (so at
-most ``1 / min_share``, whatever the corpus) and groups of the rarer and unknown words by
-their last three bytes.  A sweep counts each unit's neighbours by class from all training
-tokens; parts of the units are then exchanged side by side, each part unit by unit against
-its own running copy of the class table (K x K), as in distributed exchange clustering.
-The counts are joined anew after every sweep.  The end of a text is a class of its own.
+Clustering has two phases.  First the words with at least ``min_share`` of the training
+tokens and groups of all others by their last three bytes are exchanged in sweeps: a sweep
+takes each unit's neighbours by class from the counts of neighbouring units.  Then every
+word with ``least_count`` occurrences, an absolute number, is a unit of its own: a pass over
+the texts counts its neighbours by class, and it moves to the class that suits it best,
+starting from its group's.  Only words below that count, and unknown ones, stay in their
+groups.  Parts of the units are exchanged side by side, each part unit by unit against its
+own running copy of the class table (K x K), as in distributed exchange clustering; there
+are as many parts as the units need.  The end of a text is a class of its own.
 
 Smoothing: class transitions are interpolated with class shares; every class keeps the mass
 of its words seen once (and a half) for unknown words, which count as one word a class.
 
-Counts cover all training tokens.  Only the class table, the unit list and the totals reach
-the driver, all bounded by parameters.  To score, a worker loads the vocabulary's counts
-if they are at most ``local_words`` entries; a larger vocabulary is joined by shuffle, with
-the same results.
+Counts cover all training tokens.  The words with their counts and classes are a table; only
+the class table, the units of the first phase and totals reach the driver, all bounded by
+parameters.  A worker loads the table if it has at most ``local_words`` rows; a larger one
+is joined by shuffle, with the same results.
 
 Defined cases: a null or wordless text has only the end token.  A null id is held out by
 the checksum of the empty text.  Without training documents every probability is 1.  Rows
@@ -38,8 +41,8 @@ from pyspark.sql import functions as F
 from docstrata.llm.storage import filesystem, staged, workspace
 from docstrata.llm.words import Words, blocks, hash_words, mix
 
-CLASSES, MIN_SHARE, GROUPS, SWEEPS, PARTS, LOCAL_WORDS = 64, 1e-4, 2048, 6, 8, 8_000_000
-_BUFFER_TOKENS = 2_000_000
+CLASSES, MIN_SHARE, LEAST_COUNT, GROUPS, SWEEPS, LOCAL_WORDS = 64, 1e-4, 20, 2048, 6, 8_000_000
+_BUFFER_TOKENS, _UNITS_A_PART = 2_000_000, 500
 _ALPHA = 10.0
 
 
@@ -122,17 +125,18 @@ def _plogp(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
 
-def _exchange(group: pd.DataFrame, table: np.ndarray, class_of: np.ndarray) -> pd.DataFrame:
+def _exchange(group: pd.DataFrame, table: np.ndarray) -> pd.DataFrame:
     """Move each unit of one part to the class that most raises the class bigram likelihood.
 
-    ``group`` has the units' neighbours: unit, side (0 before, 1 after), class, n, own (of
-    n, the unit beside itself).  The end's class, the last, neither gives nor takes units.
+    ``group`` has the units' neighbours: unit, old (its class), side (0 before, 1 after),
+    class, n, own (of n, the unit beside itself).  The end's class, the last, neither gives
+    nor takes units.
     """
     table, k = table.copy(), len(table)
     logs = _plogp(table)
     moved_to = {}
     for unit, rows in group.sort_values(["unit", "side", "class"]).groupby("unit", sort=True):
-        old = int(class_of[unit])
+        old = int(rows["old"].iloc[0])
         if old == k - 1:
             continue
         after, before = np.zeros(k), np.zeros(k)
@@ -159,100 +163,251 @@ def _exchange(group: pd.DataFrame, table: np.ndarray, class_of: np.ndarray) -> p
         table[new, new] += own
         logs[new], logs[:, new] = _plogp(table[new]), _plogp(table[:, new])
         moved_to[unit] = new
-    return pd.DataFrame({"unit": list(moved_to), "new": list(moved_to.values())}).astype({"unit": "int32", "new": "int32"})
+    return pd.DataFrame({"unit": list(moved_to), "new": list(moved_to.values())}).astype({"unit": "int64", "new": "int32"})
+
+
+def _moves(contexts: DataFrame, units: int, table: np.ndarray, seed: int) -> DataFrame:
+    """(unit, new) from the contexts of all units."""
+    part = F.pmod(F.xxhash64("unit", F.lit(seed)), F.lit(-(-units // _UNITS_A_PART)))
+
+    def exchange(group: pd.DataFrame) -> pd.DataFrame:
+        return _exchange(group, table)
+
+    return contexts.groupBy(part.alias("part")).applyInPandas(exchange, "unit bigint, new int")
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """Words with counts and classes: a table, and the classes of the groups of all other words."""
+
+    path: str  # table of hash, n, class, in files by ascending hash
+    rows: int
+    group_class: np.ndarray
+    classes: int
+
+    def lines(self, batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[int, pa.RecordBatch, Line]]:
+        """Begin, batch and tokens of blocks of texts, from the loaded table."""
+        hashes, n, own = _loaded(self.path)
+        for batch in batches:
+            for begin, block in blocks(batch.column(column)):
+                words = hash_words(block)
+                distinct, inverse = np.unique(words.hashes.view(np.int64), return_inverse=True)
+                counts, known = np.zeros(len(distinct), np.int64), np.full(len(distinct), -1, np.int64)
+                if len(hashes):
+                    spot = np.minimum(np.searchsorted(hashes, distinct), len(hashes) - 1)
+                    there = hashes[spot] == distinct
+                    counts[there], known[there] = n[spot[there]], own[spot[there]]
+                classes = known[inverse]
+                classes = np.where(classes < 0, self.group_class[_groups(words, len(self.group_class))], classes)
+                yield begin, batch.slice(begin, len(block)), Line(words.hashes.view(np.int64), counts[inverse], classes, words.bounds, np.ones(len(block), np.int64))
+
+    def joined(self, texts: DataFrame) -> DataFrame:
+        """key, copies and the tokens' hashes, counts and classes of every distinct text, by shuffle."""
+        keyed = texts.select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"), "text")
+        # Equal texts are one row.
+        distinct = keyed.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+        tokens = distinct.mapInArrow(partial(_list_tokens, groups=len(self.group_class)), "key string, place bigint, hash bigint, group int")
+        known = tokens.join(texts.sparkSession.read.parquet(self.path), "hash", "left")
+        other = F.get(F.lit(self.group_class.tolist()), F.col("group"))
+        found = known.select("key", F.struct("place", "hash", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("class", other).cast("bigint").alias("class")).alias("token"))
+        lines = found.groupBy("key").agg(F.sort_array(F.collect_list("token")).alias("line"))
+        return distinct.select("key", "copies").join(lines, "key", "left").select("key", "copies", "line.hash", "line.n", "line.class")
+
+
+@dataclass(frozen=True)
+class Line:
+    """Tokens of consecutive texts, and how often each text occurs."""
+
+    hashes: np.ndarray
+    counts: np.ndarray
+    classes: np.ndarray
+    bounds: np.ndarray
+    copies: np.ndarray
+
+
+def _joined_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, Line]]:
+    for batch in batches:
+        hashes, n, classes = ([np.array(x if x is not None else [], dtype=np.int64) for x in batch.column(k).to_pylist()] for k in (2, 3, 4))
+        bounds = np.cumsum([0, *map(len, hashes)])
+        if batch.num_rows:
+            yield 0, batch, Line(np.concatenate(hashes), np.concatenate(n), np.concatenate(classes), bounds, np.asarray(batch.column(1)))
+
+
+@lru_cache(maxsize=1)
+def _loaded(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ascending hashes, counts and classes of a vocabulary table; its files are in this order."""
+    store, root = filesystem(path)
+    columns = []
+    for name, kind in (("hash", pa.int64()), ("n", pa.int64()), ("class", pa.int16())):
+        column = pq.read_table(root, filesystem=store, columns=[name]).column(0).cast(kind)
+        columns.append(column.to_numpy())
+    if len(columns[0]) and not (np.diff(columns[0]) > 0).all():
+        order = np.argsort(columns[0])
+        columns = [c[order] for c in columns]
+    return tuple(columns)
+
+
+def _unit_contexts(lines: Iterator[tuple[int, pa.RecordBatch, Line]], classes: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Partial counts of the neighbours of all words with ``least`` or more occurrences."""
+    held, size = [], 0
+
+    def flush() -> pa.RecordBatch:
+        hashes, code, n = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        words, spot = np.unique(hashes, return_inverse=True)
+        codes, inverse = np.unique(spot * (4 * classes) + code, return_inverse=True)
+        total = np.bincount(inverse, n).astype(np.int64)
+        word, rest = np.divmod(codes, 4 * classes)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(words[word]), pa.array((rest // (2 * classes)).astype(np.int32)), pa.array((rest // 2 % classes).astype(np.int32)), pa.array(total), pa.array(total * (rest % 2))],
+            names=["unit", "side", "class", "n", "own"],
+        )
+
+    for _, _, line in lines:
+        end = classes - 1
+        token, _ = _with_ends(line.hashes, line.bounds, 0)
+        class_of, _ = _with_ends(line.classes, line.bounds, end)
+        unit, _ = _with_ends(line.counts >= least, line.bounds, False)
+        copies = np.repeat(line.copies, np.diff(line.bounds) + 1)
+        for side, step in ((0, 1), (1, -1)):
+            beside, same = np.roll(class_of, step), np.roll(token, step) == token
+            beside[0 if side == 0 else -1] = end
+            same &= np.roll(unit, step)
+            same[0 if side == 0 else -1] = False
+            held.append((token[unit], ((side * classes + beside) * 2 + same)[unit], copies[unit]))
+        size += 2 * len(token)
+        if size >= _BUFFER_TOKENS:
+            yield flush()
+            size = 0
+    if held:
+        yield flush()
+
+
+def _class_table(lines: Iterator[tuple[int, pa.RecordBatch, Line]], classes: int) -> Iterator[pa.RecordBatch]:
+    """The task's counts of neighbouring classes."""
+    table = np.zeros(classes * classes)
+    for _, _, line in lines:
+        class_of, _ = _with_ends(line.classes, line.bounds, classes - 1)
+        copies = np.repeat(line.copies, np.diff(line.bounds) + 1)
+        table += np.bincount(np.r_[classes - 1, class_of[:-1]] * classes + class_of, copies, minlength=classes * classes)
+    some = np.flatnonzero(table)
+    yield pa.RecordBatch.from_arrays([pa.array((some // classes).astype(np.int32)), pa.array((some % classes).astype(np.int32)), pa.array(table[some].astype(np.int64))], names=["ca", "cb", "n"])
 
 
 @dataclass(frozen=True)
 class Model:
-    """All that scoring needs besides the vocabulary's counts."""
+    """All that scoring needs besides the vocabulary's table."""
 
-    units: Units
-    class_of: np.ndarray  # by unit
+    vocabulary: Vocabulary
     transitions: np.ndarray  # log10 p(class | class before)
     known: np.ndarray  # by class: log10 of what a word's count is divided by
     unknown: np.ndarray  # by class: log10 p(an unknown word | class)
     docs: int
     tokens: int
     words: int
-    vocabulary: str  # table of hash, n, unit
-    vocabulary_rows: int
 
-    def score(self, units: np.ndarray, counts: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
+    def score(self, line: Line) -> dict[str, np.ndarray]:
         """n_tokens, n_known, base_score and score of consecutive texts."""
-        line, starts = _with_ends(units, bounds, 0)
-        n, _ = _with_ends(counts, bounds, self.docs)
+        end = self.vocabulary.classes - 1
+        classes, starts = _with_ends(line.classes, line.bounds, end)
+        n, _ = _with_ends(line.counts, line.bounds, self.docs)
         if not len(starts):
             return {k: np.zeros(0) for k in ("n_tokens", "n_known", "base_score", "score")}
-        classes = self.class_of[line]
-        before = np.r_[self.class_of[0], classes[:-1]]
-        before[starts] = self.class_of[0]
+        before = np.r_[end, classes[:-1]]
         seen = n > 0
         emitted = np.where(seen, np.log10(np.maximum(n, 1)) - self.known[classes], self.unknown[classes])
         base = np.log10((n + 1) / (self.tokens + self.words + 1))
         sums = {"n_known": seen.astype(np.int64), "base_score": base, "score": self.transitions[before, classes] + emitted}
-        return {"n_tokens": np.diff(bounds) + 1} | {k: np.add.reduceat(v, starts) for k, v in sums.items()}
+        return {"n_tokens": np.diff(line.bounds) + 1} | {k: np.add.reduceat(v, starts) for k, v in sums.items()}
 
 
-def fit(
-    docs: DataFrame, *, text: str = "text", classes: int = CLASSES, min_share: float = MIN_SHARE, groups: int = GROUPS, sweeps: int = SWEEPS, folder: str | None = None
-) -> Model:
-    """Learn from every row of ``docs``."""
-    folder = folder or workspace(docs.sparkSession, "classlm")
-    texts = docs.select(F.col(text).alias("text"))
-    counts = staged(
-        texts.mapInArrow(partial(_count_words, groups=groups), "hash bigint, group int, n bigint").groupBy("hash").agg(F.sum("n").alias("n"), F.min("group").alias("group")),
-        f"{folder}/counts",
-    )
-    n_docs = texts.count()
-    totals = counts.agg(F.count("*").alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
-    tokens, words = totals["tokens"] + n_docs, totals["words"] + (n_docs > 0)
-    least = max(2, min_share * tokens)
+def _coarse_classes(texts: DataFrame, counts: DataFrame, tokens: int, classes: int, min_share: float, groups: int, sweeps: int, folder: str) -> tuple[Units, np.ndarray, np.ndarray]:
+    """The first phase: units, their classes and the class table."""
     # At most 1 / min_share rows.
-    hashes = [row["hash"] for row in counts.where(F.col("n") >= least).select("hash").collect()]
+    hashes = [row["hash"] for row in counts.where(F.col("n") >= max(2, min_share * tokens)).select("hash").collect()]
     units = Units(np.sort(np.array(hashes, dtype=np.int64).view(np.uint64)), groups)
     pairs = staged(
         texts.mapInArrow(partial(_count_pairs, units=units), "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")), f"{folder}/pairs"
     )
-
     class_of = (mix(np.arange(units.count, dtype=np.uint64)) % np.uint64(classes - 1)).astype(np.int64)
     class_of[0] = classes - 1
 
     def class_pairs() -> np.ndarray:
         lookup = F.lit(class_of.tolist())
-        named = pairs.select(F.get(lookup, F.col("a")).alias("ca"), F.get(lookup, F.col("b")).alias("cb"), "n").groupBy("ca", "cb").agg(F.sum("n").alias("n"))
-        table = np.zeros((classes, classes))
-        for row in named.collect():  # at most classes ** 2 rows
-            table[row["ca"], row["cb"]] = row["n"]
-        return table
+        return _table(pairs.select(F.get(lookup, F.col("a")).alias("ca"), F.get(lookup, F.col("b")).alias("cb"), "n"), classes)
 
     table = class_pairs()
     for sweep in range(sweeps):
         lookup = F.lit(class_of.tolist())
-        own = F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)
-        sides = pairs.select(F.col("a").alias("unit"), F.lit(1).alias("side"), F.get(lookup, F.col("b")).cast("int").alias("class"), "n", own.alias("own")).unionByName(
-            pairs.select(F.col("b").alias("unit"), F.lit(0).alias("side"), F.get(lookup, F.col("a")).cast("int").alias("class"), "n", own.alias("own"))
+        own = F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0).alias("own")
+        side = lambda unit, number, other: pairs.select(
+            F.col(unit).cast("bigint").alias("unit"), F.get(lookup, F.col(unit)).cast("int").alias("old"), F.lit(number).alias("side"), F.get(lookup, F.col(other)).cast("int").alias("class"), "n", own  # noqa: B023
         )
-        contexts = sides.groupBy("unit", "side", "class").agg(F.sum("n").alias("n"), F.sum("own").alias("own"))
-        part = F.pmod(F.xxhash64("unit", F.lit(sweep)), F.lit(PARTS))
-
-        def exchange(group: pd.DataFrame) -> pd.DataFrame:
-            return _exchange(group, table, class_of)  # noqa: B023 - used within this sweep
-
-        moves = contexts.groupBy(part.alias("part")).applyInPandas(exchange, "unit int, new int").collect()
+        contexts = side("a", 1, "b").unionByName(side("b", 0, "a")).groupBy("unit", "old", "side", "class").agg(F.sum("n").alias("n"), F.sum("own").alias("own"))
+        moves = _moves(contexts, units.count, table, sweep).collect()  # one row a unit
         changed = sum(class_of[row["unit"]] != row["new"] for row in moves)
-        for row in moves:  # one row a unit
+        for row in moves:
             class_of[row["unit"]] = row["new"]
         table = class_pairs()
         if not changed:
             break
+    return units, class_of, table
+
+
+def _table(pairs: DataFrame, classes: int) -> np.ndarray:
+    """The class table from (ca, cb, n); at most classes ** 2 rows reach the driver."""
+    table = np.zeros((classes, classes))
+    for row in pairs.groupBy("ca", "cb").agg(F.sum("n").alias("n")).collect():
+        table[row["ca"], row["cb"]] = row["n"]
+    return table
+
+
+def _stored(words: DataFrame, path: str) -> DataFrame:
+    """A vocabulary table in files by ascending hash."""
+    return staged(words.select("hash", "n", F.col("class").cast("smallint").alias("class")).repartitionByRange("hash").sortWithinPartitions("hash"), path)
+
+
+def _over(texts: DataFrame, vocabulary: Vocabulary, count, types: str, local_words: int) -> DataFrame:
+    """``count`` of the tokens of all texts, from the loaded table or by join."""
+    if vocabulary.rows <= local_words:
+        return texts.mapInArrow(lambda batches: count(vocabulary.lines(batches, 0)), types)
+    return vocabulary.joined(texts).mapInArrow(lambda batches: count(_joined_lines(batches)), types)
+
 
-    index = {h: i + 1 for i, h in enumerate(units.frequent.view(np.int64).tolist())}
-    listed = docs.sparkSession.createDataFrame(list(index.items()), "hash bigint, unit int")
-    vocabulary = staged(
-        counts.join(F.broadcast(listed), "hash", "left").select("hash", "n", F.coalesce("unit", F.col("group") + 1 + len(index)).alias("unit")), f"{folder}/vocabulary"
+def fit(
+    docs: DataFrame, *, text: str = "text", classes: int = CLASSES, min_share: float = MIN_SHARE, least_count: int = LEAST_COUNT, groups: int = GROUPS, sweeps: int = SWEEPS,
+    local_words: int = LOCAL_WORDS, folder: str | None = None,
+) -> Model:
+    """Learn from every row of ``docs``."""
+    folder = folder or workspace(docs.sparkSession, "classlm")
+    texts = docs.select(F.col(text).alias("text"))
+    counts = staged(
+        texts.mapInArrow(partial(_count_words, groups=groups), "hash bigint, group int, n bigint").groupBy("hash").agg(F.sum("n").alias("n"), F.min("group").alias("group")),
+        f"{folder}/counts",
     )
+    n_docs = texts.count()
+    totals = counts.agg(F.count("*").alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count_if(F.col("n") >= least_count).alias("units")).first()
+    tokens, words = totals["tokens"] + n_docs, totals["words"] + (n_docs > 0)
+    units, class_of, table = _coarse_classes(texts, counts, tokens, classes, min_share, groups, sweeps, folder)
+    frequent = len(units.frequent)
+    group_class = class_of[1 + frequent :].astype(np.int64)
+    listed = docs.sparkSession.createDataFrame([(h, int(c)) for h, c in zip(units.frequent.view(np.int64).tolist(), class_of[1 : 1 + frequent])], "hash bigint, class int")
+    named = counts.join(F.broadcast(listed), "hash", "left").select("hash", "n", F.coalesce("class", F.get(F.lit(group_class.tolist()), F.col("group"))).alias("class"))
+    vocabulary = Vocabulary(f"{folder}/coarse", totals["words"], group_class, classes)
+    known = _stored(named, vocabulary.path)
+    if sweeps and totals["units"]:
+        # The second phase: every word with enough occurrences by itself.
+        found = _over(texts, vocabulary, partial(_unit_contexts, classes=classes, least=least_count), "unit bigint, side int, class int, n bigint, own bigint", local_words)
+        contexts = found.groupBy("unit", "side", "class").agg(F.sum("n").alias("n"), F.sum("own").alias("own"))
+        contexts = contexts.join(known.where(F.col("n") >= least_count).select(F.col("hash").alias("unit"), F.col("class").cast("int").alias("old")), "unit")
+        moves = staged(_moves(contexts, totals["units"], table, sweeps), f"{folder}/moves")
+        moved = known.join(moves, known["hash"] == moves["unit"], "left").select("hash", "n", F.coalesce("new", "class").alias("class"))
+        vocabulary = Vocabulary(f"{folder}/vocabulary", totals["words"], group_class, classes)
+        known = _stored(moved, vocabulary.path)
+        table = _table(_over(texts, vocabulary, partial(_class_table, classes=classes), "ca int, cb int, n bigint", local_words), classes)
+
     once = np.zeros(classes)
-    for row in vocabulary.where("n = 1").groupBy(F.get(F.lit(class_of.tolist()), F.col("unit")).alias("class")).count().collect():
+    for row in known.where("n = 1").groupBy("class").count().collect():
         once[row["class"]] = row["count"]
     held = once + 0.5
     held[classes - 1] = 0.0
@@ -260,39 +415,14 @@ def fit(
     share = column / total if total else np.full(classes, 1 / classes)
     mass = column + held
     with np.errstate(divide="ignore"):
-        known, unknown = np.log10(np.maximum(mass, 1e-300)), np.log10(np.maximum(held, 1e-300) / np.maximum(mass, 1e-300))
+        log_mass, unknown = np.log10(np.maximum(mass, 1e-300)), np.log10(np.maximum(held, 1e-300) / np.maximum(mass, 1e-300))
     if not total:
-        transitions, known[:], unknown[:] = np.zeros((classes, classes)), 0.0, 0.0
+        transitions, log_mass[:], unknown[:] = np.zeros((classes, classes)), 0.0, 0.0
     else:
         # A class without tokens keeps a little mass, so that a new unit in it is possible.
         share = (share + 1e-9) / (share + 1e-9).sum()
         transitions = np.log10((table + _ALPHA * share) / (table.sum(1, keepdims=True) + _ALPHA))
-    return Model(units, class_of, transitions, known, unknown, n_docs, tokens, words, f"{folder}/vocabulary", totals["words"])
-
-
-@lru_cache(maxsize=1)
-def _counts(path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending hashes and counts of a vocabulary table."""
-    store, root = filesystem(path)
-    table = pq.read_table(root, filesystem=store, columns=["hash", "n"])
-    hashes, n = table["hash"].to_numpy().view(np.uint64), table["n"].to_numpy()
-    order = np.argsort(hashes)
-    return hashes[order], n[order]
-
-
-def _score_local(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    hashes, n = _counts(model.vocabulary)
-    for batch in batches:
-        for begin, block in blocks(batch.column(1)):
-            words = hash_words(block)
-            if len(hashes):
-                distinct, inverse = np.unique(words.hashes, return_inverse=True)
-                spot = np.minimum(np.searchsorted(hashes, distinct), len(hashes) - 1)
-                counts = np.where(hashes[spot] == distinct, n[spot], 0)[inverse]
-            else:
-                counts = np.zeros(len(words.hashes), dtype=np.int64)
-            found = model.score(model.units.of(words), counts, words.bounds)
-            yield _scored(batch.column(0).slice(begin, len(block)), found)
+    return Model(vocabulary, transitions, log_mass, unknown, n_docs, tokens, words)
 
 
 def _scored(ids: pa.Array, found: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -317,36 +447,30 @@ def _list_tokens(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.
             )
 
 
-def _score_lists(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        units, n = ([np.array(x if x is not None else [], dtype=np.int64) for x in batch.column(k).to_pylist()] for k in (1, 2))
-        bounds = np.cumsum([0, *(len(u) for u in units)])
-        yield _scored(batch.column(0), model.score(np.concatenate(units), np.concatenate(n), bounds))
-
-
 def score(docs: DataFrame, model: Model, *, text: str = "text", doc_id: str = "doc_id", local_words: int = LOCAL_WORDS) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every row."""
     id_type = docs.schema[doc_id].dataType.simpleString()
-    if model.vocabulary_rows <= local_words:
-        rows = docs.select(F.col(doc_id).alias("key"), F.col(text).alias("text"))
-        return rows.mapInArrow(partial(_score_local, model=model), f"key {id_type}, {_SCORE_TYPES}").withColumnRenamed("key", "doc_id")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("key"), F.col(text).alias("text"))
-    # Equal texts are scored once.
-    texts = rows.select("key", "text").dropDuplicates(["key"])
-    vocabulary = docs.sparkSession.read.parquet(model.vocabulary)
-    tokens = texts.mapInArrow(partial(_list_tokens, groups=model.units.groups), "key string, place bigint, hash bigint, group int")
-    found = tokens.join(vocabulary, "hash", "left").select(
-        "key", "place", F.coalesce("unit", F.col("group") + 1 + len(model.units.frequent)).alias("unit"), F.coalesce("n", F.lit(0)).alias("n")
-    )
-    lines = found.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("place", "unit", "n"))).alias("line"))
-    lists = texts.select("key").join(lines, "key", "left").select("key", "line.unit", "line.n")
-    scored = lists.mapInArrow(partial(_score_lists, model=model), f"key string, {_SCORE_TYPES}")
-    return rows.select("doc_id", "key").join(scored, "key").select("doc_id", *_SCORES)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    if model.vocabulary.rows <= local_words:
+
+        def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, part, line in model.vocabulary.lines(batches, 1):
+                yield _scored(part.column(0), model.score(line))
+
+        return rows.mapInArrow(local, f"key {id_type}, {_SCORE_TYPES}").withColumnRenamed("key", "doc_id")
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, part, line in _joined_lines(batches):
+            yield _scored(part.column(0), model.score(line))
+
+    scored = model.vocabulary.joined(rows).mapInArrow(listed, f"key string, {_SCORE_TYPES}")
+    keyed = rows.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"))
+    return keyed.join(scored, "key").select("doc_id", *_SCORES)
 
 
 def score_corpus(docs: DataFrame, held_out: Callable[[str], Column], *, text: str = "text", doc_id: str = "doc_id", local_words: int = LOCAL_WORDS, **settings) -> DataFrame:
     """Learn from the rows that are not held out and score all rows."""
-    model = fit(docs.where(~held_out(doc_id)), text=text, **settings)
+    model = fit(docs.where(~held_out(doc_id)), text=text, local_words=local_words, **settings)
     scored = score(docs, model, text=text, doc_id=doc_id, local_words=local_words)
     return scored.select(
         "doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",

@@ -10,11 +10,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from docstrata.llm import classlm, mixing, neardup, quality
-from docstrata.llm.words import WORD_PATTERN
+from docstrata.llm.words import WORD_PATTERN, hash_words
 
 LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -125,7 +126,7 @@ def test_scores_match_their_definition(docs):
     train = [words_of(t) for (i, t, *_), h in zip(rows, out) if not h]
     counts = Counter(w for words in train for w in words)
     n, v = sum(counts.values()) + len(train), len(counts) + 1
-    settings = {"classes": 8, "sweeps": 3, "groups": 32, "min_share": 0.002}
+    settings = {"classes": 8, "sweeps": 3, "groups": 32, "min_share": 0.002, "least_count": 5}
     got = classlm.score_corpus(docs, held_out, **settings).collect()
     joined = classlm.score_corpus(docs, held_out, local_words=0, **settings).collect()
     expected = Counter()
@@ -145,19 +146,58 @@ def zlib_split(rows):
 
 
 def test_class_model_is_a_distribution(docs, spark):
-    model = classlm.fit(docs, classes=8, sweeps=2, groups=32, min_share=0.002)
-    vocabulary = spark.read.parquet(model.vocabulary).collect()
-    assert len(model.units.frequent) <= 1 / 0.002 and model.class_of[0] == 7 and (model.class_of[1:] < 7).all()
+    model = classlm.fit(docs, classes=8, sweeps=2, groups=32, min_share=0.002, least_count=3)
+    vocabulary = spark.read.parquet(model.vocabulary.path).collect()
+    assert len(vocabulary) == model.words - 1 and {row["class"] for row in vocabulary} <= set(range(7)) and (model.vocabulary.group_class < 7).all()
     words = np.zeros(8)
     for row in vocabulary:
-        c = model.class_of[row["unit"]]
-        words[c] += 10 ** (math.log10(row["n"]) - model.known[c])
+        words[row["class"]] += 10 ** (math.log10(row["n"]) - model.known[row["class"]])
     words[7] += 10 ** (math.log10(model.docs) - model.known[7])
     words += 10**model.unknown
     for before in range(8):
         assert float((10 ** model.transitions[before] * words).sum()) == pytest.approx(1.0, abs=1e-6)
 
 
+def hash_of(word):
+    return int(hash_words(pa.array([word])).hashes.view(np.int64)[0])
+
+
+@pytest.mark.parametrize("local_words", [0, 1000_000])
+def test_scores_follow_from_the_classes(docs, spark, local_words):
+    """Class bigrams counted in a loop, from the classes that the model gave to the words."""
+    settings = {"classes": 6, "sweeps": 2, "groups": 8, "min_share": 0.004, "least_count": 4}
+    rows = corpus()
+    train = [words_of(r[1]) for r, out in zip(rows, zlib_split(rows)) if not out]
+    model = classlm.fit(docs.where(~held_out("doc_id")), local_words=local_words, **settings)
+    table = {r["hash"]: (r["n"], r["class"]) for r in spark.read.parquet(model.vocabulary.path).collect()}
+    counts = Counter(w for words in train for w in words)
+    assert table.keys() == {hash_of(w) for w in counts} and all(table[hash_of(w)][0] == n for w, n in counts.items())
+    group = lambda w: int(model.vocabulary.group_class[classlm._groups(hash_words(pa.array([w])), 8)[0]])
+    classes = {w: table[hash_of(w)][1] if w in counts else group(w) for w in {w for r in rows for w in words_of(r[1])}}
+    assert all(classes[w] == group(w) for w, n in counts.items() if n < 4 and n < 0.004 * model.tokens)
+    assert any(classes[w] != group(w) for w, n in counts.items() if 4 <= n < 0.004 * model.tokens)  # rarer than any unit of the first phase
+    pairs, end = np.zeros((6, 6)), 5
+    for words in train:
+        line = [end, *(classes[w] for w in words), end]
+        for x, y in zip(line[:-1], line[1:]):
+            pairs[x, y] += 1
+    share = pairs.sum(0) / pairs.sum() + 1e-9
+    transition = np.log10((pairs + 10 * share / share.sum()) / (pairs.sum(1, keepdims=True) + 10))
+    once = np.array([sum(n == 1 and classes[w] == c for w, n in counts.items()) + 0.5 for c in range(5)] + [0])
+    mass = pairs.sum(0) + once
+    got = Counter((r["doc_id"], round(r["score"], 5)) for r in classlm.score(docs, model, local_words=local_words).collect())
+    want = Counter()
+    for doc_id, text, *_ in rows:
+        words, before, total = words_of(text), end, 0.0
+        for w in words:
+            c = classes[w]
+            total += transition[before, c] + math.log10((counts[w] if w in counts else once[c]) / mass[c])
+            before = c
+        total += transition[before, end] + math.log10(len(train) / mass[end])
+        want[(doc_id, round(total, 5))] += 1
+    assert got == want
+
+
 def test_exchange_raises_the_likelihood(docs):
     likelihood = []
     for sweeps in (0, 4):
