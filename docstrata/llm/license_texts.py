@@ -111,13 +111,14 @@ NAMING = {
     "MPL-2.0": ["mozilla public license v 2 0"],
 }
 
-# Phrases of relatives that no passage of the license, full text or statement, has in it.
+# Phrases of relatives that no passage of the license, full text or statement, has in it or right after it.
 _NOT_GPL = ["lesser general", "library general", "affero general"]
+_LATER = ["later version", "or later", "at your option"]
 FOREIGN = {
-    "BSD-2-Clause": ["endorse or promote", "following acknowledgement"],
+    "BSD-2-Clause": ["endorse or promote", "products derived from this software", "specific prior written permission", "following acknowledgement"],
     "BSD-3-Clause": ["following acknowledgement"],
-    "GPL-2.0": _NOT_GPL,
-    "GPL-3.0": _NOT_GPL,
+    "GPL-2.0": _NOT_GPL + _LATER,
+    "GPL-3.0": _NOT_GPL + _LATER,
     "GPL-2.0-or-later": _NOT_GPL,
     "GPL-3.0-or-later": _NOT_GPL,
     "LGPL-2.0-or-later": ["version 2 1"],

@@ -5,8 +5,10 @@ longest increasing subsequence of their places is kept, and the gaps between the
 are aligned in the same way.  The share of the template's words so matched is the coverage.
 
 A whole document would hide anchors that stray words repeat, so stretches come first: runs
-of template words with at most ``reach`` other words between two, which hold enough of the
-template's words.  A stretch longer than the template by a tenth is also tried in overlapping
+of template words with at most ``reach`` other words between two, or a quarter of the
+template's length if that is more, which hold enough of the template's words, each counted as
+often as both have it; no passage with the coverage wanted can hold fewer.  Matched words
+with longer gaps between them are passages of one match, if each has a few words.  A stretch longer than the template by a tenth is also tried in overlapping
 pieces of two template lengths, and wherever the template may begin, so that repeated licenses are
 found; no part of a text is left out.  Of overlapping matches the one with more words wins, then the
 shorter passage; one that joins two copies side by side gives way to them.
@@ -34,6 +36,7 @@ from docstrata.llm.license_texts import FOREIGN, NAMING, STATEMENTS, TEXTS
 from docstrata.session import ship_package
 
 COVERAGE, REACH = 0.8, 12
+_BRIDGE, _PASSAGE_WORDS, _AFTER = 0.25, 4, 10
 _WORD = re.compile(r"[a-z0-9]+")
 
 
@@ -46,7 +49,8 @@ class Template:
     """A wording of a license, the words of it that a match must hold, and what tells it from its relatives.
 
     Each phrase of ``naming`` must stand in the text as a whole, its last word matched at an
-    end of the phrase in the template; no phrase of ``foreign`` may stand in the passage.
+    end of the phrase in the template; no phrase of ``foreign`` may stand in the passage or in
+    the few words after it.
     """
 
     license: str
@@ -56,8 +60,8 @@ class Template:
     foreign: tuple[tuple[str, ...], ...] = ()
 
     @cached_property
-    def distinct(self) -> frozenset[str]:
-        return frozenset(self.words)
+    def counted(self) -> Counter[str]:
+        return Counter(self.words)
 
     @cached_property
     def named_at(self) -> list[tuple[tuple[str, ...], list[int]]]:
@@ -71,7 +75,7 @@ class Template:
         for phrase, ends in self.named_at:
             if not any(j in place and tuple(words[max(place[j] - len(phrase) + 1, 0) : place[j] + 1]) == phrase for j in ends):
                 return False
-        low, high = pairs[0][0], pairs[-1][0] + 1
+        low, high = pairs[0][0], min(pairs[-1][0] + 1 + _AFTER, len(words))
         return not any(tuple(words[k : k + len(p)]) == p for p in self.foreign for k in range(low, high - len(p) + 1))
 
 
@@ -128,16 +132,24 @@ def align(text: list[str], template: tuple[str, ...] | list[str]) -> list[tuple[
     return sorted(pairs)
 
 
-def _dense(pairs: list[tuple[int, int]], reach: int) -> list[tuple[int, int]]:
-    """The largest run of pairs without a text gap of more than ``reach`` words."""
-    best, run = [], []
+def _passages(pairs: list[tuple[int, int]], reach: int, bridge: int) -> list[list[tuple[int, int]]]:
+    """The passages with the most pairs that make up one match.
+
+    Within a passage the text has gaps of ``reach`` words at most, between two passages of a
+    match ``bridge`` words; several passages have ``_PASSAGE_WORDS`` or more each.
+    """
+    runs: list[list[tuple[int, int]]] = []
     for pair in pairs:
-        if run and pair[0] - run[-1][0] > reach + 1:
-            run = []
-        run.append(pair)
-        if len(run) > len(best):
-            best = list(run)
-    return best
+        if not runs or pair[0] - runs[-1][-1][0] > reach + 1:
+            runs.append([])
+        runs[-1].append(pair)
+    groups: list[list[list[tuple[int, int]]]] = []
+    for run in runs:
+        if len(run) >= _PASSAGE_WORDS:
+            if not groups or run[0][0] - groups[-1][-1][-1][0] > bridge + 1:
+                groups.append([])
+            groups[-1].append(run)
+    return max([*groups, *([run] for run in runs)], key=lambda group: sum(map(len, group)), default=[])
 
 
 @dataclass(frozen=True)
@@ -148,6 +160,7 @@ class Match:
     template_words: int
     start: int  # places of the first matched word and after the last
     end: int
+    passages: tuple[tuple[int, int], ...]
 
 
 def _apart(own: set[Match]) -> list[Match]:
@@ -175,21 +188,26 @@ class Scanner:
         self.coverage, self.reach = coverage, reach
         self.of_word: dict[str, list[int]] = defaultdict(list)
         for number, template in enumerate(self.templates):
-            for word in template.distinct:
+            for word in template.counted:
                 self.of_word[word].append(number)
         self.vocabulary = set(self.of_word)
 
+    def _bridge(self, number: int) -> int:
+        return max(self.reach, int(_BRIDGE * len(self.templates[number].words)))
+
     def _try(self, words: list[str], low: int, high: int, number: int) -> Match | None:
         template = self.templates[number]
-        pairs = _dense(align(words[low:high], template.words), self.reach)
-        if len(pairs) < self.coverage * len(template.words) or not template.accepts(words[low:high], pairs):
+        passages = _passages([(low + i, j) for i, j in align(words[low:high], template.words)], self.reach, self._bridge(number))
+        pairs = [pair for passage in passages for pair in passage]
+        if not pairs or len(pairs) < self.coverage * len(template.words) or not template.accepts(words, pairs):
             return None
-        return Match(template.license, number, len(pairs), len(template.words), low + pairs[0][0], low + pairs[-1][0] + 1)
+        return Match(template.license, number, len(pairs), len(template.words), pairs[0][0], pairs[-1][0] + 1, tuple((p[0][0], p[-1][0] + 1) for p in passages))
 
-    def _stretches(self, places: list[int]) -> Iterator[tuple[int, int]]:
+    @staticmethod
+    def _stretches(places: list[int], gap: int) -> Iterator[tuple[int, int]]:
         start = last = places[0]
         for place in places[1:]:
-            if place - last > self.reach + 1:
+            if place - last > gap + 1:
                 yield start, last + 1
                 start = place
             last = place
@@ -199,8 +217,13 @@ class Scanner:
         present = self.vocabulary.intersection(words)
         if not present:
             return []
-        held = Counter(number for word in present for number in self.of_word[word])
-        likely = [n for n, k in held.items() if k >= self.coverage * len(self.templates[n].distinct) and self.templates[n].needed <= present]
+        # No passage matches more words than text and template have in common, with repeats.
+        held: Counter[int] = Counter()
+        for word in present:
+            for number in self.of_word[word]:
+                held[number] += self.templates[number].counted[word]
+        enough = lambda number, k: k >= self.coverage * len(self.templates[number].words)
+        likely = [n for n, k in held.items() if enough(n, k) and self.templates[n].needed <= present]
         if not likely:
             return []
         where: dict[str, list[int]] = defaultdict(list)
@@ -212,8 +235,10 @@ class Scanner:
             template = self.templates[number]
             size = len(template.words)
             own: set[Match] = set()
-            for low, high in self._stretches(sorted(p for word in template.distinct & present for p in where[word])):
-                if high - low < self.coverage * size or len(template.distinct.intersection(words[low:high])) < self.coverage * len(template.distinct):
+            if not enough(number, sum(min(k, len(where[word])) for word, k in template.counted.items() if word in present)):
+                continue
+            for low, high in self._stretches(sorted(p for word in template.counted if word in present for p in where[word]), self._bridge(number)):
+                if high - low < self.coverage * size or not enough(number, (Counter(words[low:high]) & template.counted).total()):
                     continue
                 windows = [(low, high)]
                 if high - low > 1.1 * size:
@@ -249,7 +274,7 @@ def _scan(batches: Iterator[pa.RecordBatch], known: list[Template] | None, cover
             lowered = text.lower()
             words = _WORD.findall(lowered)
             for match in scanner.scan(words):
-                passage = " ".join(words[match.start : match.end])
+                passage = " ... ".join(" ".join(words[a:b]) for a, b in match.passages)
                 rows.append(row)
                 out.append((match.license, match.matched, match.template_words, match.matched / match.template_words, match.start, match.end, passage))
         columns = [pa.array(c, t) for c, t in zip(zip(*out), _FOUND)] if out else [pa.array([], t) for t in _FOUND]
