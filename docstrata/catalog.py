@@ -825,6 +825,17 @@ def landing_state(spark, sf_dir):
     return _landed(lake)
 
 
+@_query
+def objects_by_key(spark, sf_dir):
+    """Objects of one source's paths, and of a path that has none."""
+    lake = _new_lake(spark)
+    land(lake, *_captures(spark, sf_dir), _run("2024-01-01", "2024-12-31"))
+    paths = lake.current(LANDING, columns=["file_path", "ref_no"]).filter("ref_no = 'src2'").select("file_path")
+    none = spark.range(1).select(F.lit("en/2024-01-01/none.pdf").alias("file_path"))
+    found = lake.objects(LANDING, paths.unionByName(none))
+    return found.select("file_path", fn.sha256_hex(F.col("content")).alias("content_hash"), "content_type", "length")
+
+
 @_query
 def landing_increment(spark, sf_dir):
     """Outcomes of a whole-year run after one over its first half."""

@@ -518,6 +518,11 @@ GROUP BY lang, page""",
         "landing_state": _LANDING_STATE,
         "landing_stream": _LANDING_STATE,
         "landing_stream_late": _LANDING_STATE,
+        "objects_by_key": _with(_LISTED, _FIRST) + f"""
+SELECT {_FIRST_PATH} AS file_path, sha256(text) AS content_hash,
+  CASE ftype WHEN 'pdf' THEN 'application/pdf' WHEN 'doc' THEN 'application/msword' ELSE 'text/html' END AS content_type,
+  strlen(text) AS length
+FROM first_rows WHERE outcome = 'landed' AND source = 'src2' AND strlen(text) > 0""",
         "bad_documents": _with(_LISTED, _BAD) + f"""
 SELECT 'landing' AS zone, kind, count(*) AS n_rows, NULL::VARCHAR AS identifier, NULL::VARCHAR AS url, NULL::VARCHAR AS body,
   NULL::VARCHAR AS partition_date, NULL::VARCHAR AS error FROM marked WHERE kind <> 'pending' GROUP BY kind

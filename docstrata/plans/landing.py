@@ -225,9 +225,9 @@ def _store_documents(lake: Lake, arrivals: DataFrame, responses: DataFrame | Res
     error instead of its content.
     """
     landed = arrivals.filter(F.col("outcome") == "landed")
-    needed = landed.select(
-        F.col("doc_url").alias("url"), F.col("response_at").alias("captured_at"), "several"
-    ).distinct()
+    needed = landed.groupBy(F.col("doc_url").alias("url"), F.col("response_at").alias("captured_at")).agg(
+        F.bool_or("several").alias("several"), F.min("partition_date").alias("day")
+    )
     # Microseconds, not datetimes: those pass through the driver's local time zone.
     at = F.unix_micros("captured_at")
     span = needed.agg(F.min(at).alias("first"), F.max(at).alias("last"), F.max("several").alias("several")).first()
@@ -243,18 +243,19 @@ def _store_documents(lake: Lake, arrivals: DataFrame, responses: DataFrame | Res
     )
 
     def fetch(wanted: DataFrame) -> DataFrame:
-        return documents.join(wanted, ["url", "captured_at"], "left_semi").select("url", "content_type", "content")
+        return documents.join(wanted, ["url", "captured_at"]).select("url", "content_type", "content", "day")
 
     fetched = fetch(needed.filter(~F.col("several")))
     if span.several:
         # Only URLs with several captures can have copies of one; only those are grouped.
         one = F.min_by(F.struct("content_type", "content"), F.struct("content_type", F.sha2("content", 256)))
-        copies = fetch(needed.filter("several")).groupBy("url").agg(one.alias("one")).select("url", "one.*")
+        copies = fetch(needed.filter("several")).groupBy("url").agg(one.alias("one"), F.min("day").alias("day")).select("url", "one.*", "day")
         fetched = fetched.unionByName(copies)
     typed = fetched.select(
         F.col("url").alias("blob_id"),
         file_type(F.col("content_type")).alias("file_type"),
         F.coalesce("content", F.lit(b"")).alias("content"),
+        "day",
     )
     hashed = typed.withColumn("hashed", checked_hash(F.col("content"), F.col("file_type"), run.max_bytes))
     stored = hashed.withColumns(
@@ -271,7 +272,7 @@ def _store_documents(lake: Lake, arrivals: DataFrame, responses: DataFrame | Res
 
 def _records(arrivals: DataFrame, blobs: DataFrame) -> DataFrame:
     """Metadata records of the processed arrivals with their file fields."""
-    files = blobs.select(F.col("blob_id").alias("_blob"), "file_type", "file_hash", "length", F.col("error").alias("_why"))
+    files = blobs.select(F.col("blob_id").alias("_blob"), "file_type", "file_hash", "length", "day", F.col("error").alias("_why"))
     processed = arrivals.filter(F.col("outcome").isin("landed", "failed", "no_url"))
     landed = F.col("outcome") == "landed"
     link = spread_nulls(F.when(landed, F.col("doc_url")), "identifier", *ARRIVAL_ORDER)
@@ -288,9 +289,10 @@ def _records(arrivals: DataFrame, blobs: DataFrame) -> DataFrame:
                 ),
                 # An empty document keeps its path but is not an object.
                 "blob_id": F.when(F.col("length") > 0, F.col("_blob")),
+                "blob_day": F.when(F.col("length") > 0, F.col("day")),
             }
         )
-        .drop("_blob", "_link", "length", "_why")
+        .drop("_blob", "_link", "length", "day", "_why")
     )
 
 

@@ -85,7 +85,7 @@ def _plan(lake: Lake, landed: DataFrame, run: TransformRun) -> DataFrame:
     if run.mode == "source_hash":
         status = status.when(F.col("source_hash") == F.col("prior_source"), "skipped")
     return (
-        landed.drop("blob_id", "version")
+        landed.drop("blob_id", "blob_day", "version")
         .withColumn("_key", spread_nulls(F.col("file_path"), "identifier"))
         .join(index, F.col("_key") == F.col("_path"), "left")
         .join(prior, "identifier", "left")
@@ -96,6 +96,7 @@ def _plan(lake: Lake, landed: DataFrame, run: TransformRun) -> DataFrame:
             F.col("file_hash").alias("source_hash"),
             F.col("blob_id").alias("source_id"),
             F.col("blob_version").alias("source_version"),
+            F.col("blob_day").alias("source_day"),
             "prior_hash", "prior_source",
             F.coalesce("has_prior", F.lit(False)).alias("has_prior"),
         )
@@ -108,15 +109,15 @@ def _store_cleaned(lake: Lake, work: DataFrame, run: TransformRun) -> DataFrame:
     # Per object: do all records using it carry one and the same earlier hash?
     needed = (
         work.filter(F.col("status").isNull())
-        .groupBy("source_version", "source_id", "file_type")
+        .groupBy("source_version", "source_day", "source_id", "file_type")
         .agg(
+            F.min("partition_date").alias("day"),
             F.min("prior_hash").alias("_low"), F.max("prior_hash").alias("_high"),
             F.bool_and(F.col("prior_hash").isNotNull()).alias("_all"),
         )
     )
-    # The versions involved, at most one per landing run.
-    versions = [r[0] for r in needed.select("source_version").distinct().collect()]
-    sources = lake.blobs(LANDING, versions).select(
+    places = needed.select(F.col("source_version").alias("blob_version"), F.col("source_day").alias("blob_day"))
+    sources = lake.blobs_of(LANDING, places).select(
         F.col("version").alias("source_version"), F.col("blob_id").alias("source_id"), "content"
     )
     cleaned = checked_transform(F.col("content"), F.col("file_type"), run.max_bytes)
@@ -133,6 +134,7 @@ def _store_cleaned(lake: Lake, work: DataFrame, run: TransformRun) -> DataFrame:
         F.octet_length("content").cast("bigint").alias("length"),
         F.when(~F.coalesce(unchanged, F.lit(False)), F.col("content")).alias("content"),
         "error",
+        "day",
     )
     return lake.write_blobs(blobs, TRANSFORMED, run.version)
 
@@ -143,7 +145,7 @@ def _blob_id():
 
 def _decide(work: DataFrame, cleaned: DataFrame, run: TransformRun) -> DataFrame:
     """Final status and transformed metadata record of every row of the run."""
-    done = cleaned.select("blob_id", "file_hash", "error")
+    done = cleaned.select("blob_id", "file_hash", "error", "day")
     todo = F.col("status").isNull()
     key = spread_nulls(F.when(todo, _blob_id()), "identifier")
     joined = work.withColumn("_blob", key).join(done, F.col("_blob") == F.col("blob_id"), "left")
@@ -163,5 +165,6 @@ def _decide(work: DataFrame, cleaned: DataFrame, run: TransformRun) -> DataFrame
         "status", "error",
         F.when(F.col("status") == "inserted", "insert").when(F.col("status") == "updated", "update").alias("action"),
         F.when(changed, F.col("blob_id")).alias("blob_id"),
+        F.when(changed, F.col("day")).alias("blob_day"),
         F.to_timestamp(F.lit(run.run_ts)).alias("arrived"),
     )

@@ -55,13 +55,15 @@ TRANSFORMED_METADATA = T.StructType(_strings(*TRANSFORMED_FIELDS))
 _LOG_EXTRA = [
     T.StructField("action", T.StringType()),
     T.StructField("blob_id", T.StringType()),
+    T.StructField("blob_day", T.StringType()),
     T.StructField("arrived", T.TimestampType()),
     T.StructField("version", T.LongType()),
 ]
 LANDING_LOG = T.StructType([*LANDING_METADATA.fields, *_LOG_EXTRA])
 TRANSFORMED_LOG = T.StructType([*TRANSFORMED_METADATA.fields, *_LOG_EXTRA])
 
-# Stored objects, once per captured document however many records point at it.
+# Stored objects, once per captured document however many records point at it; ``day`` is the
+# first partition of these records and a folder of the table.
 BLOBS = T.StructType(
     [
         T.StructField("blob_id", T.StringType()),
@@ -71,6 +73,7 @@ BLOBS = T.StructType(
         T.StructField("length", T.LongType()),
         T.StructField("content", T.BinaryType()),
         T.StructField("error", T.StringType()),
+        T.StructField("day", T.StringType()),
         T.StructField("version", T.LongType()),
     ]
 )
@@ -95,6 +98,7 @@ BLOB_INDEX = T.StructType(
         T.StructField("file_path", T.StringType()),
         T.StructField("blob_id", T.StringType()),
         T.StructField("blob_version", T.LongType()),
+        T.StructField("blob_day", T.StringType()),
         T.StructField("version", T.LongType()),
     ]
 )

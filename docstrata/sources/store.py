@@ -2,7 +2,7 @@
 
 Each run writes its own ``version=N`` folder of a zone:
 
-* ``blobs``  the stored bytes, one row per object,
+* ``blobs``  the stored bytes, one row per object, in a folder per partition day, by key,
 * ``log``    metadata rows with the action taken, partitioned by ``partition_date``,
 * ``quarantine`` documents and pages that could not be read, with the reason,
 * ``pending`` results whose document has not been captured yet, if the run keeps them,
@@ -131,7 +131,9 @@ class Lake:
         columns = [c for c in schemas.BLOBS.fieldNames() if c != "version"]
         attempt = self._attempt(zone, version)
         target = self.path(zone, "blobs", f"version={version}", f"attempt={attempt}")
-        blobs.select(*columns).write.mode("overwrite").parquet(target)
+        # In order of the key, and with Bloom filters on it, most row groups can be skipped.
+        ordered = blobs.select(*columns).sortWithinPartitions("day", "blob_id")
+        ordered.write.mode("overwrite").partitionBy("day").option("parquet.bloom.filter.enabled#blob_id", "true").parquet(target)
         return self._read_versions(schemas.BLOBS, {version: attempt}, zone, "blobs")
 
     def write_log(self, rows: DataFrame, zone: str, version: int) -> None:
@@ -225,27 +227,48 @@ class Lake:
         return snapshot.join(recent.select("identifier"), "identifier", "left_anti").unionByName(recent)
 
     def blob_index(self, zone: str, before: int | None = None) -> DataFrame:
-        """file_path -> (blob_version, blob_id); the latest upload of a path wins."""
+        """file_path -> (blob_version, blob_day, blob_id); the latest upload of a path wins."""
         base = self._snapshot_version(zone, before)
         uploads = self.log(zone, before, base).filter(F.col("blob_id").isNotNull())
         ranked = uploads.select(
-            "file_path", "blob_id", F.col("version").alias("blob_version"), "version", "arrived", "identifier"
+            "file_path", "blob_id", F.col("version").alias("blob_version"), "blob_day", "version", "arrived", "identifier"
         )
         recent = last_per_key(ranked, "file_path", ["version", "arrived", "identifier"]).select(
-            "file_path", "blob_id", "blob_version"
+            "file_path", "blob_id", "blob_version", "blob_day"
         )
         if not base:
             return recent
         snapshot = self._read_snapshot(schemas.BLOB_INDEX, base, zone, "index").drop("version")
         return snapshot.join(recent.select("file_path"), "file_path", "left_anti").unionByName(recent)
 
-    def objects(self, zone: str) -> DataFrame:
-        """Current objects by path: (file_path, content, content_type, length)."""
-        stored = self.blobs(zone).withColumnRenamed("version", "blob_version")
-        return self.blob_index(zone).join(stored, ["blob_version", "blob_id"]).select(
+    def objects(self, zone: str, keys: Iterable[str] | DataFrame | None = None) -> DataFrame:
+        """Current objects by path: (file_path, content, content_type, length).
+
+        ``keys`` are the paths wanted (default: all).  Listed paths are looked up first, and
+        only the row groups that may hold them are read; paths in a DataFrame (``file_path``)
+        narrow it to the day folders that they are in.  Paths without an object give no row.
+        """
+        index = self.blob_index(zone)
+        if keys is None:
+            stored = self.blobs(zone)
+        elif isinstance(keys, DataFrame):
+            index = index.join(keys.select("file_path").distinct(), "file_path", "left_semi")
+            stored = self.blobs_of(zone, index)
+        else:
+            found = index.filter(F.col("file_path").isin(*set(keys))).collect()  # one row a listed path
+            index = self.spark.createDataFrame(found, index.schema)
+            stored = self.blobs_of(zone, index).filter(F.col("blob_id").isin(*{row["blob_id"] for row in found}))
+        return index.join(stored.withColumnRenamed("version", "blob_version"), ["blob_version", "blob_id"]).select(
             "file_path", "content", "content_type", "length"
         )
 
+    def blobs_of(self, zone: str, places: DataFrame) -> DataFrame:
+        """The blob folders named by (blob_version, blob_day) rows; no other folder is read."""
+        # One row for each folder, as many as listing them has.
+        folders = places.select("blob_version", "blob_day").distinct().collect()
+        days = {row["blob_day"] for row in folders}
+        return self.blobs(zone, {row["blob_version"] for row in folders}).filter(F.col("day").isin(*days))
+
     def in_range(self, zone: str, start: str, end: str, before: int | None = None,
                  date_col: str = "partition_date") -> DataFrame:
         """Current rows whose ``date_col`` lies in [start, end], compared as text.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -573,3 +574,53 @@ def test_a_failing_update_keeps_the_good_row(lake, captures):
     done = transform(lake, replace(TRANSFORM, version=2, max_bytes=500))
     assert {r.identifier: r.status for r in done.statuses.collect()}["A/B 1"] == "clean_error"
     assert state(lake, TRANSFORMED) == before and content_of(lake, TRANSFORMED)["A-B_1.html"] == b'<div id="main">alpha</div>'
+
+
+# -- objects by key ---------------------------------------------------------------------------
+
+
+def spoil(lake, zone, spare):
+    """Make every blob file unreadable but those of one day."""
+    folder = Path(lake.path(zone, "blobs"))
+    spoiled = [f for f in folder.rglob("*.parquet") if f"day={spare}" not in str(f)]
+    for file in spoiled:
+        file.write_bytes(b"no parquet")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    return spoiled
+
+
+def test_one_key_reads_the_folder_it_is_in(lake, captures):
+    land(lake, *captures(*first_captures()), RUN)
+    everything = content_of(lake, LANDING)
+    assert spoil(lake, LANDING, "2024-02-01")
+    wanted = "Labour_Court/2024-02-01/D1.doc"
+    one = lake.objects(LANDING, [wanted, "Labour_Court/2024-02-01/none.pdf"])
+    assert {r.file_path: bytes(r.content) for r in one.collect()} == {wanted: everything[wanted]}
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "(blob_id,%s" % (SITE + "/d") in plan.split("PushedFilters: ")[1].replace("EqualTo", "").replace("In(blob_id, [", "(blob_id,") or "EqualTo(blob_id" in plan
+    assert lake.objects(LANDING, ["nowhere"]).collect() == [] and lake.objects(LANDING, []).collect() == []
+    keys = lake.spark.createDataFrame([(wanted,), (wanted,), (None,)], "file_path string")
+    assert [r.file_path for r in lake.objects(LANDING, keys).collect()] == [wanted]
+
+
+def test_a_month_is_transformed_without_reading_the_others(lake, captures):
+    land(lake, *captures(*first_captures()), RUN)
+    spoil(lake, LANDING, "2024-02-01")
+    done = transform(lake, replace(TRANSFORM, start_date="2024-02-01"))
+    assert {r.identifier: r.status for r in done.statuses.collect()} == {"D1": "inserted", "F1": "no_path"}
+    assert content_of(lake, TRANSFORMED) == {"D1.doc": b"DOC raw"}
+
+
+def test_a_document_of_two_partitions_is_found_from_both(lake, captures):
+    pages = [
+        page_row("Labour Court", "2024-01-01", "2024-01-31", [{"id": "J", "href": "/x"}], total=1),
+        page_row("Labour Court", "2024-02-01", "2024-02-29", [{"id": "F", "href": "/x"}], total=1),
+    ]
+    land(lake, *captures(pages, [doc_row("/x", html("both"))]), RUN)
+    lake.compact(LANDING, "t")
+    paths = ["Labour_Court/2024-01-01/J.html", "Labour_Court/2024-02-01/F.html"]
+    assert {r.file_path for r in lake.objects(LANDING, paths).collect()} == set(paths)
+    assert [r.file_path for r in lake.objects(LANDING, paths[1:]).collect()] == paths[1:]
+    done = transform(lake, replace(TRANSFORM, start_date="2024-02-01"))
+    assert done.counts().first().inserted == 1 and content_of(lake, TRANSFORMED) == {"F.html": b'<div id="main">both</div>'}
