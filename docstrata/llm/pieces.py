@@ -32,6 +32,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,7 +44,7 @@ from docstrata.session import ship_package
 DROPOUT, SEED = 0.1, 11
 _BLANK, _LITERAL = "▁", "\udc81"  # the model's blank; a stand-in for a literal one, which no text can hold
 _CHUNKS = re.compile(f"{_BLANK}*[^{_BLANK}]+|{_BLANK}+")
-_MEMORY, _ROUND_SYMBOLS, _GROUP_BYTES = 450_000, 1 << 18, 4 << 20
+_MEMORY, _ROUND_SYMBOLS, _GROUP_BYTES = 300_000, 1 << 18, 2 << 20
 _SLOT_BITS, _LONG, _BLOCK = 21, 32, 1 << 17
 
 
@@ -317,7 +318,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, seed: int, dropout: fl
     """The input's columns but the last two (key, text) with ids, count and the round trip's outcome."""
     model = pieces(path)
     for batch in batches:
-        sizes = np.array([len(s) if s else 0 for s in batch.column(batch.num_columns - 1).to_pylist()])
+        sizes = np.asarray(pc.binary_length(batch.column(batch.num_columns - 1)).fill_null(0), dtype=np.int64)
         group = np.cumsum(sizes) // _GROUP_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
         for low, high in zip(cuts[:-1], cuts[1:]):
