@@ -93,21 +93,17 @@ def measures(text: str | Column) -> list[Column]:
     ]
 
 
-def _flat_measures(text: str) -> list[Column]:
-    by_words, by_lines, *others = measures(text)
-    return [
-        *others, by_words["n"].alias("n_words"), by_words["repeat"].alias("n_repeat_words"), by_lines["n"].alias("n_lines"), by_lines["dup"].alias("n_dup_lines"),
-    ]
+def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.select(
+        *keys, F.col("by_words.n").alias("n_words"), "word_chars", "n_symbols", F.col("by_lines.dup").alias("n_dup_lines"), F.col("by_words.repeat").alias("n_repeat_words"),
+        F.col("by_lines.n").alias("n_lines"), "n_capitals", "n_calls",
+    )
 
 
 def measured(docs: DataFrame, keys: list[Column], text: str = "text") -> DataFrame:
     """``keys`` and the measures of every document."""
     rows = docs.select(*keys, *measures(text))
-    return rows.select(
-        *[c for c in rows.columns if c not in ("by_words", "by_lines", *MEASURES)],  # the keys
-        F.col("by_words.n").alias("n_words"), "word_chars", "n_symbols", F.col("by_lines.dup").alias("n_dup_lines"), F.col("by_words.repeat").alias("n_repeat_words"),
-        F.col("by_lines.n").alias("n_lines"), "n_capitals", "n_calls",
-    )
+    return _named(rows, [c for c in rows.columns if c not in ("by_words", "by_lines", *MEASURES)])
 
 
 @dataclass(frozen=True)
@@ -232,10 +228,11 @@ def good_documents(docs: DataFrame, *, text: str = "text", rules: list[Rule] = R
     """
 
     def voted(keys: list[Column]) -> DataFrame:
-        # A generator's columns are computed once a row, however often the rules use them.
-        all_measures = F.struct(*[m for m in _flat_measures(text)])
-        rows = docs.select(*keys, F.explode(F.array(all_measures)).alias("measures"))
-        return rows.select(*[c for c in rows.columns if c != "measures"], "measures.*").select("*", *[rule.vote() for rule in rules])
+        rows = docs.select(*keys, *measures(text))
+        return _named(rows, rows.columns[: len(keys)]).select("*", *[rule.vote() for rule in rules])
 
     found = fit(voted([]), rules)
-    return _judged(voted([F.struct(*docs.columns).alias("document")]), found, threshold).where("kept").select("document.*")
+    # The optimizer moves no filter below a column that is not deterministic: else it would
+    # write the measures out in the condition, once for every use.
+    rows = voted([F.struct(*docs.columns).alias("document"), F.monotonically_increasing_id().alias("row")])
+    return _judged(rows, found, threshold).where(F.col("kept") & (F.col("row") >= 0)).select("document.*")
