@@ -40,7 +40,11 @@ def plan_of(frame):
 
 
 def test_no_query_uses_a_nested_loop_or_cartesian_join(spark):
-    jobs = {"landing_state", "landing_increment", "landing_stream", "transformed_state"}
+    # These run whole jobs; what is left of their plans reads tables.
+    jobs = {
+        "landing_state", "landing_increment", "landing_stream", "landing_stream_late", "landing_range", "bad_documents", "objects_by_key", "hash_update_counts",
+        "transformed_state", "transform_rerun", "transform_stream",
+    }
     for name, query in catalog.queries().items():
         if name not in jobs:
             plan = plan_of(query(spark, SF_DIR))
