@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docstrata.llm.ranks import bucket_count, hash_order, ranked
-from docstrata.llm.storage import staged, workspace
+from docstrata.llm.storage import passing_workspaces, staged, workspace
 from docstrata.llm.words import SPACES
 
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
@@ -176,10 +176,11 @@ def mixed_documents(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     Rows equal in id and text share out their copies in the order of their other columns.
     """
     folder = workspace(docs.sparkSession, "mixed")
-    taken = mix(docs, text=text, doc_id=doc_id, most=most, **options)
     # How many rows of an id and text are taken at most k times, for each k below ``most``.
     below = [F.count_if(F.col("copies") <= k).alias(f"upto{k}") for k in range(most)]
-    shares = staged(taken.groupBy("doc_id", "text_key").agg(F.count("*").alias("rows"), *below), f"{folder}/copies").alias("t")
+    with passing_workspaces(docs.sparkSession):  # nothing of the mix is needed once the shares are written
+        taken = mix(docs, text=text, doc_id=doc_id, most=most, **options)
+        shares = staged(taken.groupBy("doc_id", "text_key").agg(F.count("*").alias("rows"), *below), f"{folder}/copies").alias("t")
     # The document goes through as one column, so its names meet no others.
     rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("key"), F.struct(*docs.columns).alias("row")).alias("d")
     found = rows.join(shares, F.col("d.id").eqNullSafe(F.col("t.doc_id")) & (F.col("d.key") == F.col("t.text_key"))).drop("doc_id", "text_key")

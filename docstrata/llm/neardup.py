@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docstrata.llm.storage import settings, staged, workspace
+from docstrata.llm.storage import passing_workspaces, settings, staged, workspace
 from docstrata.llm.words import mix, shingle_sets
 
 WIDTH, HALVES, ROWS, BLOCK = 5, 18, 3, 512
@@ -282,8 +282,9 @@ def distinct_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     It is a row of the group's smallest id; of several, the one with the least text.
     """
     folder = workspace(docs.sparkSession, "distinct")
-    kept = near_duplicates(docs, doc_id=doc_id, text=text, **options).where("kept").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("n_shingles").alias("n"))
-    names = staged(kept.select("doc_id", ((F.col("rows") > 1) & (F.col("n") > 0)).alias("repeated")), f"{folder}/kept").alias("k")
+    with passing_workspaces(docs.sparkSession):  # nothing of the search is needed once the names are written
+        kept = near_duplicates(docs, doc_id=doc_id, text=text, **options).where("kept").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("n_shingles").alias("n"))
+        names = staged(kept.select("doc_id", ((F.col("rows") > 1) & (F.col("n") > 0)).alias("repeated")), f"{folder}/kept").alias("k")
     # The document goes through as one column, so its names meet no others.
     rows = docs.select(F.col(doc_id).alias("id"), F.struct(*docs.columns).alias("row")).alias("d")
     found = rows.join(names, F.col("d.id").eqNullSafe(F.col("k.doc_id"))).select("id", "row", "repeated")
