@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -233,15 +233,27 @@ def _joined_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.R
             yield 0, batch, Line(np.concatenate(hashes), np.concatenate(n), np.concatenate(classes), bounds, np.asarray(batch.column(1)))
 
 
-@lru_cache(maxsize=1)
+_tables: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+
 def _loaded(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ascending hashes, counts and classes of a vocabulary table; its files are in this order."""
+    """Ascending hashes, counts and classes of a vocabulary table; its files are in this order.
+
+    A worker keeps the last table alone, and lets go of it before it loads another.
+    """
+    if path not in _tables:
+        _tables.clear()
+        _tables[path] = _load(path)
+    return _tables[path]
+
+
+def _load(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     store, root = filesystem(path)
     columns = []
     for name, kind in (("hash", pa.int64()), ("n", pa.int64()), ("class", pa.int16())):
         column = pq.read_table(root, filesystem=store, columns=[name]).column(0).cast(kind)
         columns.append(column.to_numpy())
-    if len(columns[0]) and not (np.diff(columns[0]) > 0).all():
+    if len(columns[0]) and not (columns[0][1:] > columns[0][:-1]).all():
         order = np.argsort(columns[0])
         columns = [c[order] for c in columns]
     return tuple(columns)
@@ -276,7 +288,7 @@ def _unit_contexts(lines: Iterator[tuple[int, pa.RecordBatch, Line]], classes: i
             same[0 if side == 0 else -1] = False
             held.append((token[unit], ((side * classes + beside) * 2 + same)[unit], copies[unit]))
         size += 2 * len(token)
-        if size >= _BUFFER_TOKENS:
+        if size >= _BUFFER_TOKENS // 4:
             yield flush()
             size = 0
     if held:
