@@ -8,7 +8,7 @@ passed as null and cost nothing.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -74,6 +74,28 @@ def _checked(convert: Callable[[str], str], max_bytes: int | None) -> Callable[[
     return one
 
 
+# Documents that are Python objects at the same time, and their characters or bytes.
+_SLICE_ROWS, _SLICE_SIZE = 256, 1 << 20
+
+
+def in_slices(docs: pa.Array, one: Callable[[bytes | str | None], object], pack: Callable[[list], pa.Array]) -> Iterator[pa.Array]:
+    """Results of ``one`` for each document of a batch, packed a few documents at a time.
+
+    A session's batch may hold 10,000 documents: as Python objects all at once, with all that
+    is made of them, they would be several times the batch.
+    """
+    found, size = [], 0
+    for doc in docs:
+        source = doc.as_py()
+        found.append(one(source))
+        size += len(source or "")
+        if len(found) >= _SLICE_ROWS or size >= _SLICE_SIZE:
+            yield pack(found)
+            found, size = [], 0
+    if found:
+        yield pack(found)
+
+
 def document_udf(convert: Callable[[str], str], max_bytes: int | None = None):
     """Arrow UDF: ``struct<value, error>`` of each non-null document (string or bytes) of a batch.
 
@@ -82,21 +104,28 @@ def document_udf(convert: Callable[[str], str], max_bytes: int | None = None):
     """
     one = _checked(convert, max_bytes)
 
-    @F.arrow_udf(CHECKED)
-    def stage(docs: pa.Array) -> pa.Array:
-        found = [(None, None) if d is None else one(d) for d in docs.to_pylist()]
+    def pack(found: list[tuple[str | None, str | None]]) -> pa.Array:
         return pa.StructArray.from_arrays([pa.array([v for v, _ in found], pa.string()), pa.array([e for _, e in found], pa.string())], names=["value", "error"])
 
+    @F.arrow_udf(CHECKED)
+    def stage(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for docs in batches:
+            yield from in_slices(docs, lambda d: (None, None) if d is None else one(d), pack)
+
     return stage
 
 
 def value_udf(convert: Callable[[str], str]):
-    """Arrow UDF with the value alone, null for a document that fails."""
+    """Arrow UDF with the value alone, null for a document that fails.
+
+    Not over an iterator, of which Spark runs only one a stage: several of these share one.
+    """
     one = _checked(convert, None)
 
     @F.arrow_udf(T.StringType())
     def stage(docs: pa.Array) -> pa.Array:
-        return pa.array([None if d is None else one(d)[0] for d in docs.to_pylist()], pa.string())
+        parts = in_slices(docs, lambda d: None if d is None else one(d)[0], lambda found: pa.array(found, pa.string()))
+        return pa.concat_arrays([pa.array([], pa.string()), *parts])
 
     return stage
 

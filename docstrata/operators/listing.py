@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql.pandas.types import from_arrow_type
 from docstrata.functions.dates import iso_from_slashes, published_day
 from docstrata.functions.text import join_stripped, strip, total_results
 from docstrata.functions.urls import document_url, resolve_url
-from docstrata.operators.html import check_size, error_text
+from docstrata.operators.html import check_size, error_text, in_slices
 from docstrata.operators.markup import attributes, decode, walk
 
 _ITEM = pa.struct(
@@ -80,7 +82,9 @@ def scan_page(source: str) -> dict:
 
 
 def _scan(html: Column, max_bytes: int | None) -> Column:
-    def one(source: str | bytes) -> dict:
+    def one(source: str | bytes | None) -> dict:
+        if source is None:
+            return {"page": None, "error": None}
         try:
             check_size(source, max_bytes)
             return {"page": scan_page(source if isinstance(source, str) else decode(source)), "error": None}
@@ -88,8 +92,9 @@ def _scan(html: Column, max_bytes: int | None) -> Column:
             return {"page": None, "error": error_text(error)}
 
     @F.arrow_udf(from_arrow_type(_SCANNED))
-    def stage(docs: pa.Array) -> pa.Array:
-        return pa.array([{"page": None, "error": None} if d is None else one(d) for d in docs.to_pylist()], type=_SCANNED)
+    def stage(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for docs in batches:
+            yield from in_slices(docs, one, lambda found: pa.array(found, type=_SCANNED))
 
     # Later filters look at the parsed page; as a deterministic expression it would be
     # pushed below the projection and every page parsed twice.

@@ -8,7 +8,9 @@ import html as stdlib_html
 import html.parser
 import random
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -307,3 +309,18 @@ def test_a_bad_document_does_not_touch_the_others(spark):
     got = [tuple(r.c) if r.c else None for r in rows.select(stages.document_udf(fails, max_bytes=20)(F.col("h")).alias("c")).collect()]
     assert got == [("<P>A</P>", None), (None, None), (None, "ValueError: 57 bytes, more than 20"), (None, "RecursionError: too deep")]
     assert [r.v for r in rows.select(stages.value_udf(fails)(F.col("h")).alias("v")).collect()] == ["<P>A</P>", None, "<P>" + "B" * 50 + "</P>", None]
+
+
+def test_a_batch_is_not_held_as_python_objects():
+    batch = pa.array([f"<p>{n} {'x' * 2000}</p>" for n in range(8000)])
+    stage = {"value": stages.value_udf(str.upper).func, "checked": stages.document_udf(str.upper).func}
+    run = {"value": lambda: stage["value"](batch), "checked": lambda: pa.concat_arrays(stage["checked"](iter([batch])))}
+    for kind, made in run.items():
+        tracemalloc.start()
+        got = made()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        values = got if kind == "value" else got.field("value")
+        assert values.to_pylist() == [text.upper() for text in batch.to_pylist()]
+        assert peak < 6e6, kind  # the batch has 16 MB
+    assert len(stage["value"](batch[:0])) == 0
