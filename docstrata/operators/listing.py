@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -125,11 +125,14 @@ def _text(col: Column) -> Column:
     return strip(F.coalesce(col, F.lit("")))
 
 
-def listing_rows(scanned: DataFrame, site: str, run_ts: str) -> DataFrame:
-    """One row per result of the scanned pages, in page order, empty identifiers included."""
-    pages = scanned.select("body", "partition_start", "partition_end", "page_number", "captured_at", "page")
+def listing_rows(scanned: DataFrame, site: str, run_ts: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per result of the scanned pages, in page order, empty identifiers included.
+
+    ``keep`` names further columns of the pages that the rows get.
+    """
+    pages = scanned.select("body", "partition_start", "partition_end", "page_number", "captured_at", "page", *keep)
     items = pages.select(
-        "body", "partition_start", "partition_end", "page_number", "captured_at",
+        "body", "partition_start", "partition_end", "page_number", "captured_at", *keep,
         F.posexplode("page.items").alias("pos", "item"),
     )
     published = _text(F.col("item.date"))
@@ -148,6 +151,7 @@ def listing_rows(scanned: DataFrame, site: str, run_ts: str) -> DataFrame:
         "pos",
         "captured_at",
         F.lit(run_ts).alias("scraped_at"),
+        *keep,
     )
 
 

@@ -88,11 +88,13 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame | ResponseLog
     in_range = search_pages.filter(F.col("partition_start").between(F.lit(start), F.lit(end)))
 
     # Each page is parsed once; everything later reads the parsed table.
-    pages = lake.stage(scan_search_pages(in_range, run.max_page_bytes), "pages", run.version)
+    scanned = scan_search_pages(in_range, run.max_page_bytes)
+    pages = lake.stage(scanned.withColumn("_page", F.monotonically_increasing_id()), "pages", run.version)
     if not _repeated_captures(pages).isEmpty():
         pages = lake.stage(pages.dropDuplicates(_CAPTURE), "distinct_pages", run.version)
     stored = lake.current(LANDING, run.version, schemas.FILE_FIELDS)
-    items = _items(lake, pages, run)
+    # Decisions are taken on rows without the results' texts, which only the log gets again.
+    items, texts = _items(lake, pages, run)
     # The lookup sides are written first: see ``operators.reconcile`` on hot keys.
     known = lake.stage(_known(lake, run), "known", run.version)
     wanted = lake.stage(_wanted_urls(items, known), "wanted", run.version)
@@ -113,11 +115,11 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame | ResponseLog
         decided = lake.stage(_mark_final(folded), "decided", run.version)
     else:
         decided = lake.stage(_decide(records, stored, run), "decided", run.version)
-    lake.write_log(_log_rows(decided, stored, run), LANDING, run.version)
+    lake.write_log(_log_rows(decided, stored, run).join(texts, _PLACE), LANDING, run.version)
     outcomes = _outcomes(arrivals, pages, bad)
     lake.write_quarantine(_quarantined(outcomes), LANDING, run.version)
     if run.keep_pending:
-        lake.write_pending(arrivals.filter(F.col("outcome") == "pending"), run.version)
+        lake.write_pending(arrivals.filter(F.col("outcome") == "pending").join(texts, _PLACE), run.version)
     lake.commit(LANDING, run.version, run.run_ts)
 
     requests = frontier(
@@ -127,6 +129,8 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame | ResponseLog
 
 
 _FILES = "struct<" + ",".join(f"{c}:string" for c in schemas.FILE_FIELDS) + ">"
+# One result: the number of its page, or of its row in the queue, and its position there.
+_PLACE = ["_page", "pos"]
 _CAPTURE = ["url", "body", "partition_start", "page_number", "captured_at"]
 
 
@@ -162,16 +166,22 @@ def _best_responses(responses: DataFrame) -> DataFrame:
     )
 
 
-def _items(lake: Lake, pages: DataFrame, run: LandingRun) -> DataFrame:
-    """Results of the pages, and those of earlier pages that still wait for their document."""
-    items = with_identifier(listing_rows(pages, run.site, run.run_ts)).select(*schemas.PENDING.fieldNames())
+def _items(lake: Lake, pages: DataFrame, run: LandingRun) -> tuple[DataFrame, DataFrame]:
+    """Results of the pages, and those of earlier pages that still wait for their document.
+
+    Without their texts, which come as a second table by place.
+    """
+    items = with_identifier(listing_rows(pages, run.site, run.run_ts, ["_page"])).select(*schemas.PENDING.fieldNames(), "_page")
     if not run.keep_pending:
-        return items
+        return items.drop("description"), items.select(*_PLACE, "description")
     start, end = (day.isoformat() for day in validate_range(run.start_date, run.end_date))
-    queued = lake.pending(run.version).filter(F.col("partition_date").between(start, end))
+    waiting = lake.pending(run.version).filter(F.col("partition_date").between(start, end))
+    queued = lake.stage(waiting.withColumn("_page", -1 - F.monotonically_increasing_id()), "queued", run.version)
+    texts = items.unionByName(queued).select(*_PLACE, "description")
     # A page that is delivered again has its results in the queue already.
     place = ["identifier", *ARRIVAL_ORDER]
-    return items.join(queued.select(*place), place, "left_anti").unionByName(queued)
+    fresh = items.drop("description").join(queued.select(*place), place, "left_anti")
+    return fresh.unionByName(queued.drop("description")), texts
 
 
 def _wanted_urls(items: DataFrame, known: DataFrame) -> DataFrame:
@@ -308,7 +318,7 @@ def _decide(records: DataFrame, stored: DataFrame, run: LandingRun) -> DataFrame
     # After _skip_repeats an identifier has some failures and then at most one landed row.
     # Only its first row can change the metadata: what follows a failure is an insert
     # without effect.  The landed row still stores its document.
-    order, landed = F.struct(*ARRIVAL_ORDER), F.col("outcome") == "landed"
+    order, landed = F.struct(*ARRIVAL_ORDER, "_page"), F.col("outcome") == "landed"
     row = F.struct(*[c for c in records.columns if c != "identifier"])
     picked = records.groupBy("identifier").agg(
         F.min_by(row, order).alias("first"),

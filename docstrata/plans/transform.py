@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docstrata import schemas
 from docstrata.functions.files import mime_type, sha256_hex, transformed_name
 from docstrata.operators import stats
 from docstrata.operators.frontier import validate_range
@@ -50,7 +51,9 @@ def transform(lake: Lake, run: TransformRun, only: DataFrame | None = None) -> T
     if run.mode not in MODES:
         raise ValueError(f"mode {run.mode!r} is none of {', '.join(MODES)}")
     start, end = (day.isoformat() for day in validate_range(run.start_date, run.end_date))
-    landed = lake.in_range(LANDING, start, end, date_col=run.date_col)
+    before = lake.next_version(LANDING)
+    columns = [c for c in schemas.LANDING_LOG.fieldNames() if c != "description"]
+    landed = lake.in_range(LANDING, start, end, before, run.date_col, columns)
     if only is not None:
         landed = landed.join(only.select("identifier").distinct(), "identifier", "left_semi")
 
@@ -58,7 +61,10 @@ def transform(lake: Lake, run: TransformRun, only: DataFrame | None = None) -> T
     cleaned = _store_cleaned(lake, work, run)
     decided = lake.stage(_decide(work, cleaned, run), "transformed", run.version)
     changed = decided.filter(F.col("status").isin("inserted", "updated"))
-    lake.write_log(changed, TRANSFORMED, run.version)
+    # The descriptions decide nothing: only the rows that are logged get theirs, from the days they are in.
+    days = [row["partition_date"] for row in changed.select("partition_date").distinct().collect()]
+    texts = lake.current(LANDING, before, ["description"], days).select("identifier", "description")
+    lake.write_log(changed.join(texts, "identifier"), TRANSFORMED, run.version)
     lake.write_quarantine(_quarantined(decided), TRANSFORMED, run.version)
     lake.commit(TRANSFORMED, run.version, run.run_ts)
     return TransformResult(run.version, decided.select("identifier", "status"))
@@ -90,7 +96,7 @@ def _plan(lake: Lake, landed: DataFrame, run: TransformRun) -> DataFrame:
         .join(index, F.col("_key") == F.col("_path"), "left")
         .join(prior, "identifier", "left")
         .select(
-            "identifier", "description", "published_date", "ref_no", "doc_url", "body", "partition_date",
+            "identifier", "published_date", "ref_no", "doc_url", "body", "partition_date",
             F.coalesce("file_type", F.lit("html")).alias("file_type"),
             "file_path",
             F.col("file_hash").alias("source_hash"),
@@ -156,7 +162,7 @@ def _decide(work: DataFrame, cleaned: DataFrame, run: TransformRun) -> DataFrame
     )
     changed = F.col("status").isin("inserted", "updated")
     return joined.withColumn("status", status).select(
-        "identifier", "description", "published_date", "ref_no", "doc_url", "body", "partition_date",
+        "identifier", "published_date", "ref_no", "doc_url", "body", "partition_date",
         "file_type", "file_hash",
         transformed_name(F.col("identifier"), F.col("file_type")).alias("file_path"),
         F.col("file_path").alias("original_file_path"),

@@ -40,6 +40,8 @@ _COMMITS = T.StructType(
     [T.StructField("at", T.StringType()), T.StructField("version", T.LongType()), T.StructField("attempt", T.StringType())]
 )
 APPLIED = ("insert", "update")
+# Fixed value: tables hold texts, which it makes much smaller than the default codec does.
+_CODEC = ("compression", "zstd")
 
 
 class Lake:
@@ -91,7 +93,7 @@ class Lake:
         """
         attempt = self._attempt("staging", version)
         target = self.path("staging", f"version={version}", f"attempt={attempt}", name)
-        rows.write.mode("overwrite").parquet(target)
+        rows.write.mode("overwrite").option(*_CODEC).parquet(target)
         return self.spark.read.schema(rows.schema).parquet(target)
 
     # -- commits ---------------------------------------------------------------
@@ -133,7 +135,9 @@ class Lake:
         target = self.path(zone, "blobs", f"version={version}", f"attempt={attempt}")
         # In order of the key, and with Bloom filters on it, most row groups can be skipped.
         ordered = blobs.select(*columns).sortWithinPartitions("day", "blob_id")
-        ordered.write.mode("overwrite").partitionBy("day").option("parquet.bloom.filter.enabled#blob_id", "true").parquet(target)
+        writer = ordered.write.mode("overwrite").option(*_CODEC).partitionBy("day").option("parquet.bloom.filter.enabled#blob_id", "true")
+        # Filters of the size that the keys need: a fixed one takes 1 MB of every file.
+        writer.option("parquet.bloom.filter.adaptive.enabled", "true").parquet(target)
         return self._read_versions(schemas.BLOBS, {version: attempt}, zone, "blobs")
 
     def write_log(self, rows: DataFrame, zone: str, version: int) -> None:
@@ -146,7 +150,7 @@ class Lake:
         """Write a further table of a run; returns what was written."""
         attempt = self._attempt(zone, version)
         columns = [c for c in schema.fieldNames() if c != "version"]
-        rows.select(*columns).write.mode("overwrite").parquet(self.path(zone, name, f"version={version}", f"attempt={attempt}"))
+        rows.select(*columns).write.mode("overwrite").option(*_CODEC).parquet(self.path(zone, name, f"version={version}", f"attempt={attempt}"))
         return self._read_versions(schema, {version: attempt}, zone, name)
 
     def _read_committed(self, schema: T.StructType, zone: str, name: str, before: int | None = None, last: bool = False) -> DataFrame:
@@ -208,22 +212,25 @@ class Lake:
         wanted = {v: a for v, a in published.items() if v > after and (before is None or v < before)}
         return self._read_versions(_LOG_SCHEMAS[zone], wanted, zone, "log")
 
-    def current(self, zone: str, before: int | None = None, columns: Iterable[str] | None = None) -> DataFrame:
+    def current(self, zone: str, before: int | None = None, columns: Iterable[str] | None = None,
+                days: Iterable[str] | None = None) -> DataFrame:
         """Current metadata, one row per identifier; as it was before a version if given.
 
         ``columns`` are those wanted besides the identifier (default: all).  Naming them
         keeps the others out of the scan and the shuffle: the optimizer cannot see
-        through the newest-row aggregate.
+        through the newest-row aggregate.  ``days`` reads these ``partition_date`` folders
+        alone: right for identifiers whose current row is known to be in them.
         """
         base = self._snapshot_version(zone, before)
         all_columns = _LOG_SCHEMAS[zone].fieldNames()
         kept = {"identifier", "version", "arrived", *(all_columns if columns is None else columns)}
         kept = [c for c in all_columns if c in kept]
-        applied = self.log(zone, before, base).filter(F.col("action").isin(*APPLIED)).select(*kept)
+        in_days = F.lit(True) if days is None else F.col("partition_date").isin(*days)
+        applied = self.log(zone, before, base).filter(F.col("action").isin(*APPLIED) & in_days).select(*kept)
         recent = last_per_key(applied, "identifier", ["version", "arrived"])
         if not base:
             return recent
-        snapshot = self._read_snapshot(_LOG_SCHEMAS[zone], base, zone, "state").select(*kept)
+        snapshot = self._read_snapshot(_LOG_SCHEMAS[zone], base, zone, "state").filter(in_days).select(*kept)
         return snapshot.join(recent.select("identifier"), "identifier", "left_anti").unionByName(recent)
 
     def blob_index(self, zone: str, before: int | None = None) -> DataFrame:
@@ -270,13 +277,13 @@ class Lake:
         return self.blobs(zone, {row["blob_version"] for row in folders}).filter(F.col("day").isin(*days))
 
     def in_range(self, zone: str, start: str, end: str, before: int | None = None,
-                 date_col: str = "partition_date") -> DataFrame:
+                 date_col: str = "partition_date", columns: Iterable[str] | None = None) -> DataFrame:
         """Current rows whose ``date_col`` lies in [start, end], compared as text.
 
         The filter follows the choice of the newest row: a later version may have moved
         an identifier to another partition.
         """
-        return self.current(zone, before).filter(F.col(date_col).between(start, end))
+        return self.current(zone, before, columns).filter(F.col(date_col).between(start, end))
 
     def create_views(self) -> None:
         """Temp views over the current state, for SQL: ``<zone>_metadata``, ``<zone>_objects``."""
@@ -313,4 +320,4 @@ class Lake:
 
 def _by_partition(rows: DataFrame):
     """Writer for partition_date folders: AQE gathers each date and splits the large ones."""
-    return rows.hint("rebalance", "partition_date").write.mode("overwrite").partitionBy("partition_date")
+    return rows.hint("rebalance", "partition_date").write.mode("overwrite").option(*_CODEC).partitionBy("partition_date")

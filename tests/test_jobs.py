@@ -624,3 +624,31 @@ def test_a_document_of_two_partitions_is_found_from_both(lake, captures):
     assert [r.file_path for r in lake.objects(LANDING, paths[1:]).collect()] == paths[1:]
     done = transform(lake, replace(TRANSFORM, start_date="2024-02-01"))
     assert done.counts().first().inserted == 1 and content_of(lake, TRANSFORMED) == {"F.html": b'<div id="main">both</div>'}
+
+
+@pytest.mark.parametrize("policy", ["default", "hash_update"])
+def test_texts_of_results_are_in_no_table_that_decides(lake, captures, monkeypatch, policy):
+    """They go from the parsed pages to the log; a result that arrives twice keeps the text of its own arrival."""
+    staged, stage = {}, Lake.stage
+
+    def watched(lake, rows, name, version):
+        staged[name] = rows.columns
+        return stage(lake, rows, name, version)
+
+    monkeypatch.setattr(Lake, "stage", watched)
+    pages = [
+        page_row("Labour Court", "2024-01-01", "2024-01-31", [{"id": "A", "href": "/a", "description": "first"}, {"id": "B", "description": "no link"}], 2),
+        page_row("Labour Court", "2024-02-01", "2024-02-29", [{"id": "A", "href": "/a", "description": "second"}, {"id": "C", "href": "/c", "description": "third"}], 2),
+    ]
+    land(lake, *captures(pages, [doc_row("/a"), doc_row("/c")]), replace(RUN, policy=policy))
+    transform(lake, TransformRun("2024-01-01", "2024-12-31", 1, RUN.run_ts))
+    assert {"arrivals", "decided", "work", "transformed"} <= set(staged)
+    assert [name for name, columns in staged.items() if "description" in columns] == []
+    assert {i: r.description for i, r in state(lake).items()} == {"A": "first", "B": "no link", "C": "third"}
+    assert {i: r.description for i, r in state(lake, TRANSFORMED).items()} == {"A": "first", "C": "third"}
+
+
+def test_small_object_files_have_small_filters(lake, captures):
+    land(lake, *captures(*first_captures()), RUN)
+    files = list(Path(lake.path(LANDING, "blobs")).rglob("*.parquet"))
+    assert files and all(f.stat().st_size < 100_000 for f in files)
