@@ -20,7 +20,7 @@ gives a manifest without files.  Extra columns are ignored.
 from __future__ import annotations
 
 import json
-import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,6 +28,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,8 @@ from docstrata.session import ship_package
 MAGIC, VERSION, BLOCK_IDS = b"IDPK", 1, 1 << 16
 _HEADER, _TAIL = struct.Struct("<4s3I"), struct.Struct("<QQQ4s")
 _RANGE_BYTES = 96 << 20
+# Texts that are encoded together: each distinct word of them is looked up once.
+_GROUP_BYTES = 6 << 20
 
 
 def bits_for(vocabulary: int) -> int:
@@ -72,7 +75,7 @@ class WordEncoder:
     pieces that end a word; whatever does not come out even is encoded alone.
     """
 
-    _TAIL = re.compile(r"^(.*?)([!-/:-@\[-`{-~]+)$", re.DOTALL)
+    _MARKS = string.punctuation
     _MEMORY, _JOINED = 600_000, 64
 
     def __init__(self, path: str):
@@ -96,9 +99,9 @@ class WordEncoder:
             if text.isalpha():
                 letters.append((word, text))
                 continue
-            cut = self._TAIL.match(text) if b"<|" not in word else None
-            if cut and cut[1].isalpha():
-                parts[word] = (cut[1].encode(), cut[2].encode())
+            head = text.rstrip(self._MARKS)
+            if head.isalpha() and b"<|" not in word:
+                parts[word] = (head.encode(), text[len(head) :].encode())
             else:
                 others.append((word, text))
         for head, tail in parts.values():
@@ -110,8 +113,9 @@ class WordEncoder:
         for group, ids in zip(groups, self._ids([" ".join(text for _, text in group) for group in groups])):
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(group) and (not len(ids) or ends[-1] == len(ids)):
-                for (word, _), piece in zip(group, np.split(ids, ends[:-1])):
-                    self.known[word] = piece.tobytes()
+                data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+                for (word, _), begin, end in zip(group, cuts[:-1], cuts[1:]):
+                    self.known[word] = data[begin:end]
             else:
                 others.extend(group)
         for (word, _), ids in zip(others, self._ids([text for _, text in others])):
@@ -121,17 +125,37 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian uint32 bytes."""
+        return [ids.tobytes() for ids in self.encode_array(pa.array(texts, pa.binary()))]
+
+    def encode_array(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a binary array; a null has none.
+
+        The words of all texts are told apart in Arrow, so that each distinct one is looked up once.
+        """
         if len(self.known) > self._MEMORY:
             self.known.clear()
-        split = [
-            text.lower().split() if text.isascii() and b"<|" not in text else [word.lower() if word.isascii() and b"<|" not in word else word for word in text.split()]
-            for text in texts
-        ]
-        new = set().union(*split) - self.known.keys() if split else set()
+        # As text only for the kernel, which looks at ASCII white space alone: nothing is decoded.
+        words = pc.ascii_split_whitespace(texts.cast(pa.large_binary()).view(pa.large_string()).fill_null(""))
+        ends, coded = words.offsets.to_numpy().astype(np.int64), words.flatten().dictionary_encode()
+        ends = ends - ends[0]
+        distinct = coded.dictionary
+        plain = pc.and_(pc.string_is_ascii(distinct), pc.invert(pc.match_substring(distinct, "<|")))
+        lowered = pc.if_else(plain, pc.ascii_lower(distinct), distinct).view(pa.large_binary())
+        keys = lowered.to_numpy(zero_copy_only=False).tolist()
+        pieces = list(map(self.known.get, keys))
+        new = {key for key, piece in zip(keys, pieces) if piece is None}
         if new:
             self._learn(new)
-        find = self.known.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+            pieces = list(map(self.known.__getitem__, keys))
+        flat = np.frombuffer(b"".join(pieces), dtype="<u4")
+        sizes = np.fromiter((len(x) // 4 for x in pieces), np.int64, len(pieces))
+        starts, code = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        # Place in ``flat`` of each id: its word's start there, and its place within the word.
+        counts = sizes[code]
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        places = np.repeat(starts[code] - bounds[:-1], counts)
+        places += np.arange(len(places))
+        return np.split(flat[places], bounds[ends[1:-1]]) if len(ends) > 1 else []
 
 
 @lru_cache(maxsize=2)
@@ -141,12 +165,14 @@ def _encoder(path: str) -> WordEncoder:
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, end: int, bits: int) -> Iterator[pa.RecordBatch]:
     """doc and packed ids of each row; texts pass in groups of a few megabytes."""
-    encoder, last = _encoder(path), np.array([end], dtype="<u4").tobytes()
+    encoder, last = _encoder(path), np.array([end], dtype="<u4")
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())
-        for begin in range(0, batch.num_rows, 1000):
-            part = [x or b"" for x in texts.slice(begin, 1000).to_pylist()]
-            ids = [np.frombuffer(x + last, dtype="<u4") for x in encoder.encode(part)]
+        group = np.cumsum(np.array(pc.binary_length(texts).fill_null(0), dtype=np.int64)) // _GROUP_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+        for begin, stop in zip(cuts[:-1], cuts[1:]):
+            part = texts.slice(begin, stop - begin)
+            ids = [np.concatenate([x, last]) for x in encoder.encode_array(part)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(begin, len(part)), batch.column(2).slice(begin, len(part)),

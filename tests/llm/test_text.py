@@ -322,6 +322,28 @@ def test_word_encoder_matches_the_library():
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([t.encode() for t in texts])] == want
 
 
+def test_word_encoder_looks_up_each_distinct_word_once():
+    class Counting(dict):
+        looked_up = 0
+
+        def get(self, key, default=None):
+            self.looked_up += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            self.looked_up += 1
+            return super().__getitem__(key)
+
+    encoder = packing.WordEncoder(TOKENIZER)
+    texts = [b"the cat sat on the mat " * 100, b"The MAT"] * 20
+    first = encoder.encode(texts)
+    encoder.known = Counting(encoder.known)
+    assert encoder.encode(texts) == first and encoder.known.looked_up <= 8  # with the empty one
+    # Slices, nulls and empty texts.
+    assert [x.tobytes() for x in encoder.encode_array(pa.array([b"a", None, b"", *texts], pa.binary()).slice(1))] == [b"", b"", *first]
+    assert encoder.encode([]) == []
+
+
 def test_id_files(spark):
     from tokenizers import Tokenizer
 
