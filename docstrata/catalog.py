@@ -852,7 +852,7 @@ def landing_range(spark, sf_dir):
     lake = _new_lake(spark)
     land(lake, *_captures(spark, sf_dir), _run("2024-01-01", "2024-12-31"))
     lake.compact(LANDING, RUN_TS)
-    return lake.in_range(LANDING, "2024-04-01", "2024-06-30").select("identifier", "partition_date", "file_hash")
+    return lake.in_range(LANDING, "2024-04-01", "2024-06-30", columns=["file_hash", "partition_date"]).select("identifier", "partition_date", "file_hash")
 
 
 @_query
@@ -884,7 +884,7 @@ def transform_stream(spark, sf_dir):
         land(lake, *captures, _run(start, end, version))
         follow = TransformRun("2024-01-01", "2024-12-31", 1, RUN_TS)
         stream_transform(lake, follow, lake.path("checkpoint")).awaitTermination()
-    return lake.current(TRANSFORMED).groupBy("partition_date", "file_type").agg(F.count(F.lit(1)).alias("n_rows"))
+    return lake.current(TRANSFORMED, columns=["partition_date", "file_type"]).groupBy("partition_date", "file_type").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @_query

@@ -155,6 +155,12 @@ def listing_rows(scanned: DataFrame, site: str, run_ts: str, keep: Sequence[str]
     )
 
 
+def result_texts(scanned: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Position and text of each result of the scanned pages; the other fields are not read."""
+    found = scanned.select(*keep, F.posexplode("page.items.description").alias("pos", "parts"))
+    return found.select(*keep, "pos", join_stripped(F.col("parts")).alias("description"))
+
+
 def extract_listing(search_pages: DataFrame, site: str, run_ts: str) -> DataFrame:
     """Captured result pages to metadata rows; rows without identifier are dropped."""
     return with_identifier(listing_rows(scan_search_pages(search_pages), site, run_ts))

@@ -89,12 +89,13 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame | ResponseLog
 
     # Each page is parsed once; everything later reads the parsed table.
     scanned = scan_search_pages(in_range, run.max_page_bytes)
-    pages = lake.stage(scanned.withColumn("_page", F.monotonically_increasing_id()), "pages", run.version)
-    if not _repeated_captures(pages).isEmpty():
-        pages = lake.stage(pages.dropDuplicates(_CAPTURE), "distinct_pages", run.version)
+    pages = lake.write_pages(scanned, run.version)
+    repeated = _repeated_captures(pages)
+    if not repeated.isEmpty():
+        pages = _one_capture(pages, lake.stage(repeated, "repeated_captures", run.version))
     stored = lake.current(LANDING, run.version, schemas.FILE_FIELDS)
-    # Decisions are taken on rows without the results' texts, which only the log gets again.
-    items, texts = _items(lake, pages, run)
+    # Decisions are taken on rows without the results' texts, which stay on the pages kept.
+    items, described = _items(lake, pages, run)
     # The lookup sides are written first: see ``operators.reconcile`` on hot keys.
     known = lake.stage(_known(lake, run), "known", run.version)
     wanted = lake.stage(_wanted_urls(items, known), "wanted", run.version)
@@ -115,11 +116,11 @@ def land(lake: Lake, search_pages: DataFrame, responses: DataFrame | ResponseLog
         decided = lake.stage(_mark_final(folded), "decided", run.version)
     else:
         decided = lake.stage(_decide(records, stored, run), "decided", run.version)
-    lake.write_log(_log_rows(decided, stored, run).join(texts, _PLACE), LANDING, run.version)
+    lake.write_log(_named(lake, _log_rows(decided, stored, run), described, run), LANDING, run.version)
     outcomes = _outcomes(arrivals, pages, bad)
     lake.write_quarantine(_quarantined(outcomes), LANDING, run.version)
     if run.keep_pending:
-        lake.write_pending(arrivals.filter(F.col("outcome") == "pending").join(texts, _PLACE), run.version)
+        lake.write_pending(_named(lake, arrivals.filter(F.col("outcome") == "pending"), described, run), run.version)
     lake.commit(LANDING, run.version, run.run_ts)
 
     requests = frontier(
@@ -136,7 +137,16 @@ _CAPTURE = ["url", "body", "partition_start", "page_number", "captured_at"]
 
 def _repeated_captures(pages: DataFrame) -> DataFrame:
     """Captures that occur more than once, as after a repeated ingestion."""
-    return pages.groupBy(*_CAPTURE).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    counted = pages.groupBy(*_CAPTURE).agg(F.count(F.lit(1)).alias("n"), F.min("_page").alias("first"))
+    return counted.filter("n > 1")
+
+
+def _one_capture(pages: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Pages without the further copies of a capture: the first page kept of each counts."""
+    # Only the numbers of repeated captures are compared; no page moves for it unless they are many.
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _CAPTURE]
+    firsts = repeated.select(*[F.col(c).alias(f"_{c}") for c in _CAPTURE], "first")
+    return pages.join(firsts, same, "left").filter(F.col("first").isNull() | (F.col("first") == F.col("_page"))).select(*pages.columns)
 
 
 def _known(lake: Lake, run: LandingRun) -> DataFrame:
@@ -166,22 +176,31 @@ def _best_responses(responses: DataFrame) -> DataFrame:
     )
 
 
-def _items(lake: Lake, pages: DataFrame, run: LandingRun) -> tuple[DataFrame, DataFrame]:
+def _items(lake: Lake, pages: DataFrame, run: LandingRun) -> tuple[DataFrame, DataFrame | None]:
     """Results of the pages, and those of earlier pages that still wait for their document.
 
-    Without their texts, which come as a second table by place.
+    Without their texts.  The second table has those that the queue itself holds, by place:
+    queues name the places of texts as logs do, but may have been written before they did.
     """
-    items = with_identifier(listing_rows(pages, run.site, run.run_ts, ["_page"])).select(*schemas.PENDING.fieldNames(), "_page")
+    fields = [c for c in schemas.PENDING.fieldNames() if c != "description"]
+    rows = with_identifier(listing_rows(pages, run.site, run.run_ts, ["_page"]))
+    items = rows.withColumn("text_id", F.lit(None).cast("string")).select(*fields, "_page")
     if not run.keep_pending:
-        return items.drop("description"), items.select(*_PLACE, "description")
+        return items, None
     start, end = (day.isoformat() for day in validate_range(run.start_date, run.end_date))
-    waiting = lake.pending(run.version).filter(F.col("partition_date").between(start, end))
+    waiting = lake.pending(run.version, texts=False).filter(F.col("partition_date").between(start, end))
     queued = lake.stage(waiting.withColumn("_page", -1 - F.monotonically_increasing_id()), "queued", run.version)
-    texts = items.unionByName(queued).select(*_PLACE, "description")
     # A page that is delivered again has its results in the queue already.
     place = ["identifier", *ARRIVAL_ORDER]
-    fresh = items.drop("description").join(queued.select(*place), place, "left_anti")
-    return fresh.unionByName(queued.drop("description")), texts
+    fresh = items.join(queued.select(*place), place, "left_anti")
+    described = queued.filter(F.col("description").isNotNull()).select(*_PLACE, "description")
+    return fresh.unionByName(queued.drop("description")), None if described.isEmpty() else described
+
+
+def _named(lake: Lake, rows: DataFrame, described: DataFrame | None, run: LandingRun) -> DataFrame:
+    """Rows with the names of their texts, and with the texts that the queue itself held."""
+    named = rows.withColumn("text_id", F.when(F.col("_page") >= 0, lake.text_id(run.version)).otherwise(F.col("text_id")))
+    return named.withColumn("description", F.lit(None).cast("string")) if described is None else named.join(described, _PLACE, "left")
 
 
 def _wanted_urls(items: DataFrame, known: DataFrame) -> DataFrame:

@@ -61,10 +61,15 @@ def transform(lake: Lake, run: TransformRun, only: DataFrame | None = None) -> T
     cleaned = _store_cleaned(lake, work, run)
     decided = lake.stage(_decide(work, cleaned, run), "transformed", run.version)
     changed = decided.filter(F.col("status").isin("inserted", "updated"))
-    # The descriptions decide nothing: only the rows that are logged get theirs, from the days they are in.
-    days = [row["partition_date"] for row in changed.select("partition_date").distinct().collect()]
-    texts = lake.current(LANDING, before, ["description"], days).select("identifier", "description")
-    lake.write_log(changed.join(texts, "identifier"), TRANSFORMED, run.version)
+    # The descriptions decide nothing and stay where they are: the log names their places.
+    logged = changed.filter(F.col("text_id").isNotNull()).withColumn("description", F.lit(None).cast("string"))
+    unnamed = changed.filter(F.col("text_id").isNull())
+    if not unnamed.isEmpty():
+        # Landed rows that hold their descriptions themselves, read from the days they are in.
+        days = [row["partition_date"] for row in unnamed.select("partition_date").distinct().collect()]
+        texts = lake.current(LANDING, before, ["description"], days).select("identifier", "description")
+        logged = logged.unionByName(unnamed.join(texts, "identifier"))
+    lake.write_log(logged, TRANSFORMED, run.version)
     lake.write_quarantine(_quarantined(decided), TRANSFORMED, run.version)
     lake.commit(TRANSFORMED, run.version, run.run_ts)
     return TransformResult(run.version, decided.select("identifier", "status"))
@@ -96,7 +101,7 @@ def _plan(lake: Lake, landed: DataFrame, run: TransformRun) -> DataFrame:
         .join(index, F.col("_key") == F.col("_path"), "left")
         .join(prior, "identifier", "left")
         .select(
-            "identifier", "published_date", "ref_no", "doc_url", "body", "partition_date",
+            "identifier", "published_date", "ref_no", "doc_url", "body", "partition_date", "text_id",
             F.coalesce("file_type", F.lit("html")).alias("file_type"),
             "file_path",
             F.col("file_hash").alias("source_hash"),
@@ -162,7 +167,7 @@ def _decide(work: DataFrame, cleaned: DataFrame, run: TransformRun) -> DataFrame
     )
     changed = F.col("status").isin("inserted", "updated")
     return joined.withColumn("status", status).select(
-        "identifier", "published_date", "ref_no", "doc_url", "body", "partition_date",
+        "identifier", "published_date", "ref_no", "doc_url", "body", "partition_date", "text_id",
         "file_type", "file_hash",
         transformed_name(F.col("identifier"), F.col("file_type")).alias("file_path"),
         F.col("file_path").alias("original_file_path"),

@@ -52,11 +52,14 @@ TRANSFORMED_METADATA = T.StructType(_strings(*TRANSFORMED_FIELDS))
 
 # Change-log rows: metadata plus what the run did with it and which stored object the
 # path got.  ``partition_date`` stays a string, so an explicit schema is passed on read.
+# ``text_id`` names the result on a parsed page whose text is the row's description; a row
+# without it holds its description itself.
 _LOG_EXTRA = [
     T.StructField("action", T.StringType()),
     T.StructField("blob_id", T.StringType()),
     T.StructField("blob_day", T.StringType()),
     T.StructField("arrived", T.TimestampType()),
+    T.StructField("text_id", T.StringType()),
     T.StructField("version", T.LongType()),
 ]
 LANDING_LOG = T.StructType([*LANDING_METADATA.fields, *_LOG_EXTRA])
@@ -81,10 +84,19 @@ BLOBS = T.StructType(
 QUARANTINE = T.StructType(
     [*_strings("identifier", "url", "body", "partition_date", "error"), T.StructField("version", T.LongType())]
 )
+# Of the parsed pages that a run keeps, what their results' texts are read from.
+_TEXTS = T.ArrayType(T.StructType([T.StructField("description", T.ArrayType(T.StringType()))]))
+TEXT_PAGES = T.StructType(
+    [
+        T.StructField("_page", T.LongType()),
+        T.StructField("page", T.StructType([T.StructField("items", _TEXTS)])),
+        *_strings("day", "attempt"),
+    ]
+)
 # Results whose document has not been captured yet, as they stood on their page.
 PENDING = T.StructType(
     [
-        *_strings(*LISTING_FIELDS, "partition_end"),
+        *_strings(*LISTING_FIELDS, "partition_end", "text_id"),
         T.StructField("page_number", T.IntegerType()),
         T.StructField("pos", T.IntegerType()),
         T.StructField("captured_at", T.TimestampType()),

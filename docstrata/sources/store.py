@@ -4,6 +4,7 @@ Each run writes its own ``version=N`` folder of a zone:
 
 * ``blobs``  the stored bytes, one row per object, in a folder per partition day, by key,
 * ``log``    metadata rows with the action taken, partitioned by ``partition_date``,
+* ``pages``  the parsed result pages, by day: log rows of both zones name the place of their text there,
 * ``quarantine`` documents and pages that could not be read, with the reason,
 * ``pending`` results whose document has not been captured yet, if the run keeps them,
 * ``heads``  headers of captured responses, and ``headfiles``, the files they came from,
@@ -25,12 +26,13 @@ import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docstrata import schemas
-from docstrata.operators.reconcile import last_per_key, require_unique
+from docstrata.operators.listing import result_texts
+from docstrata.operators.reconcile import last_per_key, require_unique, spread_nulls
 from docstrata.sources.captures import ResponseLog
 
 LANDING = "landing"
@@ -98,12 +100,16 @@ class Lake:
 
     # -- commits ---------------------------------------------------------------
 
-    def _marked(self, *parts: str) -> dict[int, str]:
-        """Published versions in order, each with its latest attempt."""
+    def _markers(self, *parts: str) -> list[tuple[int, str]]:
+        """All versions and attempts that were ever published, in order."""
         # One small file per run, whatever the size of the data; listing needs no job.
         files = self._read(_COMMITS, *parts).inputFiles()
-        found = sorted(re.search(r"/version=(\d+)/attempt=([^/]+)/", f).groups() for f in files)
-        return dict(sorted((int(version), attempt) for version, attempt in found))
+        found = (re.search(r"/version=(\d+)/attempt=([^/]+)/", f).groups() for f in files)
+        return sorted((int(version), attempt) for version, attempt in found)
+
+    def _marked(self, *parts: str) -> dict[int, str]:
+        """Published versions in order, each with its latest attempt."""
+        return dict(self._markers(*parts))
 
     def _mark(self, at: str, version: int, attempt: str, *parts: str) -> None:
         """Add a marker; those of earlier attempts stay and no longer count."""
@@ -140,6 +146,33 @@ class Lake:
         writer.option("parquet.bloom.filter.adaptive.enabled", "true").parquet(target)
         return self._read_versions(schemas.BLOBS, {version: attempt}, zone, "blobs")
 
+    def write_pages(self, pages: DataFrame, version: int) -> DataFrame:
+        """Keep the parsed result pages of a run, each with a number ``_page``; returns the written table.
+
+        A result's text moves with its page, to the folder of its day, and then stays there.
+        """
+        day = F.date_format("partition_start", "yyyy-MM-dd")
+        rows = pages.withColumn("day", day).hint("rebalance", "day").withColumn("_page", F.monotonically_increasing_id())
+        target = self.path(LANDING, "pages", f"version={version}", f"attempt={self._attempt(LANDING, version)}")
+        rows.write.mode("overwrite").option(*_CODEC).partitionBy("day").parquet(target)
+        return self.spark.read.schema(rows.schema).parquet(target).select(*rows.columns)
+
+    def text_id(self, version: int) -> Column:
+        """The name of a result's text from ``_page`` and ``pos`` of the pages that this object is writing."""
+        return F.concat_ws("|", F.lit(self._attempt(LANDING, version)), "_page", "pos")
+
+    def _with_texts(self, rows: DataFrame) -> DataFrame:
+        """Rows of a log or a queue with the descriptions that they name."""
+        attempts = [attempt for _, attempt in self._markers(LANDING, "commits")]
+        pages = self._read(schemas.TEXT_PAGES, LANDING, "pages").filter(F.col("attempt").isin(*attempts))
+        found = result_texts(pages, ["day", "attempt", "_page"]).select(
+            F.col("day").alias("_day"), F.concat_ws("|", "attempt", "_page", "pos").alias("_name"), F.col("description").alias("_text")
+        )
+        named = rows.withColumn("_wanted", spread_nulls(F.col("text_id"), "identifier"))
+        same = (F.col("partition_date") == F.col("_day")) & (F.col("_wanted") == F.col("_name"))
+        described = named.join(found, same, "left").withColumn("description", F.coalesce("description", "_text"))
+        return described.select(*rows.columns)
+
     def write_log(self, rows: DataFrame, zone: str, version: int) -> None:
         """Append the metadata changes of a run."""
         columns = [c for c in _LOG_SCHEMAS[zone].fieldNames() if c != "version"]
@@ -176,9 +209,13 @@ class Lake:
         self._write(rows, schemas.PENDING, LANDING, "pending", version)
         self._mark("", version, self._attempt(LANDING, version), LANDING, "pending", "commits")
 
-    def pending(self, before: int | None = None) -> DataFrame:
-        """The queue of results without a captured document, as it was before a version."""
-        return self._read_committed(schemas.PENDING, LANDING, "pending", before, last=True)
+    def pending(self, before: int | None = None, texts: bool = True) -> DataFrame:
+        """The queue of results without a captured document, as it was before a version.
+
+        Without ``texts`` the descriptions stay on their pages.
+        """
+        queue = self._read_committed(schemas.PENDING, LANDING, "pending", before, last=True)
+        return self._with_texts(queue) if texts else queue
 
     def heads(self, responses: ResponseLog, version: int) -> DataFrame:
         """Headers of all responses in a folder; those of new files are added to the index.
@@ -206,11 +243,12 @@ class Lake:
         wanted = published if versions is None else {v: published[v] for v in versions if v in published}
         return self._read_versions(schemas.BLOBS, wanted, zone, "blobs")
 
-    def log(self, zone: str, before: int | None = None, after: int = 0) -> DataFrame:
-        """Committed log rows with ``after < version < before``."""
+    def log(self, zone: str, before: int | None = None, after: int = 0, texts: bool = True) -> DataFrame:
+        """Committed log rows with ``after < version < before``; without ``texts`` as they are stored."""
         published = self._marked(zone, "commits")
         wanted = {v: a for v, a in published.items() if v > after and (before is None or v < before)}
-        return self._read_versions(_LOG_SCHEMAS[zone], wanted, zone, "log")
+        rows = self._read_versions(_LOG_SCHEMAS[zone], wanted, zone, "log")
+        return self._with_texts(rows) if texts else rows
 
     def current(self, zone: str, before: int | None = None, columns: Iterable[str] | None = None,
                 days: Iterable[str] | None = None) -> DataFrame:
@@ -221,12 +259,19 @@ class Lake:
         through the newest-row aggregate.  ``days`` reads these ``partition_date`` folders
         alone: right for identifiers whose current row is known to be in them.
         """
+        names = _LOG_SCHEMAS[zone].fieldNames()
+        wanted = {"identifier", "version", "arrived", *([c for c in names if c != "text_id"] if columns is None else columns)}
+        wanted = [c for c in names if c in wanted]
+        if "description" not in wanted:
+            return self._current(zone, before, wanted, days)
+        stored = self._current(zone, before, [c for c in names if c in {*wanted, "partition_date", "text_id"}], days)
+        return self._with_texts(stored).select(*wanted)
+
+    def _current(self, zone: str, before: int | None, kept: list[str], days: Iterable[str] | None = None) -> DataFrame:
+        """``current`` with descriptions as they are stored."""
         base = self._snapshot_version(zone, before)
-        all_columns = _LOG_SCHEMAS[zone].fieldNames()
-        kept = {"identifier", "version", "arrived", *(all_columns if columns is None else columns)}
-        kept = [c for c in all_columns if c in kept]
         in_days = F.lit(True) if days is None else F.col("partition_date").isin(*days)
-        applied = self.log(zone, before, base).filter(F.col("action").isin(*APPLIED) & in_days).select(*kept)
+        applied = self.log(zone, before, base, texts=False).filter(F.col("action").isin(*APPLIED) & in_days).select(*kept)
         recent = last_per_key(applied, "identifier", ["version", "arrived"])
         if not base:
             return recent
@@ -236,7 +281,7 @@ class Lake:
     def blob_index(self, zone: str, before: int | None = None) -> DataFrame:
         """file_path -> (blob_version, blob_day, blob_id); the latest upload of a path wins."""
         base = self._snapshot_version(zone, before)
-        uploads = self.log(zone, before, base).filter(F.col("blob_id").isNotNull())
+        uploads = self.log(zone, before, base, texts=False).filter(F.col("blob_id").isNotNull())
         ranked = uploads.select(
             "file_path", "blob_id", F.col("version").alias("blob_version"), "blob_day", "version", "arrived", "identifier"
         )
@@ -308,7 +353,7 @@ class Lake:
             return version
         attempt = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         folder = [f"version={version}", f"attempt={attempt}"]
-        state = self.current(zone).drop("version")
+        state = self._current(zone, None, _LOG_SCHEMAS[zone].fieldNames()).drop("version")
         _by_partition(state).parquet(self.path(zone, "snapshot", "state", *folder))
         written = self._read_versions(_LOG_SCHEMAS[zone], {version: attempt}, zone, "snapshot", "state")
         require_unique(written.select("identifier"))

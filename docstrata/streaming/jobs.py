@@ -61,7 +61,7 @@ def stream_transform(lake: Lake, run: TransformRun, checkpoint: str, every: str
 
     def write(batch: DataFrame, batch_id: int) -> None:
         versions = [r.version for r in batch.select("version").distinct().collect()]
-        changed = lake.log(LANDING).filter(F.col("version").isin(versions) & F.col("action").isin(*APPLIED))
+        changed = lake.log(LANDING, texts=False).filter(F.col("version").isin(versions) & F.col("action").isin(*APPLIED))
         transform(lake, replace(run, version=run.version + batch_id), only=changed)
 
     return (

@@ -652,3 +652,34 @@ def test_small_object_files_have_small_filters(lake, captures):
     land(lake, *captures(*first_captures()), RUN)
     files = list(Path(lake.path(LANDING, "blobs")).rglob("*.parquet"))
     assert files and all(f.stat().st_size < 100_000 for f in files)
+
+
+def test_logs_name_the_places_of_texts(lake, captures):
+    """A text stays on its parsed page: neither log nor the snapshot nor the queue holds it again."""
+    def pages(text):
+        items = [{"id": "A", "href": "/a", "description": "one"}, {"id": "B", "href": "/b", "description": text}, {"id": "C", "description": "three"}]
+        return [page_row("Labour Court", "2024-01-01", "2024-01-31", items, 3)]
+
+    run = replace(RUN, keep_pending=True)
+    land(lake, *captures(pages("two"), [doc_row("/a")]), run)
+    land(lake, *captures([], [doc_row("/b")]), replace(run, version=2))
+    # A replay numbers its pages anew; what came from the queue keeps the text it was queued with.
+    land(lake, *captures(pages("new"), [doc_row("/a")]), run)
+    transform(lake, TransformRun("2024-01-01", "2024-12-31", 1, RUN.run_ts))
+    lake.compact(LANDING, "t")
+    for table in ("landing/log", "landing/snapshot/state", "landing/pending", "transformed/log"):
+        files = [str(f) for f in Path(lake.path(table)).rglob("part-*.parquet") if "commits" not in f.parts]
+        stored = lake.spark.read.parquet(*files)
+        assert stored.filter("description is not null").isEmpty(), table
+    assert {i: r.description for i, r in state(lake).items()} == {"A": "one", "B": "two", "C": "three"}
+    assert {i: r.description for i, r in state(lake, TRANSFORMED).items()} == {"A": "one", "B": "two"}
+    assert "text_id" not in lake.current(LANDING).columns
+
+
+def test_logs_that_hold_their_texts_are_read_as_before(lake, captures):
+    land(lake, *captures([page_row("Labour Court", "2024-01-01", "2024-01-31", [{"id": "A", "href": "/a", "description": "one"}], 1)], [doc_row("/a")]), RUN)
+    held = lake.log(LANDING).withColumns({c: F.lit(None).cast("string") for c in ("text_id", "blob_id", "blob_day")})
+    lake.write_log(held.withColumn("description", F.lit("held")), LANDING, 2)
+    lake.commit(LANDING, 2, "t")
+    transform(lake, TransformRun("2024-01-01", "2024-12-31", 1, RUN.run_ts))
+    assert [state(lake, zone)["A"].description for zone in (LANDING, TRANSFORMED)] == ["held", "held"]
