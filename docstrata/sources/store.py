@@ -4,7 +4,8 @@ Each run writes its own ``version=N`` folder of a zone:
 
 * ``blobs``  the stored bytes, one row per object, in a folder per partition day, by key,
 * ``log``    metadata rows with the action taken, partitioned by ``partition_date``,
-* ``pages``  the parsed result pages, by day: log rows of both zones name the place of their text there,
+* ``parsed`` the parsed result pages, as they were captured: log rows of both zones name the place of
+  their text there (``pages``, in folders by day, in lakes that held pages before),
 * ``quarantine`` documents and pages that could not be read, with the reason,
 * ``pending`` results whose document has not been captured yet, if the run keeps them,
 * ``heads``  headers of captured responses, and ``headfiles``, the files they came from,
@@ -149,12 +150,12 @@ class Lake:
     def write_pages(self, pages: DataFrame, version: int) -> DataFrame:
         """Keep the parsed result pages of a run, each with a number ``_page``; returns the written table.
 
-        A result's text moves with its page, to the folder of its day, and then stays there.
+        They are written where they are parsed: a result's text does not move.
         """
         day = F.date_format("partition_start", "yyyy-MM-dd")
-        rows = pages.withColumn("day", day).hint("rebalance", "day").withColumn("_page", F.monotonically_increasing_id())
-        target = self.path(LANDING, "pages", f"version={version}", f"attempt={self._attempt(LANDING, version)}")
-        rows.write.mode("overwrite").option(*_CODEC).partitionBy("day").parquet(target)
+        rows = pages.withColumns({"day": day, "_page": F.monotonically_increasing_id()})
+        target = self.path(LANDING, "parsed", f"version={version}", f"attempt={self._attempt(LANDING, version)}")
+        rows.write.mode("overwrite").option(*_CODEC).parquet(target)
         return self.spark.read.schema(rows.schema).parquet(target).select(*rows.columns)
 
     def text_id(self, version: int) -> Column:
@@ -164,7 +165,8 @@ class Lake:
     def _with_texts(self, rows: DataFrame) -> DataFrame:
         """Rows of a log or a queue with the descriptions that they name."""
         attempts = [attempt for _, attempt in self._markers(LANDING, "commits")]
-        pages = self._read(schemas.TEXT_PAGES, LANDING, "pages").filter(F.col("attempt").isin(*attempts))
+        kept = [self._read(schemas.TEXT_PAGES, LANDING, name).select(*schemas.TEXT_PAGES.fieldNames()) for name in ("parsed", "pages")]
+        pages = kept[0].unionByName(kept[1]).filter(F.col("attempt").isin(*attempts))
         found = result_texts(pages, ["day", "attempt", "_page"]).select(
             F.col("day").alias("_day"), F.concat_ws("|", "attempt", "_page", "pos").alias("_name"), F.col("description").alias("_text")
         )

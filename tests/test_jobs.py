@@ -683,3 +683,42 @@ def test_logs_that_hold_their_texts_are_read_as_before(lake, captures):
     lake.commit(LANDING, 2, "t")
     transform(lake, TransformRun("2024-01-01", "2024-12-31", 1, RUN.run_ts))
     assert [state(lake, zone)["A"].description for zone in (LANDING, TRANSFORMED)] == ["held", "held"]
+
+
+def test_pages_are_kept_where_they_are_parsed(lake, spark, captures, monkeypatch):
+    """No shuffle between the parser and the table of parsed pages: a text does not move for it."""
+    pages = [page_row("Labour Court", f"2024-0{m}-01", f"2024-0{m}-28", [{"id": f"A{m}", "href": f"/{m}", "description": f"text {m}"}], 1) for m in (1, 2)]
+    found, responses = captures(pages, [doc_row(f"/{m}") for m in (1, 2)])
+    written, write = [], Lake.write_pages
+
+    def watched(self, rows, version):
+        group = f"pages-{version}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            return write(self, rows, version)
+        finally:
+            tracker = spark.sparkContext.statusTracker()
+            written.extend(len(tracker.getJobInfo(job).stageIds) for job in tracker.getJobIdsForGroup(group))
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    monkeypatch.setattr(Lake, "write_pages", watched)
+    land(lake, found, responses, RUN)
+    assert written and set(written) == {1}
+    assert {i: r.description for i, r in state(lake).items()} == {f"A{m}": f"text {m}" for m in (1, 2)}
+
+
+def test_pages_kept_in_folders_by_day_are_still_read(lake, spark, captures):
+    land(lake, *captures([page_row("Labour Court", "2024-01-01", "2024-01-31", [{"id": "A", "href": "/a", "description": "one"}], 1)], [doc_row("/a")]), RUN)
+    attempt = next(Path(lake.path(LANDING, "parsed", "version=1")).iterdir())
+    rows = spark.read.parquet(str(attempt))
+    older = replace(RUN, version=2)
+    land(lake, *captures([page_row("Labour Court", "2024-02-01", "2024-02-28", [{"id": "B", "href": "/b", "description": "two"}], 1)], [doc_row("/b")]), older)
+    # The first run's pages as lakes had them before: in another folder, by day.
+    rows.write.partitionBy("day").parquet(lake.path(LANDING, "pages", "version=1", attempt.name))
+    empty = spark.read.schema(rows.schema).parquet(str(attempt)).filter("false")
+    empty.write.mode("overwrite").parquet(lake.path("empty"))
+    for file in attempt.glob("part-*.parquet"):
+        file.write_bytes(next(Path(lake.path("empty")).glob("part-*.parquet")).read_bytes())
+    for crc in attempt.glob(".part-*.crc"):
+        crc.unlink()
+    assert {i: r.description for i, r in state(lake).items()} == {"A": "one", "B": "two"}
