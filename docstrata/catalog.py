@@ -904,7 +904,7 @@ def landing_stream(spark, sf_dir):
     """The landing run fed by a file stream of captured pages."""
     lake = _new_lake(spark)
     pages, responses = _captures(spark, sf_dir)
-    pages.write.parquet(lake.path("captured"))
+    pages.write.option("compression", "zstd").parquet(lake.path("captured"))
     stream = spark.readStream.schema(pages.schema).parquet(lake.path("captured"))
     stream_landing(lake, stream, responses, _run("2024-01-01", "2024-12-31"), lake.path("checkpoint")).awaitTermination()
     return _landed(lake)
@@ -915,12 +915,12 @@ def landing_stream_late(spark, sf_dir):
     """The landing stream when half of the documents are captured after their result pages."""
     lake = _new_lake(spark)
     pages, _ = _captures(spark, sf_dir)
-    pages.write.parquet(lake.path("captured"))
+    pages.write.option("compression", "zstd").parquet(lake.path("captured"))
     stream = spark.readStream.schema(pages.schema).parquet(lake.path("captured"))
     captured = ResponseLog(spark, lake.path("documents"))
     for half in (0, 1):  # all copies of a text come in the same half
         _, responses = _captures(spark, sf_dir, f"source <> 'src9' AND crc32(text) % 2 = {half}")
-        responses.write.mode("append").parquet(captured.path)
+        responses.write.mode("append").option("compression", "zstd").parquet(captured.path)
         stream_landing(lake, stream, captured, _run("2024-01-01", "2024-12-31"), lake.path("checkpoint")).awaitTermination()
     return _landed(lake)
 
