@@ -18,7 +18,9 @@ of its words seen once (and a half) for unknown words, which count as one word a
 Counts cover all training tokens.  The words with their counts and classes are a table; only
 the class table, the units of the first phase and totals reach the driver, all bounded by
 parameters.  A worker loads the table if it has at most ``local_words`` rows; a larger one
-is joined by shuffle, with the same results.
+is joined by shuffle, with the same results.  The passes that count neighbours need only the
+words that are units.  A task sums the neighbours of a word before it hands them over, a row
+a word; a part takes these rows as they come and holds its units' sums alone.
 
 Defined cases: a null or wordless text has only the end token.  A null id is held out by
 the checksum of the empty text.  Without training documents every probability is 1.  Rows
@@ -32,22 +34,28 @@ from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.parquet as pq
+from pyarrow.dataset import dataset
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docstrata.llm.storage import filesystem, staged, workspace
+from docstrata.llm.storage import filesystem, settings, staged, workspace
 from docstrata.llm.words import Words, blocks, hash_words, mix
 
 CLASSES, MIN_SHARE, LEAST_COUNT, GROUPS, SWEEPS, LOCAL_WORDS = 64, 1e-4, 20, 2048, 6, 8_000_000
-_BUFFER_TOKENS, _UNITS_A_PART = 2_000_000, 500
+_BUFFER_TOKENS, _BUFFER_KEYS, _UNITS_A_PART = 1_000_000, 1_000_000, 500
+# A worker holds a batch of texts and the hashes of one block beside its counts.
+_BLOCK_BYTES, _ROWS_A_BATCH = 1 << 20, 1000
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(_ROWS_A_BATCH), "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 _ALPHA = 10.0
 
 
 def _groups(words: Words, groups: int) -> np.ndarray:
-    return (mix(words.tails.astype(np.uint64)) % np.uint64(groups)).astype(np.int32)
+    return _tail_groups(words.tails, groups)
+
+
+def _tail_groups(tails: np.ndarray, groups: int) -> np.ndarray:
+    return (mix(tails.astype(np.uint64)) % np.uint64(groups)).astype(np.int32)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
@@ -61,7 +69,7 @@ def _count_words(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.
         return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(group[first]), pa.array(n)], names=["hash", "group", "n"])
 
     for batch in batches:
-        for _, block in blocks(batch.column(0)):
+        for _, block in blocks(batch.column(0), _BLOCK_BYTES):
             words = hash_words(block)
             held.append((words.hashes, _groups(words, groups)))
             if sum(len(h) for h, _ in held) >= _BUFFER_TOKENS:
@@ -109,7 +117,7 @@ def _count_pairs(batches: Iterator[pa.RecordBatch], units: Units) -> Iterator[pa
         return pa.RecordBatch.from_arrays([pa.array((codes // units.count).astype(np.int32)), pa.array((codes % units.count).astype(np.int32)), pa.array(n)], names=["a", "b", "n"])
 
     for batch in batches:
-        for _, block in blocks(batch.column(0)):
+        for _, block in blocks(batch.column(0), _BLOCK_BYTES):
             words = hash_words(block)
             line, _ = _with_ends(units.of(words), words.bounds, 0)
             held.append(np.r_[0, line[:-1]] * units.count + line)
@@ -125,24 +133,88 @@ def _plogp(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
 
-def _exchange(group: pd.DataFrame, table: np.ndarray) -> pd.DataFrame:
+@dataclass(frozen=True)
+class Contexts:
+    """How often units, ascending, have which classes beside them."""
+
+    units: np.ndarray
+    old: np.ndarray  # their classes
+    own: np.ndarray  # how often each follows itself
+    keys: np.ndarray  # ascending: (the unit's place * 2 + side) * classes + class; side 0 before, 1 after
+    n: np.ndarray  # of each key
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct keys with their sums."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[starts], np.add.reduceat(n, starts)
+
+
+def _merged(parts: list[Contexts], classes: int) -> Contexts:
+    """One of many; a part may name a unit more than once."""
+    width = 2 * classes
+    units, first, place = np.unique(np.concatenate([p.units for p in parts]), return_index=True, return_inverse=True)
+    begins = np.cumsum([0, *(len(p.units) for p in parts)])
+    keys = np.concatenate([place[p.keys // width + begin] * width + p.keys % width for p, begin in zip(parts, begins)])
+    own = np.bincount(place, np.concatenate([p.own for p in parts]), minlength=len(units)).astype(np.int64)
+    return Contexts(units, np.concatenate([p.old for p in parts])[first], own, *_summed(keys, np.concatenate([p.n for p in parts])))
+
+
+def _merging(parts: Iterator[Contexts], classes: int, most: int | None = None) -> Iterator[Contexts]:
+    """Sums of parts as they come, so that only distinct keys are held; given out from ``most`` keys on, else at the end."""
+    held, size, at = [], 0, _BUFFER_KEYS
+    for part in parts:
+        held.append(part)
+        size += len(part.keys)
+        if size >= at:
+            held = [_merged(held, classes)]
+            size = len(held[0].keys)
+            if most is not None and size >= most:
+                yield held.pop()
+                size = 0
+            at = max(_BUFFER_KEYS, 2 * size)
+    if held:
+        yield _merged(held, classes)
+
+
+def _context_rows(found: Contexts, classes: int) -> Iterator[pa.RecordBatch]:
+    """A row a unit: unit, old, own, code, n (lists)."""
+    bounds = np.searchsorted(found.keys, np.arange(len(found.units) + 1) * (2 * classes)).astype(np.int32)
+    code = (found.keys % (2 * classes)).astype(np.int16)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(found.units), pa.array(found.old.astype(np.int32)), pa.array(found.own), pa.ListArray.from_arrays(bounds, pa.array(code)), pa.ListArray.from_arrays(bounds, pa.array(found.n))],
+        names=["unit", "old", "own", "code", "n"],
+    )
+    for begin in range(0, batch.num_rows, _ROWS_A_BATCH):
+        yield batch.slice(begin, _ROWS_A_BATCH)
+
+
+def _contexts_of(batch: pa.RecordBatch, classes: int) -> Contexts:
+    """Of rows unit, old, own, code, n; code and n are values or lists."""
+    unit, old, own, code, n = (batch.column(name) for name in ("unit", "old", "own", "code", "n"))
+    place = np.arange(batch.num_rows)
+    if pa.types.is_list(code.type):
+        place, code, n = np.repeat(place, pa.compute.list_value_length(code).to_numpy()), code.flatten(), n.flatten()
+    return Contexts(unit.to_numpy(), old.to_numpy(), own.to_numpy(), place * (2 * classes) + code.to_numpy(), n.to_numpy())
+
+
+def _exchange(found: Contexts, table: np.ndarray) -> np.ndarray:
     """Move each unit of one part to the class that most raises the class bigram likelihood.
 
-    ``group`` has the units' neighbours: unit, old (its class), side (0 before, 1 after),
-    class, n, own (of n, the unit beside itself).  The end's class, the last, neither gives
-    nor takes units.
+    The end's class, the last, neither gives nor takes units.
     """
     table, k = table.copy(), len(table)
     logs = _plogp(table)
-    moved_to = {}
-    for unit, rows in group.sort_values(["unit", "side", "class"]).groupby("unit", sort=True):
-        old = int(rows["old"].iloc[0])
+    beside = np.bincount(found.keys, found.n, minlength=len(found.units) * 2 * k).reshape(-1, 2, k)
+    moved = found.old.copy()
+    for place, old in enumerate(found.old.tolist()):
         if old == k - 1:
             continue
-        after, before = np.zeros(k), np.zeros(k)
-        sides, classes, n = rows["side"].to_numpy(), rows["class"].to_numpy(), rows["n"].to_numpy(dtype=float)
-        after[classes[sides == 1]], before[classes[sides == 0]] = n[sides == 1], n[sides == 0]
-        own = float(rows["own"].to_numpy()[sides == 1].sum())
+        (before, after), own = beside[place], float(found.own[place])
         total_after, total_before = after.sum(), before.sum()
         table[old] -= after
         table[:, old] -= before
@@ -150,30 +222,39 @@ def _exchange(group: pd.DataFrame, table: np.ndarray) -> pd.DataFrame:
         after[old] -= own
         before[old] -= own
         logs[old], logs[:, old] = _plogp(table[old]), _plogp(table[:, old])
-        up = _plogp(table + after) - logs
-        left = _plogp(table + before[:, None]) - logs
+        # Only classes beside the unit change anything.
+        right, above = np.flatnonzero(after), np.flatnonzero(before)
+        up, left_corner = np.zeros((k, k)), np.zeros(k)
+        up[:, right] = _plogp(table[:, right] + after[right]) - logs[:, right]
+        left = _plogp(table[above] + before[above, None]) - logs[above]
+        left_corner[above] = left[np.arange(len(above)), above]
         corner = np.diagonal(table)
-        gain = up.sum(1) - np.diagonal(up) + left.sum(0) - np.diagonal(left) + _plogp(corner + after + before + own) - _plogp(corner)
         rows_of, columns_of = table.sum(1), table.sum(0)
-        gain -= _plogp(rows_of + total_after) - _plogp(rows_of) + _plogp(columns_of + total_before) - _plogp(columns_of)
+        sums = _plogp(np.concatenate([corner + after + before + own, corner, rows_of + total_after, rows_of, columns_of + total_before, columns_of])).reshape(6, k)
+        gain = up.sum(1) - np.diagonal(up) + left.sum(0) - left_corner + sums[0] - sums[1]
+        gain -= sums[2] - sums[3] + sums[4] - sums[5]
         gain[k - 1] = -np.inf
         new = int(np.argmax(gain))
         table[new] += after
         table[:, new] += before
         table[new, new] += own
         logs[new], logs[:, new] = _plogp(table[new]), _plogp(table[:, new])
-        moved_to[unit] = new
-    return pd.DataFrame({"unit": list(moved_to), "new": list(moved_to.values())}).astype({"unit": "int64", "new": "int32"})
+        moved[place] = new
+    return moved
 
 
 def _moves(contexts: DataFrame, units: int, table: np.ndarray, seed: int) -> DataFrame:
     """(unit, new) from the contexts of all units."""
     part = F.pmod(F.xxhash64("unit", F.lit(seed)), F.lit(-(-units // _UNITS_A_PART)))
+    classes = len(table)
 
-    def exchange(group: pd.DataFrame) -> pd.DataFrame:
-        return _exchange(group, table)
+    def exchange(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _merging((_contexts_of(batch, classes) for batch in batches), classes):
+            new = _exchange(found, table)
+            some = found.old != classes - 1
+            yield pa.RecordBatch.from_arrays([pa.array(found.units[some]), pa.array(new[some].astype(np.int32))], names=["unit", "new"])
 
-    return contexts.groupBy(part.alias("part")).applyInPandas(exchange, "unit bigint, new int")
+    return contexts.groupBy(part.alias("part")).applyInArrow(exchange, "unit bigint, new int")
 
 
 @dataclass(frozen=True)
@@ -189,17 +270,15 @@ class Vocabulary:
         """Begin, batch and tokens of blocks of texts, from the loaded table."""
         hashes, n, own = _loaded(self.path)
         for batch in batches:
-            for begin, block in blocks(batch.column(column)):
+            for begin, block in blocks(batch.column(column), _BLOCK_BYTES):
                 words = hash_words(block)
-                distinct, inverse = np.unique(words.hashes.view(np.int64), return_inverse=True)
-                counts, known = np.zeros(len(distinct), np.int64), np.full(len(distinct), -1, np.int64)
+                distinct, first, spots = np.unique(words.hashes.view(np.int64), return_index=True, return_inverse=True)
+                counts, classes = np.zeros(len(distinct), np.int64), self.group_class[_tail_groups(words.tails[first], len(self.group_class))]
                 if len(hashes):
                     spot = np.minimum(np.searchsorted(hashes, distinct), len(hashes) - 1)
                     there = hashes[spot] == distinct
-                    counts[there], known[there] = n[spot[there]], own[spot[there]]
-                classes = known[inverse]
-                classes = np.where(classes < 0, self.group_class[_groups(words, len(self.group_class))], classes)
-                yield begin, batch.slice(begin, len(block)), Line(words.hashes.view(np.int64), counts[inverse], classes, words.bounds, np.ones(len(block), np.int64))
+                    counts[there], classes[there] = n[spot[there]], own[spot[there]]
+                yield begin, batch.slice(begin, len(block)), Line(distinct, counts, classes, spots, words.bounds, np.ones(len(block), np.int64))
 
     def joined(self, texts: DataFrame) -> DataFrame:
         """key, copies and the tokens' hashes, counts and classes of every distinct text, by shuffle."""
@@ -216,21 +295,31 @@ class Vocabulary:
 
 @dataclass(frozen=True)
 class Line:
-    """Tokens of consecutive texts, and how often each text occurs."""
+    """Tokens of consecutive texts: places in distinct words, and how often each text occurs."""
 
-    hashes: np.ndarray
-    counts: np.ndarray
-    classes: np.ndarray
+    words: np.ndarray  # ascending hashes
+    word_counts: np.ndarray
+    word_classes: np.ndarray
+    spots: np.ndarray
     bounds: np.ndarray
     copies: np.ndarray
 
+    @property
+    def counts(self) -> np.ndarray:
+        return self.word_counts[self.spots]
+
+    @property
+    def classes(self) -> np.ndarray:
+        return self.word_classes[self.spots]
+
 
 def _joined_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, Line]]:
     for batch in batches:
         hashes, n, classes = ([np.array(x if x is not None else [], dtype=np.int64) for x in batch.column(k).to_pylist()] for k in (2, 3, 4))
         bounds = np.cumsum([0, *map(len, hashes)])
         if batch.num_rows:
-            yield 0, batch, Line(np.concatenate(hashes), np.concatenate(n), np.concatenate(classes), bounds, np.asarray(batch.column(1)))
+            words, first, spots = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+            yield 0, batch, Line(words, np.concatenate(n)[first], np.concatenate(classes)[first], spots, bounds, np.asarray(batch.column(1)))
 
 
 _tables: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
@@ -248,51 +337,49 @@ def _loaded(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _load(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """File by file, into the narrowest types, so that a worker holds little more than the table."""
     store, root = filesystem(path)
-    columns = []
-    for name, kind in (("hash", pa.int64()), ("n", pa.int64()), ("class", pa.int16())):
-        column = pq.read_table(root, filesystem=store, columns=[name]).column(0).cast(kind)
-        columns.append(column.to_numpy())
-    if len(columns[0]) and not (columns[0][1:] > columns[0][:-1]).all():
+    files = list(dataset(root, filesystem=store, format="parquet").get_fragments())
+    rows = sum(file.metadata.num_rows for file in files)
+    columns = [np.empty(rows, kind) for kind in (np.int64, np.int32, np.int16)]
+    begin = 0
+    for file in files:
+        table = file.to_table(columns=["hash", "n", "class"])
+        for k, name in enumerate(("hash", "n", "class")):
+            values = table.column(name).to_numpy()
+            if name == "n" and columns[k].dtype == np.int32 and len(values) and values.max() >= 1 << 31:
+                columns[k] = columns[k].astype(np.int64)
+            columns[k][begin : begin + len(values)] = values
+        begin += len(table)
+    if rows and not (columns[0][1:] > columns[0][:-1]).all():
         order = np.argsort(columns[0])
         columns = [c[order] for c in columns]
     return tuple(columns)
 
 
 def _unit_contexts(lines: Iterator[tuple[int, pa.RecordBatch, Line]], classes: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Partial counts of the neighbours of all words with ``least`` or more occurrences."""
-    held, size = [], 0
-
-    def flush() -> pa.RecordBatch:
-        hashes, code, n = (np.concatenate(x) for x in zip(*held))
-        held.clear()
-        words, spot = np.unique(hashes, return_inverse=True)
-        codes, inverse = np.unique(spot * (4 * classes) + code, return_inverse=True)
-        total = np.bincount(inverse, n).astype(np.int64)
-        word, rest = np.divmod(codes, 4 * classes)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words[word]), pa.array((rest // (2 * classes)).astype(np.int32)), pa.array((rest // 2 % classes).astype(np.int32)), pa.array(total), pa.array(total * (rest % 2))],
-            names=["unit", "side", "class", "n", "own"],
-        )
-
-    for _, _, line in lines:
-        end = classes - 1
-        token, _ = _with_ends(line.hashes, line.bounds, 0)
-        class_of, _ = _with_ends(line.classes, line.bounds, end)
-        unit, _ = _with_ends(line.counts >= least, line.bounds, False)
-        copies = np.repeat(line.copies, np.diff(line.bounds) + 1)
-        for side, step in ((0, 1), (1, -1)):
-            beside, same = np.roll(class_of, step), np.roll(token, step) == token
-            beside[0 if side == 0 else -1] = end
-            same &= np.roll(unit, step)
-            same[0 if side == 0 else -1] = False
-            held.append((token[unit], ((side * classes + beside) * 2 + same)[unit], copies[unit]))
-        size += 2 * len(token)
-        if size >= _BUFFER_TOKENS // 4:
-            yield flush()
-            size = 0
-    if held:
-        yield flush()
+    """Partial contexts of all words with ``least`` or more occurrences: unit, old, own, code, n (lists)."""
+
+    def parts() -> Iterator[Contexts]:
+        for _, _, line in lines:
+            unit = line.word_counts >= least
+            # An end has the place -1, which is the last.
+            spot, _ = _with_ends(line.spots, line.bounds, -1)
+            place = np.r_[np.where(unit, np.cumsum(unit) - 1, -1), -1][spot]
+            class_of = np.r_[line.word_classes, classes - 1][spot]
+            copies = np.repeat(line.copies, np.diff(line.bounds) + 1)
+            some, again = place >= 0, np.flatnonzero((place[:-1] >= 0) & (place[:-1] == place[1:]))
+            sides = (np.r_[classes - 1, class_of[:-1]], classes + np.r_[class_of[1:], classes - 1])
+            keys = np.concatenate([(place * (2 * classes) + side)[some] for side in sides])
+            if (line.copies == 1).all():
+                keys, n = np.unique(keys, return_counts=True)
+            else:
+                keys, n = _summed(keys, np.tile(copies[some], 2))
+            own = np.bincount(place[again], copies[again], minlength=int(unit.sum())).astype(np.int64)
+            yield Contexts(line.words[unit], line.word_classes[unit], own, keys, n)
+
+    for found in _merging(parts(), classes, _BUFFER_KEYS // 2):
+        yield from _context_rows(found, classes)
 
 
 def _class_table(lines: Iterator[tuple[int, pa.RecordBatch, Line]], classes: int) -> Iterator[pa.RecordBatch]:
@@ -351,11 +438,11 @@ def _coarse_classes(texts: DataFrame, counts: DataFrame, tokens: int, classes: i
     table = class_pairs()
     for sweep in range(sweeps):
         lookup = F.lit(class_of.tolist())
-        own = F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0).alias("own")
-        side = lambda unit, number, other: pairs.select(
-            F.col(unit).cast("bigint").alias("unit"), F.get(lookup, F.col(unit)).cast("int").alias("old"), F.lit(number).alias("side"), F.get(lookup, F.col(other)).cast("int").alias("class"), "n", own  # noqa: B023
+        own = F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)
+        side = lambda unit, other, code, own: pairs.select(
+            F.col(unit).cast("bigint").alias("unit"), F.get(lookup, F.col(unit)).cast("int").alias("old"), (F.get(lookup, F.col(other)) + code).cast("int").alias("code"), "n", own.alias("own")  # noqa: B023
         )
-        contexts = side("a", 1, "b").unionByName(side("b", 0, "a")).groupBy("unit", "old", "side", "class").agg(F.sum("n").alias("n"), F.sum("own").alias("own"))
+        contexts = side("a", "b", classes, own).unionByName(side("b", "a", 0, F.lit(0).cast("bigint"))).groupBy("unit", "old", "code").agg(F.sum("n").alias("n"), F.sum("own").alias("own"))
         moves = _moves(contexts, units.count, table, sweep).collect()  # one row a unit
         changed = sum(class_of[row["unit"]] != row["new"] for row in moves)
         for row in moves:
@@ -391,8 +478,12 @@ def fit(
     local_words: int = LOCAL_WORDS, folder: str | None = None,
 ) -> Model:
     """Learn from every row of ``docs``."""
-    folder = folder or workspace(docs.sparkSession, "classlm")
-    texts = docs.select(F.col(text).alias("text"))
+    with settings(docs.sparkSession, _BATCHES):
+        return _fit(docs.select(F.col(text).alias("text")), classes, min_share, least_count, groups, sweeps, local_words, folder or workspace(docs.sparkSession, "classlm"))
+
+
+def _fit(texts: DataFrame, classes: int, min_share: float, least_count: int, groups: int, sweeps: int, local_words: int, folder: str) -> Model:
+    spark = texts.sparkSession
     counts = staged(
         texts.mapInArrow(partial(_count_words, groups=groups), "hash bigint, group int, n bigint").groupBy("hash").agg(F.sum("n").alias("n"), F.min("group").alias("group")),
         f"{folder}/counts",
@@ -403,20 +494,23 @@ def fit(
     units, class_of, table = _coarse_classes(texts, counts, tokens, classes, min_share, groups, sweeps, folder)
     frequent = len(units.frequent)
     group_class = class_of[1 + frequent :].astype(np.int64)
-    listed = docs.sparkSession.createDataFrame([(h, int(c)) for h, c in zip(units.frequent.view(np.int64).tolist(), class_of[1 : 1 + frequent])], "hash bigint, class int")
-    named = counts.join(F.broadcast(listed), "hash", "left").select("hash", "n", F.coalesce("class", F.get(F.lit(group_class.tolist()), F.col("group"))).alias("class"))
-    vocabulary = Vocabulary(f"{folder}/coarse", totals["words"], group_class, classes)
-    known = _stored(named, vocabulary.path)
+    of_group = F.get(F.lit(group_class.tolist()), F.col("group"))
+    listed = spark.createDataFrame([(h, int(c)) for h, c in zip(units.frequent.view(np.int64).tolist(), class_of[1 : 1 + frequent])], "hash bigint, class int")
+    # All words whose class can be another than their group's.
+    single = counts.join(F.broadcast(listed), "hash", "left").where((F.col("n") >= least_count) | F.col("class").isNotNull())
+    single = _stored(single.select("hash", "n", F.coalesce("class", of_group).alias("class")), f"{folder}/coarse")
     if sweeps and totals["units"]:
         # The second phase: every word with enough occurrences by itself.
-        found = _over(texts, vocabulary, partial(_unit_contexts, classes=classes, least=least_count), "unit bigint, side int, class int, n bigint, own bigint", local_words)
-        contexts = found.groupBy("unit", "side", "class").agg(F.sum("n").alias("n"), F.sum("own").alias("own"))
-        contexts = contexts.join(known.where(F.col("n") >= least_count).select(F.col("hash").alias("unit"), F.col("class").cast("int").alias("old")), "unit")
+        coarse = Vocabulary(f"{folder}/coarse", single.count(), group_class, classes)
+        contexts = _over(
+            texts, coarse, partial(_unit_contexts, classes=classes, least=least_count), "unit bigint, old int, own bigint, code array<smallint>, n array<bigint>", local_words
+        )
         moves = staged(_moves(contexts, totals["units"], table, sweeps), f"{folder}/moves")
-        moved = known.join(moves, known["hash"] == moves["unit"], "left").select("hash", "n", F.coalesce("new", "class").alias("class"))
-        vocabulary = Vocabulary(f"{folder}/vocabulary", totals["words"], group_class, classes)
-        known = _stored(moved, vocabulary.path)
-        table = _table(_over(texts, vocabulary, partial(_class_table, classes=classes), "ca int, cb int, n bigint", local_words), classes)
+        moved = single.join(moves, single["hash"] == moves["unit"], "left").select("hash", "n", F.coalesce("new", "class").alias("class"))
+        single = _stored(moved, f"{folder}/moved")
+        table = _table(_over(texts, Vocabulary(f"{folder}/moved", coarse.rows, group_class, classes), partial(_class_table, classes=classes), "ca int, cb int, n bigint", local_words), classes)
+    vocabulary = Vocabulary(f"{folder}/vocabulary", totals["words"], group_class, classes)
+    known = _stored(counts.join(single.select("hash", "class"), "hash", "left").select("hash", "n", F.coalesce("class", of_group).alias("class")), vocabulary.path)
 
     once = np.zeros(classes)
     for row in known.where("n = 1").groupBy("class").count().collect():
@@ -449,7 +543,7 @@ _SCORE_TYPES = "n_tokens bigint, n_known bigint, base_score double, score double
 def _list_tokens(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
     """key, place, hash and group of every word."""
     for batch in batches:
-        for begin, block in blocks(batch.column(1)):
+        for begin, block in blocks(batch.column(1), _BLOCK_BYTES):
             words = hash_words(block)
             n = np.diff(words.bounds)
             rows = np.repeat(np.arange(len(block)) + begin, n)
@@ -480,10 +574,12 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", doc_id: str = "d
     return keyed.join(scored, "key").select("doc_id", *_SCORES)
 
 
-def score_corpus(docs: DataFrame, held_out: Callable[[str], Column], *, text: str = "text", doc_id: str = "doc_id", local_words: int = LOCAL_WORDS, **settings) -> DataFrame:
-    """Learn from the rows that are not held out and score all rows."""
-    model = fit(docs.where(~held_out(doc_id)), text=text, local_words=local_words, **settings)
-    scored = score(docs, model, text=text, doc_id=doc_id, local_words=local_words)
+def score_corpus(docs: DataFrame, held_out: Callable[[str], Column], *, text: str = "text", doc_id: str = "doc_id", local_words: int = LOCAL_WORDS, **options) -> DataFrame:
+    """Learn from the rows that are not held out and score all rows; the scores are staged, so that their texts too move in small batches."""
+    folder = options.pop("folder", None) or workspace(docs.sparkSession, "classlm")
+    model = fit(docs.where(~held_out(doc_id)), text=text, local_words=local_words, folder=folder, **options)
+    with settings(docs.sparkSession, _BATCHES):
+        scored = staged(score(docs, model, text=text, doc_id=doc_id, local_words=local_words), f"{folder}/scores")
     return scored.select(
         "doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),

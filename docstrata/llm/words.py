@@ -40,7 +40,7 @@ class _Tables:
     @classmethod
     def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > cls.size:
-            cls.size = max(n, _BLOCK_BYTES + (1 << 16))
+            cls.size = max(n, min(n + n // 8, _BLOCK_BYTES) + (1 << 16))
             cls.power, cls.inverse = _powers(_BASE, cls.size), _powers(_BASE_INVERSE, cls.size)
         return cls.power[:n], cls.inverse
 
@@ -99,12 +99,12 @@ def hash_words(texts: pa.Array) -> Words:
     return Words(hashes, np.searchsorted(starts, offsets), tail)
 
 
-def blocks(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """Slices of an array with about two megabytes of text each (a longer text stands alone)."""
+def blocks(texts: pa.Array, size: int = _BLOCK_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """Slices of an array with about ``size`` bytes of text each (a longer text stands alone)."""
     if not len(texts):
         return
     sizes = np.array(pa.compute.binary_length(texts).fill_null(0), dtype=np.int64)
-    group = np.cumsum(sizes) // _BLOCK_BYTES
+    group = np.cumsum(sizes) // size
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
     for begin, end in zip(cuts[:-1], cuts[1:]):
         yield begin, texts.slice(begin, end - begin)
