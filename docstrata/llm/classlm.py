@@ -17,8 +17,9 @@ of its words seen once (and a half) for unknown words, which count as one word a
 
 Counts cover all training tokens.  The words with their counts and classes are a table; only
 the class table, the units of the first phase and totals reach the driver, all bounded by
-parameters.  A worker loads the table if it has at most ``local_words`` rows; a larger one
-is joined by shuffle, with the same results.  The passes that count neighbours need only the
+parameters.  A worker keeps the table if it has at most ``local_words`` rows.  A larger one is
+read in parts of that size, once for every ``_HELD_TOKENS`` tokens of a task, with the same
+results; texts and tokens are never shuffled.  The passes that count neighbours need only the
 words that are units.  A task sums the neighbours of a word before it hands them over, a row
 a word; a part takes these rows as they come and holds its units' sums alone.
 
@@ -46,6 +47,8 @@ CLASSES, MIN_SHARE, LEAST_COUNT, GROUPS, SWEEPS, LOCAL_WORDS = 64, 1e-4, 20, 204
 _BUFFER_TOKENS, _BUFFER_KEYS, _UNITS_A_PART = 1_000_000, 1_000_000, 500
 # A worker holds a batch of texts and the hashes of one block beside its counts.
 _BLOCK_BYTES, _ROWS_A_BATCH = 1 << 20, 1000
+# Beside a part of a table: about 9 bytes a token, without the texts.
+_HELD_TOKENS = 8_000_000
 _BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(_ROWS_A_BATCH), "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 _ALPHA = 10.0
 
@@ -266,43 +269,52 @@ class Vocabulary:
     group_class: np.ndarray
     classes: int
 
-    def lines(self, batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[int, pa.RecordBatch, Line]]:
-        """Begin, batch and tokens of blocks of texts, from the loaded table."""
-        hashes, n, own = _loaded(self.path)
+    def lines(self, batches: Iterator[pa.RecordBatch], column: int, local_words: int = LOCAL_WORDS) -> Iterator[tuple[list[pa.Array], Line]]:
+        """The other columns and the tokens of blocks of texts, looked up in the table."""
+        held, size = [], 0
         for batch in batches:
             for begin, block in blocks(batch.column(column), _BLOCK_BYTES):
-                words = hash_words(block)
-                distinct, first, spots = np.unique(words.hashes.view(np.int64), return_index=True, return_inverse=True)
-                counts, classes = np.zeros(len(distinct), np.int64), self.group_class[_tail_groups(words.tails[first], len(self.group_class))]
-                if len(hashes):
-                    spot = np.minimum(np.searchsorted(hashes, distinct), len(hashes) - 1)
-                    there = hashes[spot] == distinct
-                    counts[there], classes[there] = n[spot[there]], own[spot[there]]
-                yield begin, batch.slice(begin, len(block)), Line(distinct, counts, classes, spots, words.bounds, np.ones(len(block), np.int64))
-
-    def joined(self, texts: DataFrame) -> DataFrame:
-        """key, copies and the tokens' hashes, counts and classes of every distinct text, by shuffle."""
-        keyed = texts.select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"), "text")
-        # Equal texts are one row.
-        distinct = keyed.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-        tokens = distinct.mapInArrow(partial(_list_tokens, groups=len(self.group_class)), "key string, place bigint, hash bigint, group int")
-        known = tokens.join(texts.sparkSession.read.parquet(self.path), "hash", "left")
-        other = F.get(F.lit(self.group_class.tolist()), F.col("group"))
-        found = known.select("key", F.struct("place", "hash", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("class", other).cast("bigint").alias("class")).alias("token"))
-        lines = found.groupBy("key").agg(F.sort_array(F.collect_list("token")).alias("line"))
-        return distinct.select("key", "copies").join(lines, "key", "left").select("key", "copies", "line.hash", "line.n", "line.class")
+                # Copies, so that no text is held.
+                rows = pa.array(np.arange(begin, begin + len(block)))
+                held.append(([c.take(rows) for k, c in enumerate(batch.columns) if k != column], self._unknown(block)))
+                size += len(held[-1][1].spots) + len(block)
+                if self.rows <= local_words or size >= _HELD_TOKENS:
+                    yield from self._known(held, local_words)
+                    held, size = [], 0
+        yield from self._known(held, local_words)
+
+    def _unknown(self, block: pa.Array) -> Line:
+        """Tokens of texts as if none were in the table."""
+        words = hash_words(block)
+        distinct, first, spots = np.unique(words.hashes.view(np.int64), return_index=True, return_inverse=True)
+        classes = self.group_class[_tail_groups(words.tails[first], len(self.group_class))]
+        return Line(distinct, np.zeros(len(distinct), np.int64), classes, spots.astype(np.int32), words.bounds)
+
+    def _known(self, held: list[tuple[list[pa.Array], Line]], local_words: int) -> Iterator[tuple[list[pa.Array], Line]]:
+        if held:
+            for part in [_loaded(self.path)] if self.rows <= local_words else _parts(self.path, max(local_words, 1)):
+                for _, line in held:
+                    line.look_up(*part)
+        yield from held
 
 
 @dataclass(frozen=True)
 class Line:
-    """Tokens of consecutive texts: places in distinct words, and how often each text occurs."""
+    """Tokens of consecutive texts: places in distinct words."""
 
     words: np.ndarray  # ascending hashes
     word_counts: np.ndarray
     word_classes: np.ndarray
     spots: np.ndarray
     bounds: np.ndarray
-    copies: np.ndarray
+
+    def look_up(self, hashes: np.ndarray, n: np.ndarray, classes: np.ndarray) -> None:
+        """Take the counts and classes of a table's words, by ascending hashes; other words stay as they are."""
+        if len(hashes):
+            begin, end = np.searchsorted(self.words, hashes[0]), np.searchsorted(self.words, hashes[-1], "right")
+            spot = np.searchsorted(hashes, self.words[begin:end])
+            there = np.flatnonzero(hashes[spot] == self.words[begin:end])
+            self.word_counts[begin + there], self.word_classes[begin + there] = n[spot[there]], classes[spot[there]]
 
     @property
     def counts(self) -> np.ndarray:
@@ -313,15 +325,6 @@ class Line:
         return self.word_classes[self.spots]
 
 
-def _joined_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, Line]]:
-    for batch in batches:
-        hashes, n, classes = ([np.array(x if x is not None else [], dtype=np.int64) for x in batch.column(k).to_pylist()] for k in (2, 3, 4))
-        bounds = np.cumsum([0, *map(len, hashes)])
-        if batch.num_rows:
-            words, first, spots = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-            yield 0, batch, Line(words, np.concatenate(n)[first], np.concatenate(classes)[first], spots, bounds, np.asarray(batch.column(1)))
-
-
 _tables: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
 
@@ -332,63 +335,76 @@ def _loaded(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     if path not in _tables:
         _tables.clear()
-        _tables[path] = _load(path)
+        _tables[path] = next(_parts(path))
     return _tables[path]
 
 
-def _load(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """File by file, into the narrowest types, so that a worker holds little more than the table."""
+def _parts(path: str, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """A vocabulary table in parts of at most ``most`` rows, or whole; each is good until the next one.
+
+    File by file, into the narrowest types, so that a worker holds little more than a part.
+    """
+    if most is not None:
+        _tables.clear()
     store, root = filesystem(path)
     files = list(dataset(root, filesystem=store, format="parquet").get_fragments())
     rows = sum(file.metadata.num_rows for file in files)
-    columns = [np.empty(rows, kind) for kind in (np.int64, np.int32, np.int16)]
-    begin = 0
+    # Parts of one size.
+    size = rows if most is None or not rows else -(-rows // -(-rows // most))
+    columns, filled = [np.empty(size, kind) for kind in (np.int64, np.int32, np.int16)], 0
+
+    def part() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = [c[:filled] for c in columns]
+        if filled and not (found[0][1:] > found[0][:-1]).all():
+            order = np.argsort(found[0])
+            found = [c[order] for c in found]
+        return tuple(found)
+
     for file in files:
         table = file.to_table(columns=["hash", "n", "class"])
-        for k, name in enumerate(("hash", "n", "class")):
-            values = table.column(name).to_numpy()
-            if name == "n" and columns[k].dtype == np.int32 and len(values) and values.max() >= 1 << 31:
-                columns[k] = columns[k].astype(np.int64)
-            columns[k][begin : begin + len(values)] = values
-        begin += len(table)
-    if rows and not (columns[0][1:] > columns[0][:-1]).all():
-        order = np.argsort(columns[0])
-        columns = [c[order] for c in columns]
-    return tuple(columns)
-
-
-def _unit_contexts(lines: Iterator[tuple[int, pa.RecordBatch, Line]], classes: int, least: int) -> Iterator[pa.RecordBatch]:
+        begin = 0
+        while begin < len(table):
+            taken = min(len(table) - begin, size - filled)
+            for k, name in enumerate(("hash", "n", "class")):
+                values = table.column(name).slice(begin, taken).to_numpy()
+                if name == "n" and columns[k].dtype == np.int32 and values.max() >= 1 << 31:
+                    columns[k] = columns[k].astype(np.int64)
+                columns[k][filled : filled + taken] = values
+            begin, filled = begin + taken, filled + taken
+            if filled == size:
+                yield part()
+                filled = 0
+    if filled or not rows:
+        yield part()
+
+
+def _unit_contexts(lines: Iterator[tuple[list[pa.Array], Line]], classes: int, least: int) -> Iterator[pa.RecordBatch]:
     """Partial contexts of all words with ``least`` or more occurrences: unit, old, own, code, n (lists)."""
 
     def parts() -> Iterator[Contexts]:
-        for _, _, line in lines:
+        for _, line in lines:
             unit = line.word_counts >= least
             # An end has the place -1, which is the last.
             spot, _ = _with_ends(line.spots, line.bounds, -1)
             place = np.r_[np.where(unit, np.cumsum(unit) - 1, -1), -1][spot]
             class_of = np.r_[line.word_classes, classes - 1][spot]
-            copies = np.repeat(line.copies, np.diff(line.bounds) + 1)
             some, again = place >= 0, np.flatnonzero((place[:-1] >= 0) & (place[:-1] == place[1:]))
             sides = (np.r_[classes - 1, class_of[:-1]], classes + np.r_[class_of[1:], classes - 1])
             keys = np.concatenate([(place * (2 * classes) + side)[some] for side in sides])
-            if (line.copies == 1).all():
-                keys, n = np.unique(keys, return_counts=True)
-            else:
-                keys, n = _summed(keys, np.tile(copies[some], 2))
-            own = np.bincount(place[again], copies[again], minlength=int(unit.sum())).astype(np.int64)
+            keys, n = np.unique(keys, return_counts=True)
+            own = np.bincount(place[again], minlength=int(unit.sum()))
             yield Contexts(line.words[unit], line.word_classes[unit], own, keys, n)
 
     for found in _merging(parts(), classes, _BUFFER_KEYS // 2):
         yield from _context_rows(found, classes)
 
 
-def _class_table(lines: Iterator[tuple[int, pa.RecordBatch, Line]], classes: int) -> Iterator[pa.RecordBatch]:
+def _class_table(lines: Iterator[tuple[list[pa.Array], Line]], classes: int) -> Iterator[pa.RecordBatch]:
     """The task's counts of neighbouring classes."""
     table = np.zeros(classes * classes)
-    for _, _, line in lines:
+    for _, line in lines:
         class_of, _ = _with_ends(line.classes, line.bounds, classes - 1)
-        copies = np.repeat(line.copies, np.diff(line.bounds) + 1)
-        table += np.bincount(np.r_[classes - 1, class_of[:-1]] * classes + class_of, copies, minlength=classes * classes)
+        table += np.bincount(np.r_[classes - 1, class_of[:-1]] * classes + class_of, minlength=classes * classes)
     some = np.flatnonzero(table)
     yield pa.RecordBatch.from_arrays([pa.array((some // classes).astype(np.int32)), pa.array((some % classes).astype(np.int32)), pa.array(table[some].astype(np.int64))], names=["ca", "cb", "n"])
 
@@ -467,10 +483,8 @@ def _stored(words: DataFrame, path: str) -> DataFrame:
 
 
 def _over(texts: DataFrame, vocabulary: Vocabulary, count, types: str, local_words: int) -> DataFrame:
-    """``count`` of the tokens of all texts, from the loaded table or by join."""
-    if vocabulary.rows <= local_words:
-        return texts.mapInArrow(lambda batches: count(vocabulary.lines(batches, 0)), types)
-    return vocabulary.joined(texts).mapInArrow(lambda batches: count(_joined_lines(batches)), types)
+    """``count`` of the tokens of all texts."""
+    return texts.mapInArrow(lambda batches: count(vocabulary.lines(batches, 0, local_words)), types)
 
 
 def fit(
@@ -540,38 +554,16 @@ _SCORES = ("n_tokens", "n_known", "base_score", "score")
 _SCORE_TYPES = "n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def _list_tokens(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
-    """key, place, hash and group of every word."""
-    for batch in batches:
-        for begin, block in blocks(batch.column(1), _BLOCK_BYTES):
-            words = hash_words(block)
-            n = np.diff(words.bounds)
-            rows = np.repeat(np.arange(len(block)) + begin, n)
-            place = np.arange(len(words.hashes)) - np.repeat(words.bounds[:-1], n)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows)), pa.array(place), pa.array(words.hashes.view(np.int64)), pa.array(_groups(words, groups))], names=["key", "place", "hash", "group"]
-            )
-
-
 def score(docs: DataFrame, model: Model, *, text: str = "text", doc_id: str = "doc_id", local_words: int = LOCAL_WORDS) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every row."""
     id_type = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    if model.vocabulary.rows <= local_words:
-
-        def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, part, line in model.vocabulary.lines(batches, 1):
-                yield _scored(part.column(0), model.score(line))
-
-        return rows.mapInArrow(local, f"key {id_type}, {_SCORE_TYPES}").withColumnRenamed("key", "doc_id")
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, part, line in _joined_lines(batches):
-            yield _scored(part.column(0), model.score(line))
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (ids,), line in model.vocabulary.lines(batches, 1, local_words):
+            yield _scored(ids, model.score(line))
 
-    scored = model.vocabulary.joined(rows).mapInArrow(listed, f"key string, {_SCORE_TYPES}")
-    keyed = rows.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"))
-    return keyed.join(scored, "key").select("doc_id", *_SCORES)
+    return rows.mapInArrow(scored, f"key {id_type}, {_SCORE_TYPES}").withColumnRenamed("key", "doc_id")
 
 
 def score_corpus(docs: DataFrame, held_out: Callable[[str], Column], *, text: str = "text", doc_id: str = "doc_id", local_words: int = LOCAL_WORDS, **options) -> DataFrame:

@@ -16,6 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docstrata.llm import classlm, mixing, neardup, quality
+from docstrata.llm.storage import staged
 from docstrata.llm.words import WORD_PATTERN, hash_words
 
 LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
@@ -279,6 +280,45 @@ def test_workers_load_single_words_only(docs, spark, tmp_path):
     assert 0 < len(coarse) < every.count() == model.words - 1
 
 
+def test_large_tables_are_read_in_parts(monkeypatch, spark, tmp_path):
+    """Same tokens, a few reads for many blocks, no text held; all tokens were shuffled for such tables."""
+    texts = [*drawn_texts(40, 50, 300), None, "", "not there", "w1 W1 w1"]
+    primed_table, table = primed(monkeypatch, texts[:30], 6)
+    rows = spark.createDataFrame([(h, n if k else 1 << 33, c) for k, (h, (n, c)) in enumerate(table.items())], "hash bigint, n bigint, class int")
+    classlm._stored(rows.repartition(3), str(tmp_path / "words"))
+    vocabulary = classlm.Vocabulary(str(tmp_path / "words"), len(table), primed_table.group_class, 6)
+    monkeypatch.setattr(classlm, "_BLOCK_BYTES", 500)
+    monkeypatch.setattr(classlm, "_HELD_TOKENS", 700)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    reads, parts = [], classlm._parts
+    monkeypatch.setattr(classlm, "_parts", lambda path, most=None: reads.append(most) or parts(path, most))
+
+    def found(local_words):
+        reads.clear()
+        return [(*(c.to_pylist() for c in others), line.counts.tolist(), line.classes.tolist(), line.bounds.tolist()) for others, line in vocabulary.lines(iter([batch, batch]), 1, local_words)]
+
+    whole = found(len(table))
+    assert reads == [None] and sum((ids for ids, *_ in whole), []) == [*range(len(texts))] * 2
+    hashes = lambda ids: [hash_of(w) for k in ids for w in words_of(texts[k])]
+    stored = {r["hash"]: (r["n"], r["class"]) for r in rows.collect()}
+    for ids, n, classes, _ in whole:
+        assert n == [stored.get(h, (0,))[0] for h in hashes(ids)]
+        assert all(c == stored[h][1] for h, c in zip(hashes(ids), classes) if h in stored)
+    assert any(0 in n for _, n, *_ in whole)
+    for local_words in (0, 1, 7, len(table) - 1):
+        assert found(local_words) == whole
+        assert reads == [max(local_words, 1)] * len(reads) and 3 < len(reads) < len(whole)
+
+
+def test_no_tokens_are_shuffled(docs, tmp_path):
+    """At 6 GB the words outgrow a worker: every token went through two shuffles, 12 times the input."""
+    model = classlm.fit(docs, classes=6, sweeps=1, groups=8, min_share=0.01, least_count=4, folder=str(tmp_path / "model"))
+    stored = staged(docs, str(tmp_path / "docs"))
+    whole, parts = (classlm.score(stored, model, local_words=n) for n in (classlm.LOCAL_WORDS, 10))
+    assert "Exchange" not in parts._jdf.queryExecution().executedPlan().toString()
+    assert Counter(map(tuple, parts.collect())) == Counter(map(tuple, whole.collect()))
+
+
 def brute_measures(text):
     text = text or ""
     words = re.findall(WORD_PATTERN, text)
