@@ -162,14 +162,20 @@ class Lake:
         """The name of a result's text from ``_page`` and ``pos`` of the pages that this object is writing."""
         return F.concat_ws("|", F.lit(self._attempt(LANDING, version)), "_page", "pos")
 
-    def _with_texts(self, rows: DataFrame) -> DataFrame:
-        """Rows of a log or a queue with the descriptions that they name."""
+    def _with_texts(self, rows: DataFrame, droppable: bool = False) -> DataFrame:
+        """Rows of a log or a queue with the descriptions that they name.
+
+        ``droppable`` shows the optimizer that a name has one text, so that it leaves the
+        texts out if no description is used.
+        """
         attempts = [attempt for _, attempt in self._markers(LANDING, "commits")]
         kept = [self._read(schemas.TEXT_PAGES, LANDING, name).select(*schemas.TEXT_PAGES.fieldNames()) for name in ("parsed", "pages")]
         pages = kept[0].unionByName(kept[1]).filter(F.col("attempt").isin(*attempts))
         found = result_texts(pages, ["day", "attempt", "_page"]).select(
             F.col("day").alias("_day"), F.concat_ws("|", "attempt", "_page", "pos").alias("_name"), F.col("description").alias("_text")
         )
+        if droppable:
+            found = found.groupBy("_day", "_name").agg(F.first("_text").alias("_text"))
         named = rows.withColumn("_wanted", spread_nulls(F.col("text_id"), "identifier"))
         same = (F.col("partition_date") == F.col("_day")) & (F.col("_wanted") == F.col("_name"))
         described = named.join(found, same, "left").withColumn("description", F.coalesce("description", "_text"))
@@ -253,13 +259,14 @@ class Lake:
         return self._with_texts(rows) if texts else rows
 
     def current(self, zone: str, before: int | None = None, columns: Iterable[str] | None = None,
-                days: Iterable[str] | None = None) -> DataFrame:
+                days: Iterable[str] | None = None, droppable: bool = False) -> DataFrame:
         """Current metadata, one row per identifier; as it was before a version if given.
 
         ``columns`` are those wanted besides the identifier (default: all).  Naming them
         keeps the others out of the scan and the shuffle: the optimizer cannot see
         through the newest-row aggregate.  ``days`` reads these ``partition_date`` folders
         alone: right for identifiers whose current row is known to be in them.
+        ``droppable`` descriptions are not read if they are not used.
         """
         names = _LOG_SCHEMAS[zone].fieldNames()
         wanted = {"identifier", "version", "arrived", *([c for c in names if c != "text_id"] if columns is None else columns)}
@@ -267,7 +274,7 @@ class Lake:
         if "description" not in wanted:
             return self._current(zone, before, wanted, days)
         stored = self._current(zone, before, [c for c in names if c in {*wanted, "partition_date", "text_id"}], days)
-        return self._with_texts(stored).select(*wanted)
+        return self._with_texts(stored, droppable).select(*wanted)
 
     def _current(self, zone: str, before: int | None, kept: list[str], days: Iterable[str] | None = None) -> DataFrame:
         """``current`` with descriptions as they are stored."""
@@ -330,7 +337,7 @@ class Lake:
         The filter follows the choice of the newest row: a later version may have moved
         an identifier to another partition.
         """
-        return self.current(zone, before, columns).filter(F.col(date_col).between(start, end))
+        return self.current(zone, before, columns, droppable=columns is None).filter(F.col(date_col).between(start, end))
 
     def create_views(self) -> None:
         """Temp views over the current state, for SQL: ``<zone>_metadata``, ``<zone>_objects``."""

@@ -685,6 +685,17 @@ def test_logs_that_hold_their_texts_are_read_as_before(lake, captures):
     assert [state(lake, zone)["A"].description for zone in (LANDING, TRANSFORMED)] == ["held", "held"]
 
 
+def test_rows_of_a_range_have_their_texts(lake, captures):
+    """Left out of the plan only if they are not used."""
+    items = [{"id": "A", "href": "/a", "description": "one"}, {"id": "B", "href": "/b", "description": "two"}]
+    land(lake, *captures([page_row("Labour Court", "2024-01-01", "2024-01-31", items, 2)], [doc_row("/a"), doc_row("/b")]), RUN)
+    rows = lake.in_range(LANDING, "2024-01-01", "2024-12-31")
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, lake.current(LANDING).collect()))
+    assert {r.identifier: r.description for r in rows.collect()} == {"A": "one", "B": "two"}
+    assert "items" in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "items" not in rows.select("identifier", "file_hash")._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_pages_are_kept_where_they_are_parsed(lake, spark, captures, monkeypatch):
     """No shuffle between the parser and the table of parsed pages: a text does not move for it."""
     pages = [page_row("Labour Court", f"2024-0{m}-01", f"2024-0{m}-28", [{"id": f"A{m}", "href": f"/{m}", "description": f"text {m}"}], 1) for m in (1, 2)]
